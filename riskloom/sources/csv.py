@@ -68,13 +68,25 @@ def read_transactions_strict(spark: SparkSession, path: str) -> DataFrame:
     return _typed(raw, amount, {c: F.col(c) for c in STRING_COLUMNS})
 
 
-def read_transactions_upload(spark: SparkSession, path: str) -> DataFrame:
-    raw = _raw_strings(spark, path)
+def upload_missing(c: Column) -> Column:
+    """True where the upload apps' pandas reader would see a missing value."""
+    return c.isNull() | c.isin(list(PANDAS_NA_TOKENS))
+
+
+def upload_string(c: Column) -> Column:
+    """``str(value)`` after pandas ingest: a missing value becomes the text ``'nan'``."""
+    return F.when(upload_missing(c), F.lit("nan")).otherwise(c)
 
-    def missing(c: Column) -> Column:
-        return c.isNull() | c.isin(list(PANDAS_NA_TOKENS))
 
-    strings = {c: F.when(missing(F.col(c)), F.lit("nan")).otherwise(F.col(c)) for c in STRING_COLUMNS}
+def upload_missing_to_nan(df: DataFrame) -> DataFrame:
+    """Apply the upload apps' missing-value rule to the string columns of any transaction frame."""
+    return df.withColumns({c: upload_string(F.col(c)) for c in STRING_COLUMNS if c in df.columns})
+
+
+def read_transactions_upload(spark: SparkSession, path: str) -> DataFrame:
+    raw = _raw_strings(spark, path)
+    strings = {c: upload_string(F.col(c)) for c in STRING_COLUMNS}
     a = F.col("amount")
-    amount = F.when(missing(a), F.lit(float("nan"))).otherwise(_must(F.trim(a).try_cast("double"), a, "amount"))
+    amount = F.when(upload_missing(a), F.lit(float("nan"))).otherwise(
+        _must(F.trim(a).try_cast("double"), a, "amount"))
     return _typed(raw, amount, strings)
