@@ -1,6 +1,14 @@
 """riskloom: rule-based transaction risk scoring as Spark DataFrame plans."""
 
-from .config import (DEFAULT_EXEC, DIALECT_HISTORY, DIALECT_WINDOW, EVENTS_RULES,  # noqa: F401
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions this package hands to Python workers (mapInPandas, stateful
+# streaming) are pickled by value, so executors need no copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from .config import (DEFAULT_EXEC, DIALECT_HISTORY, DIALECT_WINDOW, EVENTS_RULES,  # noqa: E402,F401
                      SKEWPROOF_EXEC, ExecConfig, RuleConfig, parse_mcc_list)
 
 __version__ = "0.1.0"

@@ -12,7 +12,7 @@
 ``supplier`` / ``lineitem`` -> employees / payroll.
 
 Only the needed columns are read (Parquet column pruning); dimension sides are
-broadcast only behind a bounded row count.
+broadcast only when their footer row count is within ``max_broadcast_dim_rows``.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
-from ..operators.joins import broadcast_if_small
 from ..schema import CANONICAL_COLUMNS
 
 # Fixed values of the events -> transactions mapping.
@@ -38,20 +37,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scan_rows(df: DataFrame) -> int:
+    """Row count of a pure Parquet scan: answered from file footers (no column data read)."""
+    return df.count()
+
+
+def broadcast_dimension(df: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
+    """Broadcast a dimension scan only when its footer row count proves it small."""
+    return F.broadcast(df) if scan_rows(df) <= exec_cfg.max_broadcast_dim_rows else df
+
+
 def transactions_from_events(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-
-    nation_b = broadcast_if_small(nation, exec_cfg.max_broadcast_dim_rows)
-    card = (customer.join(nation_b, customer["c_nationkey"] == nation_b["n_nationkey"], "left")
-            .select("c_custkey", F.col("n_name").alias("card_country")))
-    card = broadcast_if_small(card, exec_cfg.max_broadcast_dim_rows)
-    ipn = nation_b.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
+    nation = broadcast_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), exec_cfg)
+    # customer grows with the data: broadcast below the bound, else a shuffle
+    # join on user_id whose hot partitions AQE splits (left side of a left join).
+    customer = broadcast_dimension(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), exec_cfg)
+    cardn = nation.select(F.col("n_nationkey").alias("card_nationkey"), F.col("n_name").alias("card_country"))
+    ipn = nation.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
 
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     e = ev.withColumn("k", k)
-    e = e.join(card, e["user_id"] == card["c_custkey"], "left")
+    e = e.join(customer, e["user_id"] == customer["c_custkey"], "left")
+    e = e.join(cardn, e["c_nationkey"] == cardn["card_nationkey"], "left")
     e = e.join(ipn, e["k"] == ipn["ip_nationkey"], "left")
     mcc = F.lit(MCC_DEFAULT)
     for rem, code in reversed(list(MCC_BY_K_MOD_20.items())):
