@@ -4,7 +4,7 @@
   PERMISSIVE: bad or empty values become NULL (the batch scorer's reader).
 * :func:`read_transactions_strict` — columns by header name, every value
   must parse; a bad or missing number / time fails the job (the sequential
-  scorer's reader).  Empty string fields stay ``''``.
+  scorer's reader).  Empty string fields read as ``''``.
 * :func:`read_transactions_upload` — like the upload apps: the pandas
   missing-value tokens turn string fields into the text ``'nan'`` and the
   amount into NaN; a missing MCC or time fails.
@@ -26,10 +26,6 @@ PANDAS_NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# A token that never occurs in data: with it as `nullValue`, empty fields stay ''.
-_NO_NULL_TOKEN = "\u0000riskloom-no-null\u0000"
-
-
 def with_arrival_seq(df: DataFrame) -> DataFrame:
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
@@ -40,8 +36,7 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _raw_strings(spark: SparkSession, path: str) -> DataFrame:
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-           .option("nullValue", _NO_NULL_TOKEN).option("encoding", "UTF-8").csv(path))
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8").csv(path)
     missing = [c for c in TRANSACTION_COLUMNS if c not in raw.columns]
     if missing:
         raise KeyError(f"CSV {path} lacks columns {missing}")
@@ -65,7 +60,8 @@ def _typed(raw_df: DataFrame, amount: Column, strings: dict[str, Column]) -> Dat
 def read_transactions_strict(spark: SparkSession, path: str) -> DataFrame:
     raw = _raw_strings(spark, path)
     amount = _must(F.trim(F.col("amount")).try_cast("double"), F.col("amount"), "amount")
-    return _typed(raw, amount, {c: F.col(c) for c in STRING_COLUMNS})
+    # Spark reads an empty CSV field as NULL; Python's csv module reads ''.
+    return _typed(raw, amount, {c: F.coalesce(F.col(c), F.lit("")) for c in STRING_COLUMNS})
 
 
 def upload_missing(c: Column) -> Column:
