@@ -26,6 +26,14 @@ def epoch_micros(df: DataFrame, col: str = "timestamp") -> Column:
         return F.unix_micros(F.col(col))
     raise TypeError(f"column {col!r} must be a timestamp, got {dtype.simpleString()}")
 
+def from_epoch_micros(us: Column, dtype: T.DataType) -> Column:
+    """Inverse of :func:`epoch_micros` for the given timestamp type."""
+    if isinstance(dtype, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+        return F.timestamp_add("MICROSECOND", us, epoch)
+    return F.timestamp_micros(us)
+
+
 def floor_seconds(us_col: str) -> Column:
     """Whole epoch seconds, floored (equals ``CAST(ts AS BIGINT)``), exact in integers."""
     return F.expr(f"({us_col} - pmod({us_col}, {MICROS_PER_SECOND})) div {MICROS_PER_SECOND}")

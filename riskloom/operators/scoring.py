@@ -24,7 +24,11 @@ def score(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIAL
     Keeps the canonical columns, ``seq`` and the context columns, adds the six
     ``r_*`` point columns, ``total_score``, ``severity`` and ``status``.
     """
-    df = with_context(tx, rules, dialect, exec_cfg)
+    return apply_rules(with_context(tx, rules, dialect, exec_cfg), rules, dialect)
+
+
+def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
+    """Row-local part of scoring, given the context columns (batch or streaming input)."""
     ts = F.col("timestamp")
     if dialect == C.DIALECT_WINDOW:
         new_dev = R.new_device_points_window(ts, F.col("first_seen_device"))

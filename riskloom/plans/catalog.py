@@ -139,6 +139,12 @@ def summary_prompt(spark, sf_dir):
     return E.summary_prompt(_scored(spark, sf_dir, H), top_n=10)
 
 
+def stream_score_history(spark, sf_dir):
+    """The events table as a file stream through the stateful online scorer (availableNow)."""
+    from ..streaming.runner import score_events_stream_table
+    return score_events_stream_table(spark, sf_dir, RULES)
+
+
 def overtime_pay_query(spark, sf_dir):
     return overtime_pay(employees_from_supplier(spark, sf_dir), payroll_from_lineitem(spark, sf_dir))
 
@@ -171,5 +177,6 @@ def registry() -> dict[str, QueryFn]:
         "explain_template": explain_template,
         "summary_prompt": summary_prompt,
         "overtime_pay": overtime_pay_query,
+        "stream_score_history": stream_score_history,
     }
     return q

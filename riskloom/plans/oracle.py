@@ -200,6 +200,7 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
     q["score_history"] = sh + f"\nSELECT {HISTORY_COLS} FROM final"
     q["score_window_skewproof"] = q["score_window"]
     q["score_history_skewproof"] = q["score_history"]
+    q["stream_score_history"] = q["score_history"]
     q["score_console"] = sw + ("\nSELECT txn_id, user_id, amount, currency, \"timestamp\", total_score, severity, "
                                "status, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, "
                                "r_night_time, r_new_device FROM final")

@@ -48,7 +48,13 @@ def broadcast_dimension(df: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
 
 
 def transactions_from_events(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    return transactions_from_event_frame(table(spark, sf_dir, "events"), spark, sf_dir, exec_cfg)
+
+
+def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir: str,
+                                  exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
+    """Map an events frame (batch or streaming) to transactions; dimensions are static."""
+    ev = events.select("event_id", "ts", "user_id", "value", "props")
     nation = broadcast_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), exec_cfg)
     # customer grows with the data: broadcast below the bound, else a shuffle
     # join on user_id whose hot partitions AQE splits (left side of a left join).
