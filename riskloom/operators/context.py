@@ -8,8 +8,9 @@ Two physical strategies compute the same values:
   gets users with at most ``ExecConfig.hot_key_rows`` rows.
 * **skew-proof** (:func:`skewproof_context`): velocity counts as differences of
   prefix counts over a range-partitioned global sort
-  (:mod:`riskloom.operators.prefix`), device facts as partial aggregates joined
-  back with hot keys broadcast (:func:`attach_group_aggregates`).  No task ever
+  (:mod:`riskloom.operators.prefix`); device facts as partial aggregates
+  (first sightings flagged back by ``seq``; the window dialect's first-seen
+  time joined back with hot keys broadcast, :func:`attach_group_aggregates`).  No task ever
   holds more than a range partition, however large one user is.
 
 :func:`with_context` routes hot users to the second strategy and everybody else
@@ -116,11 +117,14 @@ def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_c
         dev = dev.select(SEQ, F.when(F.col(TS).isNull(), F.lit(None)).otherwise(F.col("__pair_min"))
                          .alias("first_seen_device"))
     else:
-        order_key = F.struct(F.col("_usnl"), F.col(SEQ))
-        dev = attach_group_aggregates(narrow, [USER], {"__first_u": F.min(order_key)}, exec_cfg)
-        dev = attach_group_aggregates(dev, [USER, DEVICE], {"__first_p": F.min(order_key)}, exec_cfg)
-        dev = dev.select(SEQ, ((order_key != F.col("__first_u")) & (order_key == F.col("__first_p")))
-                         .alias("_new_device"))
+        # First row of the user / of the (user, device) pair in (time, seq) order:
+        # partial aggregates, then flag rows by the winning seq — a join on a
+        # unique, uniformly spread key, so no group ever meets in one task.
+        first = F.min(F.struct(F.col("_usnl"), F.col(SEQ)))[SEQ]
+        first_user = narrow.groupBy(USER).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_u"))
+        first_pair = narrow.groupBy(USER, DEVICE).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_p"))
+        dev = (narrow.select(SEQ).join(first_pair, SEQ, "left").join(first_user, SEQ, "left")
+               .select(SEQ, (F.col("__first_p").isNotNull() & F.col("__first_u").isNull()).alias("_new_device")))
     ctx = dev.join(counts, SEQ, "left")
     return ctx.withColumn("txn_count_window", F.coalesce(F.col("txn_count_window"), F.lit(0).cast("long")))
 
@@ -138,8 +142,13 @@ def _checkpointed_narrow(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
-                 exec_cfg: ExecConfig = C.DEFAULT_EXEC) -> DataFrame:
-    """Add ``txn_count_window`` and ``first_seen_device`` (window) / ``_new_device`` (history)."""
+                 exec_cfg: ExecConfig = C.DEFAULT_EXEC, key_counts: DataFrame | None = None) -> DataFrame:
+    """Add ``txn_count_window`` and ``first_seen_device`` (window) / ``_new_device`` (history).
+
+    ``key_counts`` (``user_id``, ``_n``) may give rows per user from a cheaper
+    source than ``tx`` (e.g. the raw event table before dimension joins); it
+    only steers the strategy, the result is the same either way.
+    """
     if dialect not in C.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {C.DIALECTS}")
     tx = with_time_keys(tx, dialect)
@@ -149,7 +158,7 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
         return tx.join(ctx, SEQ, "inner")
 
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
-    stats = tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
+    stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))
     n_hot = bounded_count(hot, exec_cfg.max_broadcast_keys)
     if n_hot == 0:

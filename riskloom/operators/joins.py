@@ -4,12 +4,12 @@
   proven it small; otherwise the join is left to a shuffle (sort-merge, with
   AQE's skew split).
 * :func:`attach_group_aggregates` attaches per-key aggregates to every row of
-  the key (an aggregate "joined back").  Keys with more than
-  ``ExecConfig.hot_key_rows`` rows are joined through a broadcast of just the
-  hot keys (their number is at most ``rows / hot_key_rows`` and is counted
-  before broadcasting), the rest through a shuffle join whose groups are
-  bounded by the same threshold.  The aggregate itself is a partial
-  (map-side combined) ``groupBy``.
+  the key (an aggregate "joined back") without ever sending a hot key's rows
+  to one task: small key tables are broadcast after a bounded count; keys with
+  more than ``ExecConfig.hot_key_rows`` rows are joined through a broadcast of
+  just the hot keys; the rest through a shuffle join whose groups are bounded
+  by the same threshold.  The aggregate itself is a partial (map-side
+  combined) ``groupBy``.
 """
 
 from __future__ import annotations
@@ -50,16 +50,26 @@ def join_nullsafe(left: DataFrame, right: DataFrame, keys: Iterable[str], how: s
 
 def attach_group_aggregates(df: DataFrame, keys: list[str], aggs: dict[str, Column],
                             exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
-    """Add ``aggs`` computed over each ``keys`` group to every row of the group."""
+    """Add ``aggs`` computed over each ``keys`` group to every row of the group.
+
+    1. the per-key table has at most ``max_broadcast_keys`` rows (bounded
+       count): broadcast it — one pass, no shuffle of ``df``, no skew;
+    2. otherwise, no key above ``hot_key_rows``: shuffle join, every group is
+       bounded;
+    3. otherwise, hot keys (at most ``rows / hot_key_rows``) are broadcast and
+       joined on the hot rows; the cold rows take the shuffle join;
+    4. more hot keys than the broadcast bound: shuffle join, AQE splits the
+       skewed partitions of the (splittable) left side.
+    """
     names = list(aggs)
     stats = df.groupBy(*keys).agg(*[aggs[n].alias(n) for n in names], F.count(F.lit(1)).alias("__grp_n"))
+    bound = int(exec_cfg.max_broadcast_keys)
+    if bounded_count(stats, bound) <= bound:
+        return join_nullsafe(df, F.broadcast(stats.drop("__grp_n")), keys, "left")
     hot_limit = max(int(exec_cfg.hot_key_rows), 0)
     hot = stats.where(F.col("__grp_n") > F.lit(hot_limit)).drop("__grp_n")
-    n_hot = bounded_count(hot, exec_cfg.max_broadcast_keys)
-    if n_hot == 0 or n_hot > exec_cfg.max_broadcast_keys:
-        # No hot key: every group is at most hot_key_rows rows, a plain shuffle
-        # join is balanced.  Too many hot keys to broadcast: shuffle join and let
-        # AQE split the skewed partitions of the (splittable) left side.
+    n_hot = bounded_count(hot, bound)
+    if n_hot == 0 or n_hot > bound:
         return join_nullsafe(df, stats.drop("__grp_n"), keys, "left")
     hot_b = F.broadcast(hot.withColumn("__hot", F.lit(True)))
     tagged = join_nullsafe(df, hot_b, keys, "left")
