@@ -1,8 +1,8 @@
 """Join helpers that keep broadcasts bounded and hot keys split.
 
-* :func:`broadcast_if_small` broadcasts a side only after a bounded count has
-  proven it small; otherwise the join is left to a shuffle (sort-merge, with
-  AQE's skew split).
+* :func:`broadcast_if_small` / :func:`broadcast_dimension` broadcast a side only
+  after a (bounded / footer) count has proven it small; otherwise the join is
+  left to a shuffle (sort-merge, with AQE's skew split).
 * :func:`attach_group_aggregates` attaches per-key aggregates to every row of
   the key (an aggregate "joined back") without ever sending a hot key's rows
   to one task: small key tables are broadcast after a bounded count; keys with
@@ -32,6 +32,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
+def broadcast_dimension(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a dimension *table scan* only when its row count is <= max_rows.
+
+    For a plain Parquet scan (with projections) ``count()`` reads only file
+    footers, so the proof costs O(files), not O(rows).
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def join_nullsafe(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (keys kept once, from the left)."""
     keys = list(keys)

@@ -2,9 +2,9 @@
 
 ``pay = h * r`` for ``h <= 40``; ``(h - 40) * 1.5 * r + 40 * r`` above; NULL
 hours give NULL pay (no ``otherwise``).  Inner equi-join: duplicate keys
-multiply, NULL keys drop.  The employee side is broadcast only when a bounded
-count proves it small; otherwise a sort-merge join (AQE splits a hot
-employee's partition).
+multiply, NULL keys drop.  The employee side is broadcast only when its row
+count (footer-only for a table scan) proves it small; otherwise a sort-merge
+join, where AQE splits a hot employee's partition.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
-from .joins import broadcast_if_small
+from .joins import broadcast_dimension
 
 STANDARD_HOURS = 40
 OVERTIME_RATE = 1.5
@@ -25,7 +25,7 @@ def pay_expr(hours, rate):
 
 
 def overtime_pay(employees: DataFrame, payroll: DataFrame, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
-    e = broadcast_if_small(employees.select("employee_id", "name"), exec_cfg.max_broadcast_dim_rows).alias("e")
+    e = broadcast_dimension(employees.select("employee_id", "name"), exec_cfg.max_broadcast_dim_rows).alias("e")
     p = payroll.select("employee_id", "hours_worked", "hourly_rate", "position").alias("p")
     joined = p.join(e, F.col("e.employee_id") == F.col("p.employee_id"), "inner")
     return joined.select(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
+from ..operators.joins import broadcast_dimension
 from ..schema import CANONICAL_COLUMNS
 
 # Fixed values of the events -> transactions mapping.
@@ -37,16 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scan_rows(df: DataFrame) -> int:
-    """Row count of a pure Parquet scan: answered from file footers (no column data read)."""
-    return df.count()
-
-
-def broadcast_dimension(df: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
-    """Broadcast a dimension scan only when its footer row count proves it small."""
-    return F.broadcast(df) if scan_rows(df) <= exec_cfg.max_broadcast_dim_rows else df
-
-
 def transactions_from_events(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
     return transactions_from_event_frame(table(spark, sf_dir, "events"), spark, sf_dir, exec_cfg)
 
@@ -55,10 +46,11 @@ def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir
                                   exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
     """Map an events frame (batch or streaming) to transactions; dimensions are static."""
     ev = events.select("event_id", "ts", "user_id", "value", "props")
-    nation = broadcast_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), exec_cfg)
+    bound = exec_cfg.max_broadcast_dim_rows
+    nation = broadcast_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), bound)
     # customer grows with the data: broadcast below the bound, else a shuffle
     # join on user_id whose hot partitions AQE splits (left side of a left join).
-    customer = broadcast_dimension(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), exec_cfg)
+    customer = broadcast_dimension(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), bound)
     cardn = nation.select(F.col("n_nationkey").alias("card_nationkey"), F.col("n_name").alias("card_country"))
     ipn = nation.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
 
