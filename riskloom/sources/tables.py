@@ -55,8 +55,12 @@ def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir
     ipn = nation.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
 
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    e = ev.withColumn("k", k)
-    e = e.join(customer, e["user_id"] == customer["c_custkey"], "left")
+    e = ev.withColumn("k", k).withColumn("user_key", F.col("user_id").cast("string"))
+    # Join on the text user id (the canonical key): when customer is too big to
+    # broadcast, the sort-merge join's hashpartitioning(user_key) is exactly
+    # what the per-user windows need, so events are shuffled once, not twice.
+    customer = customer.withColumn("cust_key", F.col("c_custkey").cast("string"))
+    e = e.join(customer, e["user_key"] == customer["cust_key"], "left")
     e = e.join(cardn, e["c_nationkey"] == cardn["card_nationkey"], "left")
     e = e.join(ipn, e["k"] == ipn["ip_nationkey"], "left")
     mcc = F.lit(MCC_DEFAULT)
@@ -64,7 +68,7 @@ def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir
         mcc = F.when(F.col("k") % 20 == rem, F.lit(code)).otherwise(mcc)
     out = e.select(
         F.col("event_id").cast("string").alias("txn_id"),
-        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_key").alias("user_id"),
         F.col("value").alias("amount"),
         F.lit(CURRENCY).alias("currency"),
         F.col("card_country"),

@@ -89,3 +89,22 @@ def test_events_config_populates_every_band(spark):
         assert set(bands) == {"HIGH", "MEDIUM", "LOW", "INFO"}, bands
     assert EVENTS_RULES.velocity_window_minutes == 1440
     _ = F
+
+
+@needs_data
+def test_big_customer_join_feeds_windows_without_second_shuffle(spark):
+    """customer too big to broadcast: events are shuffled once, by the join, for the windows too."""
+    from riskloom.config import ExecConfig
+    from riskloom.operators.scoring import scored_table
+    from riskloom.sources.tables import transactions_from_events
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ex = ExecConfig(max_broadcast_dim_rows=100)
+        for dialect in ("window", "history"):
+            df = scored_table(transactions_from_events(spark, SF001, ex), EVENTS_RULES, dialect, ex)
+            lines = [ln for ln in plan_text(df, "simple").splitlines() if "Exchange hashpartitioning" in ln]
+            assert len(lines) == 2, lines  # events side and customer side of the join, nothing more
+            assert "SortMergeJoin" in plan_text(df, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
