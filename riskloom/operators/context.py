@@ -142,12 +142,16 @@ def _checkpointed_narrow(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
-                 exec_cfg: ExecConfig = C.DEFAULT_EXEC, key_counts: DataFrame | None = None) -> DataFrame:
+                 exec_cfg: ExecConfig = C.DEFAULT_EXEC, key_counts: DataFrame | None = None,
+                 rows_upper_bound: int | None = None) -> DataFrame:
     """Add ``txn_count_window`` and ``first_seen_device`` (window) / ``_new_device`` (history).
 
     ``key_counts`` (``user_id``, ``_n``) may give rows per user from a cheaper
-    source than ``tx`` (e.g. the raw event table before dimension joins); it
-    only steers the strategy, the result is the same either way.
+    source than ``tx`` (e.g. the raw event table before dimension joins) and
+    ``rows_upper_bound`` a proven bound on its total (e.g. a footer count):
+    when the whole input is within ``hot_key_rows`` no user can be hot and the
+    detection job is skipped.  Both only steer the strategy; the result is the
+    same either way.
     """
     if dialect not in C.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {C.DIALECTS}")
@@ -157,6 +161,8 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
         ctx = skewproof_context(_checkpointed_narrow(tx, exec_cfg), rules, dialect, exec_cfg)
         return tx.join(ctx, SEQ, "inner")
 
+    if rows_upper_bound is not None and rows_upper_bound <= hot_limit:
+        return window_context(tx, rules, dialect)
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
     stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))

@@ -32,13 +32,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
-def broadcast_dimension(df: DataFrame, max_rows: int) -> DataFrame:
+def table_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of table scans.
+
+    For a plain Parquet scan no column is needed, so only file footers are
+    read: the proof costs O(files), not O(rows).
+    """
+    return {name: df.count() for name, df in frames.items()}
+
+
+def broadcast_dimension(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
     """Broadcast a dimension *table scan* only when its row count is <= max_rows.
 
-    For a plain Parquet scan (with projections) ``count()`` reads only file
-    footers, so the proof costs O(files), not O(rows).
+    ``rows`` may carry a count already proven by :func:`table_rows`.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = table_rows({"t": df})["t"] if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def join_nullsafe(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "left") -> DataFrame:

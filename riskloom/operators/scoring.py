@@ -18,13 +18,15 @@ from .context import with_context
 
 
 def score(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
-          exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None) -> DataFrame:
+          exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
+          rows_upper_bound: int | None = None) -> DataFrame:
     """Canonical transactions (+ ``seq``) -> every column needed downstream.
 
     Keeps the canonical columns, ``seq`` and the context columns, adds the six
     ``r_*`` point columns, ``total_score``, ``severity`` and ``status``.
     """
-    return apply_rules(with_context(tx, rules, dialect, exec_cfg, key_counts), rules, dialect)
+    ctx = with_context(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound)
+    return apply_rules(ctx, rules, dialect)
 
 
 def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
@@ -52,7 +54,8 @@ def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
 
 
 def scored_table(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
-                 exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None) -> DataFrame:
+                 exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
+          rows_upper_bound: int | None = None) -> DataFrame:
     """The wide result table (20 columns for window, 19 for history)."""
     cols = SCORED_WINDOW_COLUMNS if dialect == C.DIALECT_WINDOW else SCORED_HISTORY_COLUMNS
     return score(tx, rules, dialect, exec_cfg, key_counts).select(*cols)

@@ -22,8 +22,8 @@ from ..operators import reports as P
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
 from ..sources.csv import upload_missing_to_nan
-from ..sources.tables import (employees_from_supplier, event_user_counts, payroll_from_lineitem,
-                              transactions_from_events)
+from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
+from ..sources.tables import employees_from_supplier, events_inputs, payroll_from_lineitem, transactions_from_events
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +36,9 @@ def _tx(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -
 
 
 def _scored(spark, sf_dir, dialect, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
-    return score(_tx(spark, sf_dir, exec_cfg), RULES, dialect, exec_cfg, event_user_counts(spark, sf_dir))
+    """Score the events table; hot users are detected on raw events (see ``events_inputs``)."""
+    inp = events_inputs(spark, sf_dir, exec_cfg)
+    return score(inp["tx"], RULES, dialect, exec_cfg, inp["key_counts"], inp["rows_upper_bound"])
 
 
 def transactions(spark, sf_dir):
@@ -80,11 +82,11 @@ def new_device_history(spark, sf_dir):
 
 
 def score_window(spark, sf_dir):
-    return scored_table(_tx(spark, sf_dir), RULES, W, DEFAULT_EXEC, event_user_counts(spark, sf_dir))
+    return _scored(spark, sf_dir, W).select(*SCORED_WINDOW_COLUMNS)
 
 
 def score_history(spark, sf_dir):
-    return scored_table(_tx(spark, sf_dir), RULES, H, DEFAULT_EXEC, event_user_counts(spark, sf_dir))
+    return _scored(spark, sf_dir, H).select(*SCORED_HISTORY_COLUMNS)
 
 
 def score_window_skewproof(spark, sf_dir):

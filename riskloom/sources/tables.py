@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
-from ..operators.joins import broadcast_dimension
+from ..operators.joins import broadcast_dimension, table_rows
 from ..schema import CANONICAL_COLUMNS
 
 # Fixed values of the events -> transactions mapping.
@@ -42,15 +42,35 @@ def transactions_from_events(spark: SparkSession, sf_dir: str, exec_cfg: ExecCon
     return transactions_from_event_frame(table(spark, sf_dir, "events"), spark, sf_dir, exec_cfg)
 
 
+def events_inputs(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> dict:
+    """Transactions plus the hot-user routing inputs; each table is read (listed) once.
+
+    Returns ``tx``, ``key_counts`` (rows per user from raw events, no joins)
+    and ``rows_upper_bound`` (the events row count, from footers).
+    """
+    events = table(spark, sf_dir, "events")
+    dims = {"nation": table(spark, sf_dir, "nation"), "customer": table(spark, sf_dir, "customer")}
+    rows = table_rows({"events": events, **dims})
+    tx = transactions_from_event_frame(events, spark, sf_dir, exec_cfg, rows, dims)
+    key_counts = events.groupBy(F.col("user_id").cast("string").alias("user_id")).agg(F.count(F.lit(1)).alias("_n"))
+    return {"tx": tx, "key_counts": key_counts, "rows_upper_bound": rows["events"]}
+
+
 def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir: str,
-                                  exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
+                                  exec_cfg: ExecConfig = DEFAULT_EXEC, dim_rows: dict | None = None,
+                                  dims: dict | None = None) -> DataFrame:
     """Map an events frame (batch or streaming) to transactions; dimensions are static."""
     ev = events.select("event_id", "ts", "user_id", "value", "props")
     bound = exec_cfg.max_broadcast_dim_rows
-    nation = broadcast_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), bound)
+    dims = dims or {n: table(spark, sf_dir, n) for n in ("nation", "customer")}
+    nation = dims["nation"].select("n_nationkey", "n_name")
+    customer = dims["customer"].select("c_custkey", "c_nationkey")
+    if dim_rows is None:
+        dim_rows = table_rows({"nation": nation, "customer": customer})
+    nation = broadcast_dimension(nation, bound, dim_rows["nation"])
     # customer grows with the data: broadcast below the bound, else a shuffle
-    # join on user_id whose hot partitions AQE splits (left side of a left join).
-    customer = broadcast_dimension(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), bound)
+    # join on the user key whose hot partitions AQE splits (left side of a left join).
+    customer = broadcast_dimension(customer, bound, dim_rows["customer"])
     cardn = nation.select(F.col("n_nationkey").alias("card_nationkey"), F.col("n_name").alias("card_country"))
     ipn = nation.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
 
@@ -89,6 +109,11 @@ def event_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.groupBy(F.col("user_id").cast("string").alias("user_id")).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def event_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Row count of the events table, from Parquet footers."""
+    return table_rows({"events": table(spark, sf_dir, "events")})["events"]
+
+
 def employees_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("long").alias("employee_id"), F.col("s_name").alias("name"))
