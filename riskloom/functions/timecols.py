@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 MICROS_PER_SECOND = 1_000_000
 LONG_MAX = 9_223_372_036_854_775_807
+LONG_MIN = -9_223_372_036_854_775_808
 
 def epoch_micros(df: DataFrame, col: str = "timestamp") -> Column:
     """Microseconds since the epoch.  NTZ values are read as UTC wall clock."""

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import ExecConfig, RuleConfig
-from ..functions.timecols import LONG_MAX, epoch_micros, floor_seconds
+from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds
 from ..session import ensure_checkpoint_dir
 from .joins import attach_group_aggregates, bounded_count, join_nullsafe
 from .prefix import probe_prefix_counts, sorted_partitions_for
@@ -85,18 +85,28 @@ def window_context(tx: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
 
 def _velocity_counts(narrow: DataFrame, rules: RuleConfig, dialect: str, num_partitions: int,
                      exec_cfg: ExecConfig) -> DataFrame:
-    """``(seq, txn_count_window)`` for rows with a non-NULL frame key."""
-    nn = narrow.where(F.col("_key").isNotNull())
+    """``(seq, txn_count_window)`` from prefix counts: ``below(hi) - below(lo)``.
+
+    Window dialect: a NULL time is the key ``LONG_MIN`` with probes
+    ``[LONG_MIN, LONG_MIN + 1)``, which counts exactly the user's NULL rows (they
+    are peers of each other); real keys are far above it.  History dialect:
+    NULL rows take no part (their count is 0).
+    """
+    key = F.col("_key")
     if dialect == C.DIALECT_WINDOW:
-        lo = F.col("_key") - F.lit(rules.window_seconds)
-        hi = F.col("_key") + F.lit(1)  # "<= sec" == "< sec + 1"
+        rows = narrow
+        k = F.coalesce(key, F.lit(LONG_MIN))
+        lo = F.when(key.isNull(), F.lit(LONG_MIN)).otherwise(key - F.lit(rules.window_seconds))
+        hi = k + F.lit(1)  # "<= sec" == "< sec + 1"
     else:
-        lo = F.col("_key") - F.lit(rules.window_micros)
-        hi = F.col("_key")
+        rows = narrow.where(key.isNotNull())
+        k = key
+        lo = key - F.lit(rules.window_micros)
+        hi = key
     g = F.col(USER).alias("g")
-    points = nn.select(g, F.col("_key").alias("k"), SEQ)
-    probes = nn.select(g, hi.alias("k"), SEQ, F.lit(1).alias("sign")).unionByName(
-        nn.select(g, lo.alias("k"), SEQ, F.lit(-1).alias("sign")))
+    points = rows.select(g, k.alias("k"), SEQ)
+    probes = rows.select(g, hi.alias("k"), SEQ, F.lit(1).alias("sign")).unionByName(
+        rows.select(g, lo.alias("k"), SEQ, F.lit(-1).alias("sign")))
     below = probe_prefix_counts(points, probes, num_partitions, checkpoint=exec_cfg.checkpoint_intermediates)
     return below.groupBy(SEQ).agg(F.sum(F.col("sign") * F.col("below")).cast("long").alias("txn_count_window"))
 
@@ -109,10 +119,6 @@ def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_c
                                     exec_cfg.sort_rows_per_partition)
     counts = _velocity_counts(narrow, rules, dialect, n_parts, exec_cfg)
     if dialect == C.DIALECT_WINDOW:
-        # NULL timestamps are peers of each other in the RANGE frame: count them per user.
-        nulls = attach_group_aggregates(narrow.where(F.col("_key").isNull()), [USER],
-                                        {"txn_count_window": F.count(F.lit(1))}, exec_cfg)
-        counts = counts.unionByName(nulls.select(SEQ, "txn_count_window"))
         dev = attach_group_aggregates(narrow, [USER, DEVICE], {"__pair_min": F.min(TS)}, exec_cfg)
         dev = dev.select(SEQ, F.when(F.col(TS).isNull(), F.lit(None)).otherwise(F.col("__pair_min"))
                          .alias("first_seen_device"))
