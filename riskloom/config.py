@@ -6,7 +6,7 @@ plans as literals, never shipped as data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference scorer's (points, cut-offs, rule
@@ -126,8 +126,8 @@ class ExecConfig:
         broadcast and, above this bound, a shuffle join (AQE skew-split) is
         used instead.
     max_broadcast_dim_rows
-        Dimension tables (nation, customer, supplier) are broadcast only when a
-        bounded count proves they have at most this many rows.
+        Dimension tables (nation, customer, supplier) are broadcast only when
+        their row count (read from Parquet footers) is at most this.
     sort_rows_per_partition
         Target rows per range partition in the skew-proof sort.
     """
@@ -137,7 +137,6 @@ class ExecConfig:
     max_broadcast_dim_rows: int = 2_000_000
     sort_rows_per_partition: int = 4_000_000
     checkpoint_intermediates: bool = True
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **kw) -> "ExecConfig":
         return replace(self, **kw)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .. import config as C
 
 # Fallback texts of the explanation payloads.
 NO_FLAGGED_TEXT = "No flagged transactions to summarize."
@@ -121,7 +120,3 @@ def indented_json(fields: list[tuple[str, Column]]) -> Column:
         parts += [F.lit(f'  "{name}": '), json_value(col), F.lit(sep)]
     parts.append(F.lit("}"))
     return F.concat(*parts)
-
-
-def rule_names_in_order() -> tuple[str, ...]:
-    return C.RULE_ORDER

@@ -1,8 +1,8 @@
 """Join helpers that keep broadcasts bounded and hot keys split.
 
-* :func:`broadcast_if_small` / :func:`broadcast_dimension` broadcast a side only
-  after a (bounded / footer) count has proven it small; otherwise the join is
-  left to a shuffle (sort-merge, with AQE's skew split).
+* :func:`broadcast_dimension` broadcasts a table only after a (footer) row
+  count has proven it small; otherwise the join is left to a shuffle
+  (sort-merge, with AQE's skew split).
 * :func:`attach_group_aggregates` attaches per-key aggregates to every row of
   the key (an aggregate "joined back") without ever sending a hot key's rows
   to one task: small key tables are broadcast after a bounded count; keys with
@@ -27,11 +27,6 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the table is proven to have <= max_rows rows."""
-    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
-
-
 def table_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
     """Row counts of table scans.
 

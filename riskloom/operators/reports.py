@@ -24,6 +24,15 @@ def console_view(scored: DataFrame) -> DataFrame:
     return scored.select(*CONSOLE_COLUMNS)
 
 
+def in_time_order(df: DataFrame) -> DataFrame:
+    """O1: presentation order of the sequential scorer — timestamp, then arrival.
+
+    A global sort (range-partitioned); apply it only where the order is shown
+    or written, never inside scoring.
+    """
+    return df.orderBy(F.col("timestamp").asc_nulls_last(), F.col("seq").asc())
+
+
 def flagged(scored: DataFrame) -> DataFrame:
     """R12."""
     return scored.where(F.col("status") == F.lit(C.STATUS_FLAG))

@@ -97,3 +97,11 @@ def test_overtime_pay(spark, max_dim):
                   for r in overtime_pay(emp, pay, ExecConfig(max_broadcast_dim_rows=max_dim)).collect()), key=key)
     assert got == sorted([(1, "a", 400.0, "x"), (1, "a", None, "z"),
                           (2, "b", 415.0, "y"), (2, "b2", 415.0, "y")], key=key)
+
+
+def test_in_time_order(spark):
+    from riskloom.operators.reports import in_time_order
+    rows = [{"timestamp": T0 + timedelta(minutes=m), "user_id": u} for m, u in [(3, "a"), (1, "b"), (1, "c"), (2, "d")]]
+    rows.append({"timestamp": None, "user_id": "e"})
+    got = [r.user_id for r in in_time_order(tx_rows(spark, rows)).collect()]
+    assert got == ["b", "c", "d", "a", "e"]
