@@ -30,7 +30,7 @@ Dialects (W1-W4 of the design notes):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -59,17 +59,36 @@ def with_time_keys(tx: DataFrame, dialect: str) -> DataFrame:
 # strategy 1: per-user windows
 # --------------------------------------------------------------------------
 
+def _running_count(order_col: str, upper: int) -> Column:
+    """Rows of the user with order key <= current + ``upper`` (``upper`` <= 0).
+
+    A frame that starts at UNBOUNDED PRECEDING is evaluated incrementally by
+    Spark (one pass per user).  A bounded ``[x PRECEDING, y PRECEDING]`` frame
+    would be re-aggregated over its whole buffer for every row — quadratic for
+    a dense velocity window — so trailing counts are built as differences of
+    two such running counts.
+    """
+    w = Window.partitionBy(USER).orderBy(order_col).rangeBetween(Window.unboundedPreceding, upper)
+    return F.count(F.lit(1)).over(w)
+
+
 def window_context(tx: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
     if dialect == C.DIALECT_WINDOW:
         dev = Window.partitionBy(USER, DEVICE).orderBy(TS)
-        vel = Window.partitionBy(USER).orderBy("_key").rangeBetween(-rules.window_seconds, 0)
+        # [sec - W*60, sec] = (keys <= sec) - (keys < sec - W*60).  NULL keys sort
+        # first and fall in both running counts of a real key, so they cancel;
+        # a NULL-key row counts its NULL peers (the first running count).
+        upto = _running_count("_key", Window.currentRow)
+        before = _running_count("_key", -(rules.window_seconds + 1))
+        count = F.when(F.col("_key").isNull(), upto).otherwise(upto - before)
         return (tx.withColumn("first_seen_device", F.min(TS).over(dev))
-                  .withColumn("txn_count_window", F.count(F.lit(1)).over(vel)))
+                  .withColumn("txn_count_window", count))
     by_user = Window.partitionBy(USER).orderBy("_usnl", SEQ)
     by_pair = Window.partitionBy(USER, DEVICE).orderBy("_usnl", SEQ)
     if rules.window_micros > 0:
-        vel = Window.partitionBy(USER).orderBy("_usnl").rangeBetween(-rules.window_micros, -1)
-        count = F.when(F.col("_us").isNull(), F.lit(0).cast("long")).otherwise(F.count(F.lit(1)).over(vel))
+        # [t - W, t) = (keys < t) - (keys < t - W); NULL times (sorted last) count 0.
+        count = F.when(F.col("_us").isNull(), F.lit(0).cast("long")).otherwise(
+            _running_count("_usnl", -1) - _running_count("_usnl", -(rules.window_micros + 1)))
     else:
         count = F.lit(0).cast("long")
     return (tx.withColumn("_rn_user", F.row_number().over(by_user))
