@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import ExecConfig, RuleConfig
 from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .joins import attach_group_aggregates, bounded_count, join_nullsafe
 from .prefix import probe_prefix_counts, sorted_partitions_for
 
@@ -154,12 +154,9 @@ def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_c
     return ctx.withColumn("txn_count_window", F.coalesce(F.col("txn_count_window"), F.lit(0).cast("long")))
 
 
-def _checkpointed_narrow(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
-    narrow = rows.select(*_NARROW)
-    if exec_cfg.checkpoint_intermediates:
-        ensure_checkpoint_dir(narrow.sparkSession)
-        narrow = narrow.checkpoint(eager=True)
-    return narrow
+def _materialized(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
+    """Hot rows written once (Parquet in the checkpoint dir): the context and the final join read it."""
+    return materialize(rows, "hot-rows") if exec_cfg.checkpoint_intermediates else rows
 
 
 # --------------------------------------------------------------------------
@@ -183,8 +180,9 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     tx = with_time_keys(tx, dialect)
     hot_limit = int(exec_cfg.hot_key_rows)
     if hot_limit <= 0:
-        ctx = skewproof_context(_checkpointed_narrow(tx, exec_cfg), rules, dialect, exec_cfg)
-        return tx.join(ctx, SEQ, "inner")
+        rows = _materialized(tx, exec_cfg)
+        ctx = skewproof_context(rows.select(*_NARROW), rules, dialect, exec_cfg)
+        return rows.join(ctx, SEQ, "inner")
 
     if rows_upper_bound is not None and rows_upper_bound <= hot_limit:
         return window_context(tx, rules, dialect)
@@ -198,9 +196,9 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     keys = hot.select(USER)
     if n_hot <= exec_cfg.max_broadcast_keys:
         keys = F.broadcast(keys)
-    hot_tx = join_nullsafe(tx, keys, [USER], "left_semi")
+    hot_tx = _materialized(join_nullsafe(tx, keys, [USER], "left_semi"), exec_cfg)
     cold_tx = join_nullsafe(tx, keys, [USER], "left_anti")
     cold = window_context(cold_tx, rules, dialect)
-    ctx = skewproof_context(_checkpointed_narrow(hot_tx, exec_cfg), rules, dialect, exec_cfg, rows_hint=rows_hot)
+    ctx = skewproof_context(hot_tx.select(*_NARROW), rules, dialect, exec_cfg, rows_hint=rows_hot)
     hot_scored = hot_tx.join(ctx, SEQ, "inner")
     return cold.unionByName(hot_scored)

@@ -11,13 +11,14 @@ sort instead:
    bounds split even a single hot group (or a single hot timestamp) over many
    partitions;
 2. each sorted partition computes running counts per group in one vectorised
-   pass (``mapInPandas``) and emits, besides the probe rows, at most two
-   boundary rows: the count of its first and of its last group;
+   pass (``mapInArrow``: Arrow kernels and numpy, no per-row Python) and
+   emits, besides the probe rows, at most two boundary rows: the count of its
+   first and of its last group;
 3. a group's rows in earlier partitions are exactly the offsets to add; only a
    partition's first group can have any, so the offset table has at most one
    row per partition and is broadcast with that proven bound.
 
-The partition-local pass is checkpointed (reliable checkpoint in the session's
+The partition-local pass is materialized (written as Parquet in the session's
 ``spark.checkpoint.dir``) so the partition ids the offsets refer to are fixed
 even if a stage is recomputed after an executor loss.
 """
@@ -29,75 +30,102 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOCAL_SCHEMA = T.StructType([
-    T.StructField("g", T.StringType()),
     T.StructField("seq", T.LongType()),
     T.StructField("sign", T.IntegerType()),
     T.StructField("pid", T.IntegerType()),
     T.StructField("cum", T.LongType()),
-    T.StructField("kind", T.IntegerType()),  # 0 = probe, 1 = partition boundary total
+    T.StructField("head", T.BooleanType()),   # probe in the partition's first group
+    T.StructField("kind", T.IntegerType()),   # 0 = probe, 1 = first-group total, 2 = last-group total
+    T.StructField("g", T.StringType()),       # group key, boundary rows only
 ])
 
 
+def _arrow_schema():
+    import pyarrow as pa
+    return pa.schema([("seq", pa.int64()), ("sign", pa.int32()), ("pid", pa.int32()), ("cum", pa.int64()),
+                      ("head", pa.bool_()), ("kind", pa.int32()), ("g", pa.string())])
+
+
+_ARROW_SCHEMA = _arrow_schema()
+
+
 def _running_counts(batches):
-    """Per sorted partition: running point count per group at each probe."""
-    import pandas as pd
+    """Per sorted partition: running point count per group at each probe.
+
+    Arrow batches in, Arrow batches out (``mapInArrow``): group boundaries are
+    found with Arrow compute kernels on the string key, counts with numpy on
+    integer arrays — no per-row Python objects.  Probe rows leave without their
+    group key; only the partition's first and last group are reported (with
+    their key and count) for the cross-partition offsets.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark import TaskContext
 
     pid = TaskContext.get().partitionId()
-    nokey = object()
-    cur_key, cur_cnt = nokey, 0          # group continuing across batches
-    first_key, first_cnt = nokey, None   # first group of the partition, count once it ends
-    started = False
-    for pdf in batches:
-        n = len(pdf)
+    carry_key, carry_cnt, have_carry = None, 0, False  # group continuing across batches
+    first_key, first_cnt, started = None, None, False  # first group of the partition
+    for batch in batches:
+        n = batch.num_rows
         if n == 0:
             continue
-        g = pdf["g"].to_numpy(dtype=object)
-        g[pd.isna(g)] = None  # NULL group: None == None, unlike NaN
-        tag = pdf["tag"].to_numpy(dtype=np.int64)
-        prev = np.empty(n, dtype=object)
-        prev[0] = cur_key
-        prev[1:] = g[:-1]
-        new = np.asarray(g != prev, dtype=bool)
+        g = batch.column("g")
+        tag = batch.column("tag").to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.empty(n, dtype=bool)
+        if n > 1:
+            a, b = g.slice(1), g.slice(0, n - 1)
+            same = pc.or_kleene(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+            new[1:] = ~same.to_numpy(zero_copy_only=False)
+        g0 = g[0].as_py()
+        new[0] = not (have_carry and g0 == carry_key)
         cs = np.cumsum(tag)
         gid = np.cumsum(new)
         starts = np.flatnonzero(new)
         base = np.empty(len(starts) + 1, dtype=np.int64)
-        base[0] = -cur_cnt                       # rows continuing the carried group
+        base[0] = -carry_cnt                      # rows continuing the carried group
         base[1:] = cs[starts] - tag[starts]
         cum = cs - base[gid]
         if not started:
-            first_key, started = g[0], True
+            first_key, started = g0, True
             later = starts[1:]
         else:
             later = starts
-        if first_cnt is None and len(later):
-            i = int(later[0])
-            first_cnt = int(cum[i - 1]) if i > 0 else int(cur_cnt)
-        cur_key, cur_cnt = g[-1], int(cum[-1])
+        head = np.zeros(n, dtype=bool)
+        if first_cnt is None:                     # the first group is still running
+            end = int(later[0]) if len(later) else n
+            head[:end] = True
+            if len(later):
+                first_cnt = int(cum[end - 1]) if end > 0 else int(carry_cnt)
+        carry_key, carry_cnt, have_carry = g[n - 1].as_py(), int(cum[-1]), True
         probes = tag == 0
-        if probes.any():
-            yield pd.DataFrame({
-                "g": g[probes],
-                "seq": pdf["seq"][probes].to_numpy(dtype=np.int64),
-                "sign": pdf["sign"][probes].to_numpy(dtype=np.int32),
-                "pid": np.full(int(probes.sum()), pid, dtype=np.int32),
-                "cum": cum[probes].astype(np.int64),
-                "kind": np.zeros(int(probes.sum()), dtype=np.int32),
-            })
+        m = int(probes.sum())
+        if m:
+            mask = pa.array(probes)
+            yield pa.RecordBatch.from_arrays([
+                pc.filter(batch.column("seq"), mask).cast(pa.int64()),
+                pc.filter(batch.column("sign"), mask).cast(pa.int32()),
+                pa.array(np.full(m, pid, dtype=np.int32)),
+                pa.array(cum[probes].astype(np.int64)),
+                pa.array(head[probes]),
+                pa.array(np.zeros(m, dtype=np.int32)),
+                pa.nulls(m, pa.string()),
+            ], schema=_ARROW_SCHEMA)
     if started:
-        rows = [(first_key, cur_cnt)] if first_cnt is None else [(first_key, first_cnt), (cur_key, cur_cnt)]
-        yield pd.DataFrame({
-            "g": np.array([r[0] for r in rows], dtype=object),
-            "seq": np.zeros(len(rows), dtype=np.int64),
-            "sign": np.zeros(len(rows), dtype=np.int32),
-            "pid": np.full(len(rows), pid, dtype=np.int32),
-            "cum": np.array([r[1] for r in rows], dtype=np.int64),
-            "kind": np.ones(len(rows), dtype=np.int32),
-        })
+        rows = ([(first_key, carry_cnt, 1)] if first_cnt is None
+                else [(first_key, first_cnt, 1), (carry_key, carry_cnt, 2)])
+        k = len(rows)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([0] * k, type=pa.int64()),
+            pa.array([0] * k, type=pa.int32()),
+            pa.array([pid] * k, type=pa.int32()),
+            pa.array([r[1] for r in rows], type=pa.int64()),
+            pa.array([False] * k),
+            pa.array([r[2] for r in rows], type=pa.int32()),
+            pa.array([r[0] for r in rows], type=pa.string()),
+        ], schema=_ARROW_SCHEMA)
 
 
 def probe_prefix_counts(points: DataFrame, probes: DataFrame, num_partitions: int,
@@ -115,20 +143,21 @@ def probe_prefix_counts(points: DataFrame, probes: DataFrame, num_partitions: in
                         F.col("sign").cast("int").alias("sign"))
     order = ["g", "k", "tag", "seq", "sign"]
     srt = pts.unionByName(prb).repartitionByRange(int(num_partitions), *order).sortWithinPartitions(*order)
-    local = srt.mapInPandas(_running_counts, _LOCAL_SCHEMA)
+    # the sort key k stays in the JVM; the pass needs only the group, the weight and the probe id
+    local = srt.select("g", "tag", "seq", "sign").mapInArrow(_running_counts, _LOCAL_SCHEMA)
     if checkpoint:
-        ensure_checkpoint_dir(local.sparkSession)
-        local = local.checkpoint(eager=True)
-    bounds = local.where(F.col("kind") == 1).select("pid", "g", F.col("cum").alias("tot"))
+        local = materialize(local, "prefix")
+    bounds = local.where(F.col("kind") > 0).select("pid", "g", "kind", F.col("cum").alias("tot"))
     before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    # offset of each partition's first group = its rows in earlier partitions;
+    # one row per partition -> the broadcast is bounded by num_partitions
     offsets = (bounds.withColumn("off", F.sum("tot").over(before))
-               .where(F.col("off") > 0)
-               .select(F.col("pid").alias("o_pid"), F.col("g").alias("o_g"), "off"))
-    # at most one offset row per partition -> broadcast is bounded by num_partitions
+               .where((F.col("kind") == 1) & (F.col("off") > 0))
+               .select(F.col("pid").alias("o_pid"), "off"))
     pr = local.where(F.col("kind") == 0)
-    joined = pr.join(F.broadcast(offsets),
-                     (pr["pid"] == offsets["o_pid"]) & pr["g"].eqNullSafe(offsets["o_g"]), "left")
-    return joined.select("seq", "sign", (F.col("cum") + F.coalesce(F.col("off"), F.lit(0))).alias("below"))
+    joined = pr.join(F.broadcast(offsets), pr["pid"] == offsets["o_pid"], "left")
+    off = F.when(F.col("head"), F.coalesce(F.col("off"), F.lit(0))).otherwise(F.lit(0))
+    return joined.select("seq", "sign", (F.col("cum") + off).alias("below"))
 
 
 def sorted_partitions_for(spark, rows_hint: int | None, rows_per_partition: int) -> int:

@@ -108,3 +108,17 @@ def test_big_customer_join_feeds_windows_without_second_shuffle(spark):
             assert "SortMergeJoin" in plan_text(df, "simple")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["score_window", "score_history"])
+def test_window_frames_are_incremental(spark, name):
+    """Every frame starts at UNBOUNDED PRECEDING: Spark evaluates those in one pass.
+
+    A bounded [x PRECEDING, y PRECEDING] frame is re-aggregated per row, which is
+    quadratic in the number of transactions inside the velocity window.
+    """
+    import re
+    text = plan_text(registry()[name](spark, SF001), "simple")
+    frames = re.findall(r"specifiedwindowframe\((RangeFrame|RowFrame), ([^,]+),", text)
+    assert frames and all(lower.strip() == "unboundedpreceding$()" for _, lower in frames), frames
