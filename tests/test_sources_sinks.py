@@ -105,3 +105,18 @@ def test_parse_mcc_list():
     assert parse_mcc_list(" 1,, 2 ,") == (1, 2)
     assert parse_mcc_list("1, x") == ()
     assert parse_mcc_list("") == ()
+
+
+def test_upload_keeps_numeric_looking_ids_as_text(spark, tmpdir_path):
+    """Ids that look numeric are not turned into numbers (007 stays 007)."""
+    p = _csv(tmpdir_path, "007,0042,10,GBP,GB,GB,5411,D1,2025-10-06T01:00:00\n")
+    r = read_transactions_upload(spark, p).first()
+    assert (r.txn_id, r.user_id) == ("007", "0042")
+
+
+def test_default_blacklist_and_parameters():
+    """D13 and the documented defaults."""
+    cfg = RuleConfig()
+    assert cfg.blacklisted_mcc == (4829, 7995)
+    assert (cfg.flag_threshold, cfg.high_amount_threshold, cfg.velocity_window_minutes,
+            cfg.velocity_max_allowed) == (50, 2000.0, 5, 3)
