@@ -10,8 +10,8 @@ Two physical strategies compute the same values:
   prefix counts over a range-partitioned global sort
   (:mod:`riskloom.operators.prefix`); device facts as partial aggregates
   (first sightings flagged back by ``seq``; the window dialect's first-seen
-  time joined back with hot keys broadcast, :func:`attach_group_aggregates`).  No task ever
-  holds more than a range partition, however large one user is.
+  time joined back with hot keys broadcast, :func:`attach_group_aggregates`).
+  No task ever holds more than a range partition, however large one user is.
 
 :func:`with_context` routes hot users to the second strategy and everybody else
 to the first.
@@ -37,7 +37,7 @@ from .. import config as C
 from ..config import ExecConfig, RuleConfig
 from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds
 from ..session import materialize
-from .joins import attach_group_aggregates, bounded_count, join_nullsafe
+from .joins import attach_group_aggregates, join_nullsafe
 from .prefix import probe_prefix_counts, sorted_partitions_for
 
 USER = "user_id"
@@ -189,10 +189,9 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
     stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))
-    n_hot = bounded_count(hot, exec_cfg.max_broadcast_keys)
+    n_hot, rows_hot = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()  # one small row to the driver
     if n_hot == 0:
         return window_context(tx, rules, dialect)
-    rows_hot = hot.agg(F.sum("_n")).first()[0]
     keys = hot.select(USER)
     if n_hot <= exec_cfg.max_broadcast_keys:
         keys = F.broadcast(keys)
