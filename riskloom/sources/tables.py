@@ -103,17 +103,6 @@ def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir
     return out.select(*CANONICAL_COLUMNS)
 
 
-def event_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per user straight from the events table (one column read, partial aggregate)."""
-    ev = table(spark, sf_dir, "events")
-    return ev.groupBy(F.col("user_id").cast("string").alias("user_id")).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def event_rows(spark: SparkSession, sf_dir: str) -> int:
-    """Row count of the events table, from Parquet footers."""
-    return table_rows({"events": table(spark, sf_dir, "events")})["events"]
-
-
 def employees_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("long").alias("employee_id"), F.col("s_name").alias("name"))
