@@ -27,6 +27,19 @@ def epoch_micros(df: DataFrame, col: str = "timestamp") -> Column:
         return F.unix_micros(F.col(col))
     raise TypeError(f"column {col!r} must be a timestamp, got {dtype.simpleString()}")
 
+def wall_clock_micros(df: DataFrame, col: str = "timestamp") -> Column:
+    """Microseconds of the wall-clock reading (session zone for ``TIMESTAMP``), as if it were UTC.
+
+    Naive datetimes compare by wall clock: across a daylight-saving change the
+    wall-clock distance differs from the elapsed time.
+    """
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampType):
+        epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(col).cast(T.TimestampNTZType()))
+    return epoch_micros(df, col)
+
+
 def from_epoch_micros(us: Column, dtype: T.DataType) -> Column:
     """Inverse of :func:`epoch_micros` for the given timestamp type."""
     if isinstance(dtype, T.TimestampNTZType):

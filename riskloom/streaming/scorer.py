@@ -33,7 +33,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .. import config as C
 from ..config import RuleConfig
-from ..functions.timecols import from_epoch_micros
+from ..functions.timecols import epoch_micros, from_epoch_micros
 from ..operators.context import with_time_keys
 from ..operators.scoring import apply_rules
 from ..schema import SCORED_HISTORY_COLUMNS
@@ -47,6 +47,7 @@ _ROW_FIELDS = [  # (column, spark type, numpy dtype) carried through the state
     ("merchant_mcc", T.IntegerType(), object),
     ("device_id", T.StringType(), object),
     ("_us", T.LongType(), np.int64),
+    ("_ts_us", T.LongType(), np.int64),   # the original value, to rebuild `timestamp` exactly
     ("seq", T.LongType(), np.int64),
 ]
 
@@ -67,6 +68,7 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("merchant_mcc", T.IntegerType()),
     T.StructField("device_id", T.StringType()),
     T.StructField("_us", T.LongType()),
+    T.StructField("_ts_us", T.LongType()),
     T.StructField("seq", T.LongType()),
     T.StructField("txn_count_window", T.LongType()),
     T.StructField("_new_device", T.BooleanType()),
@@ -136,14 +138,14 @@ def _history_state_fn(window_us: int):
 
 def stream_context(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds") -> DataFrame:
     """Streaming canonical transactions -> rows with history-dialect context."""
-    df = with_time_keys(stream_tx, C.DIALECT_HISTORY)
+    df = with_time_keys(stream_tx.withColumn("_ts_us", epoch_micros(stream_tx, "timestamp")), C.DIALECT_HISTORY)
     df = df.withColumn("_event_time", F.timestamp_micros("_us")).withWatermark("_event_time", watermark_delay)
     # Only the carried columns (and the watermark column) cross into Python.
     df = df.select("user_id", "_event_time", *[n for n, _, _ in _ROW_FIELDS])
     ctx = df.groupBy("user_id").applyInPandasWithState(
         _history_state_fn(rules.window_micros), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
-    return ctx.withColumn("timestamp", from_epoch_micros(F.col("_us"), stream_tx.schema["timestamp"].dataType))
+    return ctx.withColumn("timestamp", from_epoch_micros(F.col("_ts_us"), stream_tx.schema["timestamp"].dataType))
 
 
 def stream_scores(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds") -> DataFrame:

@@ -127,3 +127,32 @@ def test_zero_minute_window(spark):
 def test_unknown_dialect_rejected(spark):
     with pytest.raises(ValueError):
         score(tx_rows(spark, [{}]), RuleConfig(), "other")
+
+
+@pytest.mark.parametrize("exec_cfg", EXECS, ids=IDS)
+def test_history_uses_wall_clock_across_dst(spark, tmpdir_path, exec_cfg):
+    """Naive CSV times around the autumn clock change (Europe/London, 2025-10-26).
+
+    The sequential scorer compares naive wall-clock datetimes: 00:50 -> 02:10 is
+    80 minutes, so with a 90-minute window the later row has one earlier row.
+    In real elapsed time it is 140 minutes.  The window dialect keeps Spark's
+    epoch-second semantics.
+    """
+    import os
+    from riskloom.sources import read_transactions_csv
+    p = os.path.join(tmpdir_path, "dst.csv")
+    with open(p, "w") as f:
+        f.write("txn_id,user_id,amount,currency,card_country,ip_country,merchant_mcc,device_id,timestamp\n"
+                "A,U,1,GBP,GB,GB,5411,D,2025-10-26T00:50:00\n"
+                "B,U,1,GBP,GB,GB,5411,D,2025-10-26T02:10:00\n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        tx = read_transactions_csv(spark, p)
+        cfg = RuleConfig(velocity_window_minutes=90)
+        h = _by_txn(score(tx, cfg, "history", exec_cfg), "txn_count_window")
+        w = _by_txn(score(tx, cfg, "window", exec_cfg), "txn_count_window")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert h == {"A": (0,), "B": (1,)}
+    assert w == {"A": (1,), "B": (1,)}
