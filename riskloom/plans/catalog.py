@@ -106,6 +106,12 @@ def rule_hits(spark, sf_dir):
     return hits_long(_scored(spark, sf_dir, H), RULES)
 
 
+def nested_results(spark, sf_dir):
+    """S6 with the ordered hit list as JSON text (nested values compare reliably as text)."""
+    n = P.nested_results(_scored(spark, sf_dir, H), RULES)
+    return n.withColumn("rules_triggered", F.to_json("rules_triggered"))
+
+
 def result_flat_short(spark, sf_dir):
     return P.flat_short(_scored(spark, sf_dir, H), RULES)
 
@@ -170,6 +176,7 @@ def registry() -> dict[str, QueryFn]:
         "score_history_skewproof": score_history_skewproof,
         "score_console": score_console,
         "rule_hits": rule_hits,
+        "nested_results": nested_results,
         "result_flat_short": result_flat_short,
         "result_flat_detailed": result_flat_detailed,
         "result_display": result_display,

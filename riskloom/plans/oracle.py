@@ -206,6 +206,15 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
                                "r_night_time, r_new_device FROM final")
     q["rule_hits"] = flat_h + ("\nSELECT txn_id, CAST(ROW_NUMBER() OVER (PARTITION BY seq ORDER BY o) AS INTEGER) "
                                "AS pos, name, points, details FROM hits0")
+    q["nested_results"] = flat_h + f""",
+hit_json AS (
+  SELECT seq, CAST(to_json(list(struct_pack(name := name, points := points, details := details) ORDER BY o))
+              AS VARCHAR) AS rules_json
+  FROM hits0 GROUP BY seq
+)
+SELECT txn_id, user_id, amount, currency, card_country, ip_country, {ts_iso} AS "timestamp",
+       total_score AS score, severity, status, coalesce(j.rules_json, '[]') AS rules_triggered
+FROM final LEFT JOIN hit_json j ON j.seq = final.seq"""
     q["result_flat_short"] = flat_h + f"""
 SELECT {ts_iso} AS "Timestamp", txn_id AS "Txn ID", user_id AS "User ID", amount AS "Amount",
        currency AS "Currency", total_score AS "Score", severity AS "Severity", status AS "Status",
