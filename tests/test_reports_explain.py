@@ -105,3 +105,13 @@ def test_in_time_order(spark):
     rows.append({"timestamp": None, "user_id": "e"})
     got = [r.user_id for r in in_time_order(tx_rows(spark, rows)).collect()]
     assert got == ["b", "c", "d", "a", "e"]
+
+
+def test_two_decimal_formats_match_python_on_many_values(spark):
+    import random
+    rnd = random.Random(0)
+    vals = [rnd.uniform(-1e4, 1e4) for _ in range(300)] + [round(rnd.uniform(0, 1000), 3) for _ in range(300)]
+    vals += [x + 0.005 for x in range(0, 300)] + [0.125, 0.375, 2.675, 1.005, -0.0, 1e15 + 0.5, 4.5e-3]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for r in df.select("x", X.fixed2(F.col("x")).alias("a"), X.money(F.col("x")).alias("m")).collect():
+        assert (r.a, r.m) == (f"{r.x:.2f}", "${:,.2f}".format(r.x)), r.x
