@@ -130,12 +130,18 @@ class ExecConfig:
         their row count (read from Parquet footers) is at most this.
     sort_rows_per_partition
         Target rows per range partition in the skew-proof sort.
+    hot_partition_factor
+        A user is only a straggler risk relative to the partition size: when
+        the input size is known, the hot threshold is raised to
+        ``factor x rows / spark.sql.shuffle.partitions`` (a user holding
+        several average partitions).  ``0`` keeps the absolute threshold.
     """
 
     hot_key_rows: int = 2_000_000
     max_broadcast_keys: int = 1_000_000
     max_broadcast_dim_rows: int = 2_000_000
     sort_rows_per_partition: int = 4_000_000
+    hot_partition_factor: float = 4.0
     checkpoint_intermediates: bool = True
 
     def with_(self, **kw) -> "ExecConfig":

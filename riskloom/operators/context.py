@@ -189,8 +189,12 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
         ctx = skewproof_context(rows.select(*_NARROW), rules, dialect, exec_cfg)
         return rows.join(ctx, SEQ, "inner")
 
-    if rows_upper_bound is not None and rows_upper_bound <= hot_limit:
-        return window_context(tx, rules, dialect)
+    if rows_upper_bound is not None:
+        if rows_upper_bound <= hot_limit:
+            return window_context(tx, rules, dialect)  # no user can exceed the threshold
+        partitions = max(int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        relative = int(exec_cfg.hot_partition_factor * rows_upper_bound / partitions)
+        hot_limit = max(hot_limit, relative)
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
     stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))

@@ -119,3 +119,16 @@ def test_prefix_counts_with_tiny_arrow_batches(spark, batch_rows):
         assert got == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_hot_threshold_is_relative_to_partition_size(spark):
+    """Same result whichever way the relative rule routes; it only raises the threshold."""
+    rows = skewed_rows(9, n=300)
+    df = tx_rows(spark, rows)
+    cfg = RuleConfig(velocity_window_minutes=7)
+    want = bruteforce.history_context(_with_seq(rows), 7)
+    for factor in (0.0, 4.0, 1000.0):
+        ex = ExecConfig(hot_key_rows=20, hot_partition_factor=factor)
+        got = {r.seq: (r.txn_count_window, r._new_device)
+               for r in with_context(df, cfg, "history", ex, rows_upper_bound=300).collect()}
+        assert got == want
