@@ -132,3 +132,21 @@ def test_hot_threshold_is_relative_to_partition_size(spark):
         got = {r.seq: (r.txn_count_window, r._new_device)
                for r in with_context(df, cfg, "history", ex, rows_upper_bound=300).collect()}
         assert got == want
+
+
+@pytest.mark.parametrize("max_keys,hot_rows", [(10_000, 0), (2, 10_000), (3, 25), (0, 25)],
+                         ids=["broadcast_all", "shuffle_no_hot", "hot_split", "too_many_hot"])
+def test_attach_group_aggregates_every_branch(spark, max_keys, hot_rows):
+    from riskloom.operators.joins import attach_group_aggregates
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["H"] * 10 + ["a", "b", "c", None]), rnd.choice(["x", "y", None]), rnd.randrange(100), i)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "u string, d string, v long, seq long")
+    ex = ExecConfig(hot_key_rows=hot_rows, max_broadcast_keys=max_keys)
+    out = attach_group_aggregates(df, ["u", "d"], {"mx": F.max("v"), "n": F.count(F.lit(1))}, ex)
+    got = {r.seq: (r.mx, r.n) for r in out.collect()}
+    want = {}
+    for (u, d, _, seq) in rows:
+        grp = [v for (u2, d2, v, _) in rows if u2 == u and d2 == d]
+        want[seq] = (max(grp), len(grp))
+    assert got == want
