@@ -6,8 +6,8 @@ against the user's earlier transactions, then remember it — as
 
 * state per user: the rows that arrived but are not yet final (``pending``),
   the times of released rows still inside the velocity window (``recent``), and
-  the set of devices seen so far (``devices``; unbounded per user, as in the
-  sequential scorer);
+  the devices seen so far with their last sighting (``devices``; unbounded per
+  user as in the sequential scorer, or bounded by an opt-in TTL);
 * a row is *released* (scored and emitted) once the watermark has passed it,
   so rows that arrive out of order within the watermark delay are still
   scored in ``(timestamp, seq)`` order — the result equals the batch
@@ -55,6 +55,7 @@ STATE_SCHEMA = T.StructType(
     [T.StructField(f"p{name}", T.ArrayType(t)) for name, t, _ in _ROW_FIELDS]
     + [T.StructField("recent", T.ArrayType(T.LongType())),
        T.StructField("devices", T.ArrayType(T.StringType())),
+       T.StructField("device_last_us", T.ArrayType(T.LongType())),
        T.StructField("seen_any", T.BooleanType())]
 )
 
@@ -85,21 +86,22 @@ def _plain(values, dtype) -> list:
             for v in values]
 
 
-def _history_state_fn(window_us: int):
+def _history_state_fn(window_us: int, device_ttl_us: int | None = None):
     names = [n for n, _, _ in _ROW_FIELDS]
     dtypes = {n: d for n, _, d in _ROW_FIELDS}
+    k = len(names)
 
     def step(key, pdfs, state):
         user = key[0]
         if state.exists:
             st = state.get
             pending = pd.DataFrame({n: pd.Series(list(st[i] or []), dtype=dtypes[n]) for i, n in enumerate(names)})
-            recent = np.asarray(st[len(names)] or [], dtype=np.int64)
-            devices = list(st[len(names) + 1] or [])
-            seen_any = bool(st[len(names) + 2])
+            recent = np.asarray(st[k] or [], dtype=np.int64)
+            devices = dict(zip(st[k + 1] or [], st[k + 2] or []))  # device -> last time seen
+            seen_any = bool(st[k + 3])
         else:
             pending = pd.DataFrame({n: pd.Series([], dtype=dtypes[n]) for n in names})
-            recent, devices, seen_any = np.empty(0, dtype=np.int64), [], False
+            recent, devices, seen_any = np.empty(0, dtype=np.int64), {}, False
         frames = [f for f in [pending] + [p[names] for p in pdfs] if len(f)]
         if frames:
             pending = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
@@ -112,43 +114,65 @@ def _history_state_fn(window_us: int):
             t = rel["_us"].to_numpy(dtype=np.int64)
             times = np.concatenate([recent, t])  # recent <= every released time, both sorted
             counts = np.searchsorted(times, t, "left") - np.searchsorted(times, t - window_us, "left")
-            dev = rel["device_id"].astype(object).where(rel["device_id"].notna(), None)
-            first_here = ~dev.duplicated(keep="first").to_numpy()
-            known = dev.isin(devices).to_numpy() if devices else np.zeros(len(dev), dtype=bool)
-            prior = np.arange(len(dev)) > 0 if not seen_any else np.ones(len(dev), dtype=bool)
+            dev_s = rel["device_id"].astype(object).where(rel["device_id"].notna(), None).reset_index(drop=True)
+            dev = dev_s.tolist()
+            if device_ttl_us is None:
+                # vectorised: first sighting in this batch, not seen before, and not the user's first row
+                first_here = ~dev_s.duplicated(keep="first").to_numpy()
+                known = dev_s.isin(list(devices)).to_numpy() if devices else np.zeros(len(dev), dtype=bool)
+                prior = np.ones(len(dev), dtype=bool) if seen_any else np.arange(len(dev)) > 0
+                new_device = first_here & ~known & prior
+                devices.update(zip(dev, t.tolist()))  # rows are in time order: last sighting wins
+                seen_any = True
+            else:
+                # opt-in TTL: a device unseen for longer than the TTL is forgotten (sequential by nature)
+                new_device = np.zeros(len(dev), dtype=bool)
+                for i, (d, ti) in enumerate(zip(dev, t.tolist())):
+                    last = devices.get(d)
+                    if last is not None and ti - last > device_ttl_us:
+                        del devices[d]
+                    new_device[i] = seen_any and d not in devices
+                    devices[d] = ti
+                    seen_any = True
             out = rel.copy()
             out.insert(1, "user_id", user)
             out["txn_count_window"] = counts.astype(np.int64)
-            out["_new_device"] = first_here & ~known & prior
+            out["_new_device"] = new_device
             yield out[[f.name for f in OUTPUT_SCHEMA.fields]]
-            seen = set(devices)
-            for d in dev.tolist():
-                if d not in seen:
-                    seen.add(d)
-                    devices.append(d)
-            seen_any = True
             recent = times[times >= wm_us - window_us]
+        if device_ttl_us is not None:
+            devices = {d: last for d, last in devices.items() if wm_us - last <= device_ttl_us}
         state.update(tuple([_plain(keep[n].tolist(), dtypes[n]) for n in names]
-                           + [[int(x) for x in recent], devices, bool(seen_any)]))
+                           + [[int(x) for x in recent], list(devices), [int(v) for v in devices.values()],
+                              bool(seen_any)]))
         if len(keep):
             state.setTimeoutTimestamp(int(keep["_us"].min()) // 1000 + 1)
 
     return step
 
 
-def stream_context(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds") -> DataFrame:
-    """Streaming canonical transactions -> rows with history-dialect context."""
+def stream_context(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds",
+                   device_ttl_minutes: int | None = None) -> DataFrame:
+    """Streaming canonical transactions -> rows with history-dialect context.
+
+    ``device_ttl_minutes`` (off by default, which reproduces the sequential
+    scorer) forgets a user's device after that long without a sighting, bounding
+    the per-user device set.
+    """
     df = with_time_keys(stream_tx.withColumn("_ts_us", epoch_micros(stream_tx, "timestamp")), C.DIALECT_HISTORY)
     df = df.withColumn("_event_time", F.timestamp_micros("_us")).withWatermark("_event_time", watermark_delay)
     # Only the carried columns (and the watermark column) cross into Python.
     df = df.select("user_id", "_event_time", *[n for n, _, _ in _ROW_FIELDS])
     ctx = df.groupBy("user_id").applyInPandasWithState(
-        _history_state_fn(rules.window_micros), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        _history_state_fn(rules.window_micros,
+                          None if device_ttl_minutes is None else int(device_ttl_minutes) * 60_000_000),
+        OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
     return ctx.withColumn("timestamp", from_epoch_micros(F.col("_ts_us"), stream_tx.schema["timestamp"].dataType))
 
 
-def stream_scores(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds") -> DataFrame:
+def stream_scores(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds",
+                  device_ttl_minutes: int | None = None) -> DataFrame:
     """Streaming history-dialect score table (the batch ``score_history`` columns)."""
-    ctx = stream_context(stream_tx, rules, watermark_delay)
+    ctx = stream_context(stream_tx, rules, watermark_delay, device_ttl_minutes)
     return apply_rules(ctx, rules, C.DIALECT_HISTORY).select(*SCORED_HISTORY_COLUMNS)

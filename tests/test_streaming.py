@@ -85,3 +85,21 @@ def test_stream_restart_and_late_rows(spark, tmpdir_path):
     got = spark.read.parquet(out)
     batch = scored_table(spark.createDataFrame(rows, NTZ_SCHEMA), CFG, "history")
     assert sorted(map(_key, got.collect())) == sorted(map(_key, batch.collect()))
+
+
+def test_stream_device_ttl_forgets_old_devices(spark, tmpdir_path):
+    """Opt-in TTL: a device unseen for longer than the TTL counts as new again."""
+    rows = [("A", "U1", 1.0, "GBP", "GB", "GB", 5411, "d1", T0, 0),
+            ("B", "U1", 1.0, "GBP", "GB", "GB", 5411, "d2", T0 + timedelta(minutes=10), 1),
+            ("C", "U1", 1.0, "GBP", "GB", "GB", 5411, "d1", T0 + timedelta(hours=5), 2),
+            ("D", "U1", 1.0, "GBP", "GB", "GB", 5411, "d2", T0 + timedelta(hours=5, minutes=1), 3)]
+    src, out, ckpt = (os.path.join(tmpdir_path, d) for d in ("src", "out", "ckpt"))
+    spark.createDataFrame(rows, NTZ_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
+    _end_marker(spark, src)
+    stream = spark.readStream.schema(NTZ_SCHEMA).option("recursiveFileLookup", "true").parquet(src)
+    q = (stream_scores(stream, CFG, "0 seconds", device_ttl_minutes=60).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.txn_id: r.r_new_device for r in spark.read.parquet(out).collect()}
+    # without TTL: A first device (0), B new (20), C and D known (0); with a 60-minute TTL C and D are new again
+    assert got == {"A": 0, "B": 20, "C": 20, "D": 20}
