@@ -22,6 +22,7 @@ from ..operators import reports as P
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
 from ..sources.csv import upload_missing_to_nan
+from ..sources.sinks import CSV_MICROS_OPTIONS, read_scored_csv, write_scored
 from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
 from ..sources.tables import employees_from_supplier, events_inputs, payroll_from_lineitem, transactions_from_events
 
@@ -98,6 +99,16 @@ def score_history_skewproof(spark, sf_dir):
     return scored_table(_tx(spark, sf_dir, SKEWPROOF_EXEC), RULES, H, SKEWPROOF_EXEC)
 
 
+def score_window_csv_sink(spark, sf_dir):
+    """The 20-column table through the CSV sink (in the checkpoint folder) and back."""
+    from ..session import ensure_checkpoint_dir
+    import uuid
+    scored = score_window(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-csv-{uuid.uuid4().hex}"
+    write_scored(scored, path, options=CSV_MICROS_OPTIONS)  # the events carry microseconds
+    return read_scored_csv(spark, path, scored.schema, CSV_MICROS_OPTIONS)
+
+
 def score_console(spark, sf_dir):
     return P.console_view(_scored(spark, sf_dir, W))
 
@@ -175,6 +186,7 @@ def registry() -> dict[str, QueryFn]:
         "score_window_skewproof": score_window_skewproof,
         "score_history_skewproof": score_history_skewproof,
         "score_console": score_console,
+        "score_window_csv_sink": score_window_csv_sink,
         "rule_hits": rule_hits,
         "nested_results": nested_results,
         "result_flat_short": result_flat_short,

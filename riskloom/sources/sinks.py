@@ -9,16 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+# CSV timestamps with full microseconds.  The default CSV sink keeps Spark's
+# default text (milliseconds, e.g. 2025-10-06T00:15:00.000+01:00), like the
+# original scorer's output; pass these options when times carry microseconds
+# and the file must read back exactly.
+CSV_MICROS_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                      "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_scored(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
-                 partition_by: list[str] | None = None) -> None:
+                 partition_by: list[str] | None = None, options: dict | None = None) -> None:
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
+    if options:
+        w = w.options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
+def read_scored_csv(spark, path: str, schema, options: dict | None = None) -> DataFrame:
+    """Read a scored CSV written by :func:`write_scored` back with its declared schema."""
+    return spark.read.option("header", True).options(**(options or {})).schema(schema).csv(path)
+
+
 def write_nested(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
     """Nested result records (``rules_triggered`` array of structs) as JSON lines or Parquet."""
     if fmt not in ("json", "parquet"):

@@ -120,3 +120,17 @@ def test_default_blacklist_and_parameters():
     assert cfg.blacklisted_mcc == (4829, 7995)
     assert (cfg.flag_threshold, cfg.high_amount_threshold, cfg.velocity_window_minutes,
             cfg.velocity_max_allowed) == (50, 2000.0, 5, 3)
+
+
+def test_csv_sink_default_time_text_matches_committed_output(spark, tmpdir_path):
+    """Default CSV sink writes Spark's default timestamp text, like the committed file."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        tx = read_transactions_csv(spark, SAMPLE_CSV)
+        out = os.path.join(tmpdir_path, "fraud_scores_txt")
+        write_scored(score(tx, RuleConfig(), "window").select("txn_id", "timestamp"), out)
+        lines = [ln for f in sorted(os.listdir(out)) if f.endswith(".csv") for ln in open(os.path.join(out, f))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert "T001,2025-10-06T00:15:00.000+01:00\n" in lines
