@@ -8,14 +8,31 @@ half-to-even; ``format_string('%.2f')`` would round half-up), ``${:,.2f}`` is
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Fallback texts of the explanation payloads.
+# Texts of the sequential scorer, in Python format syntax.
 NO_FLAGGED_TEXT = "No flagged transactions to summarize."
 EXPLANATION_FALLBACK = "Explanation unavailable (LLM error)."
 NO_RULES_TEXT = "None"
+DETAIL_TEMPLATES = {
+    "HighAmount": "Amount {amount:.2f} >= {threshold}",
+    "CountryMismatch": "Card country {card} != IP country {ip}",
+    "BlacklistedMCC": "MCC {mcc} is blacklisted",
+    "HighVelocity": "{count} txns in last {minutes} minutes for user {user}",
+    "NightTime": "Transaction at {hour:02d}:00",
+    "NewDevice": "New device {device} for user {user}",
+}
+HIT_SHORT = "{name} (+{points})"
+HIT_DETAILED = "{name} (+{points}) [{details}]"
+HIT_BULLET = "- {name} (+{points}): {details}"
+HITS_SEPARATOR = "; "
+BULLETS_SEPARATOR = "\n"
+
+_FIELD = re.compile(r"\{(\w+)(?::([^}]*))?\}")
 
 
 def fmt_number(col: Column, pattern: str) -> Column:
@@ -37,70 +54,82 @@ def py_str(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit("None"))
 
 
-def hour2(ts: Column) -> Column:
-    return F.concat(F.lpad(F.hour(ts).cast("string"), 2, "0"), F.lit(":00"))
+def _field(value, spec: str | None) -> Column:
+    if not isinstance(value, Column):          # a driver-side constant, formatted by Python itself
+        return F.lit(format(value, spec or ""))
+    if spec is None:
+        return py_str(value)
+    if spec == ".2f":
+        return fixed2(value)
+    if spec == "02d":
+        return F.lpad(value.cast("string"), 2, "0")
+    raise ValueError(f"unsupported format spec {spec!r}")
+
+
+def render(template: str, **values) -> Column:
+    """A Python format string as a Spark expression: literals stay text, fields become columns."""
+    parts, pos = [], 0
+    for m in _FIELD.finditer(template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos:m.start()]))
+        parts.append(_field(values[m.group(1)], m.group(2)))
+        pos = m.end()
+    if pos < len(template):
+        parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)
 
 
 # --- rule details (R11) ----------------------------------------------------
 
 def detail_high_amount(amount: Column, threshold: float) -> Column:
-    return F.concat(F.lit("Amount "), fixed2(amount), F.lit(" >= " + str(float(threshold))))
+    return render(DETAIL_TEMPLATES["HighAmount"], amount=amount, threshold=float(threshold))
 
 
 def detail_country_mismatch(card: Column, ip: Column) -> Column:
-    return F.concat(F.lit("Card country "), py_str(card), F.lit(" != IP country "), py_str(ip))
+    return render(DETAIL_TEMPLATES["CountryMismatch"], card=card, ip=ip)
 
 
 def detail_blacklisted_mcc(mcc: Column) -> Column:
-    return F.concat(F.lit("MCC "), py_str(mcc), F.lit(" is blacklisted"))
+    return render(DETAIL_TEMPLATES["BlacklistedMCC"], mcc=mcc)
 
 
 def detail_high_velocity(count: Column, window_minutes: int, user: Column) -> Column:
-    return F.concat(py_str(count), F.lit(f" txns in last {int(window_minutes)} minutes for user "), py_str(user))
+    return render(DETAIL_TEMPLATES["HighVelocity"], count=count, minutes=int(window_minutes), user=user)
 
 
 def detail_night_time(ts: Column) -> Column:
-    return F.concat(F.lit("Transaction at "), hour2(ts))
+    return render(DETAIL_TEMPLATES["NightTime"], hour=F.hour(ts))
 
 
 def detail_new_device(device: Column, user: Column) -> Column:
-    return F.concat(F.lit("New device "), py_str(device), F.lit(" for user "), py_str(user))
+    return render(DETAIL_TEMPLATES["NewDevice"], device=device, user=user)
 
 
 # --- rule-hit list renderings (F8-F10) ------------------------------------
 
-def _join_hits(hits: Column, render, sep: str) -> Column:
-    return F.array_join(F.transform(hits, render), sep)
+def _join_hits(hits: Column, template: str, sep: str) -> Column:
+    return F.array_join(F.transform(hits, lambda h: render(template, name=h["name"], points=h["points"],
+                                                               details=h["details"])), sep)
 
 
 def hits_short_text(hits: Column) -> Column:
     """``"Name (+pts)"`` joined by ``"; "``."""
-    return _join_hits(hits, lambda h: F.concat(h["name"], F.lit(" (+"), h["points"].cast("string"), F.lit(")")), "; ")
+    return _join_hits(hits, HIT_SHORT, HITS_SEPARATOR)
 
 
 def hits_detailed_text(hits: Column) -> Column:
     """``"Name (+pts) [details]"`` joined by ``"; "``."""
-    return _join_hits(
-        hits,
-        lambda h: F.concat(h["name"], F.lit(" (+"), h["points"].cast("string"), F.lit(") ["),
-                           py_str(h["details"]), F.lit("]")),
-        "; ",
-    )
+    return _join_hits(hits, HIT_DETAILED, HITS_SEPARATOR)
 
 
 def hits_bullets(hits: Column) -> Column:
     """``"- Name (+pts): details"`` lines, or ``None`` when nothing fired."""
-    text = _join_hits(
-        hits,
-        lambda h: F.concat(F.lit("- "), h["name"], F.lit(" (+"), h["points"].cast("string"), F.lit("): "),
-                           py_str(h["details"])),
-        "\n",
-    )
-    return F.when(F.size(hits) == 0, F.lit(NO_RULES_TEXT)).otherwise(text)
+    return F.when(F.size(hits) == 0, F.lit(NO_RULES_TEXT)).otherwise(
+        _join_hits(hits, HIT_BULLET, BULLETS_SEPARATOR))
 
 
 def hits_names(hits: Column, sep: str = ", ") -> Column:
-    return _join_hits(hits, lambda h: h["name"], sep)
+    return F.array_join(F.transform(hits, lambda h: h["name"]), sep)
 
 
 # --- JSON rendering of a small record (F11) ---------------------------------
