@@ -115,3 +115,17 @@ def test_two_decimal_formats_match_python_on_many_values(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for r in df.select("x", X.fixed2(F.col("x")).alias("a"), X.money(F.col("x")).alias("m")).collect():
         assert (r.a, r.m) == (f"{r.x:.2f}", "${:,.2f}".format(r.x)), r.x
+
+
+def test_templates_render_like_python_format(spark):
+    row = {"amount": 2.675, "card": "GB", "ip": None, "mcc": 7995, "count": 4, "user": "U1", "device": None,
+           "hour": 3, "name": "NightTime", "points": 10, "details": "Transaction at 03:00"}
+    df = spark.createDataFrame([tuple(row.values())],
+                               "amount double, card string, ip string, mcc int, count bigint, user string, "
+                               "device string, hour int, name string, points int, details string")
+    consts = {"threshold": 100.0, "minutes": 1440}
+    templates = list(X.DETAIL_TEMPLATES.values()) + [X.HIT_SHORT, X.HIT_DETAILED, X.HIT_BULLET]
+    cols = {k: F.col(k) for k in row}
+    got = df.select(*[X.render(t, **cols, **consts).alias(f"t{i}") for i, t in enumerate(templates)]).first()
+    for i, t in enumerate(templates):
+        assert got[f"t{i}"] == t.format(**row, **consts), t
