@@ -202,6 +202,8 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     if n_hot == 0:
         return window_context(tx, rules, dialect)
     keys = hot.select(USER)
+    if exec_cfg.checkpoint_intermediates:
+        keys = materialize(keys, "hot-keys")  # read by both the hot and the cold branch
     if n_hot <= exec_cfg.max_broadcast_keys:
         keys = F.broadcast(keys)
     hot_tx = _materialized(join_nullsafe(tx, keys, [USER], "left_semi"), exec_cfg)
