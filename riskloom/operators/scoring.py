@@ -64,20 +64,21 @@ def scored_table(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str =
 def rule_hits(rules: RuleConfig) -> Column:
     """Ordered ``array<struct<name, points, details>>`` of the rules that fired."""
     amount, user = F.col("amount"), F.col("user_id")
-    entries = [
-        ("r_high_amount", C.RULE_HIGH_AMOUNT, X.detail_high_amount(amount, rules.high_amount_threshold)),
-        ("r_country_mismatch", C.RULE_COUNTRY_MISMATCH,
-         X.detail_country_mismatch(F.col("card_country"), F.col("ip_country"))),
-        ("r_blacklisted_mcc", C.RULE_BLACKLISTED_MCC, X.detail_blacklisted_mcc(F.col("merchant_mcc"))),
-        ("r_high_velocity", C.RULE_HIGH_VELOCITY,
-         X.detail_high_velocity(F.col("txn_count_window"), rules.velocity_window_minutes, user)),
-        ("r_night_time", C.RULE_NIGHT_TIME, X.detail_night_time(F.col("timestamp"))),
-        ("r_new_device", C.RULE_NEW_DEVICE, X.detail_new_device(F.col("device_id"), user)),
-    ]
+    by_rule = {  # rule name -> (points column, detail text)
+        C.RULE_HIGH_AMOUNT: ("r_high_amount", X.detail_high_amount(amount, rules.high_amount_threshold)),
+        C.RULE_COUNTRY_MISMATCH: ("r_country_mismatch",
+                                  X.detail_country_mismatch(F.col("card_country"), F.col("ip_country"))),
+        C.RULE_BLACKLISTED_MCC: ("r_blacklisted_mcc", X.detail_blacklisted_mcc(F.col("merchant_mcc"))),
+        C.RULE_HIGH_VELOCITY: ("r_high_velocity",
+                               X.detail_high_velocity(F.col("txn_count_window"), rules.velocity_window_minutes, user)),
+        C.RULE_NIGHT_TIME: ("r_night_time", X.detail_night_time(F.col("timestamp"))),
+        C.RULE_NEW_DEVICE: ("r_new_device", X.detail_new_device(F.col("device_id"), user)),
+    }
     candidates = [
         F.when(F.col(pc) > 0, F.struct(F.lit(name).alias("name"), F.col(pc).alias("points"),
                                        det.alias("details")))
-        for pc, name, det in entries
+        for name in C.RULE_ORDER
+        for pc, det in [by_rule[name]]
     ]
     return F.filter(F.array(*candidates), lambda h: h.isNotNull())
 

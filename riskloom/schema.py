@@ -63,14 +63,3 @@ RULE_HIT = T.StructType([
     T.StructField("details", T.StringType()),
 ])
 RULE_HITS = T.ArrayType(RULE_HIT, False)
-
-EMPLOYEES_SCHEMA = T.StructType([
-    T.StructField("employee_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-])
-PAYROLL_SCHEMA = T.StructType([
-    T.StructField("employee_id", T.LongType()),
-    T.StructField("hours_worked", T.DoubleType()),
-    T.StructField("hourly_rate", T.DoubleType()),
-    T.StructField("position", T.StringType()),
-])

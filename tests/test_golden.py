@@ -113,3 +113,10 @@ def test_first_seen_is_timestamp(london):
     assert dict(df.dtypes)["first_seen_device"] == "timestamp"
     r = df.where("txn_id = 'T008'").select(F.date_format("first_seen_device", "yyyy-MM-dd HH:mm").alias("f")).first()
     assert r.f == "2025-10-06 14:11"
+
+
+def test_rule_hit_type(london):
+    from riskloom.schema import RULE_HITS
+    from riskloom.operators.scoring import with_hits
+    s = with_hits(score(read_transactions_csv(london, SAMPLE_CSV), RuleConfig(), "history"), RuleConfig())
+    assert s.schema["rules_triggered"].dataType.simpleString() == RULE_HITS.simpleString()
