@@ -36,10 +36,25 @@ def table_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
     """
     if len(frames) <= 1:
         return {name: df.count() for name, df in frames.items()}
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(len(frames), 4)) as pool:
-        futures = {name: pool.submit(df.count) for name, df in frames.items()}
-        return {name: f.result() for name, f in futures.items()}
+    from pyspark import InheritableThread  # keeps the caller's job group / pool / description
+
+    results: dict[str, int] = {}
+    errors: list[BaseException] = []
+
+    def work(name: str, df: DataFrame) -> None:
+        try:
+            results[name] = df.count()
+        except BaseException as e:  # re-raised on the calling thread
+            errors.append(e)
+
+    threads = [InheritableThread(target=work, args=(n, d)) for n, d in frames.items()]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return {name: results[name] for name in frames}
 
 
 def broadcast_dimension(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
