@@ -134,18 +134,44 @@ def hits_names(hits: Column, sep: str = ", ") -> Column:
 
 # --- JSON rendering of a small record (F11) ---------------------------------
 
+# The short escapes of Python's json.dumps.
+JSON_SHORT_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t",
+                      "\b": "\\b", "\f": "\\f"}
+
+
+def json_string(col: Column) -> Column:
+    """``json.dumps(s)`` of a string (``ensure_ascii``): Python's escaping, character by character.
+
+    Printable ASCII stays; the short escapes apply; every other character
+    becomes lowercase ``\\uXXXX`` of its UTF-16 code units (a surrogate pair
+    above U+FFFF).  NULL gives ``null``.
+    """
+    def one(c: Column) -> Column:
+        out = F.when(c == F.lit('"'), F.lit(JSON_SHORT_ESCAPES['"']))
+        for ch, esc in JSON_SHORT_ESCAPES.items():
+            if ch != '"':
+                out = out.when(c == F.lit(ch), F.lit(esc))
+        printable = (c >= F.lit(" ")) & (c <= F.lit("~"))
+        utf16 = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+        return out.when(printable, c).otherwise(F.regexp_replace(utf16, "(.{4})", r"\\u$1"))
+
+    chars = F.split(col, "")
+    body = F.array_join(F.transform(chars, one), "")
+    return F.when(col.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), body, F.lit('"')))
+
+
 def json_value(col: Column) -> Column:
-    """JSON literal of one scalar (``null`` for NULL), via ``to_json``."""
+    """JSON literal of one scalar (``null`` for NULL): strings as Python writes them, others via ``to_json``."""
     s = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
     # strip the '{"v":' prefix (5 chars) and the closing '}'
     return s.substr(F.lit(6), F.length(s) - F.lit(6))
 
 
-def indented_json(fields: list[tuple[str, Column]]) -> Column:
-    """``json.dumps(record, indent=2)`` layout for a flat record."""
+def indented_json(fields: list[tuple[str, Column, bool]]) -> Column:
+    """``json.dumps(record, indent=2)`` layout for a flat record of (name, column, is_text) fields."""
     parts: list[Column] = [F.lit("{\n")]
-    for i, (name, col) in enumerate(fields):
+    for i, (name, col, is_text) in enumerate(fields):
         sep = ",\n" if i < len(fields) - 1 else "\n"
-        parts += [F.lit(f'  "{name}": '), json_value(col), F.lit(sep)]
+        parts += [F.lit(f'  "{name}": '), json_string(col) if is_text else json_value(col), F.lit(sep)]
     parts.append(F.lit("}"))
     return F.concat(*parts)

@@ -33,7 +33,7 @@ TXN_FIELDS = ("txn_id", "user_id", "amount", "currency", "card_country", "ip_cou
 
 
 def _txn_json():
-    fields = [(f, iso_format("timestamp") if f == "timestamp" else F.col(f)) for f in TXN_FIELDS]
+    fields = [(f, iso_format("timestamp") if f == "timestamp" else F.col(f), f != "amount") for f in TXN_FIELDS]
     return X.indented_json(fields)
 
 

@@ -32,7 +32,7 @@ def test_number_and_time_formats_follow_python(spark):
 
 def test_indented_json_matches_json_dumps(spark):
     df = spark.createDataFrame([("T1", None, 12.5, 'q"x')], "a string, b string, c double, d string")
-    got = df.select(X.indented_json([(c, F.col(c)) for c in "abcd"]).alias("j")).first().j
+    got = df.select(X.indented_json([(c, F.col(c), c != "c") for c in "abcd"]).alias("j")).first().j
     assert got == json.dumps({"a": "T1", "b": None, "c": 12.5, "d": 'q"x'}, indent=2)
 
 
@@ -129,3 +129,13 @@ def test_templates_render_like_python_format(spark):
     got = df.select(*[X.render(t, **cols, **consts).alias(f"t{i}") for i, t in enumerate(templates)]).first()
     for i, t in enumerate(templates):
         assert got[f"t{i}"] == t.format(**row, **consts), t
+
+
+def test_json_strings_escape_like_python(spark):
+    import random
+    rnd = random.Random(3)
+    vals = ["".join(rnd.choice([chr(c) for c in range(128)]) for _ in range(rnd.randrange(0, 10))) for _ in range(200)]
+    vals += ['q"x', "a\\b", "\n\t\r\b\f", "/", "\x00\x1f\x7f", "café", "€5", "\U0001F600!", "", "ÿĀ"]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "s string")
+    for r in df.select("s", X.json_string(F.col("s")).alias("j")).collect():
+        assert r.j == json.dumps(r.s), repr(r.s)
