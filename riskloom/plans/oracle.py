@@ -117,8 +117,9 @@ def with_scored(rules: RuleConfig, dialect: str) -> str:
 
 
 def iso_sql(col: str) -> str:
-    return (f"(strftime({col}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({col}) % 1000000 = 0 THEN '' "
-            f"ELSE '.' || lpad(CAST(epoch_us({col}) % 1000000 AS VARCHAR), 6, '0') END)")
+    # microsecond() is the sub-minute part, never negative (epoch_us % 1e6 is, before 1970)
+    return (f"(strftime({col}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond({col}) % 1000000 = 0 THEN '' "
+            f"ELSE '.' || strftime({col}, '%f') END)")
 
 
 def hits_cte(rules: RuleConfig) -> str:

@@ -139,3 +139,15 @@ def test_json_strings_escape_like_python(spark):
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "s string")
     for r in df.select("s", X.json_string(F.col("s")).alias("j")).collect():
         assert r.j == json.dumps(r.s), repr(r.s)
+
+
+def test_iso_format_like_python_isoformat(spark):
+    import random
+    from datetime import datetime
+    rnd = random.Random(5)
+    base = datetime(1960, 1, 1)
+    vals = [base + timedelta(microseconds=rnd.randrange(0, 80 * 365 * 86400 * 10**6)) for _ in range(300)]
+    vals += [v.replace(microsecond=0) for v in vals[:50]] + [datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    for r in df.select("t", iso_format("t").alias("s")).collect():
+        assert r.s == r.t.isoformat(), r.t
