@@ -66,12 +66,17 @@ def points_sql(rules: RuleConfig, dialect: str) -> dict[str, str]:
     }
 
 
+def _floor_seconds(us: str) -> str:
+    """Whole epoch seconds, floored like CAST(ts AS BIGINT) (DuckDB's // truncates toward zero)."""
+    return f"(({us}) - ((({us}) % 1000000 + 1000000) % 1000000)) // 1000000"
+
+
 def context_cte(rules: RuleConfig, dialect: str, source: str = "tx") -> str:
     if dialect == C.DIALECT_WINDOW:
         return f"""
 ctx AS (
   SELECT {source}.*,
-    COUNT(*) OVER (PARTITION BY user_id ORDER BY epoch_us("timestamp") // 1000000
+    COUNT(*) OVER (PARTITION BY user_id ORDER BY {_floor_seconds('epoch_us("timestamp")')}
                    RANGE BETWEEN {rules.window_seconds} PRECEDING AND CURRENT ROW) AS txn_count_window,
     MIN("timestamp") OVER (PARTITION BY user_id, device_id ORDER BY "timestamp") AS first_seen_device
   FROM {source}
