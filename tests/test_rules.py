@@ -156,3 +156,15 @@ def test_history_uses_wall_clock_across_dst(spark, tmpdir_path, exec_cfg):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert h == {"A": (0,), "B": (1,)}
     assert w == {"A": (1,), "B": (1,)}
+
+
+@pytest.mark.parametrize("exec_cfg", EXECS, ids=IDS)
+def test_window_seconds_floor_before_1970(spark, exec_cfg):
+    """Epoch seconds are floored (like CAST(ts AS BIGINT)), also for negative epochs."""
+    from datetime import datetime
+    t = datetime(1969, 12, 31, 23, 59, 58, 250000)       # epoch -1.75 s -> second -2
+    rows = [{"timestamp": t}, {"timestamp": t + timedelta(milliseconds=700)},   # -1.05 s -> second -2 (peer)
+            {"timestamp": t + timedelta(seconds=1)}]                             # -0.75 s -> second -1
+    df = tx_rows(spark, rows)
+    w = _by_txn(score(df, RuleConfig(velocity_window_minutes=0), "window", exec_cfg), "txn_count_window")
+    assert [w[f"X{i:04d}"][0] for i in range(3)] == [2, 2, 1]
