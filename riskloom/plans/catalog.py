@@ -165,6 +165,12 @@ def stream_score_history(spark, sf_dir):
     return score_events_stream_table(spark, sf_dir, RULES)
 
 
+def stream_score_window(spark, sf_dir):
+    """The window dialect as a stream: rows wait until their whole second has passed."""
+    from ..streaming.runner import score_events_stream_table
+    return score_events_stream_table(spark, sf_dir, RULES, dialect=W)
+
+
 def overtime_pay_query(spark, sf_dir):
     return overtime_pay(employees_from_supplier(spark, sf_dir), payroll_from_lineitem(spark, sf_dir))
 
@@ -200,5 +206,6 @@ def registry() -> dict[str, QueryFn]:
         "summary_prompt": summary_prompt,
         "overtime_pay": overtime_pay_query,
         "stream_score_history": stream_score_history,
+        "stream_score_window": stream_score_window,
     }
     return q

@@ -207,6 +207,7 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
     q["score_window_skewproof"] = q["score_window"]
     q["score_history_skewproof"] = q["score_history"]
     q["stream_score_history"] = q["score_history"]
+    q["stream_score_window"] = q["score_window"]
     q["score_window_csv_sink"] = q["score_window"]
     q["score_console"] = sw + ("\nSELECT txn_id, user_id, amount, currency, \"timestamp\", total_score, severity, "
                                "status, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, "

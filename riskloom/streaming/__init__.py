@@ -1,3 +1,3 @@
-"""Structured Streaming: the stateful online scorer and its file runner."""
+"""Structured Streaming: the stateful online scorers and their file runner."""
 
-from .scorer import stream_context, stream_scores  # noqa: F401
+from .scorer import stream_context, stream_scores, stream_window_scores  # noqa: F401

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import RuleConfig
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import transactions_from_event_frame
-from .scorer import stream_scores
+from .scorer import stream_scores, stream_window_scores
 
 END_OF_INPUT_TIME = dt.datetime(2200, 1, 1)  # far future, yet within pandas' timestamp range
 
@@ -40,7 +40,8 @@ def end_of_input_marker(spark: SparkSession, events_schema, path: str) -> str:
 
 
 def score_events_stream(spark: SparkSession, sf_dir: str, rules: RuleConfig, base: str | None = None,
-                        max_files_per_trigger: int | None = None, watermark_delay: str = "0 seconds"):
+                        max_files_per_trigger: int | None = None, watermark_delay: str = "0 seconds",
+                        dialect: str = "history"):
     """Start an ``availableNow`` stream over ``events``; returns (query, output path)."""
     base = base or scratch_dir(spark, "stream-score")
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -52,14 +53,16 @@ def score_events_stream(spark: SparkSession, sf_dir: str, rules: RuleConfig, bas
     events = reader.parquet(events_glob)
     marker = spark.readStream.schema(schema).parquet(end_of_input_marker(spark, schema, f"{base}/end"))
     tx = transactions_from_event_frame(events.unionByName(marker), spark, sf_dir)
-    out = stream_scores(tx, rules, watermark_delay)
+    out = (stream_window_scores(tx, rules, watermark_delay) if dialect == "window"
+           else stream_scores(tx, rules, watermark_delay))
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     return q, f"{base}/out"
 
 
-def score_events_stream_table(spark: SparkSession, sf_dir: str, rules: RuleConfig) -> DataFrame:
-    q, out = score_events_stream(spark, sf_dir, rules)
+def score_events_stream_table(spark: SparkSession, sf_dir: str, rules: RuleConfig,
+                              dialect: str = "history") -> DataFrame:
+    q, out = score_events_stream(spark, sf_dir, rules, dialect=dialect)
     q.awaitTermination()
     return spark.read.parquet(out)

@@ -36,7 +36,7 @@ from ..config import RuleConfig
 from ..functions.timecols import epoch_micros, from_epoch_micros
 from ..operators.context import with_time_keys
 from ..operators.scoring import apply_rules
-from ..schema import SCORED_HISTORY_COLUMNS
+from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
 
 _ROW_FIELDS = [  # (column, spark type, numpy dtype) carried through the state
     ("txn_id", T.StringType(), object),
@@ -151,6 +151,84 @@ def _history_state_fn(window_us: int, device_ttl_us: int | None = None):
     return step
 
 
+def _window_state_fn(window_seconds: int):
+    """Window dialect: a row waits until the watermark has passed the end of its
+    whole second (its same-second peers count, and may arrive out of order)."""
+    names = [n for n, _, _ in _ROW_FIELDS]
+    dtypes = {n: d for n, _, d in _ROW_FIELDS}
+    k = len(names)
+
+    def step(key, pdfs, state):
+        user = key[0]
+        if state.exists:
+            st = state.get
+            pending = pd.DataFrame({n: pd.Series(list(st[i] or []), dtype=dtypes[n]) for i, n in enumerate(names)})
+            recent = np.asarray(st[k] or [], dtype=np.int64)                 # released epoch seconds
+            first_seen = dict(zip(st[k + 1] or [], st[k + 2] or []))          # device -> first time (µs)
+        else:
+            pending = pd.DataFrame({n: pd.Series([], dtype=dtypes[n]) for n in names})
+            recent, first_seen = np.empty(0, dtype=np.int64), {}
+        frames = [f for f in [pending] + [p[names] for p in pdfs] if len(f)]
+        if frames:
+            pending = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        wm_us = int(state.getCurrentWatermarkMs()) * 1000
+        us = pending["_us"].to_numpy(dtype=np.int64)
+        sec = np.floor_divide(us, 1_000_000)
+        ready = (sec + 1) * 1_000_000 - 1 <= wm_us          # the whole second is behind the watermark
+        rel = pending[ready].sort_values(["_us", "seq"], kind="mergesort")
+        keep = pending[~ready]
+        if len(rel):
+            t = rel["_us"].to_numpy(dtype=np.int64)
+            s = np.floor_divide(t, 1_000_000)
+            secs = np.concatenate([recent, s])               # recent <= every released second, both sorted
+            counts = np.searchsorted(secs, s, "right") - np.searchsorted(secs, s - window_seconds, "left")
+            dev_s = rel["device_id"].astype(object).where(rel["device_id"].notna(), None).reset_index(drop=True)
+            batch_first = pd.Series(t).groupby(dev_s, sort=False, dropna=False).transform("min").to_numpy()
+            known = np.array([first_seen.get(d, np.iinfo(np.int64).max) for d in dev_s.tolist()], dtype=np.int64)
+            first = np.minimum(known, batch_first)
+            out = rel.copy()
+            out.insert(1, "user_id", user)
+            out["txn_count_window"] = counts.astype(np.int64)
+            out["_first_us"] = first
+            yield out[[f.name for f in WINDOW_OUTPUT_SCHEMA.fields]]
+            for d, f in zip(dev_s.tolist(), first.tolist()):
+                first_seen[d] = f
+            recent = secs[secs >= (wm_us // 1_000_000) - window_seconds]
+        state.update(tuple([_plain(keep[n].tolist(), dtypes[n]) for n in names]
+                           + [[int(x) for x in recent], list(first_seen), [int(v) for v in first_seen.values()]]))
+        if len(keep):
+            # fire once the watermark passes the end of the earliest pending second
+            state.setTimeoutTimestamp(((int(keep["_us"].min()) // 1_000_000) + 1) * 1000 + 1)
+
+    return step
+
+
+WINDOW_STATE_SCHEMA = T.StructType(
+    [T.StructField(f"p{name}", T.ArrayType(t)) for name, t, _ in _ROW_FIELDS]
+    + [T.StructField("recent", T.ArrayType(T.LongType())),
+       T.StructField("devices", T.ArrayType(T.StringType())),
+       T.StructField("device_first_us", T.ArrayType(T.LongType()))]
+)
+
+WINDOW_OUTPUT_SCHEMA = T.StructType(
+    [f for f in OUTPUT_SCHEMA.fields if f.name != "_new_device"] + [T.StructField("_first_us", T.LongType())]
+)
+
+
+def stream_window_scores(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds") -> DataFrame:
+    """Streaming window-dialect score table (the batch ``score_window`` columns)."""
+    ts_type = stream_tx.schema["timestamp"].dataType
+    df = with_time_keys(stream_tx.withColumn("_ts_us", epoch_micros(stream_tx, "timestamp")), C.DIALECT_WINDOW)
+    df = df.withColumn("_event_time", F.timestamp_micros("_us")).withWatermark("_event_time", watermark_delay)
+    df = df.select("user_id", "_event_time", *[n for n, _, _ in _ROW_FIELDS])
+    ctx = df.groupBy("user_id").applyInPandasWithState(
+        _window_state_fn(rules.window_seconds), WINDOW_OUTPUT_SCHEMA, WINDOW_STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    ctx = (ctx.withColumn("timestamp", from_epoch_micros(F.col("_ts_us"), ts_type))
+              .withColumn("first_seen_device", from_epoch_micros(F.col("_first_us"), ts_type)))  # _us == _ts_us here
+    return apply_rules(ctx, rules, C.DIALECT_WINDOW).select(*SCORED_WINDOW_COLUMNS)
+
+
 def stream_context(stream_tx: DataFrame, rules: RuleConfig, watermark_delay: str = "0 seconds",
                    device_ttl_minutes: int | None = None) -> DataFrame:
     """Streaming canonical transactions -> rows with history-dialect context.
