@@ -1,4 +1,4 @@
-"""Online history-dialect scorer on Structured Streaming.
+"""Online scorers on Structured Streaming (T1), both dialects.
 
 The sequential scorer's per-user state machine — score each transaction
 against the user's earlier transactions, then remember it — as
@@ -17,6 +17,11 @@ against the user's earlier transactions, then remember it — as
 * an event-time timeout at the earliest pending row releases rows of users
   who send nothing more.
 
+The window dialect (:func:`stream_window_scores`) uses the same machinery, but
+a row waits until the watermark has passed the end of its whole second, because
+its same-second peers (which may arrive out of order) count too; its state keeps
+the released epoch seconds inside the window and each device's first sighting.
+
 Everything after the context columns (points, score, severity, status) is the
 same Catalyst projection as in batch (:func:`~riskloom.operators.scoring.apply_rules`).
 NULL timestamps cannot be placed in event time and are not accepted here.
