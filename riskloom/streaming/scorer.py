@@ -196,8 +196,7 @@ def _window_state_fn(window_seconds: int):
             out["txn_count_window"] = counts.astype(np.int64)
             out["_first_us"] = first
             yield out[[f.name for f in WINDOW_OUTPUT_SCHEMA.fields]]
-            for d, f in zip(dev_s.tolist(), first.tolist()):
-                first_seen[d] = f
+            first_seen.update(zip(dev_s.tolist(), first.tolist()))
             recent = secs[secs >= (wm_us // 1_000_000) - window_seconds]
         state.update(tuple([_plain(keep[n].tolist(), dtypes[n]) for n in names]
                            + [[int(x) for x in recent], list(first_seen), [int(v) for v in first_seen.values()]]))
