@@ -18,8 +18,9 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from riskloom.session import build_session
 
+    # build_session resolves the checkpoint folder: the configured one, or a
+    # private scratch folder only when none is configured
     s = build_session("local[4]", 4, app="riskloom-tests", timezone="UTC")
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-test-ckpt-"))
     yield s
     s.stop()
 
