@@ -125,3 +125,31 @@ def test_window_dialect_stream_equals_batch(spark, tmpdir_path):
     batch = scored_table(spark.createDataFrame(rows, NTZ_SCHEMA), CFG, "window")
     assert got.columns == batch.columns
     assert sorted(map(_key, got.collect())) == sorted(map(_key, batch.collect()))
+
+
+def test_stream_with_session_zone_timestamps_across_dst(spark, tmpdir_path):
+    """TIMESTAMP (session-zone) input across the autumn clock change: stream == batch."""
+    from datetime import datetime
+    from pyspark.sql import types as T
+    ltz = T.StructType([f if f.name != "timestamp" else T.StructField("timestamp", T.TimestampType())
+                        for f in NTZ_SCHEMA.fields])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        base = datetime(2025, 10, 25, 23, 30)
+        rows = [(f"D{i}", "U1", 1.0, "GBP", "GB", "GB", 5411, f"d{i % 3}", base + timedelta(minutes=17 * i), i)
+                for i in range(20)]
+        src, out, ckpt = (os.path.join(tmpdir_path, d) for d in ("src", "out", "ckpt"))
+        spark.createDataFrame(rows, ltz).coalesce(1).write.parquet(f"{src}/a")
+        spark.createDataFrame([("END", "__end__", 0.0, "GBP", "GB", "GB", 5411, "X", datetime(2100, 1, 1), -1)],
+                              ltz).write.parquet(f"{src}/zz_end")
+        cfg = RuleConfig(velocity_window_minutes=90)
+        stream = spark.readStream.schema(ltz).option("recursiveFileLookup", "true").parquet(src)
+        q = (stream_scores(stream, cfg, "0 seconds").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = sorted(map(_key, spark.read.parquet(out).collect()))
+        want = sorted(map(_key, scored_table(spark.createDataFrame(rows, ltz), cfg, "history").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
