@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import bpe, chat_windows, impact_topk, quality_rules, warc_normalise
 
 
 def queries() -> dict:
     return {
+        "op3_warc": warc_normalise.op3_warc,
+        "op4_bpe": bpe.op4_bpe,
+        "op8_topk": impact_topk.op8_topk,
+        "op9_chat_windows": chat_windows.op9_chat_windows,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc": warc_normalise.oracle_sql(),
+        "op8_topk": impact_topk.oracle_sql(),
+        "op9_chat_windows": chat_windows.oracle_sql(),
         "op10_quality_rules": quality_rules.oracle_sql(),
     }

@@ -208,7 +208,7 @@ def normalise(raw_index: DataFrame, revisits: DataFrame, folder: str) -> DataFra
             return _as_table([], INDEX_SCHEMA)
         from pyspark import TaskContext
 
-        name = archives.column("archive")[0].as_py()
+        name = archives.column("name")[0].as_py()
         new = f"norm-{name.removeprefix('raw-').removesuffix('.warc.gz')}-{TaskContext.get().taskAttemptId()}.warc.gz"
         to = dict(zip(decided.column("rec").to_pylist(), decided.column("refers_to").to_pylist()))
         rows, side = [], []
@@ -221,8 +221,8 @@ def normalise(raw_index: DataFrame, revisits: DataFrame, folder: str) -> DataFra
             target.write("".join(x + "\n" for x in side).encode())
         return _as_table(rows, INDEX_SCHEMA)
 
-    archives = raw_index.select("archive").distinct()
-    return archives.groupBy("archive").cogroup(revisits.groupBy("archive")).applyInArrow(run, INDEX_SCHEMA)
+    archives = raw_index.select(F.col("archive").alias("name")).distinct()
+    return archives.groupBy("name").cogroup(revisits.groupBy("archive")).applyInArrow(run, INDEX_SCHEMA)
 
 
 def _as_table(rows, schema):
