@@ -162,17 +162,18 @@ def with_rates(rows: DataFrame, steps) -> DataFrame:
 
 def soft_mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS,
                  **fit_options) -> DataFrame:
-    """``doc_id, n_tokens, posteriors, domain, rate, copies`` of every document.
+    """Every row of ``docs`` with ``n_tokens, posteriors, domain, rate, copies``; the text stays where it is read.
 
     ``domain`` is the likeliest one.  ``copies`` rounds the rate to a whole number
     whose expectation it is, by a hash of doc_id, so the mixture is reproducible.
     """
     model = fit_domains(docs, labels)
-    narrow = materialize(with_posteriors(docs, model).select("doc_id", "n_tokens", "posteriors"), "mixing")
+    rated = with_posteriors(docs, model)
+    narrow = materialize(rated.select("n_tokens", "posteriors"), "mixing")
     steps, _ = fit_rates(narrow, model.classes, targets, **fit_options)
     names = F.array(*[F.lit(c) for c in model.classes])
     whole = F.floor("rate")
-    return (with_rates(narrow, steps)
+    return (with_rates(rated, steps)
             .withColumn("domain", F.element_at(names, F.array_position(
                 "posteriors", F.array_max("posteriors")).cast("int")))
             .withColumn("copies", (whole + (uniform(F.coalesce(F.col("doc_id"), F.lit(-1)), "mixing")
@@ -181,4 +182,4 @@ def soft_mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return soft_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return soft_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
