@@ -13,7 +13,8 @@ Documents are sets of word shingles; two link when ``100 * |A & B| >= 75 * |A |
    query's prefix tokens has no partner for it.  The order puts tokens known to be
    frequent (from a sample) last; it decides speed only.
 4. A query-group pair that passes is bounded by the overlap with the group's token
-   union; only qualifying groups are opened and their members compared exactly.
+   union, first over hashed token columns, then over the tokens themselves; only
+   qualifying groups are opened and their members compared exactly.
    Pairs inside a cluster are left out, since their component is known.
 
 No link between different components is lost.  All exact comparisons are on 64-bit
@@ -27,6 +28,8 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,9 @@ GROUP_SIZE, CHUNK = 64, 256
 FREQUENT_TOKENS, SAMPLE_OF, FREQUENT_IN_SAMPLE = 100_000, 32, 3
 BROADCAST_IDS = 2_000_000   # ids (8 bytes each) that may be broadcast
 
-SIG = "doc_id long, n long, set_hash binary, keys array<long>, prefix array<long>"
+COLUMNS = 2048              # hashed token columns of the bounding matrix
+
+SIG = "doc_id long, n long, set_hash binary, keys array<long>, prefix array<long>, counts binary"
 
 
 def shingles(text: str | None):
@@ -85,8 +90,8 @@ def signatures(docs: DataFrame, frequent) -> DataFrame:
     """Per row: set size, set hash, band keys and prefix tokens."""
     import numpy as np
 
-    rng = np.random.default_rng(5)
-    mult = rng.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    # one-permutation minhash: the least token from each of these points on, cyclically
+    points = np.arange(BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64((1 << 64) // (BANDS * BAND_ROWS))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)   # at most FREQUENT_TOKENS numbers
 
     def run(batches):
@@ -95,17 +100,19 @@ def signatures(docs: DataFrame, frequent) -> DataFrame:
 
         often = shared.value
         for batch in batches:
-            ns, hashes, keys, prefixes = [], [], [], []
+            ns, hashes, keys, prefixes, counts = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 t = shingles(text)
                 n = len(t)
                 ns.append(n)
                 hashes.append(xxh3_128_digest(t.tobytes()) if n else None)
+                held = np.bincount((t >> np.uint64(53)).astype(int), minlength=COLUMNS)
+                counts.append(zlib.compress(np.minimum(held, 255).astype(np.uint8).tobytes(), 1))
                 if not n:
                     keys.append([])
                     prefixes.append([])
                     continue
-                low = np.array([(t * m).min() for m in mult]).reshape(BANDS, BAND_ROWS)
+                low = t[np.searchsorted(t, points) % n].reshape(BANDS, BAND_ROWS)
                 keys.append((low[:, 0] * np.uint64(31) + low[:, 1]).view(np.int64).tolist())
                 late = np.zeros(n, bool)
                 if len(often):
@@ -115,14 +122,15 @@ def signatures(docs: DataFrame, frequent) -> DataFrame:
                 prefixes.append(order[: n - needed(n) + 1].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(hashes, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "set_hash", "keys", "prefix"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
+                 pa.array(counts, pa.binary())],
+                names=["doc_id", "n", "set_hash", "keys", "prefix", "counts"])
 
     return docs.select("doc_id", "text").mapInArrow(run, SIG)
 
 
 def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, tokens`` (binary) of the documents with the given ids (column ``id``, distinct)."""
+    """``id, tokens`` (binary) of the rows with the given ids (column ``id``, distinct)."""
     def run(batches):
         import pyarrow as pa
 
@@ -134,7 +142,7 @@ def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     n = ids.count()
     wanted = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     found = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("doc_id", "text")
-    return materialize(found.mapInArrow(run, "id long, tokens binary").dropDuplicates(["id"]), "tokens")
+    return materialize(found.mapInArrow(run, "id long, tokens binary"), "tokens")
 
 
 def open_groups(docs: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -192,7 +200,50 @@ def _leader_pairs(classes: DataFrame) -> DataFrame:
     return best.select(F.col("rep").alias("q"), (-F.col("best.l")).alias("gid"))
 
 
-def _group_pairs(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _columns(packed):
+    """[rows, COLUMNS] token counts (255: 255 or more)."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(map(zlib.decompress, packed.to_pylist())), np.uint8).reshape(-1, COLUMNS)
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Pairs (q, gid, n, n_lo) whose overlap, bounded column by column, can reach the threshold.
+
+    The matrix holds, for each group and hashed token column, the most tokens any
+    member has there.  A query shares at most the column-wise minimum with a member.
+    """
+    def most(key, rows):
+        import pyarrow as pa
+
+        held = _columns(rows.column("counts"))
+        return pa.table({"gid": pa.array([key[0].as_py()], pa.int64()),
+                         "g_counts": pa.array([zlib.compress(held.max(axis=0).tobytes(), 1)], pa.binary())})
+
+    def keep(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        # small slices: a row unpacks to twice COLUMNS bytes
+        for batch in (b.slice(at, 1_000) for b in batches for at in range(0, b.num_rows, 1_000)):
+            q, g = _columns(batch.column("counts")), _columns(batch.column("g_counts"))
+            n, n_lo = (batch.column(c).to_numpy() for c in ("n", "n_lo"))
+            least = np.maximum(needed(n), -(-PERCENT * (n + n_lo) // (100 + PERCENT)))
+            low = np.minimum(q, g)
+            ok = (low.sum(axis=1, dtype=np.int64) >= least) | (low == 255).any(axis=1)   # 255: "or more"
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("gid")], names=["q", "gid"]).filter(
+                pa.array(ok))
+
+    pairs = materialize(pairs, "prefix-pairs")
+    named = grouped.join(pairs.select("gid").distinct(), "gid", "left_semi").select("gid", F.col("rep").alias("m"))
+    counts = classes.select(F.col("rep").alias("m"), "counts")
+    matrix = named.join(counts, "m").select("gid", "counts").groupBy("gid").applyInArrow(
+        most, "gid long, g_counts binary")
+    return (pairs.join(classes.select(F.col("rep").alias("q"), "counts"), "q").join(matrix, "gid")
+            .mapInArrow(keep, "q long, gid long"))
+
+
+def _group_pairs(labelled: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(q, gid) candidates between clusters by the token-group matrix, and the groups' members."""
     sizes = labelled.groupBy("label").agg((F.floor(F.count(F.lit(1)) / GROUP_SIZE) + 1).cast("int").alias("parts"))
     many = sizes.where("parts > 1")
@@ -214,8 +265,8 @@ def _group_pairs(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = (asked.join(matrix, "token").where((F.col("label") > F.col("g_label"))
                                                & (100 * F.col("n_hi") >= PERCENT * F.col("n"))
                                                & (PERCENT * F.col("n_lo") <= 100 * F.col("n")))
-             .select("q", "gid").distinct())
-    return pairs, grouped.select("gid", F.col("rep").alias("id"))
+             .groupBy("q", "gid").agg(F.first("n").alias("n"), F.min("n_lo").alias("n_lo")))
+    return _bounded(pairs, classes, grouped), grouped.select("gid", F.col("rep").alias("id"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -225,13 +276,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     usable = sig.where("n > 0 AND doc_id IS NOT NULL")
     classes = materialize(usable.groupBy("set_hash").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"),
-        F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("copies")), "classes")
+        F.first("prefix").alias("prefix"), F.first("counts").alias("counts"), F.count(F.lit(1)).alias("copies")), "classes")
     stars = materialize(open_groups(docs, _leader_pairs(classes), classes.select(
         F.col("rep").alias("gid"), F.col("rep").alias("id"))), "star-links")
     labels = components(stars)
     labelled = (classes.join(labels, F.col("rep") == labels["node"], "left")
                 .select("rep", "n", "prefix", F.coalesce("label", "rep").alias("label")))
-    pairs, members = _group_pairs(labelled)
+    pairs, members = _group_pairs(labelled, classes)
     links = materialize(open_groups(docs, pairs, members), "links")
     # copies: every row of a class with several is linked to its representative
     copies = (usable.join(classes.where("copies > 1").select("set_hash", "rep"), "set_hash")
