@@ -3,9 +3,11 @@
 Vectors are quantised to integers.  Index rows are dealt into blocks of about
 ``INDEX_BLOCK`` rows; in a block every dimension has a posting list of all its
 rows, ordered by value and cut into ``SEGMENTS`` segments, each with its range of
-values.  A block of queries is scored term by term in descending order of
-quantised impact (weight times the best value a segment can add), adding whole
-segments to accumulators.  After every impact level
+values.  A block of queries is scored in descending order of quantised impact
+(weight times the best value a segment can add), adding whole segments to
+accumulators; the segments of one impact level are added for all queries together
+as a product of masked matrices, in which a segment's postings are its rows'
+values and all else is zero.  At the ``CHECK_AT`` levels
 
 * the rows with the best accumulators are scored exactly; the k-th best exact
   score is a lower bound of the result;
@@ -34,8 +36,9 @@ from ..session import materialize
 SCALE = 256
 INDEX_BLOCK = 8_192
 QUERY_BLOCK = 512
-SEGMENTS = 8
-LEVELS = 12
+SEGMENTS = 4
+LEVELS = 8
+CHECK_AT = (4, 2, 1)  # levels after which the proof is tried
 RESCORE_SHARE = 16  # a query stops when at most 1 / RESCORE_SHARE of the block's rows can be members
 
 RESULT = "query_id long, cand_id long, score long"
@@ -61,15 +64,26 @@ def _matrix(blob_lists, width: int):
 
 
 def build_block(x, segments: int = SEGMENTS):
-    """Posting lists of a block: per dimension the row order by value and the segment borders."""
+    """Posting segments of a block: each segment's range of values per dimension and its masked postings.
+
+    Postings come twice, counted from the dimension's least value (for positive
+    weights) and from its greatest (for negative ones), so every impact is >= 0.
+    """
     import numpy as np
 
-    n = x.shape[0]
+    n, dims = x.shape
     cuts = np.linspace(0, n, min(segments, n) + 1).astype(int)
-    order = np.argsort(x, axis=0, kind="stable")          # ascending: negative weights read it from the front
+    order = np.argsort(x, axis=0, kind="stable")
     ranked = np.take_along_axis(x, order, axis=0)
-    low, high = ranked[cuts[:-1]], ranked[cuts[1:] - 1]    # [segment, dimension] range of values
-    return order, ranked, cuts, low, high
+    low, high = ranked[cuts[:-1]], ranked[cuts[1:] - 1]    # [segment, dimension]
+    postings = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        held = np.zeros((n, 2 * dims))
+        rows, cols = order[a:b], np.broadcast_to(np.arange(dims), (b - a, dims))
+        held[rows, cols] = ranked[a:b] - low[0]
+        held[rows, cols + dims] = ranked[a:b] - high[-1]
+        postings.append(held)
+    return low, high, postings
 
 
 def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share: int = RESCORE_SHARE):
@@ -77,20 +91,23 @@ def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share
     import numpy as np
 
     n, dims = x.shape
-    order, ranked, cuts, low, high = build_block(x)
-    n_seg = len(cuts) - 1
-    # best[query, segment, dim]: the most a posting of the segment can add
-    best = np.maximum(q[:, None, :] * low[None], q[:, None, :] * high[None])
-    worst = np.minimum(q[:, None, :] * low[None], q[:, None, :] * high[None]).min(axis=1)   # [query, dim]
-    gain = best - worst[:, None, :]                        # impacts counted from each dimension's worst value
+    low, high, postings = build_block(x)
+    # sums of integer products are exact in the float type chosen
+    limit = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * 2 * dims
+    kind = np.float32 if limit < 1 << 24 else np.float64
+    postings = [p.astype(kind) for p in postings]
+    weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(kind)
+    # gain[query, segment, dim]: the most a posting of the segment can add
+    worst = np.minimum(q * low[0], q * high[-1])
+    gain = np.maximum(q[:, None, :] * low[None], q[:, None, :] * high[None]) - worst[:, None, :]
     top = np.maximum(gain.max(axis=(1, 2)), 1)
     level = np.minimum(gain * levels // top[:, None, None], levels - 1)   # quantised impact
-    own = q_ids[:, None] == x_ids[None, :]
     base = worst.sum(axis=1)
-    acc = np.zeros((len(q), n), dtype=np.int64)
+    acc = np.zeros((len(q), n), dtype=kind)
+    own = q_ids[:, None] == x_ids[None, :]
     alive = np.arange(len(q))
     found = []
-    few = max(4 * k, n // rescore_share)
+    few, probe = max(4 * k, n // rescore_share), min(4 * k, n)
 
     def emit(qi, rows, scores):
         pick = np.lexsort((x_ids[rows], -scores))[:k]
@@ -99,37 +116,31 @@ def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share
     for lev in range(levels - 1, -1, -1):
         if not len(alive):
             break
-        for s in range(n_seg):
-            for d in range(dims):
-                use = alive[level[alive, s, d] == lev]
-                if len(use):
-                    rows = order[cuts[s]:cuts[s + 1], d]
-                    add = ranked[cuts[s]:cuts[s + 1], d][None, :] * q[use, d][:, None] - worst[use, d][:, None]
-                    acc[use[:, None], rows[None, :]] += add
-        if lev == 0:
-            break
+        for s, held in enumerate(postings):
+            use = level[alive, s] == lev
+            if use.any():
+                acc[alive] += (weights[alive] * np.concatenate([use, use], axis=1)) @ held.T
+        if lev not in CHECK_AT:
+            continue
         # the most that unread segments can still add to one row
         rest = np.where(level[alive] < lev, gain[alive], 0).max(axis=1).sum(axis=1)
-        probe = min(4 * k, n)
+        seen = np.where(own[alive], -1, acc[alive])
+        leads = np.argpartition(-seen, probe - 1, axis=1)[:, :probe]
         going = []
-        for qi, left in zip(alive, rest):
-            a = np.where(own[qi], np.iinfo(np.int64).min // 2, acc[qi])
-            lead = np.argpartition(-a, probe - 1)[:probe]
+        for qi, left, a, lead in zip(alive, rest, seen, leads):
             lead = lead[~own[qi, lead]]
-            exact = x[lead] @ q[qi]
-            if len(exact) < k:
-                going.append(qi)
-                continue
-            bound = np.partition(exact, len(exact) - k)[len(exact) - k]   # k-th best exact score so far
-            possible = np.flatnonzero(a + base[qi] + left >= bound)
-            if len(possible) <= few:
-                emit(qi, possible, x[possible] @ q[qi])
-            else:
-                going.append(qi)
+            if len(lead) >= k:
+                exact = x[lead] @ q[qi]
+                bound = np.partition(exact, len(exact) - k)[len(exact) - k]   # k-th best exact score so far
+                possible = np.flatnonzero((a + base[qi] + left >= bound) & ~own[qi])
+                if len(possible) <= few:
+                    emit(qi, possible, x[possible] @ q[qi])
+                    continue
+            going.append(qi)
         alive = np.array(going, dtype=int)
     for qi in alive:                                       # everything read: accumulators are the scores
         rows = np.flatnonzero(~own[qi])
-        scores = acc[qi, rows] + base[qi]
+        scores = acc[qi, rows].astype(np.int64) + base[qi]
         if len(rows) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             rows, scores = rows[scores >= least], scores[scores >= least]
