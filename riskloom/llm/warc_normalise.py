@@ -41,6 +41,7 @@ GZIP = 31                        # zlib window bits of a gzip stream
 READ_BYTES = 1 << 20
 ARCHIVE_BYTES = 64 << 20         # an archive is closed after so many bytes before compression
 ARCHIVE_RECORDS = 50_000         # ... or so many records
+MAX_TASKS = 20_000
 RAW_LEVEL, MEMBER_LEVEL = 1, 4
 EPOCH = "1970-01-01T00:00:00Z"   # no capture time is known; a fixed one keeps archives reproducible
 URN = "<urn:page:{}>"
@@ -221,7 +222,10 @@ def normalise(raw_index: DataFrame, revisits: DataFrame, folder: str) -> DataFra
             target.write("".join(x + "\n" for x in side).encode())
         return _as_table(rows, INDEX_SCHEMA)
 
-    archives = raw_index.select(F.col("archive").alias("name")).distinct()
+    # the rows are narrow but each stands for a whole archive: partitions by number of archives, not by bytes
+    parts = min(max(raw_index.select("archive").distinct().count(), 1), MAX_TASKS)
+    archives = raw_index.select(F.col("archive").alias("name")).distinct().repartition(parts, "name")
+    revisits = revisits.repartition(parts, "archive")
     return archives.groupBy("name").cogroup(revisits.groupBy("archive")).applyInArrow(run, INDEX_SCHEMA)
 
 
