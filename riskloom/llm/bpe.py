@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_WORDS = 200_000
-BLOCK_CHARS = 2_000_000
+MAX_WORDS = 500_000
+BLOCK_CHARS = 4_000_000
 
 
 class MergeReplay:
@@ -44,17 +44,15 @@ class MergeReplay:
         self.token_bytes = {i: b for b, i in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
-        self.pair_rank: dict[tuple[int, int], int] = {}
+        self.pair_rank: dict[int, int] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def _rank(self, a: int, b: int) -> int:
-        """Rank of the token that ``a`` and ``b`` make, -1 when they make none."""
-        r = self.pair_rank.get((a, b))
-        if r is None:
-            r = self.ranks.get(self.token_bytes[a] + self.token_bytes[b], -1)
-            if len(self.pair_rank) >= 4 * MAX_WORDS:
-                self.pair_rank.clear()
-            self.pair_rank[a, b] = r
+    def _new_rank(self, pair: int) -> int:
+        """Rank of the token that the two of ``pair`` (first << 32 | second) make, -1 when they make none."""
+        if len(self.pair_rank) >= 4 * MAX_WORDS:
+            self.pair_rank.clear()
+        r = self.ranks.get(self.token_bytes[pair >> 32] + self.token_bytes[pair & 0xFFFFFFFF], -1)
+        self.pair_rank[pair] = r
         return r
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
@@ -73,28 +71,30 @@ class MergeReplay:
             word.extend([k] * n)
             if n:
                 prv[at], nxt[-1] = -1, -1
-        rank = self._rank
+        known, new_rank = self.pair_rank.get, self._new_rank
         index: dict[int, list[int]] = defaultdict(list)
         for i, j in enumerate(nxt):
-            if j >= 0 and (r := rank(tok[i], tok[j])) >= 0:
-                index[r].append(i)
+            if j >= 0:
+                pair = tok[i] << 32 | tok[j]
+                if (r := known(pair)) is None:
+                    r = new_rank(pair)
+                if r >= 0:
+                    index[r].append(i)
         heap = list(index)
         heapify(heap)
 
-        def put(r: int, i: int) -> None:
-            if r in index:
-                index[r].append(i)
-            else:
-                index[r] = [i]
-                heappush(heap, r)
-
         while heap:
             r = heappop(heap)
             waiting, wait = -1, []
             for i in sorted(index.pop(r, ())):
                 j = nxt[i]
-                if tok[i] < 0 or j < 0 or rank(tok[i], tok[j]) != r:
+                if j < 0 or tok[i] < 0:
                     continue  # an earlier merge took one of the two
+                pair = tok[i] << 32 | tok[j]
+                if (now := known(pair)) is None:
+                    now = new_rank(pair)
+                if now != r:
+                    continue
                 if word[i] == waiting:
                     wait.append(i)
                     continue
@@ -103,16 +103,32 @@ class MergeReplay:
                 nxt[i] = k
                 if k >= 0:
                     prv[k] = i
-                    if (q := rank(r, tok[k])) >= 0:
-                        put(q, i)
+                    pair = r << 32 | tok[k]
+                    if (q := known(pair)) is None:
+                        q = new_rank(pair)
+                    if q >= 0:
+                        if q in index:
+                            index[q].append(i)
+                        else:
+                            index[q] = [i]
+                            heappush(heap, q)
                         if q < r:
                             waiting = word[i]
-                if p >= 0 and (q := rank(tok[p], r)) >= 0:
-                    put(q, p)
-                    if q < r:
-                        waiting = word[i]
-            for i in wait:
-                put(r, i)
+                if p >= 0:
+                    pair = tok[p] << 32 | r
+                    if (q := known(pair)) is None:
+                        q = new_rank(pair)
+                    if q >= 0:
+                        if q in index:
+                            index[q].append(p)
+                        else:
+                            index[q] = [p]
+                            heappush(heap, q)
+                        if q < r:
+                            waiting = word[i]
+            if wait:
+                index[r] = wait
+                heappush(heap, r)
         out = []
         for i in first:
             ids = []
