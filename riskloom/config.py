@@ -6,6 +6,7 @@ plans as literals, never shipped as data.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
@@ -101,14 +102,23 @@ EVENTS_RULES = RuleConfig(
 )
 
 
-def parse_mcc_list(text: str | None) -> tuple[int, ...]:
-    """Comma separated MCC list -> ints; blanks are skipped, any bad token gives ()."""
-    if text is None:
-        return ()
-    try:
-        return tuple(int(tok.strip()) for tok in str(text).split(",") if tok.strip())
-    except ValueError:
-        return ()
+def parse_mcc_list(text: str | None, empty_on_error: bool = False) -> tuple[int, ...]:
+    """Merchant category codes of a comma separated list; empty entries are ignored.
+
+    A mistyped code raises ValueError, because dropping the list would switch the
+    blacklist rule off unnoticed.  ``empty_on_error`` gives an empty list instead.
+    """
+    codes: list[int] = []
+    for entry in (text or "").split(","):
+        entry = entry.strip()
+        if not entry:
+            continue
+        if not re.fullmatch(r"[+-]?[0-9]+", entry):
+            if empty_on_error:
+                return ()
+            raise ValueError(f"not a merchant category code: {entry!r}")
+        codes.append(int(entry))
+    return tuple(codes)
 
 
 @dataclass(frozen=True)
@@ -134,7 +144,10 @@ class ExecConfig:
         A user is only a straggler risk relative to the partition size: when
         the input size is known, the hot threshold is raised to
         ``factor x rows / spark.sql.shuffle.partitions`` (a user holding
-        several average partitions).  ``0`` keeps the absolute threshold.
+        several average partitions), but never above ``hot_key_ceiling`` rows.
+        ``0`` keeps the absolute threshold.
+    hot_key_ceiling
+        Most rows of one user that may stay in one task, whatever the input's size.
     """
 
     hot_key_rows: int = 2_000_000
@@ -142,7 +155,7 @@ class ExecConfig:
     max_broadcast_dim_rows: int = 2_000_000
     sort_rows_per_partition: int = 4_000_000
     hot_partition_factor: float = 4.0
-    checkpoint_intermediates: bool = True
+    hot_key_ceiling: int = 8_000_000
 
     def with_(self, **kw) -> "ExecConfig":
         return replace(self, **kw)

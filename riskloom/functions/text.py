@@ -39,14 +39,21 @@ def fmt_number(col: Column, pattern: str) -> Column:
     return F.call_function("format_number", col, F.lit(pattern))
 
 
+def _finite(col: Column, text: Column) -> Column:
+    """``text`` for finite numbers, else Python's ``nan``, ``inf`` and ``-inf``."""
+    x = col.cast("double")
+    return (F.when(F.isnan(x), F.lit("nan")).when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf")).otherwise(text))
+
+
 def fixed2(col: Column) -> Column:
     """Python ``f"{x:.2f}"``."""
-    return fmt_number(col, "0.00")
+    return _finite(col, fmt_number(col, "0.00"))
 
 
 def money(col: Column) -> Column:
     """Python ``"${:,.2f}".format(x)``."""
-    return F.concat(F.lit("$"), fmt_number(col, "#,##0.00"))
+    return F.concat(F.lit("$"), _finite(col, fmt_number(col, "#,##0.00")))
 
 
 def py_str(col: Column) -> Column:
@@ -155,16 +162,27 @@ def json_string(col: Column) -> Column:
         utf16 = F.lower(F.hex(F.encode(c, "UTF-16BE")))
         return out.when(printable, c).otherwise(F.regexp_replace(utf16, "(.{4})", r"\\u$1"))
 
-    chars = F.split(col, "")
-    body = F.array_join(F.transform(chars, one), "")
+    # plain printable text needs no escape: only other strings are split into characters
+    body = F.when(col.rlike(r'^[ !#-\[\]-~]*$'), col).otherwise(
+        F.array_join(F.transform(F.split(col, ""), one), ""))
     return F.when(col.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), body, F.lit('"')))
 
 
-def json_value(col: Column) -> Column:
-    """JSON literal of one scalar (``null`` for NULL): strings as Python writes them, others via ``to_json``."""
-    s = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
-    # strip the '{"v":' prefix (5 chars) and the closing '}'
-    return s.substr(F.lit(6), F.length(s) - F.lit(6))
+def json_double(col: Column) -> Column:
+    """``json.dumps(x)`` of a double: positional from 1e-4 to 1e16, else ``1.5e+16``; ``NaN``, ``Infinity``."""
+    x = col.cast("double")
+    java = x.cast("string")
+    size = F.abs(x)
+    digits = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    power = F.substring_index(java, "E", -1).try_cast("int")
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
+    scientific = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                          F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"))
+    return (F.when(x.isNull(), F.lit("null")).when(F.isnan(x), F.lit("NaN"))
+            .when(x == float("inf"), F.lit("Infinity")).when(x == float("-inf"), F.lit("-Infinity"))
+            .when((size != 0) & ((size >= 1e16) | (size < 1e-4)), scientific)
+            .when((size != 0) & ((size >= 1e7) | (size < 1e-3)), positional).otherwise(java))
 
 
 def indented_json(fields: list[tuple[str, Column, bool]]) -> Column:
@@ -172,6 +190,6 @@ def indented_json(fields: list[tuple[str, Column, bool]]) -> Column:
     parts: list[Column] = [F.lit("{\n")]
     for i, (name, col, is_text) in enumerate(fields):
         sep = ",\n" if i < len(fields) - 1 else "\n"
-        parts += [F.lit(f'  "{name}": '), json_string(col) if is_text else json_value(col), F.lit(sep)]
+        parts += [F.lit(f'  "{name}": '), json_string(col) if is_text else json_double(col), F.lit(sep)]
     parts.append(F.lit("}"))
     return F.concat(*parts)

@@ -45,7 +45,12 @@ DEVICE = "device_id"
 TS = "timestamp"
 SEQ = "seq"
 
-_NARROW = [USER, DEVICE, TS, SEQ, "_us", "_key", "_usnl"]
+ROW = "_rid"  # unique id of a materialized hot row; ``seq`` may repeat or be NULL
+
+
+def _narrow(rows: DataFrame) -> DataFrame:
+    """Context inputs of hot rows: the row id takes the place of ``seq``, which stays as the tie-breaker."""
+    return rows.select(USER, DEVICE, TS, F.col(ROW).alias(SEQ), F.col(SEQ).alias("_tie"), "_us", "_key", "_usnl")
 
 
 def with_time_keys(tx: DataFrame, dialect: str) -> DataFrame:
@@ -131,7 +136,7 @@ def _velocity_counts(narrow: DataFrame, rules: RuleConfig, dialect: str, num_par
     points = rows.select(g, k.alias("k"), SEQ)
     probes = rows.select(g, hi.alias("k"), SEQ, F.lit(1).alias("sign")).unionByName(
         rows.select(g, lo.alias("k"), SEQ, F.lit(-1).alias("sign")))
-    below = probe_prefix_counts(points, probes, num_partitions, checkpoint=exec_cfg.checkpoint_intermediates)
+    below = probe_prefix_counts(points, probes, num_partitions)
     return below.groupBy(SEQ).agg(F.sum(F.col("sign") * F.col("below")).cast("long").alias("txn_count_window"))
 
 
@@ -150,7 +155,7 @@ def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_c
         # First row of the user / of the (user, device) pair in (time, seq) order:
         # partial aggregates, then flag rows by the winning seq — a join on a
         # unique, uniformly spread key, so no group ever meets in one task.
-        first = F.min(F.struct(F.col("_usnl"), F.col(SEQ)))[SEQ]
+        first = F.min(F.struct(F.col("_usnl"), F.col("_tie"), F.col(SEQ)))[SEQ]
         first_user = narrow.groupBy(USER).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_u"))
         first_pair = narrow.groupBy(USER, DEVICE).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_p"))
         dev = (narrow.select(SEQ).join(first_pair, SEQ, "left").join(first_user, SEQ, "left")
@@ -161,7 +166,11 @@ def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_c
 
 def _materialized(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
     """Hot rows written once (Parquet in the checkpoint dir): the context and the final join read it."""
-    return materialize(rows, "hot-rows") if exec_cfg.checkpoint_intermediates else rows
+    return materialize(rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
+
+
+def _with_row_context(rows: DataFrame, ctx: DataFrame) -> DataFrame:
+    return rows.join(ctx.withColumnRenamed(SEQ, ROW), ROW, "inner").drop(ROW)
 
 
 # --------------------------------------------------------------------------
@@ -186,15 +195,14 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     hot_limit = int(exec_cfg.hot_key_rows)
     if hot_limit <= 0:
         rows = _materialized(tx, exec_cfg)
-        ctx = skewproof_context(rows.select(*_NARROW), rules, dialect, exec_cfg)
-        return rows.join(ctx, SEQ, "inner")
+        return _with_row_context(rows, skewproof_context(_narrow(rows), rules, dialect, exec_cfg))
 
     if rows_upper_bound is not None:
         if rows_upper_bound <= hot_limit:
             return window_context(tx, rules, dialect)  # no user can exceed the threshold
         partitions = max(int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
         relative = int(exec_cfg.hot_partition_factor * rows_upper_bound / partitions)
-        hot_limit = max(hot_limit, relative)
+        hot_limit = max(hot_limit, min(relative, int(exec_cfg.hot_key_ceiling)))
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
     stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))
@@ -202,13 +210,12 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     if n_hot == 0:
         return window_context(tx, rules, dialect)
     keys = hot.select(USER)
-    if exec_cfg.checkpoint_intermediates:
-        keys = materialize(keys, "hot-keys")  # read by both the hot and the cold branch
+    keys = materialize(keys, "hot-keys")  # read by both the hot and the cold branch
     if n_hot <= exec_cfg.max_broadcast_keys:
         keys = F.broadcast(keys)
     hot_tx = _materialized(join_nullsafe(tx, keys, [USER], "left_semi"), exec_cfg)
     cold_tx = join_nullsafe(tx, keys, [USER], "left_anti")
     cold = window_context(cold_tx, rules, dialect)
-    ctx = skewproof_context(hot_tx.select(*_NARROW), rules, dialect, exec_cfg, rows_hint=rows_hot)
-    hot_scored = hot_tx.join(ctx, SEQ, "inner")
+    ctx = skewproof_context(_narrow(hot_tx), rules, dialect, exec_cfg, rows_hint=rows_hot)
+    hot_scored = _with_row_context(hot_tx, ctx)
     return cold.unionByName(hot_scored)

@@ -93,14 +93,27 @@ def _explainer_batches(fn: Callable[[dict], str]):
 
 def explain_with(scored: DataFrame, rules: RuleConfig,
                  explainer: Callable[[dict], str] = template_explainer) -> DataFrame:
-    """``txn_id, seq, ai_explanation`` for the flagged rows (others get ``''`` via :func:`attach_explanations`)."""
+    """``txn_id, seq, ai_explanation`` for the flagged rows (others get ``''`` via :func:`attach_explanations`).
+
+    The default template is one ``concat``; only a caller's function runs in Python.
+    """
+    if explainer is template_explainer:
+        names = F.when(F.col("rule_names") == "", F.lit("no rules triggered")).otherwise(F.col("rule_names"))
+        return explain_inputs(scored, rules).select("txn_id", "seq", F.concat(
+            "txn_id", F.lit(" scored "), F.col("score").cast("string"), F.lit(" ("), F.col("severity"), F.lit("): "),
+            F.coalesce(names, F.lit("no rules triggered"))).alias("ai_explanation"))
     return explain_inputs(scored, rules).mapInPandas(_explainer_batches(explainer), _EXPLAIN_SCHEMA)
 
 
 def attach_explanations(flat: DataFrame, explanations: DataFrame) -> DataFrame:
-    """Left-join explanations onto a flat table by ``txn_id``/``seq``; non-flagged rows get ``''``."""
-    e = explanations.select(F.col("seq").alias("__eseq"), "ai_explanation")
-    out = flat.join(e, flat["seq"] == e["__eseq"], "left").drop("__eseq")
+    """Left-join explanations onto a flat table; non-flagged rows get ``''``.
+
+    Joined by ``seq`` where the flat table has it, else by ``txn_id`` (one
+    explanation a transaction id, so rows are never multiplied).
+    """
+    key = "seq" if "seq" in flat.columns else "txn_id"
+    e = explanations.groupBy(F.col(key).alias("__ekey")).agg(F.min("ai_explanation").alias("ai_explanation"))
+    out = flat.join(e, flat[key] == e["__ekey"], "left").drop("__ekey")
     return out.withColumn("ai_explanation", F.coalesce(F.col("ai_explanation"), F.lit("")))
 
 

@@ -128,15 +128,8 @@ def _running_counts(batches):
         ], schema=_ARROW_SCHEMA)
 
 
-def probe_prefix_counts(points: DataFrame, probes: DataFrame, num_partitions: int,
-                        checkpoint: bool = True) -> DataFrame:
-    """Count points below each probe, per group.
-
-    ``points``: columns ``g`` (string group, NULL is a group), ``k`` (long), ``seq``.
-    ``probes``: columns ``g``, ``k``, ``seq`` (long), ``sign`` (int, non-zero);
-    ``(seq, sign)`` must be unique.
-    Returns ``(seq, sign, below)`` with ``below = #points p: p.g <=> g and p.k < k``.
-    """
+def sorted_pass(points: DataFrame, probes: DataFrame, num_partitions: int) -> DataFrame:
+    """The partition-local pass of :func:`probe_prefix_counts`: one range exchange, one sort, one Arrow pass."""
     pts = points.select("g", "k", F.lit(1).alias("tag"), F.col("seq").cast("long").alias("seq"),
                         F.lit(0).alias("sign"))
     prb = probes.select("g", "k", F.lit(0).alias("tag"), F.col("seq").cast("long").alias("seq"),
@@ -144,9 +137,19 @@ def probe_prefix_counts(points: DataFrame, probes: DataFrame, num_partitions: in
     order = ["g", "k", "tag", "seq", "sign"]
     srt = pts.unionByName(prb).repartitionByRange(int(num_partitions), *order).sortWithinPartitions(*order)
     # the sort key k stays in the JVM; the pass needs only the group, the weight and the probe id
-    local = srt.select("g", "tag", "seq", "sign").mapInArrow(_running_counts, _LOCAL_SCHEMA)
-    if checkpoint:
-        local = materialize(local, "prefix")
+    return srt.select("g", "tag", "seq", "sign").mapInArrow(_running_counts, _LOCAL_SCHEMA)
+
+
+def probe_prefix_counts(points: DataFrame, probes: DataFrame, num_partitions: int) -> DataFrame:
+    """Count points below each probe, per group.
+
+    ``points``: columns ``g`` (string group, NULL is a group), ``k`` (long), ``seq``.
+    ``probes``: columns ``g``, ``k``, ``seq`` (long), ``sign`` (int, non-zero);
+    ``(seq, sign)`` must be unique.
+    Returns ``(seq, sign, below)`` with ``below = #points p: p.g <=> g and p.k < k``.
+    """
+    # written, so that the partition ids of rows and of offsets come from one evaluation
+    local = materialize(sorted_pass(points, probes, num_partitions), "prefix")
     bounds = local.where(F.col("kind") > 0).select("pid", "g", "kind", F.col("cum").alias("tot"))
     before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     # offset of each partition's first group = its rows in earlier partitions;

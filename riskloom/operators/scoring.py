@@ -55,10 +55,10 @@ def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
 
 def scored_table(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
                  exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
-          rows_upper_bound: int | None = None) -> DataFrame:
+                 rows_upper_bound: int | None = None) -> DataFrame:
     """The wide result table (20 columns for window, 19 for history)."""
     cols = SCORED_WINDOW_COLUMNS if dialect == C.DIALECT_WINDOW else SCORED_HISTORY_COLUMNS
-    return score(tx, rules, dialect, exec_cfg, key_counts).select(*cols)
+    return score(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound).select(*cols)
 
 
 def rule_hits(rules: RuleConfig) -> Column:

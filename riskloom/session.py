@@ -51,11 +51,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables need a shared folder")
     local = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
+_WRITTEN: list[str] = []
+
+
+def release_materialized(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` wrote in this process; returns how many.
+
+    For the end of a job: frames that still read them can no longer be used.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+        n += 1
+    return n
+
+
 def materialize(df, label: str = "stage"):
     """Cut lineage by writing ``df`` as Parquet under the checkpoint directory and reading it back.
 
@@ -69,4 +88,5 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)

@@ -26,6 +26,21 @@ PANDAS_NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# The date-times and numbers that the sequential scorer's parsers accept.
+ISO_TIME = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?([+-]\d{2}:\d{2}|Z)?)?"
+FLOAT = r"[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+)?|(?i:inf|infinity|nan))"
+INTEGER = r"[+-]?\d+(_\d+)*"
+
+
+def _number(c: Column, pattern: str, kind: str) -> Column:
+    text = F.trim(c)
+    return F.when(text.rlike(f"^(?:{pattern})$"), F.replace(text, F.lit("_"), F.lit("")).try_cast(kind))
+
+
+def _time(c: Column) -> Column:
+    return F.when(c.rlike(f"^(?:{ISO_TIME})$"), c.try_cast("timestamp"))
+
+
 def with_arrival_seq(df: DataFrame) -> DataFrame:
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
@@ -36,7 +51,9 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _raw_strings(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8").csv(path)
+    # quoting as in Python's csv module: doubled quotes, line breaks inside quotes
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8")
+    raw = raw.option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
     missing = [c for c in TRANSACTION_COLUMNS if c not in raw.columns]
     if missing:
         raise KeyError(f"CSV {path} lacks columns {missing}")
@@ -52,14 +69,17 @@ def _typed(raw_df: DataFrame, amount: Column, strings: dict[str, Column]) -> Dat
     mcc_raw, ts_raw = F.col("merchant_mcc"), F.col("timestamp")
     cols = dict(strings)
     cols["amount"] = amount
-    cols["merchant_mcc"] = _must(F.trim(mcc_raw).try_cast("int"), mcc_raw, "merchant_mcc")
-    cols["timestamp"] = _must(F.trim(ts_raw).try_cast("timestamp"), ts_raw, "timestamp")
-    return with_arrival_seq(raw_df.select(*[cols[c].alias(c) for c in TRANSACTION_COLUMNS]))
+    cols["merchant_mcc"] = _must(_number(mcc_raw, INTEGER, "int"), mcc_raw, "merchant_mcc")
+    cols["timestamp"] = _must(_time(ts_raw), ts_raw, "timestamp")
+    typed = raw_df.select(*[cols[c].alias(c) for c in TRANSACTION_COLUMNS])
+    # a filter on the checked columns: later projections and counts cannot prune the checks
+    valid = F.col("amount").isNotNull() & F.col("merchant_mcc").isNotNull() & F.col("timestamp").isNotNull()
+    return with_arrival_seq(typed.where(valid))
 
 
 def read_transactions_strict(spark: SparkSession, path: str) -> DataFrame:
     raw = _raw_strings(spark, path)
-    amount = _must(F.trim(F.col("amount")).try_cast("double"), F.col("amount"), "amount")
+    amount = _must(_number(F.col("amount"), FLOAT, "double"), F.col("amount"), "amount")
     # Spark reads an empty CSV field as NULL; Python's csv module reads ''.
     return _typed(raw, amount, {c: F.coalesce(F.col(c), F.lit("")) for c in STRING_COLUMNS})
 
@@ -84,5 +104,5 @@ def read_transactions_upload(spark: SparkSession, path: str) -> DataFrame:
     strings = {c: upload_string(F.col(c)) for c in STRING_COLUMNS}
     a = F.col("amount")
     amount = F.when(upload_missing(a), F.lit(float("nan"))).otherwise(
-        _must(F.trim(a).try_cast("double"), a, "amount"))
+        _must(_number(a, FLOAT, "double"), a, "amount"))
     return _typed(raw, amount, strings)

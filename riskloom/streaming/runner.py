@@ -18,6 +18,7 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import RuleConfig
 from ..session import ensure_checkpoint_dir
@@ -35,15 +36,31 @@ def end_of_input_marker(spark: SparkSession, events_schema, path: str) -> str:
     row = {f.name: None for f in events_schema.fields}
     row.update({"event_id": -1, "ts": END_OF_INPUT_TIME})
     spark.createDataFrame([tuple(row[f.name] for f in events_schema.fields)], events_schema) \
-        .write.mode("overwrite").parquet(path)
+        .write.mode("append").parquet(path)
     return path
 
 
+def _covering_delay(spark: SparkSession, sf_dir: str) -> str:
+    """A delay as long as the time span of the events (one row to the driver)."""
+    ts = F.col("ts").cast("timestamp").cast("long")
+    lo, hi = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(F.min(ts), F.max(ts)).first()
+    return f"{(hi or 0) - (lo or 0) + 1} seconds"
+
+
 def score_events_stream(spark: SparkSession, sf_dir: str, rules: RuleConfig, base: str | None = None,
-                        max_files_per_trigger: int | None = None, watermark_delay: str = "0 seconds",
+                        max_files_per_trigger: int | None = None, watermark_delay: str | None = None,
                         dialect: str = "history"):
-    """Start an ``availableNow`` stream over ``events``; returns (query, output path)."""
+    """Run an ``availableNow`` stream over ``events``; returns (query of the last run, output path).
+
+    The data runs first, in as many batches as its files need.  Only when they are
+    used up is the end-of-input marker written and the same query run again from its
+    checkpoint, so the marker never passes rows that are still to come.  Over several
+    batches the default watermark delay covers the input's whole time span, because files
+    may come in any order; a caller who knows their order can give a shorter one.
+    """
     base = base or scratch_dir(spark, "stream-score")
+    if watermark_delay is None:
+        watermark_delay = _covering_delay(spark, sf_dir) if max_files_per_trigger else "0 seconds"
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     events_glob = f"{sf_dir.rstrip('/')}/{{events.parquet}}"  # a file source needs a dir or a glob
     schema = spark.read.parquet(events_path).schema
@@ -51,14 +68,20 @@ def score_events_stream(spark: SparkSession, sf_dir: str, rules: RuleConfig, bas
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(events_glob)
-    marker = spark.readStream.schema(schema).parquet(end_of_input_marker(spark, schema, f"{base}/end"))
+    end = f"{base}/end"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(end)
+    marker = spark.readStream.schema(schema).parquet(end)
     tx = transactions_from_event_frame(events.unionByName(marker), spark, sf_dir)
     out = (stream_window_scores(tx, rules, watermark_delay) if dialect == "window"
            else stream_scores(tx, rules, watermark_delay))
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
-    return q, f"{base}/out"
+    def start():
+        return (out.writeStream.format("parquet").outputMode("append")
+                .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True).start())
+
+    start().awaitTermination()
+    end_of_input_marker(spark, schema, end)
+    return start(), f"{base}/out"
 
 
 def score_events_stream_table(spark: SparkSession, sf_dir: str, rules: RuleConfig,

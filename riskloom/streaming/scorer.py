@@ -87,8 +87,9 @@ def _plain(values, dtype) -> list:
         return [int(v) for v in values]
     if dtype is np.float64:
         return [float(v) for v in values]
-    return [None if v is None or (isinstance(v, float) and v != v) else (int(v) if isinstance(v, np.integer) else v)
-            for v in values]
+    # an integer column with a NULL arrives as float: back to int, or the state's array<int> would lose it
+    return [None if v is None or (isinstance(v, float) and v != v)
+            else (int(v) if isinstance(v, (np.integer, float)) else v) for v in values]
 
 
 def _history_state_fn(window_us: int, device_ttl_us: int | None = None):

@@ -11,7 +11,7 @@ import bruteforce
 from helpers import T0, tx_rows
 from riskloom.config import ExecConfig, RuleConfig
 from riskloom.operators.context import with_context
-from riskloom.operators.prefix import probe_prefix_counts
+from riskloom.operators.prefix import probe_prefix_counts, sorted_pass
 
 
 def skewed_rows(seed, n=400):
@@ -82,15 +82,10 @@ def test_prefix_counts_across_many_partitions(spark):
 def test_prefix_plan_has_no_per_group_exchange(spark):
     p_df = spark.createDataFrame([("a", 1, 0)], "g string, k long, seq long")
     q_df = spark.createDataFrame([("a", 2, 0, 1)], "g string, k long, seq long, sign int")
-    plan = probe_prefix_counts(p_df, q_df, 4, checkpoint=False)._jdf.queryExecution().executedPlan().toString()
+    plan = sorted_pass(p_df, q_df, 4)._jdf.queryExecution().executedPlan().toString()
     plan = plan.lower()
     assert "rangepartitioning" in plan
-    # The only exchange keyed by the group is the offsets window over the
-    # partition-boundary rows (kind > 0, at most 2 per partition); data and
-    # probe rows are never hash-partitioned by group.
-    assert plan.count("hashpartitioning(g") == 1
-    after = plan.split("hashpartitioning(g", 1)[1].split("mapinarrow", 1)[0]
-    assert "kind" in after and "> 0)" in after
+    assert "hashpartitioning" not in plan  # data and probe rows are never hash-partitioned by group
 
 
 def test_hot_key_broadcast_is_bounded(spark):
@@ -150,3 +145,50 @@ def test_attach_group_aggregates_every_branch(spark, max_keys, hot_rows):
         grp = [v for (u2, d2, v, _) in rows if u2 == u and d2 == d]
         want[seq] = (max(grp), len(grp))
     assert got == want
+
+
+def test_strategies_agree_on_repeated_and_missing_seq(spark):
+    """NULL and repeated ``seq``: the same rows from windows and from the skew-proof path."""
+    from collections import Counter
+
+    from riskloom.config import DEFAULT_EXEC, SKEWPROOF_EXEC, RuleConfig
+    from riskloom.operators.scoring import scored_table
+    from tests.helpers import minutes, T0, tx_rows
+
+    rows = [{"seq": s, "timestamp": T0 + minutes(i), "device_id": f"D{i % 2}"}
+            for i, s in enumerate([0, 1, 1, None, 4])]
+    tx = tx_rows(spark, rows)
+    for dialect in ("window", "history"):
+        a, b = (Counter(scored_table(tx, RuleConfig(), dialect, ex).collect())
+                for ex in (DEFAULT_EXEC, SKEWPROOF_EXEC))
+        assert a == b and sum(a.values()) == 5
+
+
+def test_hot_threshold_has_an_absolute_ceiling():
+    from riskloom.config import ExecConfig
+
+    assert ExecConfig().hot_key_ceiling >= ExecConfig().hot_key_rows
+
+
+def test_no_local_intermediates_on_a_cluster():
+    from riskloom.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    import pytest
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

@@ -103,7 +103,9 @@ def test_nested_sink(spark, tmpdir_path):
 def test_parse_mcc_list():
     assert parse_mcc_list("4829, 7995") == (4829, 7995)
     assert parse_mcc_list(" 1,, 2 ,") == (1, 2)
-    assert parse_mcc_list("1, x") == ()
+    assert parse_mcc_list("1, x", empty_on_error=True) == ()
+    with pytest.raises(ValueError):
+        parse_mcc_list("1, x")
     assert parse_mcc_list("") == ()
 
 
@@ -134,3 +136,50 @@ def test_csv_sink_default_time_text_matches_committed_output(spark, tmpdir_path)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert "T001,2025-10-06T00:15:00.000+01:00\n" in lines
+
+
+HEAD = "txn_id,user_id,amount,currency,card_country,ip_country,merchant_mcc,device_id,timestamp\n"
+
+
+def _csv_of(tmpdir_path, *lines):
+    path = f"{tmpdir_path}/in.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(HEAD + "".join(x + "\n" for x in lines))
+    return path
+
+
+@pytest.mark.parametrize("amount,time", [("1.0d", "2025-10-06T10:00:00"), ("1", "10:15"), ("1", "2025"),
+                                         ("1", "2025-10")])
+def test_strict_reader_rejects_what_python_rejects(spark, tmpdir_path, amount, time):
+    from riskloom.sources.csv import read_transactions_strict
+
+    df = read_transactions_strict(spark, _csv_of(tmpdir_path, f"T1,U1,{amount},GBP,GB,GB,5411,D1,{time}"))
+    with pytest.raises(Exception):
+        df.count()
+    with pytest.raises(Exception):
+        df.select("txn_id").collect()
+
+
+def test_strict_reader_reads_doubled_quotes_and_line_breaks(spark, tmpdir_path):
+    from riskloom.sources.csv import read_transactions_strict
+
+    path = _csv_of(tmpdir_path, 'T1,"U ""x"", y",1_0.5,GBP,GB,GB,5411,"D\n1",2025-10-06 10:00:00')
+    r = read_transactions_strict(spark, path).first()
+    assert (r.user_id, r.device_id, r.amount) == ('U "x", y', "D\n1", 10.5)
+
+
+def test_numbers_as_python_prints_them(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from riskloom.functions.text import json_double, money
+
+    values = [0.0, 1.5, -2.25, 1e7, 12345678.5, 123456789012345.6, 1e16, 1.5e17, 1e-3, 0.0005, 1e-4, 1.25e-5, 1e300,
+              float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = {r.i: (r.j, r.m) for r in df.select("i", json_double(F.col("v")).alias("j"), money(F.col("v")).alias("m")).collect()}
+    for i, v in enumerate(values):
+        assert got[i][0] == json.dumps(v)
+        if abs(v) < 1e12 or v != v:
+            assert got[i][1] == "${:,.2f}".format(v)

@@ -153,3 +153,20 @@ def test_stream_with_session_zone_timestamps_across_dst(spark, tmpdir_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want
+
+
+def test_several_batches_lose_no_row_and_keep_the_mcc(spark, tmpdir_path):
+    """One file a trigger over four files: rows in equal rows out; a NULL MCC does not wipe the others."""
+    from riskloom.config import EVENTS_RULES
+    from riskloom.streaming.runner import score_events_stream
+    from tests.conftest import SF0001
+
+    for name in ("nation", "customer"):
+        spark.read.parquet(f"{SF0001}/{name}.parquet").write.parquet(f"{tmpdir_path}/{name}.parquet")
+    events = spark.read.parquet(f"{SF0001}/events.parquet").orderBy("ts").limit(200)
+    events.repartitionByRange(4, "ts").write.parquet(f"{tmpdir_path}/events.parquet")
+    q, out = score_events_stream(spark, tmpdir_path, EVENTS_RULES, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 200
+    assert got.where("merchant_mcc IS NULL").count() == 0
