@@ -128,6 +128,13 @@ def _packed_rows(docs: _Documents, pos, low, part, flags, parts: int, dtype):
                    _pack(docs.ids[used]), _pack(docs.starts[used]), None, None)
 
 
+def _task() -> int:
+    """Where the task's numbers begin, so that settled rows spread over the partitions."""
+    from pyspark import TaskContext
+
+    return TaskContext.get().partitionId() if TaskContext.get() else 0
+
+
 def _blocks(batches):
     """(ids, texts) of blocks of documents, bounded by characters."""
     ids, texts, size = [], [], 0
@@ -158,7 +165,7 @@ def anchor_probes(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        for number, (ids, texts) in enumerate(_blocks(batches)):
+        for number, (ids, texts) in enumerate(_blocks(batches), _task()):
             d = _Documents(ids, texts)
             if not len(d.words):
                 continue
@@ -274,7 +281,7 @@ def window_candidates(docs: DataFrame, parts: int) -> DataFrame:
             if rows:
                 yield rows
 
-        for number, rows in enumerate(cut()):
+        for number, rows in enumerate(cut(), _task()):
             d = _Documents([r[0] for r in rows], [r[1] for r in rows])
             if not len(d.words):
                 continue
