@@ -7,7 +7,9 @@
    moment matrix ``M = sum n p p'``, of the expected totals ``sum r n p`` (n: tokens)
    from the targets.  Projected gradient: ``r <- max(0, r - p . inv(M) e)`` with the
    residual ``e``.  In this metric the step length 1 is the inverse of the largest
-   eigenvalue, and one step is exact until a rate meets zero.
+   eigenvalue, and one step is exact until a rate meets zero.  From then on M is
+   taken over the documents whose rate is above zero (a longer step), unless that
+   step would not bring the totals closer; then M is that of all documents.
 3. A step needs only the residual, one sum over all documents.  A document's rate is
    the fold of all steps so far, so the state of the fit is the list of step
    vectors (iterations x domains), and nothing but those sums reaches the driver.
@@ -97,23 +99,28 @@ def fold_steps(p, steps):
 
 
 def _totals(narrow: DataFrame, steps, k: int):
-    """Expected domain totals ``sum r n p``: partial sums in every task, one row to the driver."""
+    """``sum r n p`` and the moments of the documents with a rate above zero: one row to the driver."""
     import numpy as np
 
+    names = [f"s{i}" for i in range(k + k * k)]
+
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(k)
+        total, moments = np.zeros(k), np.zeros((k, k))
         for batch in batches:
             if batch.num_rows:
                 p = batch.column("posteriors").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
                 n = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-                total += (fold_steps(p, steps) * n) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in total], names=[f"s{i}" for i in range(k)])
+                r = fold_steps(p, steps)
+                total += (r * n) @ p
+                moments += (p * (n * (r > 0))[:, None]).T @ p
+        row = [*total, *moments.ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in row], names=names)
 
-    sums = narrow.select("n_tokens", "posteriors").mapInArrow(run, ", ".join(f"s{i} double" for i in range(k)))
-    row = sums.agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).first()
-    return np.array([v or 0.0 for v in row])
+    sums = narrow.select("n_tokens", "posteriors").mapInArrow(run, ", ".join(f"{c} double" for c in names))
+    row = np.array([v or 0.0 for v in sums.agg(*[F.sum(c).alias(c) for c in names]).first()])
+    return row[:k], row[k:].reshape(k, k)
 
 
 def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float], anchor: str | None = ANCHOR,
@@ -122,14 +129,8 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
     import numpy as np
 
     k = len(classes)
-    moments = narrow.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("posteriors")[i] * F.col("posteriors")[j]),
-                                      F.lit(0.0)).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = moments[f"m{i}_{j}"]
-    inverse = np.linalg.pinv(m, rcond=1e-12)
-    now = _totals(narrow, [], k)
+    now, moments = _totals(narrow, [], k)   # all rates are 1: the moments of all documents
+    whole = np.linalg.pinv(moments, rcond=1e-12)
     weight = np.array([targets.get(c, 0.0) for c in classes])
     weight = weight / weight.sum() if weight.sum() > 0 else np.full(k, 1 / k)
     size = now.sum()
@@ -137,12 +138,17 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
         size = anchor_scale * now[classes.index(anchor)] / weight[classes.index(anchor)]
     goal = weight * size
     done: list = []
+    bold = True
     for _ in range(steps):
         e = now - goal
         if np.abs(e).sum() <= tolerance * max(goal.sum(), 1.0):
             break
-        done.append(inverse @ e)
-        now = _totals(narrow, done, k)
+        step = (np.linalg.pinv(moments, rcond=1e-12) if bold else whole) @ e
+        then, moved = _totals(narrow, [*done, step], k)
+        if bold and np.abs(then - goal).sum() >= np.abs(e).sum():
+            bold = False        # the longer step overshot: take the sure one next
+            continue
+        done, now, moments, bold = [*done, step], then, moved, True
     return done, goal
 
 
