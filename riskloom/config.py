@@ -123,7 +123,7 @@ def parse_mcc_list(text: str | None, empty_on_error: bool = False) -> tuple[int,
 
 @dataclass(frozen=True)
 class ExecConfig:
-    """Scale knobs. None of them changes results, only the physical strategy.
+    """Scale knobs: they choose the physical strategy, not the result (rows are joined by an internal id).
 
     hot_key_rows
         A user (or user/device pair) with more rows than this is *hot*: it is

@@ -69,7 +69,7 @@ def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir
         dim_rows = table_rows({"nation": nation, "customer": customer})
     nation = broadcast_dimension(nation, bound, dim_rows["nation"])
     # customer grows with the data: broadcast below the bound, else a shuffle
-    # join on the user key whose hot partitions AQE splits (left side of a left join).
+    # join on the user key (not split by AQE where the per-user windows need its partitioning).
     customer = broadcast_dimension(customer, bound, dim_rows["customer"])
     cardn = nation.select(F.col("n_nationkey").alias("card_nationkey"), F.col("n_name").alias("card_country"))
     ipn = nation.select(F.col("n_nationkey").alias("ip_nationkey"), F.col("n_name").alias("ip_nation"))
