@@ -22,7 +22,7 @@ empty result; other input columns pass through, except that ``out_col`` and
 from __future__ import annotations
 
 import base64
-from collections import defaultdict
+from array import array
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -38,14 +38,16 @@ class MergeReplay:
     """Encoder of one rank file; ``ranks`` maps token bytes to ids, every single byte among them."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        import numpy as np
         import regex
 
         self.ranks = ranks
         self.token_bytes = {i: b for b, i in ranks.items()}
         self.pieces = regex.compile(pattern).findall
-        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.pair_rank: dict[int, int] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}      # ids as packed 32-bit integers
 
     def _new_rank(self, pair: int) -> int:
         """Rank of the token that the two of ``pair`` (first << 32 | second) make, -1 when they make none."""
@@ -57,29 +59,26 @@ class MergeReplay:
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of every word, by replaying all merges over the words together."""
-        tok: list[int] = []
-        nxt: list[int] = []
-        prv: list[int] = []
-        word: list[int] = []
-        first: list[int] = []
-        for k, w in enumerate(words):
-            at, n = len(tok), len(w)
-            first.append(at if n else -1)
-            tok.extend([self.byte_ids[b] for b in w])
-            prv.extend(range(at - 1, at + n - 1))
-            nxt.extend(range(at + 1, at + n + 1))
-            word.extend([k] * n)
-            if n:
-                prv[at], nxt[-1] = -1, -1
+        import numpy as np
+
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ends = np.cumsum(sizes)
+        starts, full = ends - sizes, sizes > 0
+        after, before = np.arange(1, len(raw) + 1), np.arange(-1, len(raw) - 1)
+        after[ends[full] - 1], before[starts[full]] = -1, -1
+        tok, nxt, prv = self.byte_ids[raw].tolist(), after.tolist(), before.tolist()
+        word = np.repeat(np.arange(len(words)), sizes).tolist()
+        first = np.where(full, starts, -1).tolist()
+        # the index of the byte pairs: positions in ascending order, by rank
+        at = np.flatnonzero(after >= 0)
+        rank = self.byte_pairs[raw[at], raw[at + 1]]
+        at, rank = at[rank >= 0], rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        cuts = np.flatnonzero(np.diff(rank, prepend=-1))
+        index = {r: held.tolist() for r, held in zip(rank[cuts].tolist(), np.split(at, cuts[1:]))}
         known, new_rank = self.pair_rank.get, self._new_rank
-        index: dict[int, list[int]] = defaultdict(list)
-        for i, j in enumerate(nxt):
-            if j >= 0:
-                pair = tok[i] << 32 | tok[j]
-                if (r := known(pair)) is None:
-                    r = new_rank(pair)
-                if r >= 0:
-                    index[r].append(i)
         heap = list(index)
         heapify(heap)
 
@@ -139,6 +138,10 @@ class MergeReplay:
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        return [array("i", b).tolist() for b in self.encode_packed(texts)]
+
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text as packed 32-bit integers."""
         cut = [self.pieces(t) for t in texts]
         missing = set(chain.from_iterable(cut)).difference(self.known)
         if missing:
@@ -149,13 +152,13 @@ class MergeReplay:
             for w in missing:
                 raw = w.encode("utf-8", "surrogatepass")
                 if (whole := self.ranks.get(raw)) is not None:
-                    self.known[w] = (whole,)
+                    self.known[w] = array("i", (whole,)).tobytes()
                 else:
                     todo.append((w, raw))
             for (w, _), ids in zip(todo, self.replay([raw for _, raw in todo])):
-                self.known[w] = ids
+                self.known[w] = array("i", ids).tobytes()
         get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, pieces))) for pieces in cut]
+        return [b"".join(map(get, pieces)) for pieces in cut]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -191,6 +194,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: st
     keep, schema = _replaced(docs.schema, **types)
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         enc = encoder(rank_file, pattern)
@@ -203,10 +207,11 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: st
                 while end < len(texts) and size + len(texts[end]) <= BLOCK_CHARS:
                     size += len(texts[end])
                     end += 1
-                ids = enc.encode(texts[at:end])
-                cols = [pa.array(ids, type=pa.list_(pa.int32()))]
+                ids = enc.encode_packed(texts[at:end])
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                cols = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))]
                 if decoded_col:
-                    cols.append(pa.array([enc.decode(x) for x in ids], type=pa.binary()))
+                    cols.append(pa.array([enc.decode(array("i", x)) for x in ids], type=pa.binary()))
                 part = own.slice(at, end - at)
                 yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*keep, *types])
                 at = end
