@@ -78,10 +78,9 @@ def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:
 
         for batch in batches:
             texts = batch.column("__text").to_pylist()
-            n = [len(t.encode("utf-8", "surrogatepass").split()) for t in texts]
-            p = model.probabilities(texts).round(9).tolist()
+            p, n = model.probabilities_and_words(texts)
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(keep).columns, pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.float64()))],
+                [*batch.select(keep).columns, pa.array(n, pa.int64()), pa.array(p.round(9).tolist(), pa.list_(pa.float64()))],
                 names=[*keep, "n_tokens", "posteriors"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text")
@@ -167,16 +166,18 @@ def with_rates(rows: DataFrame, steps) -> DataFrame:
 
 
 def soft_mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS,
-                 **fit_options) -> DataFrame:
-    """Every row of ``docs`` with ``n_tokens, posteriors, domain, rate, copies``; the text stays where it is read.
+                 keep_text: bool = True, **fit_options) -> DataFrame:
+    """Every row of ``docs`` with ``n_tokens, posteriors, domain, rate, copies`` (without ``text`` unless kept).
 
+    Posteriors are computed once: the rows are written with them, and every step of the fit and
+    the rates read them back.
     ``domain`` is the likeliest one.  ``copies`` rounds the rate to a whole number
     whose expectation it is, by a hash of doc_id, so the mixture is reproducible.
     """
     model = fit_domains(docs, labels)
     rated = with_posteriors(docs, model)
-    narrow = materialize(rated.select("n_tokens", "posteriors"), "mixing")
-    steps, _ = fit_rates(narrow, model.classes, targets, **fit_options)
+    rated = materialize(rated if keep_text else rated.drop("text"), "mixing")
+    steps, _ = fit_rates(rated.select("n_tokens", "posteriors"), model.classes, targets, **fit_options)
     names = F.array(*[F.lit(c) for c in model.classes])
     whole = F.floor("rate")
     return (with_rates(rated, steps)
@@ -188,4 +189,4 @@ def soft_mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return soft_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
+    return soft_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep_text=False)

@@ -24,6 +24,7 @@ HASH_RANGE = 1 << 30
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6)
+MIN_PREFIX = 3                     # every feature name of a word begins with its first letters
 SYMBOLS = "#*$%&|<>"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 KNOWN_TOKENS = 300_000
@@ -39,10 +40,9 @@ def names_of(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in PREFIXES if len(word) > k)]
 
 
-def shape_of(text: str) -> list[float]:
-    """Ratios in [0, 1] that do not depend on the words used."""
-    raw = text.encode("utf-8", "surrogatepass")
-    n = len(raw.split()) or 1
+def shape_of(text: str, raw: bytes, n: int) -> list[float]:
+    """Ratios in [0, 1] that do not depend on the words used; ``raw``: the text's bytes, ``n``: its words."""
+    n = n or 1
     lines = [x for x in text.split("\n") if x.strip()]
     return [min(1.0, sum(map(text.count, SYMBOLS)) / n), min(1.0, text.count("!!") / n),
             (len(raw) - len(raw.translate(None, UPPER))) / (len(raw) or 1),
@@ -115,21 +115,24 @@ class Model:
 
     def __post_init__(self):
         self.position = {w: i for i, w in enumerate(self.vocabulary)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.beginnings = {w[:MIN_PREFIX] for w in self.vocabulary}
+        self.known: dict[bytes, tuple[int, ...]] = {}
 
     def positions(self, words) -> set[int]:
         """Vocabulary positions of the features of ``words`` (lower case)."""
-        return {self.position[f] for w in words for f in names_of(w) if f in self.position}
+        return {self.position[f] for w in words if w[:MIN_PREFIX] in self.beginnings
+                for f in names_of(w) if f in self.position}
 
-    def text_positions(self, text: str) -> set[int]:
-        """The same for a text, with the positions of tokens between white space kept for later texts."""
+    def text_positions(self, tokens: list[bytes]) -> set[int]:
+        """The same for a text's tokens between white space; their positions are kept for later texts."""
         known, out = self.known, set()
-        for token in set(text.split()):
+        for token in set(tokens):
             at = known.get(token)
             if at is None:
                 if len(known) >= KNOWN_TOKENS:
                     known.clear()
-                at = known[token] = tuple(self.positions(WORD.findall(token.lower())))
+                at = known[token] = tuple(
+                    self.positions(WORD.findall(token.decode("utf-8", "surrogatepass").lower())))
             if at:
                 out.update(at)
         return out
@@ -141,26 +144,36 @@ class Model:
     def features(self, text: str):
         import numpy as np
 
+        raw = text.encode("utf-8", "surrogatepass")
+        tokens = raw.split()
         x = np.zeros(self.width, dtype=np.float32)
-        x[list(self.text_positions(text))] = 1
+        x[list(self.text_positions(tokens))] = 1
         if self.use_shape:
-            x[len(self.vocabulary):] = shape_of(text)
+            x[len(self.vocabulary):] = shape_of(text, raw, len(tokens))
         return x
 
     def probabilities(self, texts: list[str]):
+        return self.probabilities_and_words(texts)[0]
+
+    def probabilities_and_words(self, texts: list[str]):
+        """Class probabilities [texts, classes] and the number of words ``[^\\x20\\x09-\\x0D]+`` of each text."""
         import numpy as np
 
         logits = np.tile(np.asarray(self.bias, dtype=np.float64), (len(texts), 1))
         words = self.weights[: len(self.vocabulary)]
+        counts = []
         for i, t in enumerate(texts):
-            at = sorted(self.text_positions(t))
+            raw = t.encode("utf-8", "surrogatepass")
+            tokens = raw.split()
+            counts.append(len(tokens))
+            at = sorted(self.text_positions(tokens))
             if at:
                 logits[i] += words[at].sum(axis=0)
             if self.use_shape:
-                logits[i] += np.asarray(shape_of(t)) @ self.weights[len(self.vocabulary):]
+                logits[i] += np.asarray(shape_of(t, raw, len(tokens))) @ self.weights[len(self.vocabulary):]
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
-        return p / p.sum(axis=1, keepdims=True)
+        return p / p.sum(axis=1, keepdims=True), counts
 
 
 def fit_softmax(model: Model, x, y, swaps=None, swap_weight: float = 0.0, l2: float = 1e-3, steps: int = 300,

@@ -70,7 +70,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabula
             ys, xs, minus, plus = [], [], [], []
             for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
                 ys.append(int(y))
-                xs.append(sorted(model.text_positions(text)))
+                xs.append(sorted(model.text_positions(text.encode("utf-8", "surrogatepass").split())))
                 swaps = ((model.positions(a), model.positions(b)) for a, b in swapped_words(text, terms))
                 changes = {(tuple(sorted(a - b)), tuple(sorted(b - a))) for a, b in swaps}
                 minus.append([list(a) for a, _ in sorted(changes)])
