@@ -135,6 +135,12 @@ def result_display(spark, sf_dir):
     return P.display_table(P.flat_detailed(_scored(spark, sf_dir, H), RULES, keep_rule_objects=False))
 
 
+def result_explained(spark, sf_dir):
+    """The detailed flat table of all rows with ``ai_explanation``: the template's text on flagged rows, else ''."""
+    scored = _scored(spark, sf_dir, H)
+    return E.attach_explanations(P.flat_detailed(scored, RULES, keep_rule_objects=False), E.explain_with(scored, RULES))
+
+
 def summary(spark, sf_dir):
     return P.summary(_scored(spark, sf_dir, H))
 
@@ -198,6 +204,7 @@ def registry() -> dict[str, QueryFn]:
         "result_flat_short": result_flat_short,
         "result_flat_detailed": result_flat_detailed,
         "result_display": result_display,
+        "result_explained": result_explained,
         "summary": summary,
         "summary_window": summary_window,
         "flagged_sample": flagged_sample,

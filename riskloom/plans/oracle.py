@@ -235,6 +235,12 @@ FROM flat"""
     q["result_display"] = flat_h + f"""
 SELECT {ts_iso} AS "timestamp", txn_id, user_id, '$' || format('{{:,.2f}}', amount) AS amount,
        total_score AS score, severity, status, detailed_text AS rules_triggered
+FROM flat"""
+    q["result_explained"] = flat_h + f"""
+SELECT txn_id, user_id, amount, currency, card_country, ip_country, merchant_mcc, device_id,
+       {ts_iso} AS "timestamp", total_score AS score, severity, status, detailed_text AS rules_triggered,
+       CASE WHEN status = 'FLAG' THEN txn_id || ' scored ' || CAST(total_score AS VARCHAR) || ' (' || severity || '): '
+            || CASE WHEN names = '' THEN 'no rules triggered' ELSE names END ELSE '' END AS ai_explanation
 FROM flat"""
     q["summary"] = sh + """
 SELECT COUNT(*) AS total, CAST(count_if(status = 'FLAG') AS BIGINT) AS flagged,
