@@ -179,15 +179,17 @@ def _with_row_context(rows: DataFrame, ctx: DataFrame) -> DataFrame:
 
 def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
                  exec_cfg: ExecConfig = C.DEFAULT_EXEC, key_counts: DataFrame | None = None,
-                 rows_upper_bound: int | None = None) -> DataFrame:
+                 rows_upper_bound: int | None = None, split=None) -> DataFrame:
     """Add ``txn_count_window`` and ``first_seen_device`` (window) / ``_new_device`` (history).
 
     ``key_counts`` (``user_id``, ``_n``) may give rows per user from a cheaper
     source than ``tx`` (e.g. the raw event table before dimension joins) and
     ``rows_upper_bound`` a proven bound on its total (e.g. a footer count):
     when the whole input is within ``hot_key_rows`` no user can be hot and the
-    detection job is skipped.  Both only steer the strategy; the result is the
-    same either way.
+    detection job is skipped.  ``split(keys, bounded)`` may give the transactions of
+    the hot ``keys`` and those of all other users, taken apart before the dimension
+    joins, so that no hot user's rows meet in one task of such a join; without it
+    ``tx`` is split.  All three only steer the strategy; the result is the same.
     """
     if dialect not in C.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {C.DIALECTS}")
@@ -211,10 +213,14 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
         return window_context(tx, rules, dialect)
     keys = hot.select(USER)
     keys = materialize(keys, "hot-keys")  # read by both the hot and the cold branch
-    if n_hot <= exec_cfg.max_broadcast_keys:
+    bounded = n_hot <= exec_cfg.max_broadcast_keys
+    if bounded:
         keys = F.broadcast(keys)
-    hot_tx = _materialized(join_nullsafe(tx, keys, [USER], "left_semi"), exec_cfg)
-    cold_tx = join_nullsafe(tx, keys, [USER], "left_anti")
+    if split is None:
+        hot_tx, cold_tx = (join_nullsafe(tx, keys, [USER], how) for how in ("left_semi", "left_anti"))
+    else:
+        hot_tx, cold_tx = (with_time_keys(part, dialect) for part in split(keys, bounded))
+    hot_tx = _materialized(hot_tx, exec_cfg)
     cold = window_context(cold_tx, rules, dialect)
     ctx = skewproof_context(_narrow(hot_tx), rules, dialect, exec_cfg, rows_hint=rows_hot)
     hot_scored = _with_row_context(hot_tx, ctx)

@@ -8,7 +8,7 @@ each partition keeps N rows, the driver merges N x partitions).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -16,6 +16,7 @@ from ..config import RuleConfig
 from ..functions import text as X
 from ..functions.timecols import iso_format
 from ..schema import CONSOLE_COLUMNS
+from ..session import materialize
 from .scoring import with_hits
 
 
@@ -33,6 +34,23 @@ def in_time_order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("timestamp").asc_nulls_last(), F.col("seq").asc())
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``position``, each row's place (from 1) in time order, without one task that sees all rows.
+
+    The sorted rows are written once, which fixes the partition each row lies in; a row's
+    place is its place in the partition plus the rows of earlier partitions (one number each).
+    """
+    in_part = (1 << 33) - 1   # monotonically_increasing_id: partition << 33 | row
+    rows = materialize(in_time_order(df).withColumn("_mid", F.monotonically_increasing_id()), "ordered")
+    rows = rows.withColumn("_part", F.shiftright("_mid", 33))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))   # one row a partition
+    return (rows.join(F.broadcast(offsets), "_part")
+            .withColumn("position", F.col("_before") + F.col("_mid").bitwiseAND(F.lit(in_part)) + 1)
+            .drop("_part", "_mid", "_before"))
+
+
 def flagged(scored: DataFrame) -> DataFrame:
     """R12."""
     return scored.where(F.col("status") == F.lit(C.STATUS_FLAG))

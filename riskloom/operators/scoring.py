@@ -19,13 +19,13 @@ from .context import with_context
 
 def score(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
           exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
-          rows_upper_bound: int | None = None) -> DataFrame:
+          rows_upper_bound: int | None = None, split=None) -> DataFrame:
     """Canonical transactions (+ ``seq``) -> every column needed downstream.
 
     Keeps the canonical columns, ``seq`` and the context columns, adds the six
     ``r_*`` point columns, ``total_score``, ``severity`` and ``status``.
     """
-    ctx = with_context(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound)
+    ctx = with_context(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound, split)
     return apply_rules(ctx, rules, dialect)
 
 

@@ -21,15 +21,18 @@ from ..operators import explain as E
 from ..operators import reports as P
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
-from ..sources.csv import upload_missing_to_nan
+from ..functions.timecols import iso_format
+from ..sources.csv import (read_transactions_csv, read_transactions_strict, read_transactions_upload,
+                           upload_missing_to_nan)
 from ..sources.sinks import CSV_MICROS_OPTIONS, read_scored_csv, write_scored
-from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
+from ..schema import RULE_POINT_COLUMNS, SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS, SEQ, TRANSACTION_COLUMNS
 from ..sources.tables import employees_from_supplier, events_inputs, payroll_from_lineitem, transactions_from_events
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 RULES: RuleConfig = EVENTS_RULES
 W, H = C.DIALECT_WINDOW, C.DIALECT_HISTORY
+MCC_TEXT = " 5411, 4829,, "
 
 
 def _tx(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
@@ -39,7 +42,7 @@ def _tx(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -
 def _scored(spark, sf_dir, dialect, exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
     """Score the events table; hot users are detected on raw events (see ``events_inputs``)."""
     inp = events_inputs(spark, sf_dir, exec_cfg)
-    return score(inp["tx"], RULES, dialect, exec_cfg, inp["key_counts"], inp["rows_upper_bound"])
+    return score(inp["tx"], RULES, dialect, exec_cfg, inp["key_counts"], inp["rows_upper_bound"], inp["split"])
 
 
 def transactions(spark, sf_dir):
@@ -109,6 +112,48 @@ def score_window_csv_sink(spark, sf_dir):
     return read_scored_csv(spark, path, scored.schema, CSV_MICROS_OPTIONS)
 
 
+def _score_through_csv(spark, sf_dir, read) -> DataFrame:
+    """History scores of the transactions written as CSV (in the checkpoint folder) and read back by ``read``.
+
+    Arrival order is the event id again: several files have no order of their own.
+    """
+    from ..session import ensure_checkpoint_dir
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-tx-{uuid.uuid4().hex}"
+    write_scored(_tx(spark, sf_dir).select(*TRANSACTION_COLUMNS), path, options=CSV_MICROS_OPTIONS)
+    tx = read(spark, path).withColumn(SEQ, F.col("txn_id").cast("long"))
+    return score(tx, RULES, H).select("txn_id", "user_id", "amount", "card_country", "ip_country", "merchant_mcc",
+                                      "device_id", iso_format("timestamp").alias("ts_text"), *RULE_POINT_COLUMNS,
+                                      "total_score", "severity", "status")
+
+
+def score_csv_permissive(spark, sf_dir):
+    """S1."""
+    return _score_through_csv(spark, sf_dir, read_transactions_csv)
+
+
+def score_csv_strict(spark, sf_dir):
+    """Missing text fields read as ''."""
+    return _score_through_csv(spark, sf_dir, read_transactions_strict)
+
+
+def score_csv_upload(spark, sf_dir):
+    """S3: missing text fields read as 'nan'."""
+    return _score_through_csv(spark, sf_dir, read_transactions_upload)
+
+
+def score_history_ordered(spark, sf_dir):
+    """O1: the history table with each row's place in time order."""
+    return P.with_position(_scored(spark, sf_dir, H)).select("position", *SCORED_HISTORY_COLUMNS)
+
+
+def rule_mcc_from_text(spark, sf_dir):
+    """the blacklist rule with codes parsed from text."""
+    codes = C.parse_mcc_list(MCC_TEXT)
+    return _tx(spark, sf_dir).select("txn_id", "merchant_mcc",
+                                     R.blacklisted_mcc_points(F.col("merchant_mcc"), codes).alias("points"))
+
+
 def score_console(spark, sf_dir):
     return P.console_view(_scored(spark, sf_dir, W))
 
@@ -199,6 +244,11 @@ def registry() -> dict[str, QueryFn]:
         "score_history_skewproof": score_history_skewproof,
         "score_console": score_console,
         "score_window_csv_sink": score_window_csv_sink,
+        "score_csv_permissive": score_csv_permissive,
+        "score_csv_strict": score_csv_strict,
+        "score_csv_upload": score_csv_upload,
+        "score_history_ordered": score_history_ordered,
+        "rule_mcc_from_text": rule_mcc_from_text,
         "rule_hits": rule_hits,
         "nested_results": nested_results,
         "result_flat_short": result_flat_short,

@@ -209,6 +209,23 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
     q["stream_score_history"] = q["score_history"]
     q["stream_score_window"] = q["score_window"]
     q["score_window_csv_sink"] = q["score_window"]
+    text_cols = ("txn_id", "user_id", "currency", "card_country", "ip_country", "device_id")
+    ingested = {
+        "score_csv_permissive": {c: c for c in text_cols},
+        "score_csv_strict": {c: f"coalesce({c}, '')" for c in text_cols},
+        "score_csv_upload": {c: f"CASE WHEN {c} IS NULL OR {c} IN ({na}) THEN 'nan' ELSE {c} END" for c in text_cols},
+    }
+    for name, read in ingested.items():
+        replaced = ", ".join(f"{expr} AS {c}" for c, expr in read.items())
+        q[name] = ("WITH " + tx_cte() + f",\nread AS (SELECT * REPLACE ({replaced}) FROM tx),"
+                   + context_cte(rules, H, "read") + "," + scored_cte(rules, H)
+                   + f"\nSELECT txn_id, user_id, amount, card_country, ip_country, merchant_mcc, device_id, {ts_iso} AS "
+                     "ts_text, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, r_night_time, "
+                     "r_new_device, total_score, severity, status FROM final")
+    q["score_history_ordered"] = sh + ('\nSELECT ROW_NUMBER() OVER (ORDER BY "timestamp" NULLS LAST, seq) AS position, '
+                                       f"{HISTORY_COLS} FROM final")
+    q["rule_mcc_from_text"] = "WITH " + tx_cte() + ("\nSELECT txn_id, merchant_mcc, CASE WHEN merchant_mcc IN "
+                                                    "(5411, 4829) THEN 25 ELSE 0 END AS points FROM tx")
     q["score_console"] = sw + ("\nSELECT txn_id, user_id, amount, currency, \"timestamp\", total_score, severity, "
                                "status, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, "
                                "r_night_time, r_new_device FROM final")

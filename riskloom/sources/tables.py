@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
-from ..operators.joins import broadcast_dimension, table_rows
+from ..operators.joins import broadcast_dimension, join_nullsafe, table_rows
 from ..schema import CANONICAL_COLUMNS
+from ..session import materialize
 
 # Fixed values of the events -> transactions mapping.
 CURRENCY = "GBP"
@@ -45,15 +46,33 @@ def transactions_from_events(spark: SparkSession, sf_dir: str, exec_cfg: ExecCon
 def events_inputs(spark: SparkSession, sf_dir: str, exec_cfg: ExecConfig = DEFAULT_EXEC) -> dict:
     """Transactions plus the hot-user routing inputs; each table is read (listed) once.
 
-    Returns ``tx``, ``key_counts`` (rows per user from raw events, no joins)
-    and ``rows_upper_bound`` (the events row count, from footers).
+    Returns ``tx``, ``key_counts`` (rows per user from raw events, no joins),
+    ``rows_upper_bound`` (the events row count, from footers) and ``split``, which
+    takes the raw events of hot users apart before the dimension joins.
     """
     events = table(spark, sf_dir, "events")
     dims = {"nation": table(spark, sf_dir, "nation"), "customer": table(spark, sf_dir, "customer")}
     rows = table_rows({"events": events, **dims})
     tx = transactions_from_event_frame(events, spark, sf_dir, exec_cfg, rows, dims)
     key_counts = events.groupBy(F.col("user_id").cast("string").alias("user_id")).agg(F.count(F.lit(1)).alias("_n"))
-    return {"tx": tx, "key_counts": key_counts, "rows_upper_bound": rows["events"]}
+
+    def split(keys: DataFrame, bounded: bool) -> tuple[DataFrame, DataFrame]:
+        text_id = F.col("user_id").cast("string")
+        parts = []
+        for how in ("left_semi", "left_anti"):
+            own = join_nullsafe(events.withColumn("_user", text_id), keys.withColumnRenamed("user_id", "_user"),
+                                ["_user"], how).drop("_user")
+            own_dims, own_rows = dims, rows
+            if how == "left_semi" and bounded:
+                # only the hot users' customers: counted, so that a broadcast needs no trust in unique keys
+                few = join_nullsafe(dims["customer"].withColumn("_user", F.col("c_custkey").cast("string")),
+                                    keys.withColumnRenamed("user_id", "_user"), ["_user"], "left_semi").drop("_user")
+                few = materialize(few.select("c_custkey", "c_nationkey"), "hot-customers")
+                own_dims, own_rows = {**dims, "customer": few}, {**rows, "customer": few.count()}
+            parts.append(transactions_from_event_frame(own, spark, sf_dir, exec_cfg, own_rows, own_dims))
+        return parts[0], parts[1]
+
+    return {"tx": tx, "key_counts": key_counts, "rows_upper_bound": rows["events"], "split": split}
 
 
 def transactions_from_event_frame(events: DataFrame, spark: SparkSession, sf_dir: str,

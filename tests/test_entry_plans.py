@@ -110,6 +110,38 @@ def test_big_customer_join_feeds_windows_without_second_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+@needs_data
+def test_hot_rows_leave_before_the_customer_join(spark):
+    """Non-broadcast customer: the cold branch drops hot users' events below its sort-merge join."""
+    from pyspark.sql import functions as F
+
+    from riskloom.config import DEFAULT_EXEC
+    from riskloom.operators.scoring import score
+    from riskloom.sources.tables import events_inputs
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ex = DEFAULT_EXEC.with_(max_broadcast_dim_rows=100)
+        inp = events_inputs(spark, SF001, ex)
+        users = inp["key_counts"].orderBy(F.desc("_n"), "user_id").select("user_id").limit(20)
+        hot, cold = inp["split"](F.broadcast(users), True)
+        text = plan_text(cold, "simple")
+        # the tree is printed from the top: the anti join stands below the sort-merge join
+        assert 0 <= text.index("SortMergeJoin") < text.index("LeftAnti")
+        assert "SortMergeJoin" not in plan_text(hot, "simple")
+        assert hot.count() + cold.count() == inp["tx"].count()
+        assert hot.select("user_id").distinct().count() == 20
+        for dialect in ("window", "history"):
+            every = score(inp["tx"], EVENTS_RULES, dialect, ex)
+            routed = score(inp["tx"], EVENTS_RULES, dialect, ex.with_(hot_key_rows=20, hot_partition_factor=0),
+                           inp["key_counts"], inp["rows_upper_bound"], inp["split"])
+            cols = [c for c in every.columns if not c.startswith("_")]
+            assert every.select(cols).exceptAll(routed.select(cols)).count() == 0
+            assert every.count() == routed.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["score_window", "score_history"])
 def test_window_frames_are_incremental(spark, name):
