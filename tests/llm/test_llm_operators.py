@@ -53,6 +53,19 @@ def test_quality_measures(spark, odd_docs):
     assert quality_rules(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_quality_filter_stays_above_the_measures(spark):
+    import contextlib
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        corpus_pipeline.quality(spark, docs, SF).explain("simple")
+    filters = [line for line in out.getvalue().splitlines() if "Filter" in line and "Scan" not in line]
+    assert filters and not any("split(" in line for line in filters)
+
+
 def test_jaccard_components(spark, odd_docs):
     from riskloom.llm.jaccard_groups import jaccard_components
 
