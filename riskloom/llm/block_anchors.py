@@ -22,9 +22,9 @@ never shuffled.
 
 Defined results: null, empty and short texts (under 50 words) lose nothing; repeats
 inside one document are no repeats; rows that repeat a doc_id are one document
-for comparisons; a null doc_id counts as smaller than all others; an empty table gives
-an empty result; other input columns pass through, ``kept_text``, ``n_words``,
-``n_removed`` and ``spans`` are replaced.
+for comparisons, and each loses only repeats of its own text; a null doc_id counts
+as smaller than all others; an empty table gives an empty result; other input
+columns pass through, ``kept_text``, ``n_words``, ``n_removed`` and ``spans`` are replaced.
 """
 
 from __future__ import annotations
@@ -45,8 +45,9 @@ BYTES_PER_WORD = 6
 BROADCAST_IDS = 2_000_000
 NULL_ID = -(1 << 63)
 
-PACKED = "part int, blob binary, pos binary, flags binary, ids binary, starts binary, doc_id long, offsets array<int>"
-HITS = "doc_id long, offsets array<int>"
+PACKED = "part int, blob binary, pos binary, flags binary, ids binary, tags binary, starts binary, "\
+         "doc_id long, tag long, offsets array<int>"
+HITS = "doc_id long, tag long, offsets array<int>"
 
 
 def _pack(a) -> bytes:
@@ -63,9 +64,12 @@ def _unpack(b: bytes, dtype):
 
 
 class _Documents:
-    """Word hashes of a block of documents that are long enough, one after the other."""
+    """Word hashes of a block of documents that are long enough, one after the other.
 
-    def __init__(self, ids, texts):
+    ``tags`` (hashes of the texts) tell rows with the same doc_id apart.
+    """
+
+    def __init__(self, ids, tags, texts):
         import numpy as np
 
         words = [word_hashes((t or "").encode("utf-8", "surrogatepass")) for t in texts]
@@ -73,6 +77,7 @@ class _Documents:
         keep.sort(key=lambda i: ids[i])
         self.rows = keep
         self.ids = np.array([ids[i] for i in keep], dtype=np.int64)
+        self.tags = np.array([tags[i] for i in keep], dtype=np.int64)
         self.lengths = np.array([len(words[i]) for i in keep], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1].astype(np.uint32)
         self.words = np.concatenate([words[i] for i in keep]) if keep else np.empty(0, np.uint64)
@@ -101,7 +106,7 @@ def _runs(order, *keys):
 
 
 def _local_rows(docs: _Documents, pos, part: int):
-    """Rows that carry positions settled inside the block: (doc_id, offsets)."""
+    """Rows that carry positions settled inside the block: (doc_id, tag, offsets)."""
     import numpy as np
 
     pos = np.sort(pos)
@@ -109,7 +114,7 @@ def _local_rows(docs: _Documents, pos, part: int):
     for cut in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(which)) + 1):
         if len(cut):
             d = which[cut[0]]
-            yield (part, None, None, None, None, None, int(docs.ids[d]),
+            yield (part, None, None, None, None, None, None, int(docs.ids[d]), int(docs.tags[d]),
                    (pos[cut] - docs.starts[d]).astype(np.int32))
 
 
@@ -125,7 +130,7 @@ def _packed_rows(docs: _Documents, pos, low, part, flags, parts: int, dtype):
             at = pos[own].astype(np.uint32)
             used = np.unique(docs.doc[at])
             yield (p, low[own].astype(dtype).tobytes(), _pack(at), np.packbits(flags[own]).tobytes(),
-                   _pack(docs.ids[used]), _pack(docs.starts[used]), None, None)
+                   _pack(docs.ids[used]), docs.tags[used].tobytes(), _pack(docs.starts[used]), None, None, None)
 
 
 def _task() -> int:
@@ -136,24 +141,25 @@ def _task() -> int:
 
 
 def _blocks(batches):
-    """(ids, texts) of blocks of documents, bounded by characters."""
-    ids, texts, size = [], [], 0
+    """(ids, tags, texts) of blocks of documents, bounded by characters."""
+    ids, tags, texts, size = [], [], [], 0
     for batch in batches:
-        for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for i, g, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "text"))):
             if texts and size + len(t or "") > BLOCK_CHARS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+                yield ids, tags, texts
+                ids, tags, texts, size = [], [], [], 0
             ids.append(NULL_ID if i is None else i)
+            tags.append(g)
             texts.append(t)
             size += len(t or "")
     if texts:
-        yield ids, texts
+        yield ids, tags, texts
 
 
 def _arrow(rows):
     import pyarrow as pa
 
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(),
+    kinds = (pa.int32(), *[pa.binary()] * 6, pa.int64(), pa.int64(),
              pa.list_(pa.int32()))
     names = [f.split()[0] for f in PACKED.split(", ")]
     cols = list(zip(*rows)) if rows else [()] * len(kinds)
@@ -165,8 +171,8 @@ def anchor_probes(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        for number, (ids, texts) in enumerate(_blocks(batches), _task()):
-            d = _Documents(ids, texts)
+        for number, block in enumerate(_blocks(batches), _task()):
+            d = _Documents(*block)
             if not len(d.words):
                 continue
             pos = d.positions(BLOCK_WORDS)
@@ -193,11 +199,11 @@ def anchor_probes(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _entries(table, dtype):
-    """All packed entries of a partition: hash, row, document index, offset, flags, doc ids."""
+    """All packed entries of a partition: hash, row, document index, offset, flags, doc ids and tags."""
     import numpy as np
 
-    hs, rows, docs, offs, flags, ids, base = [], [], [], [], [], [], 0
-    cols = {c: table.column(c).to_pylist() for c in ("blob", "pos", "flags", "ids", "starts")}
+    hs, rows, docs, offs, flags, ids, tags, base = [], [], [], [], [], [], [], 0
+    cols = {c: table.column(c).to_pylist() for c in ("blob", "pos", "flags", "ids", "tags", "starts")}
     for i, blob in enumerate(cols["blob"]):
         if blob is None:
             continue
@@ -211,33 +217,36 @@ def _entries(table, dtype):
         offs.append(pos - starts[d])
         flags.append(np.unpackbits(np.frombuffer(cols["flags"][i], np.uint8), count=2 * len(h)).reshape(-1, 2))
         ids.append(own)
+        tags.append(np.frombuffer(cols["tags"][i], np.int64))
         base += len(own)
     if not hs:
         return None
-    return [np.concatenate(x) for x in (hs, rows, docs, offs, flags, ids)]
+    return [np.concatenate(x) for x in (hs, rows, docs, offs, flags, ids, tags)]
 
 
-def _hit_table(ids, docs, offs, passed):
-    """Arrow table (doc_id, offsets): the hit entries by document, then the rows settled before."""
+def _hit_table(ids, tags, docs, offs, passed):
+    """Arrow table (doc_id, tag, offsets): the hit entries by document, then the rows settled before."""
     import numpy as np
     import pyarrow as pa
 
-    out_ids, out_offs = [], []
+    out_ids, out_tags, out_offs = [], [], []
     if len(docs):
         order = np.lexsort((offs, docs))
         docs, offs = docs[order], offs[order].astype(np.int32)
         cuts = np.flatnonzero(np.diff(docs)) + 1
-        out_ids = ids[docs[np.concatenate([[0], cuts])]].tolist()
+        each = docs[np.concatenate([[0], cuts])]
+        out_ids, out_tags = ids[each].tolist(), tags[each].tolist()
         out_offs = np.split(offs, cuts)
-    for i, o in passed:
+    for i, g, o in passed:
         out_ids.append(i)
+        out_tags.append(g)
         out_offs.append(o)
-    return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "offsets": pa.array(out_offs, pa.list_(pa.int32()))})
+    return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "tag": pa.array(out_tags, pa.int64()),
+                     "offsets": pa.array(out_offs, pa.list_(pa.int32()))})
 
 
 def _settled(table):
-    return [(i, o) for i, o in zip(table.column("doc_id").to_pylist(), table.column("offsets").to_pylist())
-            if i is not None]
+    return [r for r in zip(*(table.column(c).to_pylist() for c in ("doc_id", "tag", "offsets"))) if r[0] is not None]
 
 
 def match_anchors(probes: DataFrame) -> DataFrame:
@@ -247,8 +256,8 @@ def match_anchors(probes: DataFrame) -> DataFrame:
 
         got = _entries(table, np.uint32)
         if got is None:
-            return _hit_table(np.empty(0, np.int64), np.empty(0, int), np.empty(0, int), _settled(table))
-        h, row, doc, off, flags, ids = got
+            return _hit_table(*[np.empty(0, np.int64)] * 4, _settled(table))
+        h, row, doc, off, flags, ids, tags = got
         order = np.argsort(h, kind="stable")
         first = _runs(order, h)
         size = np.diff(np.append(first, len(order)))
@@ -259,35 +268,36 @@ def match_anchors(probes: DataFrame) -> DataFrame:
         hit = np.repeat(blocks & differs, size)
         use = order[hit]
         use = use[flags[use, 1] == 1]
-        return _hit_table(ids, doc[use], off[use], _settled(table))
+        return _hit_table(ids, tags, doc[use], off[use], _settled(table))
 
     return probes.groupBy("part").applyInArrow(run, HITS)
 
 
 def window_candidates(docs: DataFrame, parts: int) -> DataFrame:
-    """Packed 50-word windows around hits; ``docs`` is (doc_id, text, offsets of hits)."""
+    """Packed 50-word windows around hits; ``docs`` is (doc_id, tag, text, offsets of hits)."""
     def run(batches):
         import numpy as np
 
         def cut():
             rows, size = [], 0
             for batch in batches:
-                for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "offsets"))):
-                    if rows and size + len(r[1] or "") > BLOCK_CHARS:
+                for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "text", "offsets"))):
+                    if rows and size + len(r[2] or "") > BLOCK_CHARS:
                         yield rows
                         rows, size = [], 0
                     rows.append(r)
-                    size += len(r[1] or "")
+                    size += len(r[2] or "")
             if rows:
                 yield rows
 
         for number, rows in enumerate(cut(), _task()):
-            d = _Documents([r[0] for r in rows], [r[1] for r in rows])
+            d = _Documents(*([r[c] for r in rows] for c in range(3)))
             if not len(d.words):
                 continue
             near = np.zeros(len(d.words) + 1, np.int32)
             for k, i in enumerate(d.rows):
-                hit = np.asarray(rows[i][2], dtype=np.int64)
+                hit = np.asarray(rows[i][3], dtype=np.int64)
+                hit = hit[hit + BLOCK_WORDS <= d.lengths[k]]
                 # a window holds the hit when it starts at most 25 words before it
                 np.add.at(near, d.starts[k] + np.maximum(hit - (WINDOW - BLOCK_WORDS), 0), 1)
                 np.add.at(near, d.starts[k] + hit + 1, -1)
@@ -318,20 +328,20 @@ def match_windows(candidates: DataFrame) -> DataFrame:
 
         got = _entries(table, np.uint64)
         if got is None:
-            return _hit_table(np.empty(0, np.int64), np.empty(0, int), np.empty(0, int), _settled(table))
-        h, _, doc, off, _, ids = got
+            return _hit_table(*[np.empty(0, np.int64)] * 4, _settled(table))
+        h, _, doc, off, _, ids, tags = got
         order = np.argsort(h, kind="stable")
         first = _runs(order, h)
         owner = ids[doc[order]]
         least = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, len(order))))
         use = order[owner > least]
-        return _hit_table(ids, doc[use], off[use], _settled(table))
+        return _hit_table(ids, tags, doc[use], off[use], _settled(table))
 
     return candidates.groupBy("part").applyInArrow(run, HITS)
 
 
 def _by_document(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("doc_id").agg(F.flatten(F.collect_list("offsets")).alias("offsets"))
+    return hits.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("offsets")).alias("offsets"))
 
 
 def _only(docs: DataFrame, ids: DataFrame, n: int, how: str) -> DataFrame:
@@ -348,19 +358,21 @@ def substring_dedup(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "spans", "kept_text")]
     rows = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__id"),
-                       F.col(text_col).cast("string").alias("__text"))
-    texts = rows.select(F.col("__id").alias("doc_id"), F.col("__text").alias("text"))
+                       F.col(text_col).cast("string").alias("__text")).withColumn("__tag", F.xxhash64("__text"))
+    texts = rows.select(F.col("__id").alias("doc_id"), F.col("__tag").alias("tag"), F.col("__text").alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(8, -(-size // (BYTES_PER_WORD * ENTRIES_PER_PARTITION)))
     hits = materialize(_by_document(match_anchors(anchor_probes(texts, parts))), "anchor-hits")
     n_hit = hits.count()
-    # partial or repeated rows of a doc_id share the offsets; positions beyond a text fall away
+    # equal rows of a doc_id share the offsets, rows with other texts have their own
     touched = _only(rows, hits, n_hit, "left_semi")
-    found = touched.select("__id", "__text").join(hits, F.col("__id") == hits["doc_id"]).select(
-        "doc_id", F.col("__text").alias("text"), "offsets")
+    found = touched.select("__id", "__tag", "__text").join(
+        hits, (F.col("__id") == hits["doc_id"]) & (F.col("__tag") == hits["tag"])).select(
+        "doc_id", "tag", F.col("__text").alias("text"), "offsets")
     repeats = materialize(_by_document(match_windows(window_candidates(found, parts))), "repeats")
-    repeats = repeats.select(F.col("doc_id").alias("__rep"), "offsets")
-    marked = touched.join(repeats, F.col("__id") == F.col("__rep"), "left").select(*keep, "__text", "offsets")
+    repeats = repeats.select(F.col("doc_id").alias("__rep"), F.col("tag").alias("__rep_tag"), "offsets")
+    marked = touched.join(repeats, (F.col("__id") == F.col("__rep")) & (F.col("__tag") == F.col("__rep_tag")),
+                          "left").select(*keep, "__text", "offsets")
     clean = _only(rows, hits, n_hit, "left_anti").select(*keep, "__text", F.lit(None).cast("array<int>").alias("offsets"))
     return _removed(clean, keep).unionByName(_removed(marked, keep))
 

@@ -108,6 +108,30 @@ def test_substring_dedup(spark, odd_docs):
     assert substring_dedup(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_substring_dedup_of_null_and_repeated_ids(spark):
+    """Rows that share a doc_id have texts of different length; each loses its own repeats only."""
+    from riskloom.llm.block_anchors import substring_dedup
+
+    late, mine = words(80, 21), words(120, 22)
+    rows = [(None, " ".join(words(420, 23) + late)), (None, " ".join(words(60, 24))), (1, " ".join(late)),
+            (2, " ".join(mine)), (3, " ".join(words(400, 25) + mine)), (3, " ".join(words(70, 26))),
+            (3, " ".join(words(600, 27))), (4, " ".join(words(60, 28))), (4, " ".join(words(500, 29) + mine)),
+            (4, " ".join(words(60, 30)))]
+    owners = {}
+    for i, t in rows:
+        w = split(t)
+        for k in range(len(w) - 49):
+            owners.setdefault(tuple(w[k:k + 50]), set()).add(-1 if i is None else i)
+    want = []
+    for i, t in rows:
+        w = split(t)
+        gone = {k + j for k in range(len(w) - 49)
+                if min(owners[tuple(w[k:k + 50])]) < (-1 if i is None else i) for j in range(50)}
+        want.append((str(i), b" ".join(x for k, x in enumerate(w) if k not in gone).decode()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted((str(r.doc_id), r.kept_text) for r in substring_dedup(df).collect()) == sorted(want)
+
+
 def test_bpe_equals_the_tokenizer(spark, odd_docs):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     import tiktoken
