@@ -15,9 +15,9 @@
    vectors (iterations x domains), and nothing but those sums reaches the driver.
 
 Defined results: null and empty texts have no tokens and keep the rate of their
-posteriors; a domain with fewer than ``MIN_LABELLED`` labelled texts in the sample cannot
-be learned, its target is shared out over the others (where no domain has as many, those
-found are taken); without labelled rows there is one domain ``all``;
+posteriors; every domain with a labelled text is learned, however few there are (see
+``SHAPE_PRIOR``); the target of a domain without any labelled text is shared out over
+the others; without labelled rows there is one domain ``all``;
 repeated rows are rows of their own; an empty table gives an empty result; an input
 column named like a result column is replaced.
 """
@@ -36,8 +36,11 @@ from .text_classifier import PER_CLASS, VOCABULARY, Model, choose_vocabulary, fi
 TARGETS = {"q1t0": 0.93, "q0t0": 0.05, "q1t1": 0.015, "q0t1": 0.005}
 ANCHOR, ANCHOR_SCALE = "q1t0", 1.05   # the mixture holds 1.05 times the anchor domain's tokens
 STEPS, TOLERANCE = 40, 1e-9
-#: A domain known from a handful of texts would get its tokens by repeating unlike documents many times.
-MIN_LABELLED = 20
+L2 = 1e-3
+#: Prior of the classifier: a domain of n labelled texts has its shape weights held at zero with
+#: 1 + SHAPE_PRIOR / n times the strength.  Length and the like of a handful of texts say little of
+#: the domain, yet every document has a length; its words, which others lack, keep the common prior.
+SHAPE_PRIOR = 10_000
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
@@ -47,9 +50,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
 
     domain = F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
     sample = labelled_sample(docs, labels.select("doc_id", domain.alias("domain")), "domain", per_class)
-    found = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}   # one row a class
-    classes = sorted(y for y, n in found.items() if n >= MIN_LABELLED) or sorted(found)
-    sample = sample.where(F.col("y").isin(classes))
+    classes = sorted(r["y"] for r in sample.select("y").distinct().collect())   # one row a class
     if len(classes) < 2:
         one = Model(classes or ["all"], [], use_shape=False)
         one.weights, one.bias = np.zeros((0, 1)), np.zeros(1)
@@ -68,7 +69,9 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     got = sample.select("y", "text").mapInArrow(run, "y string, x array<float>").toArrow()
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(got.num_rows, model.width)
     y = np.array([classes.index(v) for v in got.column("y").to_pylist()])
-    return fit_softmax(model, x, y)
+    prior = np.full((model.width, len(classes)), L2)
+    prior[len(model.vocabulary):] *= 1 + SHAPE_PRIOR / np.bincount(y, minlength=len(classes))
+    return fit_softmax(model, x, y, l2=prior)
 
 
 def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:

@@ -176,9 +176,12 @@ class Model:
         return p / p.sum(axis=1, keepdims=True), counts
 
 
-def fit_softmax(model: Model, x, y, swaps=None, swap_weight: float = 0.0, l2: float = 1e-3, steps: int = 300,
+def fit_softmax(model: Model, x, y, swaps=None, swap_weight: float = 0.0, l2=1e-3, steps: int = 300,
                 rate: float = 0.1) -> Model:
-    """Full-batch Adam; ``swaps`` rows are feature changes whose effect on the logits is penalised."""
+    """Full-batch Adam; ``swaps`` rows are feature changes whose effect on the logits is penalised.
+
+    ``l2``: one number, or one a weight ([features, classes]).
+    """
     import numpy as np
 
     k, n = len(model.classes), max(len(y), 1)

@@ -303,6 +303,19 @@ def test_mixing_meets_targets(spark):
     assert soft_mixture(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])   # q0t1 has 2 and 9 labelled texts
+def test_mixing_keeps_thinly_labelled_domains(spark, sf):
+    from riskloom.llm.mixing import ANCHOR, ANCHOR_SCALE, TARGETS, soft_mixture
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = soft_mixture(docs, labels, keep_text=False).select("n_tokens", "posteriors", "rate").collect()
+    n, r, p = (np.array([x[c] for x in rows], float) for c in ("n_tokens", "rate", "posteriors"))
+    names = sorted(TARGETS)
+    assert p.shape == (docs.count(), len(names))
+    size = ANCHOR_SCALE * (n @ p[:, names.index(ANCHOR)]) / TARGETS[ANCHOR]
+    assert np.allclose((r * n) @ p, [TARGETS[c] * size for c in names], rtol=1e-4)
+
+
 def test_stage_columns():
     import corpus_pipeline
 
