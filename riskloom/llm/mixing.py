@@ -8,8 +8,11 @@
    from the targets.  Projected gradient: ``r <- max(0, r - p . inv(M) e)`` with the
    residual ``e``.  In this metric the step length 1 is the inverse of the largest
    eigenvalue, and one step is exact until a rate meets zero.  From then on M is
-   taken over the documents whose rate is above zero (a longer step), unless that
-   step would not bring the totals closer; then M is that of all documents.
+   taken over the documents whose rate is above zero (a longer step), halved while it
+   does not bring the totals closer; after ``HALVES`` M is that of all documents.  The
+   fit ends when the totals meet the targets, or when a step with all documents' M
+   stands still: the targets are then out of reach and the distance is the least
+   there is.  Any distance left is told as a warning.
 3. A step needs only the residual, one sum over all documents.  A document's rate is
    the fold of all steps so far, so the state of the fit is the list of step
    vectors (iterations x domains), and nothing but those sums reaches the driver.
@@ -35,7 +38,9 @@ from .text_classifier import PER_CLASS, VOCABULARY, Model, choose_vocabulary, fi
 #: Target token weights of the registered query and the pipeline.
 TARGETS = {"q1t0": 0.93, "q0t0": 0.05, "q1t1": 0.015, "q0t1": 0.005}
 ANCHOR, ANCHOR_SCALE = "q1t0", 1.05   # the mixture holds 1.05 times the anchor domain's tokens
-STEPS, TOLERANCE = 40, 1e-9
+#: STEPS bounds the sums over all documents of a fit that only creeps closer; the warning tells that too.
+STEPS, TOLERANCE, HALVES = 400, 1e-9, 6
+STILL = 1e-6        # size of a step, as a part of the targets, that counts as none
 L2 = 1e-3
 #: Prior of the classifier: a domain of n labelled texts has its shape weights held at zero with
 #: 1 + SHAPE_PRIOR / n times the strength.  Length and the like of a handful of texts say little of
@@ -132,7 +137,12 @@ def _totals(narrow: DataFrame, steps, k: int):
 
 def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float], anchor: str | None = ANCHOR,
               anchor_scale: float = ANCHOR_SCALE, steps: int = STEPS, tolerance: float = TOLERANCE):
-    """Step vectors of the projected gradient and the target totals, for a table ``n_tokens, posteriors``."""
+    """Step vectors of the projected gradient and the target totals, for a table ``n_tokens, posteriors``.
+
+    Warns with the distance that is left when the totals do not meet the targets.
+    """
+    import warnings
+
     import numpy as np
 
     k = len(classes)
@@ -145,17 +155,26 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
         size = anchor_scale * now[classes.index(anchor)] / weight[classes.index(anchor)]
     goal = weight * size
     done: list = []
-    bold = True
-    for _ in range(steps):
-        e = now - goal
-        if np.abs(e).sum() <= tolerance * max(goal.sum(), 1.0):
-            break
-        step = (np.linalg.pinv(moments, rcond=1e-12) if bold else whole) @ e
+    halved, tries, why = 0, 0, "still getting closer"
+    scale = max(goal.sum(), 1.0)
+    while np.abs(now - goal).sum() > tolerance * scale and tries < steps:
+        tries += 1
+        e, bold = now - goal, halved <= HALVES
+        step = (np.linalg.pinv(moments, rcond=1e-12) / 2 ** halved if bold else whole) @ e
         then, moved = _totals(narrow, [*done, step], k)
-        if bold and np.abs(then - goal).sum() >= np.abs(e).sum():
-            bold = False        # the longer step overshot: take the sure one next
+        gain = e @ whole @ e - (then - goal) @ whole @ (then - goal)
+        if bold and gain < 0.1 / 2 ** halved * (e @ whole @ e):
+            halved += 1         # the longer step overshot or hardly moved
             continue
-        done, now, moments, bold = [*done, step], then, moved, True
+        # a sure step's gain is half the square of the rates' change at least
+        if not bold and gain <= STILL ** 2 * (goal @ whole @ goal):
+            why = "out of reach"
+            break
+        done, now, moments, halved = [*done, step], then, moved, max(0, halved - 1) if bold else 0
+    left = np.abs(now - goal).sum() / scale
+    if left > tolerance:
+        warnings.warn(f"mixing: totals are {left:.3g} of their sum from the targets after {tries} tries, {why}",
+                      RuntimeWarning, stacklevel=2)
     return done, goal
 
 

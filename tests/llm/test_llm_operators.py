@@ -303,6 +303,25 @@ def test_mixing_meets_targets(spark):
     assert soft_mixture(docs.limit(0), labels).count() == 0
 
 
+def test_mixing_fits_to_the_end(spark, recwarn):
+    """Many rates end at zero: slow, yet met; targets out of reach are told with their distance."""
+    from riskloom.llm.mixing import fit_rates, fold_steps
+
+    p = np.random.default_rng(7).dirichlet((14, 0.4, 1.5), 3000)
+    n = np.random.default_rng(1).integers(5, 900, 3000)
+
+    def table(p):
+        return spark.createDataFrame([(int(k), q.tolist()) for k, q in zip(n, p)],
+                                     "n_tokens long, posteriors array<double>").coalesce(1).cache()
+
+    steps, goal = fit_rates(table(p), ["a", "b", "c"], {"a": 0.93, "b": 0.055, "c": 0.015}, anchor=None)
+    rates = fold_steps(p, steps)
+    assert (rates == 0).mean() > 0.5 and np.allclose((rates * n) @ p, goal, rtol=1e-6)
+    assert not [w for w in recwarn.list if w.category is RuntimeWarning]
+    with pytest.warns(RuntimeWarning, match="out of reach"):
+        fit_rates(table(np.tile([0.8, 0.2], (3000, 1))), ["a", "b"], {"a": 0.5, "b": 0.5}, anchor=None)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])   # q0t1 has 2 and 9 labelled texts
 def test_mixing_keeps_thinly_labelled_domains(spark, sf):
     from riskloom.llm.mixing import ANCHOR, ANCHOR_SCALE, TARGETS, soft_mixture
