@@ -10,7 +10,10 @@ from . import (
     jaccard_groups,
     language_gru,
     mixing,
+    periodic_runs,
+    prefix_trie,
     quality_rules,
+    token_counts,
     toxicity,
     warc_normalise,
 )
@@ -28,6 +31,9 @@ def queries() -> dict:
         "op8_topk": impact_topk.op8_topk,
         "op9_chat_windows": chat_windows.op9_chat_windows,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+        "op13_token_counts": token_counts.op13_token_counts,
     }
 
 
@@ -40,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_topk": impact_topk.oracle_sql(),
         "op9_chat_windows": chat_windows.oracle_sql(),
         "op10_quality_rules": quality_rules.oracle_sql(),
+        "op11_prefix_trie": prefix_trie.oracle_sql(),
     }
