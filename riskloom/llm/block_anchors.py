@@ -5,17 +5,23 @@ blocks' grid starts.  So
 
 1. every document's non-overlapping 25-word blocks are indexed by hash and every
    rolling 25-word window of every document probes the index;
-2. where a probe hits, or a block is hit, the 50-word windows around it are
-   candidates; equal candidates are compared by a 64-bit hash inside hash
-   partitions, and a window is repeated when a document with a smaller doc_id
-   has it too;
+2. a hit is extended to all 50-word windows that hold it, in both directions.
+   Equal extensions are found by a 64-bit hash, and a window is repeated when a document
+   with a smaller doc_id has it too.  (A comparison of the holders of a block, word by
+   word, would put all holders of a common block into one task.);
 3. repeated windows that touch are merged into maximal exact repeats, whose words
    are removed.
 
-Probes travel packed: for each block of documents and each hash partition one row
+Windows are dealt by the least hash of their 5-word shingles: equal windows meet, and
+neighbouring ones mostly travel together.  So hits come back as runs of windows, and their
+number depends on the texts and not on the number of partitions.  Shingles that rule far
+more windows than a partition should hold, as a sample of the documents tells, do not deal:
+their windows go by their own hash.  The sample steers only where windows meet.
+
+Probes travel packed: for each block of documents and each partition one row
 holds 32-bit hash remainders and compressed positions, about six bytes a
-probe.  The remainder decides candidates only; 50-word windows use 64 bits plus the
-partition's bits.  Hashes that several documents of a block share are settled
+probe.  The remainder decides candidates only; 50-word windows use 64 bits.
+Hashes that several documents of a block share are settled
 there and sent once for the block, so a passage in a third of all documents costs
 one entry a block, not one a document.  Texts of documents without a hit are
 never shuffled.
@@ -44,10 +50,13 @@ ENTRIES_PER_PARTITION = 1_500_000
 BYTES_PER_WORD = 6
 BROADCAST_IDS = 2_000_000
 NULL_ID = -(1 << 63)
+SHINGLE = 5
+HOT_PARTS = 4                         # a shingle that rules as many windows as so many partitions does not deal
+SAMPLE_RATE, SAMPLE_BYTES = 1 / 512, 16_000_000   # documents looked at for such shingles: the larger of both
 
 PACKED = "part int, blob binary, pos binary, flags binary, ids binary, tags binary, starts binary, "\
-         "doc_id long, tag long, offsets array<int>"
-HITS = "doc_id long, tag long, offsets array<int>"
+         "doc_id long, tag long, start int, len int"
+HITS = "doc_id long, tag long, start int, len int"
 
 
 def _pack(a) -> bytes:
@@ -105,32 +114,60 @@ def _runs(order, *keys):
     return np.flatnonzero(new)
 
 
+def _least_shingles(words, width: int):
+    """Least hash of the shingles in every window of ``width`` words (windows may cross documents)."""
+    import numpy as np
+
+    low, have, want = window_hashes(words, SHINGLE), 1, width - SHINGLE + 1
+    while have < want:
+        step = min(have, want - have)
+        low = np.minimum(low[:-step], low[step:])
+        have += step
+    return low
+
+
+def _dealt(words, pos, own, width: int, hot, parts: int):
+    """Partition of the windows at ``pos``: by their least shingle, by their own hash where that is hot."""
+    import numpy as np
+
+    least = _least_shingles(words, width)[pos]
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+        least = np.where(hot[at] == least, own, least)
+    return (mixed(least ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)).astype(np.int64)
+
+
+def _run_bounds(pos, doc):
+    """First index and length of every run of consecutive positions in one document (positions ascend)."""
+    import numpy as np
+
+    first = np.flatnonzero((np.diff(pos, prepend=-2) != 1) | (np.diff(doc, prepend=-1) != 0))
+    return first, np.diff(np.append(first, len(pos)))
+
+
 def _local_rows(docs: _Documents, pos, part: int):
-    """Rows that carry positions settled inside the block: (doc_id, tag, offsets)."""
+    """Rows that carry runs of positions settled inside the block: (doc_id, tag, start, len)."""
     import numpy as np
 
     pos = np.sort(pos)
     which = docs.doc[pos]
-    for cut in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(which)) + 1):
-        if len(cut):
-            d = which[cut[0]]
-            yield (part, None, None, None, None, None, None, int(docs.ids[d]), int(docs.tags[d]),
-                   (pos[cut] - docs.starts[d]).astype(np.int32))
+    first, size = _run_bounds(pos, which)
+    d = which[first]
+    for i, g, a, n in zip(docs.ids[d].tolist(), docs.tags[d].tolist(), (pos[first] - docs.starts[d]).tolist(), size.tolist()):
+        yield (part, None, None, None, None, None, None, i, g, a, n)
 
 
-def _packed_rows(docs: _Documents, pos, low, part, flags, parts: int, dtype):
-    """One row for each hash partition with the entries at ``pos``."""
+def _packed_rows(docs: _Documents, pos, low, part, flags, dtype):
+    """One row for each partition with entries at ``pos``."""
     import numpy as np
 
     order = np.lexsort((pos, part))
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in range(parts):
-        own = order[bounds[p]:bounds[p + 1]]
-        if len(own):
-            at = pos[own].astype(np.uint32)
-            used = np.unique(docs.doc[at])
-            yield (p, low[own].astype(dtype).tobytes(), _pack(at), np.packbits(flags[own]).tobytes(),
-                   _pack(docs.ids[used]), docs.tags[used].tobytes(), _pack(docs.starts[used]), None, None, None)
+    first = np.flatnonzero(np.diff(part[order], prepend=-1))
+    for own in np.split(order, first[1:]) if len(order) else ():
+        at = pos[own].astype(np.uint32)
+        used = np.unique(docs.doc[at])
+        yield (int(part[own[0]]), low[own].astype(dtype).tobytes(), _pack(at), np.packbits(flags[own]).tobytes(),
+               _pack(docs.ids[used]), docs.tags[used].tobytes(), _pack(docs.starts[used]), None, None, None, None)
 
 
 def _task() -> int:
@@ -159,15 +196,38 @@ def _blocks(batches):
 def _arrow(rows):
     import pyarrow as pa
 
-    kinds = (pa.int32(), *[pa.binary()] * 6, pa.int64(), pa.int64(),
-             pa.list_(pa.int32()))
+    kinds = (pa.int32(), *[pa.binary()] * 6, pa.int64(), pa.int64(), pa.int32(), pa.int32())
     names = [f.split()[0] for f in PACKED.split(", ")]
     cols = list(zip(*rows)) if rows else [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
 
-def anchor_probes(docs: DataFrame, parts: int) -> DataFrame:
-    """Packed probes (every rolling 25-word window, flagged when it is an aligned block)."""
+def hot_shingles(docs: DataFrame, parts: int, size: int):
+    """Sorted hashes of the shingles that rule too many windows; fewer than ``parts``."""
+    import numpy as np
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for block in _blocks(batches):
+            d = _Documents(*block)
+            pos = d.positions(BLOCK_WORDS)
+            least, n = np.unique(_least_shingles(d.words, BLOCK_WORDS)[pos] if len(pos) else np.empty(0, np.uint64),
+                                 return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n, pa.int64())],
+                                             names=["least", "n"])
+
+    rate = max(SAMPLE_RATE, SAMPLE_BYTES / max(size, 1))
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "tag", F.lit("route")), F.lit(1 << 20)) < int(rate * (1 << 20)))
+    counts = materialize(some.mapInArrow(run, "least long, n long").groupBy("least").agg(F.sum("n").alias("n")), "shingles")
+    bound = (counts.agg(F.sum("n")).first()[0] or 0) * HOT_PARTS / parts
+    rows = counts.where(F.col("n") > bound).select("least").collect()      # fewer than parts / HOT_PARTS rows
+    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def anchor_probes(docs: DataFrame, parts: int, hot) -> DataFrame:
+    """Packed probes (every rolling 25-word window, flagged when it is an aligned block); ``hot`` is broadcast."""
     def run(batches):
         import numpy as np
 
@@ -191,9 +251,8 @@ def anchor_probes(docs: DataFrame, parts: int) -> DataFrame:
             send[first[several]] = True
             own = order[send]
             flags = np.stack([any_aligned[send], ~shared[send]], axis=1)
-            yield _arrow(list(_packed_rows(d, pos[own], h[own] & np.uint64(0xFFFFFFFF),
-                                           ((h[own] >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), flags,
-                                           parts, np.uint32)))
+            part = _dealt(d.words, pos[own], h[own], BLOCK_WORDS, hot.value, parts)
+            yield _arrow(list(_packed_rows(d, pos[own], h[own] & np.uint64(0xFFFFFFFF), part, flags, np.uint32)))
 
     return docs.mapInArrow(run, PACKED)
 
@@ -224,29 +283,19 @@ def _entries(table, dtype):
     return [np.concatenate(x) for x in (hs, rows, docs, offs, flags, ids, tags)]
 
 
-def _hit_table(ids, tags, docs, offs, passed):
-    """Arrow table (doc_id, tag, offsets): the hit entries by document, then the rows settled before."""
+def _hit_table(ids, tags, docs, offs, table):
+    """Arrow table (doc_id, tag, start, len): runs of the hit entries, then the rows settled before."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    out_ids, out_tags, out_offs = [], [], []
-    if len(docs):
-        order = np.lexsort((offs, docs))
-        docs, offs = docs[order], offs[order].astype(np.int32)
-        cuts = np.flatnonzero(np.diff(docs)) + 1
-        each = docs[np.concatenate([[0], cuts])]
-        out_ids, out_tags = ids[each].tolist(), tags[each].tolist()
-        out_offs = np.split(offs, cuts)
-    for i, g, o in passed:
-        out_ids.append(i)
-        out_tags.append(g)
-        out_offs.append(o)
-    return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "tag": pa.array(out_tags, pa.int64()),
-                     "offsets": pa.array(out_offs, pa.list_(pa.int32()))})
-
-
-def _settled(table):
-    return [r for r in zip(*(table.column(c).to_pylist() for c in ("doc_id", "tag", "offsets"))) if r[0] is not None]
+    order = np.lexsort((offs, docs))
+    docs, offs = docs[order], offs[order].astype(np.int64)
+    first, size = _run_bounds(offs, docs)
+    own = pa.table({"doc_id": pa.array(ids[docs[first]], pa.int64()), "tag": pa.array(tags[docs[first]], pa.int64()),
+                    "start": pa.array(offs[first], pa.int32()), "len": pa.array(size, pa.int32())})
+    settled = table.select(own.column_names).filter(pc.is_valid(table.column("doc_id")))
+    return pa.concat_tables([own, settled.cast(own.schema)])
 
 
 def match_anchors(probes: DataFrame) -> DataFrame:
@@ -256,7 +305,7 @@ def match_anchors(probes: DataFrame) -> DataFrame:
 
         got = _entries(table, np.uint32)
         if got is None:
-            return _hit_table(*[np.empty(0, np.int64)] * 4, _settled(table))
+            return _hit_table(*[np.empty(0, np.int64)] * 4, table)
         h, row, doc, off, flags, ids, tags = got
         order = np.argsort(h, kind="stable")
         first = _runs(order, h)
@@ -268,20 +317,32 @@ def match_anchors(probes: DataFrame) -> DataFrame:
         hit = np.repeat(blocks & differs, size)
         use = order[hit]
         use = use[flags[use, 1] == 1]
-        return _hit_table(ids, tags, doc[use], off[use], _settled(table))
+        return _hit_table(ids, tags, doc[use], off[use], table)
 
     return probes.groupBy("part").applyInArrow(run, HITS)
 
 
-def window_candidates(docs: DataFrame, parts: int) -> DataFrame:
-    """Packed 50-word windows around hits; ``docs`` is (doc_id, tag, text, offsets of hits)."""
+def _runs_column(column):
+    """Start and length arrays of every row of a column of runs (null: none)."""
+    import numpy as np
+
+    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    flat = column.flatten()
+    starts, sizes = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+    ends = np.cumsum([0 if n is None else n for n in column.value_lengths().to_pylist()], dtype=np.int64)
+    return list(zip(np.split(starts, ends[:-1]), np.split(sizes, ends[:-1]))) if len(ends) else []
+
+
+def window_candidates(docs: DataFrame, parts: int, hot) -> DataFrame:
+    """Packed 50-word windows that extend hits; ``docs`` is (doc_id, tag, text, runs of hits)."""
     def run(batches):
         import numpy as np
 
         def cut():
             rows, size = [], 0
             for batch in batches:
-                for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "text", "offsets"))):
+                for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "text")),
+                             _runs_column(batch.column("runs"))):
                     if rows and size + len(r[2] or "") > BLOCK_CHARS:
                         yield rows
                         rows, size = [], 0
@@ -296,11 +357,12 @@ def window_candidates(docs: DataFrame, parts: int) -> DataFrame:
                 continue
             near = np.zeros(len(d.words) + 1, np.int32)
             for k, i in enumerate(d.rows):
-                hit = np.asarray(rows[i][3], dtype=np.int64)
-                hit = hit[hit + BLOCK_WORDS <= d.lengths[k]]
-                # a window holds the hit when it starts at most 25 words before it
-                np.add.at(near, d.starts[k] + np.maximum(hit - (WINDOW - BLOCK_WORDS), 0), 1)
-                np.add.at(near, d.starts[k] + hit + 1, -1)
+                first, size = rows[i][3]
+                last = np.minimum(first + size - 1, d.lengths[k] - BLOCK_WORDS)   # of windows of this text
+                first, last = first[first <= last], last[first <= last]
+                # a window holds a hit when it starts at most 25 words before it
+                np.add.at(near, d.starts[k] + np.maximum(first - (WINDOW - BLOCK_WORDS), 0), 1)
+                np.add.at(near, d.starts[k] + last + 1, -1)
             pos = d.positions(WINDOW)
             pos = pos[np.cumsum(near)[pos] > 0]
             if not len(pos):
@@ -314,9 +376,9 @@ def window_candidates(docs: DataFrame, parts: int) -> DataFrame:
             later = owner[order] != least
             yield _arrow(list(_local_rows(d, pos[order[later]], number % parts)))
             own = order[~later]
-            part = (mixed(w[own] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)).astype(np.int64)
+            part = _dealt(d.words, pos[own], w[own], WINDOW, hot.value, parts)
             flags = np.ones((len(own), 2), bool)
-            yield _arrow(list(_packed_rows(d, pos[own], w[own], part, flags, parts, np.uint64)))
+            yield _arrow(list(_packed_rows(d, pos[own], w[own], part, flags, np.uint64)))
 
     return docs.mapInArrow(run, PACKED)
 
@@ -328,56 +390,59 @@ def match_windows(candidates: DataFrame) -> DataFrame:
 
         got = _entries(table, np.uint64)
         if got is None:
-            return _hit_table(*[np.empty(0, np.int64)] * 4, _settled(table))
+            return _hit_table(*[np.empty(0, np.int64)] * 4, table)
         h, _, doc, off, _, ids, tags = got
         order = np.argsort(h, kind="stable")
         first = _runs(order, h)
         owner = ids[doc[order]]
         least = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, len(order))))
         use = order[owner > least]
-        return _hit_table(ids, tags, doc[use], off[use], _settled(table))
+        return _hit_table(ids, tags, doc[use], off[use], table)
 
     return candidates.groupBy("part").applyInArrow(run, HITS)
 
 
 def _by_document(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("offsets")).alias("offsets"))
-
-
-def _only(docs: DataFrame, ids: DataFrame, n: int, how: str) -> DataFrame:
-    """Rows of ``docs`` with (or without) the ids; ids are broadcast within the bound."""
-    ids = ids.select(F.col("doc_id").alias("__hit"))
-    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, F.col("__id") == F.col("__hit"), how)
+    return hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "len")).alias("runs"))
 
 
-def substring_dedup(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, text_col: str = "text", parts: int | None = None) -> DataFrame:
     """Add ``n_words, n_removed, spans`` (start and length in words of each removed repeat) and ``kept_text``.
 
     ``kept_text`` is the text itself when nothing is removed, else the kept words
-    joined by one space.
+    joined by one space.  ``parts`` sets the number of partitions that windows are dealt to.
     """
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "spans", "kept_text")]
-    rows = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__id"),
-                       F.col(text_col).cast("string").alias("__text")).withColumn("__tag", F.xxhash64("__text"))
-    texts = rows.select(F.col("__id").alias("doc_id"), F.col("__tag").alias("tag"), F.col("__text").alias("text"))
+    mark = "__"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    row_id, row_tag, row_text, row_runs, hit, hit_tag = (mark + c for c in ("id", "tag", "text", "runs", "hit", "hit_tag"))
+    rows = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias(row_id),
+                       F.col(text_col).cast("string").alias(row_text)).withColumn(row_tag, F.xxhash64(row_text))
+    texts = rows.select(F.col(row_id).alias("doc_id"), F.col(row_tag).alias("tag"), F.col(row_text).alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(8, -(-size // (BYTES_PER_WORD * ENTRIES_PER_PARTITION)))
-    hits = materialize(_by_document(match_anchors(anchor_probes(texts, parts))), "anchor-hits")
-    n_hit = hits.count()
-    # equal rows of a doc_id share the offsets, rows with other texts have their own
-    touched = _only(rows, hits, n_hit, "left_semi")
-    found = touched.select("__id", "__tag", "__text").join(
-        hits, (F.col("__id") == hits["doc_id"]) & (F.col("__tag") == hits["tag"])).select(
-        "doc_id", "tag", F.col("__text").alias("text"), "offsets")
-    repeats = materialize(_by_document(match_windows(window_candidates(found, parts))), "repeats")
-    repeats = repeats.select(F.col("doc_id").alias("__rep"), F.col("tag").alias("__rep_tag"), "offsets")
-    marked = touched.join(repeats, (F.col("__id") == F.col("__rep")) & (F.col("__tag") == F.col("__rep_tag")),
-                          "left").select(*keep, "__text", "offsets")
-    clean = _only(rows, hits, n_hit, "left_anti").select(*keep, "__text", F.lit(None).cast("array<int>").alias("offsets"))
-    return _removed(clean, keep).unionByName(_removed(marked, keep))
-
-
-def _removed(rows: DataFrame, keep: list[str]) -> DataFrame:
+    parts = parts or max(8, -(-size // (BYTES_PER_WORD * ENTRIES_PER_PARTITION)))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(texts, parts, size))
+    hits = materialize(_by_document(match_anchors(anchor_probes(texts, parts, hot))), "anchor-hits")
+    # equal rows of a doc_id share the runs, rows with other texts have their own
+    n_hit, ids = hits.count(), hits.select(F.col("doc_id").alias(hit))
+    ids = F.broadcast(ids) if n_hit <= BROADCAST_IDS else ids
+    touched = rows.join(ids, F.col(row_id) == F.col(hit), "left_semi")
+    clean = rows.join(ids, F.col(row_id) == F.col(hit), "left_anti")
+
+    def attached(found: DataFrame, how: str) -> DataFrame:
+        found = found.select(F.col("doc_id").alias(hit), F.col("tag").alias(hit_tag), F.col("runs").alias(row_runs))
+        return touched.join(found, (F.col(row_id) == F.col(hit)) & (F.col(row_tag) == F.col(hit_tag)), how)
+
+    found = attached(hits, "inner").select(F.col(row_id).alias("doc_id"), F.col(row_tag).alias("tag"),
+                                           F.col(row_text).alias("text"), F.col(row_runs).alias("runs"))
+    repeats = materialize(_by_document(match_windows(window_candidates(found, parts, hot))), "repeats")
+    marked = attached(repeats, "left").select(*keep, row_text, row_runs)
+    clean = clean.select(*keep, row_text, F.lit(None).cast(hits.schema["runs"].dataType).alias(row_runs))
+    return _removed(clean, keep, row_text, row_runs).unionByName(_removed(marked, keep, row_text, row_runs))
+
+
+def _removed(rows: DataFrame, keep: list[str], row_text: str, row_runs: str) -> DataFrame:
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("len", T.IntegerType())]))
     schema = T.StructType([rows.schema[c] for c in keep] + [
         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -390,19 +455,24 @@ def _removed(rows: DataFrame, keep: list[str]) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("len", pa.int32())]))
         for batch in batches:
             n_words, n_removed, spans, kept = [], [], [], []
-            for text, offs in zip(batch.column("__text").to_pylist(), batch.column("offsets").to_pylist()):
+            for text, (first, size) in zip(batch.column(row_text).to_pylist(), _runs_column(batch.column(row_runs))):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 n_words.append(len(words))
+                if not len(first):
+                    n_removed.append(0)
+                    spans.append([])
+                    kept.append(text)
+                    continue
                 edge = np.zeros(len(words) + 1, np.int32)
-                at = np.asarray(offs or (), dtype=np.int64)
-                at = at[at + WINDOW <= len(words)]
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
+                last = np.minimum(first + size - 1, len(words) - WINDOW)
+                first, last = first[first <= last], last[first <= last]
+                np.add.at(edge, first, 1)
+                np.add.at(edge, last + WINDOW, -1)
                 cover = np.cumsum(edge)[:-1] > 0
                 n_removed.append(int(cover.sum()))
                 step = np.flatnonzero(np.diff(np.concatenate([[0], cover.astype(np.int8), [0]])))
                 spans.append([{"start": int(a), "len": int(b - a)} for a, b in zip(step[::2], step[1::2])])
-                kept.append(text if not len(at) else b" ".join(
+                kept.append(text if not cover.any() else b" ".join(
                     w for w, c in zip(words, cover) if not c).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(keep).columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
