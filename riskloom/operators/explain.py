@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import config as C
 from ..config import RuleConfig
 from ..functions import text as X
 from ..functions.timecols import iso_format
-from .reports import flagged, flagged_sample
+from ..session import materialize
+from .reports import flagged, flagged_sample, flat_detailed
 from .scoring import with_hits
 
 # The record handed to the explainer (field order of the JSON rendering).
@@ -91,22 +93,47 @@ def _explainer_batches(fn: Callable[[dict], str]):
     return run
 
 
+def template_text(txn_id, score, severity, rule_names):
+    """The default explanation as a column (missing values as ``None``, like :func:`template_explainer`)."""
+    names = F.when(rule_names == "", F.lit("no rules triggered")).otherwise(rule_names)
+    return F.concat(X.py_str(txn_id), F.lit(" scored "), X.py_str(score), F.lit(" ("), X.py_str(severity), F.lit("): "),
+                    F.coalesce(names, F.lit("no rules triggered")))
+
+
 def explain_with(scored: DataFrame, rules: RuleConfig,
                  explainer: Callable[[dict], str] = template_explainer) -> DataFrame:
-    """``txn_id, seq, ai_explanation`` for the flagged rows (others get ``''`` via :func:`attach_explanations`).
+    """``txn_id, seq, ai_explanation`` for the flagged rows.
 
     The default template is one ``concat``; only a caller's function runs in Python.
     """
     if explainer is template_explainer:
-        names = F.when(F.col("rule_names") == "", F.lit("no rules triggered")).otherwise(F.col("rule_names"))
-        return explain_inputs(scored, rules).select("txn_id", "seq", F.concat(
-            "txn_id", F.lit(" scored "), F.col("score").cast("string"), F.lit(" ("), F.col("severity"), F.lit("): "),
-            F.coalesce(names, F.lit("no rules triggered"))).alias("ai_explanation"))
+        return explain_inputs(scored, rules).select("txn_id", "seq", template_text(
+            F.col("txn_id"), F.col("score"), F.col("severity"), F.col("rule_names")).alias("ai_explanation"))
     return explain_inputs(scored, rules).mapInPandas(_explainer_batches(explainer), _EXPLAIN_SCHEMA)
 
 
+def explained_table(scored: DataFrame, rules: RuleConfig,
+                    explainer: Callable[[dict], str] = template_explainer) -> DataFrame:
+    """The flat detailed table with ``ai_explanation``: the row's own text where it is flagged, else ``''``.
+
+    The default template is part of the one projection.  With a caller's function the scored
+    rows are written once, flagged ones go through it, and texts come back by ``seq``, which is unique
+    where a txn_id may repeat.
+    """
+    if explainer is template_explainer:
+        text = F.when(F.col("status") == C.STATUS_FLAG, template_text(
+            F.col("txn_id"), F.col("total_score"), F.col("severity"), X.hits_names(F.col("rules_triggered")))
+        ).otherwise(F.lit(""))
+        return flat_detailed(scored, rules, keep_rule_objects=False, extra={"ai_explanation": text})
+    scored = materialize(scored, "scored")
+    flat = flat_detailed(scored, rules, keep_rule_objects=False, extra={"__row": F.col("seq")})
+    texts = explain_with(scored, rules, explainer).select(F.col("seq").alias("__row"), "ai_explanation")
+    return flat.join(texts, "__row", "left").drop("__row").withColumn(
+        "ai_explanation", F.coalesce("ai_explanation", F.lit("")))
+
+
 def attach_explanations(flat: DataFrame, explanations: DataFrame) -> DataFrame:
-    """Left-join explanations onto a flat table; non-flagged rows get ``''``.
+    """Left-join explanations onto a flat table; rows that are not flagged get ``''``.
 
     Joined by ``seq`` where the flat table has it, else by ``txn_id`` (one
     explanation a transaction id, so rows are never multiplied).
@@ -114,7 +141,8 @@ def attach_explanations(flat: DataFrame, explanations: DataFrame) -> DataFrame:
     key = "seq" if "seq" in flat.columns else "txn_id"
     e = explanations.groupBy(F.col(key).alias("__ekey")).agg(F.min("ai_explanation").alias("ai_explanation"))
     out = flat.join(e, flat[key] == e["__ekey"], "left").drop("__ekey")
-    return out.withColumn("ai_explanation", F.coalesce(F.col("ai_explanation"), F.lit("")))
+    return out.withColumn("ai_explanation", F.when(F.col("status") == C.STATUS_FLAG, F.coalesce(
+        F.col("ai_explanation"), F.lit(""))).otherwise(F.lit("")))
 
 
 def summary_prompt(scored: DataFrame, top_n: int = 10) -> DataFrame:

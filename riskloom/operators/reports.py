@@ -80,8 +80,12 @@ def flat_short(scored: DataFrame, rules: RuleConfig) -> DataFrame:
     )
 
 
-def flat_detailed(scored: DataFrame, rules: RuleConfig, keep_rule_objects: bool = True) -> DataFrame:
-    """Flat table with detailed rule text, plus the hit array for explainers."""
+def flat_detailed(scored: DataFrame, rules: RuleConfig, keep_rule_objects: bool = True,
+                  extra: dict | None = None) -> DataFrame:
+    """Flat table with detailed rule text, plus the hit array for explainers.
+
+    ``extra`` names further columns, as expressions over the scored row and its hit array.
+    """
     h = with_hits(scored, rules)
     cols = [
         "txn_id", "user_id", "amount", "currency", "card_country", "ip_country", "merchant_mcc", "device_id",
@@ -91,7 +95,7 @@ def flat_detailed(scored: DataFrame, rules: RuleConfig, keep_rule_objects: bool
     ]
     if keep_rule_objects:
         cols.append(F.col("rules_triggered").alias("_rule_objects"))
-    return h.select(*cols)
+    return h.select(*cols, *[c.alias(name) for name, c in (extra or {}).items()])
 
 
 def display_table(flat: DataFrame) -> DataFrame:

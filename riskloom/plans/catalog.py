@@ -182,8 +182,7 @@ def result_display(spark, sf_dir):
 
 def result_explained(spark, sf_dir):
     """The detailed flat table of all rows with ``ai_explanation``: the template's text on flagged rows, else ''."""
-    scored = _scored(spark, sf_dir, H)
-    return E.attach_explanations(P.flat_detailed(scored, RULES, keep_rule_objects=False), E.explain_with(scored, RULES))
+    return E.explained_table(_scored(spark, sf_dir, H), RULES)
 
 
 def summary(spark, sf_dir):

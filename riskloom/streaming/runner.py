@@ -1,91 +1,63 @@
-"""Running the stream scorer over files: sources, end-of-input marker, sinks.
+"""Running the stream scorer over files: sources, end of input, results.
 
-A file-source stream over the events table is scored with
-:func:`~riskloom.streaming.scorer.stream_scores` and written with a Parquet
-sink (exactly-once through the query checkpoint).  Stream state, sink files
-and the checkpoint live under the session's reliable checkpoint directory (the
+A file-source stream over the events table is scored batch by batch with
+:class:`~riskloom.streaming.batches.BatchScorer`.  Its tables, the results and the
+checkpoint live under the session's reliable checkpoint directory (the
 cluster's shared folder), never in a machine-local folder.
 
-Finite runs: rows are released only once the watermark passes them, so a run
-over a finite input appends one end-of-input marker — an event far in the
-future — after the data; the watermark then passes every real row and the
-event-time timeouts release them.  The marker itself is never released.
+Finite runs: when the data is used up, the rows that are still pending are final; no marker row is needed.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RuleConfig
+from .. import config as C
+from ..config import DEFAULT_EXEC, ExecConfig, RuleConfig
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import transactions_from_event_frame
-from .scorer import stream_scores, stream_window_scores
-
-END_OF_INPUT_TIME = dt.datetime(2200, 1, 1)  # far future, yet within pandas' timestamp range
+from .batches import BatchScorer
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def end_of_input_marker(spark: SparkSession, events_schema, path: str) -> str:
-    row = {f.name: None for f in events_schema.fields}
-    row.update({"event_id": -1, "ts": END_OF_INPUT_TIME})
-    spark.createDataFrame([tuple(row[f.name] for f in events_schema.fields)], events_schema) \
-        .write.mode("append").parquet(path)
-    return path
-
-
-def _covering_delay(spark: SparkSession, sf_dir: str) -> str:
-    """A delay as long as the time span of the events (one row to the driver)."""
+def _covering_delay(spark: SparkSession, sf_dir: str) -> int:
+    """Seconds as long as the time span of the events (one row to the driver)."""
     ts = F.col("ts").cast("timestamp").cast("long")
     lo, hi = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(F.min(ts), F.max(ts)).first()
-    return f"{(hi or 0) - (lo or 0) + 1} seconds"
+    return (hi or 0) - (lo or 0) + 1
 
 
 def score_events_stream(spark: SparkSession, sf_dir: str, rules: RuleConfig, base: str | None = None,
-                        max_files_per_trigger: int | None = None, watermark_delay: str | None = None,
-                        dialect: str = "history"):
-    """Run an ``availableNow`` stream over ``events``; returns (query of the last run, output path).
+                        max_files_per_trigger: int | None = None, delay_seconds: float | None = None,
+                        dialect: str = C.DIALECT_HISTORY, exec_cfg: ExecConfig = DEFAULT_EXEC):
+    """Run an ``availableNow`` stream over ``events`` to its end; returns (query, path of the scored rows).
 
-    The data runs first, in as many batches as its files need.  Only when they are
-    used up is the end-of-input marker written and the same query run again from its
-    checkpoint, so the marker never passes rows that are still to come.  Over several
-    batches the default watermark delay covers the input's whole time span, because files
+    Over several batches the default delay covers the input's whole time span, because files
     may come in any order; a caller who knows their order can give a shorter one.
     """
     base = base or scratch_dir(spark, "stream-score")
-    if watermark_delay is None:
-        watermark_delay = _covering_delay(spark, sf_dir) if max_files_per_trigger else "0 seconds"
+    if delay_seconds is None:
+        delay_seconds = _covering_delay(spark, sf_dir) if max_files_per_trigger else 0
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     events_glob = f"{sf_dir.rstrip('/')}/{{events.parquet}}"  # a file source needs a dir or a glob
-    schema = spark.read.parquet(events_path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(spark.read.parquet(events_path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(events_glob)
-    end = f"{base}/end"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(end)
-    marker = spark.readStream.schema(schema).parquet(end)
-    tx = transactions_from_event_frame(events.unionByName(marker), spark, sf_dir)
-    out = (stream_window_scores(tx, rules, watermark_delay) if dialect == "window"
-           else stream_scores(tx, rules, watermark_delay))
-    def start():
-        return (out.writeStream.format("parquet").outputMode("append")
-                .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-                .trigger(availableNow=True).start())
-
-    start().awaitTermination()
-    end_of_input_marker(spark, schema, end)
-    return start(), f"{base}/out"
+    tx = transactions_from_event_frame(reader.parquet(events_glob), spark, sf_dir)
+    scorer = BatchScorer(base, rules, dialect, delay_seconds, exec_cfg)
+    query = scorer.start(tx)
+    query.awaitTermination()
+    scorer.flush(spark)
+    return query, f"{base}/out"
 
 
 def score_events_stream_table(spark: SparkSession, sf_dir: str, rules: RuleConfig,
-                              dialect: str = "history") -> DataFrame:
-    q, out = score_events_stream(spark, sf_dir, rules, dialect=dialect)
-    q.awaitTermination()
-    return spark.read.parquet(out)
+                              dialect: str = C.DIALECT_HISTORY) -> DataFrame:
+    _, out = score_events_stream(spark, sf_dir, rules, dialect=dialect)
+    return spark.read.parquet(out).drop("batch")

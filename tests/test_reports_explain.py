@@ -151,3 +151,24 @@ def test_iso_format_like_python_isoformat(spark):
     df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
     for r in df.select("t", iso_format("t").alias("s")).collect():
         assert r.s == r.t.isoformat(), r.t
+
+
+def test_explanations_follow_the_row_and_not_the_txn_id(spark):
+    """An OK row that shares its txn_id with a flagged one gets no text; a missing txn_id is written as None."""
+    from helpers import NTZ_SCHEMA, T0
+    from riskloom.config import RuleConfig
+    from riskloom.operators import explain as E
+    from riskloom.operators.scoring import score
+
+    rows = [("X", "U1", 9000.0, "GBP", "GB", "US", 4829, "A", T0, 0), ("X", "U2", 1.0, "GBP", "GB", "GB", 5411, "A", T0, 1),
+            (None, "U3", 9000.0, "GBP", "GB", "US", 4829, "A", T0, 2)]
+    cfg = RuleConfig()
+    scored = score(spark.createDataFrame(rows, NTZ_SCHEMA), cfg, "history")
+    table = E.explained_table(scored, cfg)
+    got = {r.user_id: r.ai_explanation for r in table.collect()}
+    assert got["U1"].startswith("X scored ") and got["U2"] == "" and got["U3"].startswith("None scored ")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan and plan.count("Exchange") <= 2
+    own = E.explained_table(scored, cfg, lambda row: f"{row['seq']}!")
+    assert {r.user_id: r.ai_explanation for r in own.collect()} == {"U1": "0!", "U2": "", "U3": "2!"}
+    assert own.columns == table.columns
