@@ -42,10 +42,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .word_hashes import mixed, window_hashes, word_hashes
+from .text_blocks import released
+from .word_hashes import _KNOWN, mixed, window_hashes, word_hashes
 
 WINDOW, BLOCK_WORDS = 50, 25
-BLOCK_CHARS = 8_000_000               # texts of one block of documents
+BLOCK_CHARS = 4_000_000               # texts of one block of documents
 ENTRIES_PER_PARTITION = 1_500_000
 BYTES_PER_WORD = 6
 BROADCAST_IDS = 2_000_000
@@ -220,7 +221,7 @@ def hot_shingles(docs: DataFrame, parts: int, size: int):
 
     rate = max(SAMPLE_RATE, SAMPLE_BYTES / max(size, 1))
     some = docs.where(F.pmod(F.xxhash64("doc_id", "tag", F.lit("route")), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    counts = materialize(some.mapInArrow(run, "least long, n long").groupBy("least").agg(F.sum("n").alias("n")), "shingles")
+    counts = materialize(some.mapInArrow(released(run, [_KNOWN]), "least long, n long").groupBy("least").agg(F.sum("n").alias("n")), "shingles")
     bound = (counts.agg(F.sum("n")).first()[0] or 0) * HOT_PARTS / parts
     rows = counts.where(F.col("n") > bound).select("least").collect()      # fewer than parts / HOT_PARTS rows
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
@@ -254,7 +255,7 @@ def anchor_probes(docs: DataFrame, parts: int, hot) -> DataFrame:
             part = _dealt(d.words, pos[own], h[own], BLOCK_WORDS, hot.value, parts)
             yield _arrow(list(_packed_rows(d, pos[own], h[own] & np.uint64(0xFFFFFFFF), part, flags, np.uint32)))
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.mapInArrow(released(run, [_KNOWN]), PACKED)
 
 
 def _entries(table, dtype):
@@ -380,7 +381,7 @@ def window_candidates(docs: DataFrame, parts: int, hot) -> DataFrame:
             flags = np.ones((len(own), 2), bool)
             yield _arrow(list(_packed_rows(d, pos[own], w[own], part, flags, np.uint64)))
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.mapInArrow(released(run, [_KNOWN]), PACKED)
 
 
 def match_windows(candidates: DataFrame) -> DataFrame:
@@ -479,7 +480,7 @@ def _removed(rows: DataFrame, keep: list[str], row_text: str, row_runs: str) ->
                  pa.array(spans, kind), pa.array(kept, pa.string())],
                 names=[*keep, "n_words", "n_removed", "spans", "kept_text"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run, [_KNOWN]), schema)
 
 
 def op6_block_anchors(spark, sf_dir: str) -> DataFrame:

@@ -1,22 +1,30 @@
 """Byte-level BPE by corpus-level merge replay.
 
-A block of documents is cut into pieces by the tokenizer's pattern.  The
-distinct pieces not seen before form a small corpus of words.  An inverted index
-from the rank of a mergeable token pair to the positions where it stands drives
-the replay: ranks are applied in ascending order over all words at once, and a
-merge touches only the two neighbours of the merged pair, whose new pairs enter
-the index.  The ids of every word are kept for the following blocks in the
-worker (at most ``MAX_WORDS``, then the store starts anew).
+1. Texts are cut into pieces by the tokenizer's pattern.  The corpus's recurring
+   pieces are counted, partially where they are read (a piece that stands once in its
+   batch of ``COUNTED`` distinct ones does not recur there), and dealt by hash.
+2. Each hash part replays the merges over its share of the ``STORED`` most frequent
+   pieces: an inverted index from the
+   rank of a mergeable token pair to the positions where it stands is worked off in
+   ascending rank order over all words at once, and a merge touches only the two
+   neighbours of the merged pair, whose new pairs enter the index.  So these pieces
+   are replayed once for the whole corpus.
+3. Their ids are broadcast (a bound that does not grow with the data) to where the texts
+   are read, so no text and no piece list of a text is shuffled.  Rarer pieces are replayed,
+   with the same code, over the block of texts in which they stand.
 
 Two details keep the result equal to encoding each piece on its own: a piece
 that is itself a token is that token, and when a merge creates a pair of lower
 rank in a word, that word's remaining merges of the current rank wait for it.
 
-Documents are encoded where they are read: nothing is shuffled, and no word list
-of the corpus passes through the driver or one task.  Null text counts as empty
-and gives no ids; repeated rows are encoded one by one; an empty table gives an
-empty result; other input columns pass through, except that ``out_col`` and
-``decoded_col`` replace columns of the same name.
+Long texts are cut into pieces step by step.  A piece beyond ``LONG_PIECE`` bytes is
+encoded in windows: two encodings that meet at a token boundary are one encoding
+when the two tokens there are the encoding of their joint bytes, which is checked for
+every seam.
+
+Null text counts as empty and gives no ids; repeated rows are encoded one by one; an
+empty table gives an empty result; other input columns pass through, except that
+result columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -24,75 +32,83 @@ from __future__ import annotations
 import base64
 from array import array
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_WORDS = 500_000
-BLOCK_CHARS = 4_000_000
+from ..session import materialize
+from .text_blocks import released, text_blocks
+
+STORED = 200_000            # pieces of the corpus that are broadcast with their ids
+KEPT = 150_000              # rarer pieces that a worker keeps between blocks
+PIECE_CHARS = 64            # longer pieces are neither counted nor kept
+COUNTED = 100_000           # distinct pieces a task counts before it passes them on
+REPLAY_BYTES = 1 << 18      # words of one replay
+LONG_PIECE = 1 << 20
+LONG_TEXT = 4_000_000       # characters from which a text is cut step by step
+STEP_PIECES = 100_000
 
 
 class MergeReplay:
     """Encoder of one rank file; ``ranks`` maps token bytes to ids, every single byte among them."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, store: dict[str, bytes] | None = None):
         import numpy as np
         import regex
 
         self.ranks = ranks
-        self.token_bytes = {i: b for b, i in ranks.items()}
-        self.pieces = regex.compile(pattern).findall
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
-        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
-        self.pair_rank: dict[int, int] = {}
-        self.known: dict[str, bytes] = {}      # ids as packed 32-bit integers
-
-    def _new_rank(self, pair: int) -> int:
-        """Rank of the token that the two of ``pair`` (first << 32 | second) make, -1 when they make none."""
-        if len(self.pair_rank) >= 4 * MAX_WORDS:
-            self.pair_rank.clear()
-        r = self.ranks.get(self.token_bytes[pair >> 32] + self.token_bytes[pair & 0xFFFFFFFF], -1)
-        self.pair_rank[pair] = r
-        return r
-
-    def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of every word, by replaying all merges over the words together."""
+        self.token_bytes: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for b, i in ranks.items():
+            self.token_bytes[i] = b
+        self.pattern = regex.compile(pattern)
+        self.pieces = self.pattern.findall
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        # rank of the token that two tokens (first << 32 | second) make
+        self.pair_rank = {a << 32 | b: r for t, r in ranks.items() for k in range(1, len(t))
+                          if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None}
+        self.byte_pairs = np.array([[self.pair_rank.get(ranks[bytes([a])] << 32 | ranks[bytes([b])], -1)
+                                     for b in range(256)] for a in range(256)], dtype=np.int32)
+        self.store = store or {}
+        self.known = dict(self.store)          # ids as packed 32-bit integers
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """Packed token ids of every word, by replaying all merges over the words together."""
         import numpy as np
 
         raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         ends = np.cumsum(sizes)
         starts, full = ends - sizes, sizes > 0
-        after, before = np.arange(1, len(raw) + 1), np.arange(-1, len(raw) - 1)
+        after, before = np.arange(1, len(raw) + 1, dtype=np.int32), np.arange(-1, len(raw) - 1, dtype=np.int32)
         after[ends[full] - 1], before[starts[full]] = -1, -1
-        tok, nxt, prv = self.byte_ids[raw].tolist(), after.tolist(), before.tolist()
-        word = np.repeat(np.arange(len(words)), sizes).tolist()
-        first = np.where(full, starts, -1).tolist()
         # the index of the byte pairs: positions in ascending order, by rank
-        at = np.flatnonzero(after >= 0)
+        at = np.flatnonzero(after >= 0).astype(np.int32)
         rank = self.byte_pairs[raw[at], raw[at + 1]]
         at, rank = at[rank >= 0], rank[rank >= 0]
         order = np.argsort(rank, kind="stable")
         at, rank = at[order], rank[order]
         cuts = np.flatnonzero(np.diff(rank, prepend=-1))
-        index = {r: held.tolist() for r, held in zip(rank[cuts].tolist(), np.split(at, cuts[1:]))}
-        known, new_rank = self.pair_rank.get, self._new_rank
-        heap = list(index)
+        first = dict(zip(rank[cuts].tolist(), np.split(at, cuts[1:]) if len(cuts) else ()))
+        # Python lists are faster, packed arrays smaller
+        kind = (lambda x: x.tolist()) if len(raw) <= REPLAY_BYTES else (lambda x: array("i", x.astype(np.int32).tobytes()))
+        tok, nxt, prv, word = map(kind, (self.byte_ids[raw], after, before, np.repeat(np.arange(len(words)), sizes)))
+        index: dict[int, array] = {}        # positions that came up in the replay
+        heap = list(first)
         heapify(heap)
+        known = self.pair_rank.get
 
         while heap:
             r = heappop(heap)
-            waiting, wait = -1, []
-            for i in sorted(index.pop(r, ())):
+            waiting, wait = -1, array("i")
+            old, new = first.pop(r, None), index.pop(r, ())
+            held = () if old is None else old.tolist()
+            for i in sorted([*held, *new]) if new else held:
                 j = nxt[i]
                 if j < 0 or tok[i] < 0:
                     continue  # an earlier merge took one of the two
-                pair = tok[i] << 32 | tok[j]
-                if (now := known(pair)) is None:
-                    now = new_rank(pair)
-                if now != r:
+                if known(tok[i] << 32 | tok[j], -1) != r:
                     continue
                 if word[i] == waiting:
                     wait.append(i)
@@ -102,138 +118,293 @@ class MergeReplay:
                 nxt[i] = k
                 if k >= 0:
                     prv[k] = i
-                    pair = r << 32 | tok[k]
-                    if (q := known(pair)) is None:
-                        q = new_rank(pair)
+                    q = known(r << 32 | tok[k], -1)
                     if q >= 0:
                         if q in index:
                             index[q].append(i)
                         else:
-                            index[q] = [i]
-                            heappush(heap, q)
+                            index[q] = array("i", (i,))
+                            if q not in first:
+                                heappush(heap, q)
                         if q < r:
                             waiting = word[i]
                 if p >= 0:
-                    pair = tok[p] << 32 | r
-                    if (q := known(pair)) is None:
-                        q = new_rank(pair)
+                    q = known(tok[p] << 32 | r, -1)
                     if q >= 0:
                         if q in index:
                             index[q].append(p)
                         else:
-                            index[q] = [p]
-                            heappush(heap, q)
+                            index[q] = array("i", (p,))
+                            if q not in first:
+                                heappush(heap, q)
                         if q < r:
                             waiting = word[i]
             if wait:
-                index[r] = wait
-                heappush(heap, r)
-        out = []
-        for i in first:
-            ids = []
-            while i >= 0:
-                ids.append(tok[i])
-                i = nxt[i]
-            out.append(tuple(ids))
+                if r in index:
+                    index[r].extend(wait)
+                else:
+                    index[r] = wait
+                    heappush(heap, r)
+        # what is left, in order, is the words' ids: merged positions are taken out
+        left = np.asarray(tok, dtype=np.int32)
+        stay = left >= 0
+        ids, bounds = left[stay], np.concatenate([[0], np.cumsum(stay)])
+        return [ids[bounds[a]:bounds[b]].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+
+    def word_ids(self, raw: bytes) -> bytes:
+        """Packed ids of one piece, in windows if it is long."""
+        if (whole := self.ranks.get(raw)) is not None:
+            return array("i", (whole,)).tobytes()
+        if len(raw) <= 2 * LONG_PIECE:
+            return self.replay([raw])[0]
+        out, at, seam = [], 0, None
+        window = array("i", self.replay([raw[:LONG_PIECE]])[0])
+        while True:
+            if at + LONG_PIECE >= len(raw):
+                out.append(window.tobytes())
+                return b"".join(out)
+            cut = len(window) * 3 // 4
+            while True:                      # the seam: the last token kept and the first of the next window
+                if cut < 1:
+                    raise ValueError("no seam found in a long piece")
+                begin = at + sum(len(self.token_bytes[t]) for t in window[:cut])
+                ahead = array("i", self.replay([raw[begin:begin + LONG_PIECE]])[0])
+                seam = (window[cut - 1], ahead[0])
+                joint = self.token_bytes[seam[0]] + self.token_bytes[seam[1]]
+                if joint not in self.ranks and array("i", self.replay([joint])[0]).tolist() == list(seam):
+                    break
+                cut -= 1
+            out.append(window[:cut].tobytes())
+            at, window = begin, ahead
+
+    def replay_all(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, in replays of ``REPLAY_BYTES``."""
+        out, todo, size = {}, [], 0
+
+        def run():
+            out.update(zip((w for w, _ in todo), self.replay([raw for _, raw in todo])))
+
+        for w in words:
+            raw = w.encode("utf-8", "surrogatepass")
+            if len(raw) > LONG_PIECE or raw in self.ranks:
+                out[w] = self.word_ids(raw)
+                continue
+            if todo and size + len(raw) > REPLAY_BYTES:
+                run()
+                todo, size = [], 0
+            todo.append((w, raw))
+            size += len(raw)
+        if todo:
+            run()
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [array("i", b).tolist() for b in self.encode_packed(texts)]
+    def _joined(self, cut: list[list[str]]) -> list[bytes]:
+        """Packed ids of lists of pieces."""
+        get = self.known.__getitem__
+        out, late = [], []
+        for k, pieces in enumerate(cut):
+            try:
+                out.append(b"".join(map(get, pieces)))
+            except KeyError:
+                out.append(b"")
+                late.append(k)
+        if late:
+            missing = set(chain.from_iterable(cut[k] for k in late)).difference(self.known)
+            if len(self.known) + len(missing) > len(self.store) + KEPT:
+                self.known = dict(self.store)
+                missing = set(chain.from_iterable(cut[k] for k in late)).difference(self.known)
+            found = self.replay_all(list(missing))
+            self.known.update(found)
+            get = self.known.__getitem__
+            for k in late:
+                out[k] = b"".join(map(get, cut[k]))
+            for w in found:
+                if len(w) > PIECE_CHARS:
+                    del self.known[w]
+        return out
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as packed 32-bit integers."""
-        cut = [self.pieces(t) for t in texts]
-        missing = set(chain.from_iterable(cut)).difference(self.known)
-        if missing:
-            if len(self.known) + len(missing) > MAX_WORDS:
-                self.known.clear()
-                missing = set(chain.from_iterable(cut))
-            todo = []
-            for w in missing:
-                raw = w.encode("utf-8", "surrogatepass")
-                if (whole := self.ranks.get(raw)) is not None:
-                    self.known[w] = array("i", (whole,)).tobytes()
-                else:
-                    todo.append((w, raw))
-            for (w, _), ids in zip(todo, self.replay([raw for _, raw in todo])):
-                self.known[w] = array("i", ids).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        if all(len(t) <= LONG_TEXT for t in texts):
+            return self._joined([self.pieces(t) for t in texts])
+        return [self._joined([self.pieces(t)])[0] if len(t) <= LONG_TEXT else b"".join(
+            self._joined([step])[0] for step in self.steps(t)) for t in texts]
+
+    def steps(self, text: str):
+        """The pieces of a long text, ``STEP_PIECES`` at a time."""
+        found = (m.group() for m in self.pattern.finditer(text))
+        while step := list(islice(found, STEP_PIECES)):
+            yield step
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [array("i", b).tolist() for b in self.encode_packed(texts)]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
 
-_ENCODERS: dict[tuple[str, str], MergeReplay] = {}
+def read_ranks(rank_file: str) -> dict[bytes, int]:
+    """Token ids of a rank file (one line per token: base64 bytes, rank)."""
+    with open(rank_file, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+def encoder(rank_file: str, pattern: str, held: dict) -> MergeReplay:
+    """The encoder that lives in a broadcast value, so that a worker's tasks share it."""
+    if "encoder" not in held:
+        held["encoder"] = MergeReplay(read_ranks(rank_file), pattern, held.get("store"))
+    return held["encoder"]
 
 
-def encoder(rank_file: str, pattern: str) -> MergeReplay:
-    """The worker's encoder of a rank file (one line per token: base64 bytes, rank)."""
-    key = (rank_file, pattern)
-    if key not in _ENCODERS:
-        with open(rank_file, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        _ENCODERS[key] = MergeReplay(ranks, pattern)
-    return _ENCODERS[key]
+def recurring_pieces(texts: DataFrame, pattern: str) -> DataFrame:
+    """``piece, n``: pieces of the column ``text``, up to ``PIECE_CHARS``, that recur; ``n`` counts where they do."""
+    def count(batches):
+        from collections import Counter
 
+        import pyarrow as pa
+        import regex
+
+        cut = regex.compile(pattern)
+        seen: Counter = Counter()
+
+        def passed():
+            rows = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= PIECE_CHARS]
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()),
+                                               pa.array([n for _, n in rows], pa.int64())], names=["piece", "n"])
 
-def _replaced(schema: T.StructType, **types: T.DataType) -> tuple[list[str], T.StructType]:
-    own = [f for f in schema.fields if f.name not in types]
+        for batch in batches:
+            for _, block in text_blocks(batch, "text"):
+                for t in block:
+                    if len(t) <= LONG_TEXT:
+                        seen.update(cut.findall(t))
+                    else:
+                        for m in cut.finditer(t):
+                            if m.end() - m.start() <= PIECE_CHARS:
+                                seen[m.group()] += 1
+                    if len(seen) > COUNTED:
+                        yield passed()
+        yield passed()
+
+    return texts.mapInArrow(released(count), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(pieces: DataFrame, bound: int) -> DataFrame:
+    """The most frequent pieces, at most ``bound`` of them."""
+    level = F.floor(F.log2(F.col("n").cast("double")) * 4).cast("int")
+    sizes = {r["level"]: r["count"] for r in pieces.groupBy(level.alias("level")).count().collect()}  # 256 rows at most
+    total, least = 0, None
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > bound:
+            break
+        least = at
+    return pieces.where(level >= least) if least is not None else pieces.limit(0)
+
+
+def corpus_store(texts: DataFrame, rank_file: str, pattern: str, bound: int) -> dict[str, bytes]:
+    """Packed ids of the corpus's most frequent pieces (column ``text``), replayed where their hash deals them."""
+    pieces = materialize(recurring_pieces(texts, pattern), "pieces")
+    held = texts.sparkSession.sparkContext.broadcast({})
+
+    def replay(batches):
+        import pyarrow as pa
+
+        enc = encoder(rank_file, pattern, held.value)
+        for batch in batches:
+            words = batch.column("piece").to_pylist()
+            ids = enc.replay_all(words)
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array([ids[w] for w in words], pa.binary())],
+                                             names=["piece", "ids"])
+
+    dealt = most_frequent(pieces, bound).select("piece").repartition("piece")
+    rows = dealt.mapInArrow(released(replay), "piece string, ids binary").toArrow()      # at most `bound` rows
+    return dict(zip(rows.column("piece").to_pylist(), rows.column("ids").to_pylist()))
+
+
+def replaced(schema: T.StructType, keep: list[str] | None, **types: T.DataType) -> tuple[list[str], T.StructType]:
+    """Names of the kept input columns that no result column replaces, and the result's schema."""
+    own = [schema[n] for n in (schema.names if keep is None else keep) if n not in types]
     return [f.name for f in own], T.StructType(own + [T.StructField(n, t) for n, t in types.items()])
 
 
+def unused(names, wanted: str) -> str:
+    """``wanted``, made longer until it is not among ``names``."""
+    while wanted in names:
+        wanted += "_"
+    return wanted
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", out_col: str = "ids",
-                     decoded_col: str | None = None) -> DataFrame:
+                     exact_col: str | None = None, digest_col: str | None = None,
+                     keep: list[str] | None = None) -> DataFrame:
     """Add ``out_col`` (array<int>): ids of the whole text, no special tokens.
 
-    With ``decoded_col`` the ids are decoded again in the same pass (binary).
+    The ids are decoded again in the same pass when asked: ``exact_col`` tells whether that
+    gives the text's bytes, ``digest_col`` is the lower-case hex SHA-256 of the decoded bytes.  ``keep``
+    names the input columns of the result (default: all); the text is sent to the workers once.
+    ``docs`` is read twice, so an expensive plan should be written first.
     """
-    types = {out_col: T.ArrayType(T.IntegerType())}
-    if decoded_col:
-        types[decoded_col] = T.BinaryType()
-    keep, schema = _replaced(docs.schema, **types)
+    types: dict[str, T.DataType] = {out_col: T.ArrayType(T.IntegerType())}
+    if exact_col:
+        types[exact_col] = T.BooleanType()
+    if digest_col:
+        types[digest_col] = T.StringType()
+    keep, schema = replaced(docs.schema, keep, **types)
+    # a kept text column is sent once and serves as the input
+    alone = text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType)
+    sent = text_col if alone else unused(docs.columns, "__text")
+    rows = docs.select(*keep) if alone else docs.select(*keep, F.col(text_col).cast("string").alias(sent))
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    held = docs.sparkSession.sparkContext.broadcast({"store": corpus_store(texts, rank_file, pattern, STORED)})
 
     def run(batches):
+        from hashlib import sha256
+
         import numpy as np
         import pyarrow as pa
 
-        enc = encoder(rank_file, pattern)
+        enc = encoder(rank_file, pattern, held.value)
+        enc.known = dict(enc.store)
         for batch in batches:
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
             own = batch.select(keep)
-            at = 0
-            while at < len(texts):  # blocks bounded by characters (a longer text is a block of its own)
-                end, size = at + 1, len(texts[at])
-                while end < len(texts) and size + len(texts[end]) <= BLOCK_CHARS:
-                    size += len(texts[end])
-                    end += 1
-                ids = enc.encode_packed(texts[at:end])
+            for at, block in text_blocks(batch, sent):
+                ids = enc.encode_packed(block)
                 ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
                 cols = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))]
-                if decoded_col:
-                    cols.append(pa.array([enc.decode(array("i", x)) for x in ids], type=pa.binary()))
-                part = own.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*keep, *types])
-                at = end
-
-    return docs.select(*keep, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+                exact, digest = [], []
+                if exact_col or digest_col:
+                    for t, x in zip(block, ids):
+                        back = enc.decode(array("i", x))
+                        exact.append(back == t.encode("utf-8", "surrogatepass"))
+                        digest.append(sha256(back).hexdigest() if digest_col else None)
+                if exact_col:
+                    cols.append(pa.array(exact, pa.bool_()))
+                if digest_col:
+                    cols.append(pa.array(digest, pa.string()))
+                yield pa.RecordBatch.from_arrays([*own.slice(at, len(block)).columns, *cols], names=[*keep, *types])
+        enc.known = {}          # the worker keeps the tables and the store alone
+
+    return rows.mapInArrow(released(run), schema)
 
 
 def decode_documents(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids",
                      out_col: str = "decoded") -> DataFrame:
     """Add ``out_col`` (binary): the bytes of the ids (null ids: empty)."""
-    keep, schema = _replaced(encoded.schema, **{out_col: T.BinaryType()})
+    keep, schema = replaced(encoded.schema, None, **{out_col: T.BinaryType()})
+    sent = unused(encoded.columns, "__ids")
+    held = encoded.sparkSession.sparkContext.broadcast({})
 
     def run(batches):
         import pyarrow as pa
 
-        enc = encoder(rank_file, pattern)
+        enc = encoder(rank_file, pattern, held.value)
         for batch in batches:
-            raw = [enc.decode(x or ()) for x in batch.column("__ids").to_pylist()]
+            raw = [enc.decode(x or ()) for x in batch.column(sent).to_pylist()]
             own = batch.select(keep)
             yield pa.RecordBatch.from_arrays([*own.columns, pa.array(raw, type=pa.binary())], names=[*keep, out_col])
 
-    return encoded.select(*keep, F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
+    return encoded.select(*keep, F.col(ids_col).alias(sent)).mapInArrow(released(run), schema)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
@@ -241,8 +412,7 @@ def op4_bpe(spark, sf_dir: str) -> DataFrame:
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     enc = encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                           decoded_col="decoded")
+                           digest_col="decoded_sha256", keep=["doc_id"])
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
-                      .alias("ids_sha256"),
-                      F.sha2("decoded", 256).alias("decoded_sha256"))
+                      .alias("ids_sha256"), "decoded_sha256")

@@ -5,11 +5,14 @@ inside roles and texts are written as ``&amp;``, ``&lt;`` and ``&#91;``, so no
 control string can occur in a text and the escape can be undone exactly.
 
 A conversation's turns are ordered by ``(turn, role, text)`` (null turn first).
-Prefix sums of turn tokens choose the spans: a turn belongs to span
-``floor((prefix sum - 1) / span_tokens)``, so spans end at turn ends.  A window
-is one span, preceded by repeated context: the conversation's system turn (when
+Prefix sums of turn tokens choose the spans, which begin and end with whole turns.  A
+window is one span, preceded by repeated context: the conversation's system turn (when
 its first turn has that role) and at most ``history_turns`` turns before the
-span.  Only new assistant texts are under the loss mask; repeated ones are not.
+span.  A span takes turns as long as the window, context included, stays within
+``span_tokens``; a new span keeps as many turns of history as leave room for its first turn.
+So a window passes the budget only when it consists of one turn which, with the
+system turn, is longer than the budget.  Spans also end every ``BLOCK_TURNS`` turns.  Only
+new assistant texts are under the loss mask; repeated ones are not.
 
 Prefix sums run in two levels (inside blocks of ``BLOCK_TURNS`` turn numbers,
 then over block totals), so a very long conversation is spread over tasks.
@@ -72,24 +75,74 @@ def _ordered_turns(conversations: DataFrame) -> DataFrame:
             .drop("block", "rn", "off_n", "off_t", "turn"))
 
 
+def _spans(turns: DataFrame, span_tokens: int, history_turns: int) -> DataFrame:
+    """``ck, part, system, spans``: start and repeated turns of the spans in each part of a conversation.
+
+    A part's array holds at most ``BLOCK_TURNS + history_turns`` numbers a turn; ``system`` is the number of
+    tokens of the conversation's system turn, 0 without one.
+    """
+    system = turns.where((F.col("pos") == 1) & (F.col("role") == SYSTEM_ROLE)).select("ck", F.col("tokens").alias("system"))
+    facts = turns.select("ck", "part", "pos", "cum", "tokens")
+    # the last turns of a part are the history of the next one's first span
+    before = facts.where((F.col("pos") - 1) % BLOCK_TURNS >= BLOCK_TURNS - history_turns).withColumn(
+        "part", F.col("part") + 1)
+    parts = (facts.unionByName(before).groupBy("ck", "part").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "cum", "tokens"))).alias("turns"))
+        .join(system, "ck", "left").withColumn("system", F.coalesce("system", F.lit(0).cast("long"))))
+    first = F.col("part") * BLOCK_TURNS + 1
+    at_hand = F.filter("turns", lambda t: t["pos"] < first)
+    state = F.struct(F.lit(0).cast("long").alias("room"),       # prefix sum up to which the present window holds turns
+                     F.slice(F.transform(at_hand, lambda t: F.struct(t["pos"], t["cum"], t["tokens"])), 1, history_turns)
+                     .alias("last") if history_turns else F.slice("turns", 1, 0).alias("last"),
+                     F.array().cast("array<struct<start:bigint,history:bigint>>").alias("spans"))
+
+    def step(s, t):
+        # history of m turns: theirs, and the system turn's tokens unless it is among them
+        def fits(m):
+            start = t["pos"] - m
+            earlier = F.when(m > 0, F.get(s["last"], (F.size(s["last"]) - m).cast("int"))["cum"]
+                             - F.get(s["last"], (F.size(s["last"]) - m).cast("int"))["tokens"])
+            held = F.when(m > 0, t["cum"] - earlier).otherwise(t["tokens"])
+            return held + F.when(start > 1, F.col("system")).otherwise(F.lit(0))
+
+        sizes = F.sequence(F.size(s["last"]), F.lit(0), F.lit(-1))
+        kept = F.coalesce(F.get(F.filter(sizes, lambda m: fits(m) <= span_tokens), F.lit(0)), F.lit(0))
+        opened = (F.size(s["spans"]) == 0) | (t["cum"] > s["room"])
+        spans = F.when(opened, F.array_append(s["spans"], F.struct(
+            t["pos"].alias("start"), kept.cast("long").alias("history")))).otherwise(s["spans"])
+        room = F.when(opened, t["cum"] + span_tokens - fits(kept)).otherwise(s["room"])
+        last = F.array_append(s["last"], F.struct(t["pos"], t["cum"], t["tokens"]))
+        last = F.slice(last, F.greatest(F.size(last) - history_turns + 1, F.lit(1)), F.lit(history_turns))
+        return F.struct(room.alias("room"), last.alias("last"), spans.alias("spans"))
+
+    own = F.filter("turns", lambda t: t["pos"] >= first)
+    return parts.select("ck", "part", "system", F.reduce(own, state, step, lambda s: s["spans"]).alias("spans")).where(
+        F.size("spans") > 0)
+
+
 def format_windows(conversations: DataFrame, span_tokens: int = SPAN_TOKENS,
                    history_turns: int = HISTORY_TURNS) -> DataFrame:
     """``conv_id, ck, win, formatted, n_repeated, loss_spans`` — one row per training window.
 
-    ``loss_spans`` holds ``(start, len)`` in code points of ``formatted``; the
+    ``win`` is the number of turns before the window's span.    ``loss_spans`` holds ``(start, len)`` in code points of ``formatted``; the
     first ``n_repeated`` turns of a window repeat earlier ones.
     """
-    turns = _ordered_turns(conversations).withColumn("win", F.floor((F.col("cum") - 1) / span_tokens).cast("long"))
-    new = turns.select("ck", "conv_id", "win", "pos", "role", "text", F.lit(False).alias("repeated"))
-    starts = turns.groupBy("ck", "win").agg(F.min("pos").alias("start")).where(F.col("start") > 1)
-    first = F.greatest(F.col("start") - history_turns, F.lit(1).cast("long"))
-    wanted = F.array(F.lit(1).cast("long"))
-    if history_turns > 0:
-        wanted = F.array_union(wanted, F.sequence(first, F.col("start") - 1))
-    copies = (starts.withColumn("pos", F.explode(wanted))
+    turns = _ordered_turns(conversations).withColumn("part", F.call_function(
+        "div", F.col("pos") - 1, F.lit(BLOCK_TURNS)))
+    spans = _spans(turns, span_tokens, history_turns)
+    # the span of a turn is the last that begins at it or before
+    new = turns.join(spans, ["ck", "part"]).withColumn("win", F.array_max(F.transform(
+        F.filter("spans", lambda s: s["start"] <= F.col("pos")), lambda s: s["start"])) - 1).select(
+        "ck", "conv_id", "win", "pos", "role", "text", F.lit(False).alias("repeated"))
+    one = F.lit(1).cast("long")
+    begins = spans.select("ck", "system", F.explode("spans").alias("s")).select(
+        "ck", "system", F.col("s.start").alias("win"), F.col("s.history").alias("history"))
+    wanted = F.when(F.col("history") > 0, F.sequence(F.col("win") - F.col("history"), F.col("win") - 1)).otherwise(
+        F.array().cast("array<bigint>"))
+    wanted = F.when((F.col("system") > 0) & (F.col("win") - F.col("history") > 1),
+                    F.concat(F.array(one), wanted)).otherwise(wanted)
+    copies = (begins.withColumn("pos", F.explode(wanted)).withColumn("win", F.col("win") - 1)
               .join(turns.select("ck", "conv_id", "pos", "role", "text"), ["ck", "pos"])
-              .where((F.col("pos") >= F.col("start") - history_turns)
-                     | ((F.col("pos") == 1) & (F.col("role") == SYSTEM_ROLE)))
               .select("ck", "conv_id", "win", "pos", "role", "text", F.lit(True).alias("repeated")))
     rows = new.unionByName(copies).withColumns({"head": F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(SEP)),
                                                 "body": escape(F.col("text"))})
@@ -149,16 +202,31 @@ def oracle_sql() -> str:
     esc = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')"
     extra = len(OPEN) + len(SEP) + len(CLOSE)
     return f"""
-WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-7, 0, 'user', '{PROBE_TEXT}'), (-7, 1, 'assistant', '{PROBE_TEXT}')),
 t AS (SELECT *, row_number() OVER o AS pos, sum({TURN_TOKENS} + ceil(length(text) / {CHARS_PER_TOKEN}.0)) OVER o AS cum,
         length({esc.format('role')}) + length({esc.format('text')}) + {extra} AS len
       FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-w AS (SELECT *, floor((cum - 1) / {SPAN_TOKENS}) AS win FROM t),
-s AS (SELECT conv_id, win, min(pos) AS start FROM w GROUP BY ALL HAVING min(pos) > 1),
-x AS (SELECT s.conv_id, sum(t.len) AS len FROM s JOIN t ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND t.pos < s.start
-        AND (t.pos >= s.start - {HISTORY_TURNS} OR (t.pos = 1 AND t.role = '{SYSTEM_ROLE}')) GROUP BY s.conv_id)
+q AS (SELECT *, {TURN_TOKENS} + ceil(length(text) / {CHARS_PER_TOKEN}.0) AS tok FROM t),
+y AS (SELECT a.*, coalesce(z.tok, 0) AS sys, coalesce(z.len, 0) AS sys_len,
+        coalesce(sum(a.tok) OVER h1, 0) AS h1, coalesce(sum(a.tok) OVER h2, 0) AS h2,
+        coalesce(sum(a.len) OVER h1, 0) AS l1, coalesce(sum(a.len) OVER h2, 0) AS l2
+      FROM q AS a LEFT JOIN q AS z ON z.conv_id IS NOT DISTINCT FROM a.conv_id AND z.pos = 1 AND z.role = '{SYSTEM_ROLE}'
+      WINDOW h1 AS (PARTITION BY a.conv_id ORDER BY a.pos ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING),
+             h2 AS (PARTITION BY a.conv_id ORDER BY a.pos ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING)),
+c2 AS (SELECT *, h2 + CASE WHEN pos > 3 THEN sys ELSE 0 END AS c2, h1 + CASE WHEN pos > 2 THEN sys ELSE 0 END AS c1,
+         CASE WHEN pos > 1 THEN sys ELSE 0 END AS c0 FROM y),
+o AS (SELECT *, CASE WHEN pos > 2 AND c2 + tok <= {SPAN_TOKENS} THEN 2 WHEN pos > 1 AND c1 + tok <= {SPAN_TOKENS} THEN 1
+                ELSE 0 END AS m FROM c2),
+n AS (SELECT *, [c0, c1, c2][m + 1] + tok AS held, [0, l1, l2][m + 1] + CASE WHEN pos - m > 1 THEN sys_len ELSE 0 END AS again
+      FROM o),
+g AS (SELECT conv_id, pos, held AS used, again FROM n WHERE pos = 1 UNION ALL
+      SELECT n.conv_id, n.pos, CASE WHEN g.used + n.tok <= {SPAN_TOKENS} AND (n.pos - 1) % {BLOCK_TURNS} <> 0
+          THEN g.used + n.tok ELSE n.held END,
+        CASE WHEN g.used + n.tok <= {SPAN_TOKENS} AND (n.pos - 1) % {BLOCK_TURNS} <> 0 THEN 0 ELSE n.again END
+      FROM g JOIN n ON n.conv_id IS NOT DISTINCT FROM g.conv_id AND n.pos = g.pos + 1),
+x AS (SELECT conv_id, sum(again) AS len FROM g GROUP BY conv_id)
 SELECT t.conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = '{LOSS_ROLE}'), 0)::BIGINT AS loss_chars,

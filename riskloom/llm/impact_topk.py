@@ -16,14 +16,22 @@ values and all else is zero.  At the ``CHECK_AT`` levels
 A query is finished only when that proves that few rows can still be members;
 exactly those are scored again in full.  No row is skipped without proof.
 
-Queries and index blocks meet by an equi-join on block numbers, every block pair
-in a task of its own; each pair returns at most k rows a query, and the best k of
-those are kept.  Work is (queries x rows), memory is one block pair.
+Rows are dealt into blocks by a hash of id and vector, queries likewise.  A block's row and
+packed rows of all query blocks travel to one place, in this order: the index
+of a block is built once, and the query blocks stream past it.  Work is (queries x
+rows); memory is one index block and one query block.  Each block returns the k best ids of each
+query, the best row of an id counting; an id among the k best of all is among
+those of the block that holds its best row, so the best k of what is returned are exact.
+
+Sums are made in 32- or 64-bit floats, 64-bit integers or Python's whole numbers, as the
+block's largest values require for exact sums.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part; components beyond a vector's length count as zero; repeated
-(id, vector) rows count once; rows with the query's own id are no candidates;
-ties go to the smaller id; an empty table gives no rows; other columns are ignored.
+(id, vector) rows count once; an id with several vectors has its best score; rows with
+the query's own id are no candidates; ties go to the smaller id; an empty table gives
+no rows; other columns are ignored.  A component that does not fit a 64-bit integer when
+quantised, or a returned score that does not, stops the job with a message.
 """
 
 from __future__ import annotations
@@ -41,67 +49,114 @@ LEVELS = 8
 CHECK_AT = (4, 2, 1)  # levels after which the proof is tried
 RESCORE_SHARE = 16  # a query stops when at most 1 / RESCORE_SHARE of the block's rows can be members
 
+LONG_BOUND = float(1 << 63)
+
 RESULT = "query_id long, cand_id long, score long"
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """``id, v`` (array<int>): floor(scale * x) of every usable vector, repeated rows once."""
+    """``id, v`` (array<bigint>): floor(scale * x) of every usable vector, repeated rows once."""
     x = F.transform(F.col(vec_col), lambda c: c.cast("double"))
     usable = F.col(vec_col).isNotNull() & F.forall(
         "x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     return (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col), x.alias("x"))
             .where(F.coalesce(usable, F.lit(False)) & F.col("id").isNotNull())
-            .select("id", F.transform("x", lambda c: F.floor(c * scale).cast("int")).alias("v")).distinct())
+            .select("id", F.transform("x", lambda c: F.when(
+                F.abs(c * scale) < LONG_BOUND, F.floor(c * scale)).otherwise(F.raise_error(F.lit(
+                    "a component times the scale does not fit 64 bits")))).alias("v")).distinct())
 
 
-def _matrix(blob_lists, width: int):
+def _matrix(vectors, width: int):
     import numpy as np
 
-    out = np.zeros((len(blob_lists), width), dtype=np.int64)
-    for i, v in enumerate(blob_lists):
+    out = np.zeros((len(vectors), width), dtype=np.int64)
+    for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
 
 
-def build_block(x, segments: int = SEGMENTS):
-    """Posting segments of a block: each segment's range of values per dimension and its masked postings.
+class Block:
+    """Index of a block of rows: posting segments, each with its range of values per dimension.
 
     Postings come twice, counted from the dimension's least value (for positive
     weights) and from its greatest (for negative ones), so every impact is >= 0.
     """
-    import numpy as np
 
-    n, dims = x.shape
-    cuts = np.linspace(0, n, min(segments, n) + 1).astype(int)
-    order = np.argsort(x, axis=0, kind="stable")
-    ranked = np.take_along_axis(x, order, axis=0)
-    low, high = ranked[cuts[:-1]], ranked[cuts[1:] - 1]    # [segment, dimension]
-    postings = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        held = np.zeros((n, 2 * dims))
-        rows, cols = order[a:b], np.broadcast_to(np.arange(dims), (b - a, dims))
-        held[rows, cols] = ranked[a:b] - low[0]
-        held[rows, cols + dims] = ranked[a:b] - high[-1]
-        postings.append(held)
-    return low, high, postings
-
-
-def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share: int = RESCORE_SHARE):
-    """Top k of one index block for each query: lists of (query, row, score), all proven."""
+    def __init__(self, ids, x, segments: int = SEGMENTS):
+        import numpy as np
+
+        self.ids, self.x = ids, x
+        n, dims = x.shape
+        cuts = np.linspace(0, n, min(segments, n) + 1).astype(int)
+        order = np.argsort(x, axis=0, kind="stable")
+        ranked = np.take_along_axis(x, order, axis=0)
+        self.low, self.high = ranked[cuts[:-1]], ranked[cuts[1:] - 1]    # [segment, dimension]
+        self.size = int(max(abs(int(x.min(initial=0))), abs(int(x.max(initial=0)))))
+        self.single = len(np.unique(ids)) == n
+        self._parts = [(a, b, order[a:b], ranked[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        self._postings: dict = {}
+
+    def postings(self, kind):
+        """The segments' postings as masked matrices of a number type, made once a type."""
+        import numpy as np
+
+        if kind not in self._postings:
+            n, dims = self.x.shape
+            least, greatest = self.low[0].astype(kind), self.high[-1].astype(kind)
+            held = []
+            for a, b, rows, values in self._parts:
+                m = np.zeros((n, 2 * dims), dtype=kind)
+                cols = np.broadcast_to(np.arange(dims), (b - a, dims))
+                m[rows, cols] = values.astype(kind) - least
+                m[rows, cols + dims] = values.astype(kind) - greatest
+                held.append(m)
+            self._postings[kind] = held
+        return self._postings[kind]
+
+    def best(self, scores, rows, k: int):
+        """The k best ids among rows: (row, score) by score, then id; the best row of an id counts."""
+        import numpy as np
+
+        order = np.lexsort((self.ids[rows], -scores)) if scores.dtype != object else np.array(
+            sorted(range(len(rows)), key=lambda j: (-scores[j], self.ids[rows[j]])), dtype=int)
+        taken, out = set(), []
+        for j in order:
+            i = int(self.ids[rows[j]])
+            if i not in taken:
+                taken.add(i)
+                out.append((i, int(scores[j])))
+                if len(out) == k:
+                    break
+        return out
+
+    def kth(self, scores, rows, k: int):
+        """The k-th best score over distinct ids, None with fewer ids."""
+        import numpy as np
+
+        if self.single and scores.dtype != object:
+            return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else None
+        found = self.best(scores, rows, k)
+        return found[-1][1] if len(found) == k else None
+
+
+def search_block(block: Block, q_ids, q, k: int, levels: int = LEVELS, rescore_share: int = RESCORE_SHARE):
+    """The k best ids of one index block for each query: (query, id, score), all proven."""
     import numpy as np
 
+    x_ids, x = block.ids, block.x
     n, dims = x.shape
-    low, high, postings = build_block(x)
-    # sums of integer products are exact in the float type chosen
-    limit = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * 2 * dims
-    kind = np.float32 if limit < 1 << 24 else np.float64
-    postings = [p.astype(kind) for p in postings]
+    # sums of integer products are exact in the number type chosen
+    limit = int(max(abs(int(q.min(initial=0))), abs(int(q.max(initial=0))))) * block.size * 4 * dims
+    kind = np.float32 if limit < 1 << 24 else np.float64 if limit < 1 << 53 else np.int64 if limit < 1 << 62 else object
+    whole = object if kind is object else np.int64
+    low, high, q, x = (m.astype(whole) for m in (block.low, block.high, q, x))
+    postings = block.postings(kind)
     weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(kind)
     # gain[query, segment, dim]: the most a posting of the segment can add
     worst = np.minimum(q * low[0], q * high[-1])
     gain = np.maximum(q[:, None, :] * low[None], q[:, None, :] * high[None]) - worst[:, None, :]
     top = np.maximum(gain.max(axis=(1, 2)), 1)
-    level = np.minimum(gain * levels // top[:, None, None], levels - 1)   # quantised impact
+    level = np.minimum(gain * levels // top[:, None, None], levels - 1).astype(np.int64)   # quantised impact
     base = worst.sum(axis=1)
     acc = np.zeros((len(q), n), dtype=kind)
     own = q_ids[:, None] == x_ids[None, :]
@@ -110,8 +165,7 @@ def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share
     few, probe = max(4 * k, n // rescore_share), min(4 * k, n)
 
     def emit(qi, rows, scores):
-        pick = np.lexsort((x_ids[rows], -scores))[:k]
-        found.extend((int(q_ids[qi]), int(x_ids[rows[j]]), int(scores[j])) for j in pick)
+        found.extend((int(q_ids[qi]), i, score) for i, score in block.best(scores, rows, k))
 
     for lev in range(levels - 1, -1, -1):
         if not len(alive):
@@ -129,10 +183,9 @@ def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share
         going = []
         for qi, left, a, lead in zip(alive, rest, seen, leads):
             lead = lead[~own[qi, lead]]
-            if len(lead) >= k:
-                exact = x[lead] @ q[qi]
-                bound = np.partition(exact, len(exact) - k)[len(exact) - k]   # k-th best exact score so far
-                possible = np.flatnonzero((a + base[qi] + left >= bound) & ~own[qi])
+            bound = block.kth(x[lead] @ q[qi], lead, k)            # k-th best exact score so far
+            if bound is not None:
+                possible = np.flatnonzero((a.astype(whole) + base[qi] + left >= bound) & ~own[qi])
                 if len(possible) <= few:
                     emit(qi, possible, x[possible] @ q[qi])
                     continue
@@ -140,9 +193,9 @@ def search_block(q_ids, q, x_ids, x, k: int, levels: int = LEVELS, rescore_share
         alive = np.array(going, dtype=int)
     for qi in alive:                                       # everything read: accumulators are the scores
         rows = np.flatnonzero(~own[qi])
-        scores = acc[qi, rows].astype(np.int64) + base[qi]
-        if len(rows) > k:
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores = acc[qi, rows].astype(whole) + base[qi]
+        least = block.kth(scores, rows, k)
+        if least is not None:
             rows, scores = rows[scores >= least], scores[scores >= least]
         emit(qi, rows, scores)
     return found
@@ -152,30 +205,44 @@ def exact_topk(index: DataFrame, queries: DataFrame, k: int, index_block: int =
                query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, cand_id, score``; both inputs are ``id, v`` (see :func:`quantised`)."""
     index, queries = materialize(index, "topk-index"), materialize(queries, "topk-queries")
-    n_index, n_query = index.count(), queries.count()
-    blocks, q_blocks = max(1, -(-n_index // index_block)), max(1, -(-n_query // query_block))
-    deal = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    q_deal = F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int")
-    # the stated queries against all rows, in blocks: each side is repeated once per block of the other
-    left = index.select(deal.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), "id", "v")
-    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), q_deal.alias("qb"), "id", "v")
-
-    def run(key, rows, asked):
+    blocks, q_blocks = max(1, -(-index.count() // index_block)), max(1, -(-queries.count() // query_block))
+
+    def packed(rows: DataFrame, n: int) -> DataFrame:
+        """One row a block; a block holds about as many rows as asked, whatever ids repeat."""
+        deal = F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
+        return rows.groupBy(deal.alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+
+    asked = packed(queries, q_blocks).select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("side"), "rows")
+    both = packed(index, blocks).select("block", F.lit(0).alias("side"), "rows").unionByName(asked)
+    # one place a block: its index first, then every query block
+    both = both.repartition(blocks, "block").sortWithinPartitions("block", "side")
+
+    def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        found = []
-        if rows.num_rows and asked.num_rows:
-            x, q = rows.column("v").to_pylist(), asked.column("v").to_pylist()
-            width = max(map(len, x + q))
-            found = search_block(asked.column("id").to_numpy(), _matrix(q, width), rows.column("id").to_numpy(),
-                                 _matrix(x, width), k)
-        got = np.array(found, dtype=np.int64).reshape(-1, 3)
-        return pa.table({"query_id": got[:, 0], "cand_id": got[:, 1], "score": got[:, 2]})
-
-    local = left.groupBy("b", "qb").cogroup(right.groupBy("b", "qb")).applyInArrow(run, RESULT)
-    # repeated ids with different vectors: the best row of an id counts
-    local = local.groupBy("query_id", "cand_id").agg(F.max("score").alias("score"))
+        at, block = None, None
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("block", "side")]
+            for number, side, rows in zip(*cols, (batch.column("rows")[i] for i in range(batch.num_rows))):
+                held = rows.values
+                ids, vectors = held.field(0).to_numpy(zero_copy_only=False), held.field(1).to_pylist()
+                width = max(map(len, vectors))
+                if side == 0:
+                    at, block = number, Block(ids, _matrix(vectors, width))
+                elif at == number:
+                    if width > block.x.shape[1]:       # components beyond a vector's length are zero
+                        more = width - block.x.shape[1]
+                        block = Block(block.ids, np.pad(block.x, ((0, 0), (0, more))))
+                    found = search_block(block, ids, _matrix(vectors, block.x.shape[1]), k)
+                    if any(abs(score) >= 1 << 63 for _, _, score in found):
+                        raise OverflowError("an inner product does not fit 64 bits")
+                    cols = list(zip(*found)) or [(), (), ()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                                     names=["query_id", "cand_id", "score"])
+
+    local = both.mapInArrow(run, RESULT).groupBy("query_id", "cand_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "cand_id")
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         "query_id", "rank", "cand_id", "score")

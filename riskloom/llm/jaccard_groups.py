@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .word_hashes import window_hashes, word_hashes
+from .text_blocks import released
+from .word_hashes import _KNOWN, window_hashes, word_hashes
 
 WORDS, PERCENT = 5, 75
 BANDS, BAND_ROWS = 8, 2
@@ -81,7 +82,7 @@ def frequent_tokens(docs: DataFrame):
                                              names=["token", "c"])
 
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SAMPLE_OF)) == 0).select("text")
-    top = (sample.mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    top = (sample.mapInArrow(released(run, [_KNOWN]), "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
            .where(F.col("c") >= FREQUENT_IN_SAMPLE).orderBy(F.desc("c"), "token").limit(FREQUENT_TOKENS).select("token"))
     return np.sort(np.array([r[0] for r in top.collect()], dtype=np.int64).view(np.uint64))
 
@@ -126,7 +127,7 @@ def signatures(docs: DataFrame, frequent) -> DataFrame:
                  pa.array(counts, pa.binary())],
                 names=["doc_id", "n", "set_hash", "keys", "prefix", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SIG)
+    return docs.select("doc_id", "text").mapInArrow(released(run, [_KNOWN]), SIG)
 
 
 def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     n = ids.count()
     wanted = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     found = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("doc_id", "text")
-    return materialize(found.mapInArrow(run, "id long, tokens binary"), "tokens")
+    return materialize(found.mapInArrow(released(run, [_KNOWN]), "id long, tokens binary"), "tokens")
 
 
 def open_groups(docs: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .text_blocks import released
 from .text_classifier import PER_CLASS, VOCABULARY, Model, choose_vocabulary, fit_softmax, labelled_sample, uniform
 
 #: Target token weights of the registered query and the pipeline.
@@ -71,7 +72,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
                                              names=["y", "x"])
 
     # bounded: about classes x per_class rows of `vocabulary` numbers
-    got = sample.select("y", "text").mapInArrow(run, "y string, x array<float>").toArrow()
+    got = sample.select("y", "text").mapInArrow(released(run), "y string, x array<float>").toArrow()
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(got.num_rows, model.width)
     y = np.array([classes.index(v) for v in got.column("y").to_pylist()])
     prior = np.full((model.width, len(classes)), L2)
@@ -81,10 +82,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
 
 def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:
     """Add ``n_tokens`` (words ``[^\\x20\\x09-\\x0D]+``) and ``posteriors`` (array<double>) to every row."""
-    from .bpe import _replaced
+    from .bpe import replaced
     from pyspark.sql import types as T
 
-    keep, schema = _replaced(docs.schema, n_tokens=T.LongType(), posteriors=T.ArrayType(T.DoubleType()))
+    keep, schema = replaced(docs.schema, None, n_tokens=T.LongType(), posteriors=T.ArrayType(T.DoubleType()))
 
     def run(batches):
         import pyarrow as pa
@@ -97,7 +98,7 @@ def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:
                 names=[*keep, "n_tokens", "posteriors"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text")
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return docs.select(*keep, text).mapInArrow(released(run), schema)
 
 
 def fold_steps(p, steps):
@@ -130,7 +131,7 @@ def _totals(narrow: DataFrame, steps, k: int):
         row = [*total, *moments.ravel()]
         yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in row], names=names)
 
-    sums = narrow.select("n_tokens", "posteriors").mapInArrow(run, ", ".join(f"{c} double" for c in names))
+    sums = narrow.select("n_tokens", "posteriors").mapInArrow(released(run), ", ".join(f"{c} double" for c in names))
     row = np.array([v or 0.0 for v in sums.agg(*[F.sum(c).alias(c) for c in names]).first()])
     return row[:k], row[k:].reshape(k, k)
 

@@ -78,8 +78,14 @@ def trie_paths(turns: DataFrame, lengths: DataFrame) -> DataFrame:
     nodes = steps.groupBy("depth", "a", "b").agg(
         F.min("conv_id").alias("owner"), F.count(F.lit(1)).alias("n_convs"),
         F.count_if(F.col("depth") == F.col("n")).alias("n_ends"))
-    paths = steps.join(nodes, ["depth", "a", "b"]).select(
-        "conv_id", "depth", "owner", "n_convs", "n_ends", "chars")
+    # nodes with more members than two average partitions have rows: fewer than half as many as partitions
+    nodes = materialize(nodes, "trie-members")
+    shares = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    common = F.col("n_convs") > 2 * steps.count() // shares + 1
+    few, key = F.broadcast(nodes.where(common)), ["depth", "a", "b"]
+    paths = steps.join(few, key).unionByName(
+        steps.join(few, key, "left_anti").join(nodes.where(~common), key).select(*steps.columns, "owner", "n_convs", "n_ends")
+    ).select("conv_id", "depth", "owner", "n_convs", "n_ends", "chars")
     # the root belongs to every conversation: two numbers, no join on one key
     top = lengths.agg(F.min("conv_id"), F.count(F.lit(1)), F.count_if(F.col("n") == 0)).first()
     zero = F.lit(0).cast("long")

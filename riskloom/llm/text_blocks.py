@@ -1,4 +1,4 @@
-"""Texts of Arrow batches in blocks bounded by bytes, so that a batch of long texts never stands whole in Python."""
+"""Texts of Arrow batches in bounded blocks, and the return of a worker's memory after a task."""
 
 from __future__ import annotations
 
@@ -18,3 +18,28 @@ def text_blocks(batch, column: str, limit: int = BLOCK_BYTES):
         end = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield at, [t or "" for t in values.slice(at, end - at).to_pylist()]
         at, before = end, int(ends[end - 1])
+
+
+def release() -> None:
+    """Return what a Python worker no longer uses to the machine; idle workers keep their memory otherwise."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run, stores=()):
+    """``run`` for mapInArrow; when its task ends, ``stores`` are emptied and memory is returned."""
+    def wrapped(batches):
+        release()               # what the worker's earlier tasks left
+        try:
+            yield from run(batches)
+        finally:
+            for s in stores:
+                s.clear()
+            release()
+
+    return wrapped

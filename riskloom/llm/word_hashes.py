@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 _KNOWN: dict[bytes, int] = {}
 
 
