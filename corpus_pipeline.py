@@ -8,6 +8,7 @@ the operators' docstrings say; rows that repeat a doc_id are one document.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,30 @@ from riskloom.llm.quality_rules import quality_rules
 from riskloom.session import ensure_checkpoint_dir, materialize
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def apart(stage):
+    """Other columns of ``docs`` go through the stage under names that none of its own can have."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        mark = "in_"
+        while any(c.startswith(mark) for c in docs.columns):
+            mark += "_"
+        others = {c: mark + c for c in docs.columns if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(others), sf_dir)
+        return out.withColumnsRenamed({new: c for c, new in others.items() if new in out.columns})
+
+    return run
+
+
+@apart
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the threshold table."""
     return quality_rules(docs).where("kept").select(*docs.columns)
 
 
+@apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of every group of near duplicates."""
     groups = jaccard_components(docs.select("doc_id", "text"))
@@ -36,6 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
 
 
+@apart
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a document with a smaller doc_id has too."""
     out = substring_dedup(docs)
@@ -47,6 +66,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     }).select(*docs.columns)
 
 
+@apart
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of every document as its mixing rate says."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -58,10 +78,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts; ``exact`` tells that decoding gives the text's bytes back."""
     import public_tokenizers
 
-    enc = encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN, decoded_col="decoded")
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    return enc.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                      (F.col("decoded") == text).alias("exact"))
+    enc = encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN, exact_col="exact",
+                           keep=["doc_id", "lang", "source", "n_chars"])
+    return enc.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "exact")
 
 
 STAGES = [
