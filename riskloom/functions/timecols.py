@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICROS_PER_SECOND = 1_000_000
+# Optional column: seconds east of UTC that a time was written with; NULL for a time without an offset.
+OFFSET = "utc_offset"
 LONG_MAX = 9_223_372_036_854_775_807
 LONG_MIN = -9_223_372_036_854_775_808
 
@@ -40,6 +42,39 @@ def wall_clock_micros(df: DataFrame, col: str = "timestamp") -> Column:
     return epoch_micros(df, col)
 
 
+def history_micros(df: DataFrame, col: str = "timestamp") -> Column:
+    """Order key of the history dialect: the instant of a time with an offset, else the wall clock."""
+    wall = wall_clock_micros(df, col)
+    if OFFSET not in df.columns:
+        return wall
+    return F.when(F.col(OFFSET).isNull(), wall).otherwise(epoch_micros(df, col))
+
+
+def local_time(df: DataFrame, col: str = "timestamp") -> Column:
+    """The wall clock a time was written with: its own offset's where it has one, else as it stands."""
+    if OFFSET not in df.columns:
+        return F.col(col)
+    epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+    own = F.timestamp_add("MICROSECOND", epoch_micros(df, col) + F.col(OFFSET).cast("long") * MICROS_PER_SECOND, epoch)
+    return F.when(F.col(OFFSET).isNull(), F.col(col).cast(T.TimestampNTZType())).otherwise(own)
+
+
+def offset_text(offset: Column) -> Column:
+    """``+HH:MM`` of seconds east of UTC."""
+    minutes = F.call_function("div", F.abs(offset), F.lit(60))
+    return F.concat(F.when(offset < 0, F.lit("-")).otherwise(F.lit("+")),
+                    F.lpad(F.call_function("div", minutes, F.lit(60)).cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad((minutes % 60).cast("string"), 2, "0"))
+
+
+def iso_time(df: DataFrame, col: str = "timestamp") -> Column:
+    """``datetime.isoformat()``, with the time's own offset where it has one."""
+    text = iso_format(local_time(df, col))
+    if OFFSET not in df.columns:
+        return text
+    return F.when(F.col(OFFSET).isNull(), text).otherwise(F.concat(text, offset_text(F.col(OFFSET))))
+
+
 def from_epoch_micros(us: Column, dtype: T.DataType) -> Column:
     """Inverse of :func:`epoch_micros` for the given timestamp type."""
     if isinstance(dtype, T.TimestampNTZType):

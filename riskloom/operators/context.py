@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import ExecConfig, RuleConfig
-from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds, wall_clock_micros
+from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds, history_micros
 from ..session import materialize
 from .joins import attach_group_aggregates, join_nullsafe
 from .prefix import probe_prefix_counts, sorted_partitions_for
@@ -57,9 +57,10 @@ def with_time_keys(tx: DataFrame, dialect: str) -> DataFrame:
     """Add ``_us`` (µs), ``_key`` (frame key: seconds or µs) and ``_usnl`` (µs, NULL last).
 
     Window dialect: epoch time (``CAST(ts AS BIGINT)`` semantics).  History
-    dialect: the wall clock, like naive datetimes (same thing for NTZ input).
+    dialect: the wall clock, like naive datetimes (same thing for NTZ input); the
+    instant for times with an offset, like aware ones.
     """
-    us = epoch_micros(tx, TS) if dialect == C.DIALECT_WINDOW else wall_clock_micros(tx, TS)
+    us = epoch_micros(tx, TS) if dialect == C.DIALECT_WINDOW else history_micros(tx, TS)
     out = tx.withColumn("_us", us)
     key = floor_seconds("_us") if dialect == C.DIALECT_WINDOW else F.col("_us")
     return out.withColumn("_key", key).withColumn("_usnl", F.coalesce(F.col("_us"), F.lit(LONG_MAX)))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..config import RuleConfig
 from ..functions import text as X
-from ..functions.timecols import iso_format
+from ..functions.timecols import iso_time
 from ..session import materialize
 from .reports import flagged, flagged_sample, flat_detailed
 from .scoring import with_hits
@@ -34,8 +34,8 @@ from .scoring import with_hits
 TXN_FIELDS = ("txn_id", "user_id", "amount", "currency", "card_country", "ip_country", "timestamp")
 
 
-def _txn_json():
-    fields = [(f, iso_format("timestamp") if f == "timestamp" else F.col(f), f != "amount") for f in TXN_FIELDS]
+def _txn_json(scored: DataFrame):
+    fields = [(f, iso_time(scored) if f == "timestamp" else F.col(f), f != "amount") for f in TXN_FIELDS]
     return X.indented_json(fields)
 
 
@@ -44,7 +44,7 @@ def explain_inputs(scored: DataFrame, rules: RuleConfig) -> DataFrame:
     h = with_hits(flagged(scored), rules)
     return h.select(
         "txn_id", "seq", F.col("total_score").alias("score"), "severity",
-        _txn_json().alias("txn_json"),
+        _txn_json(scored).alias("txn_json"),
         X.hits_bullets(F.col("rules_triggered")).alias("rules_text"),
         X.hits_names(F.col("rules_triggered")).alias("rule_names"),
     )

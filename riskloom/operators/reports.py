@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import RuleConfig
 from ..functions import text as X
-from ..functions.timecols import iso_format
+from ..functions.timecols import iso_time
 from ..schema import CONSOLE_COLUMNS
 from ..session import materialize
 from .scoring import with_hits
@@ -60,7 +60,7 @@ def nested_results(scored: DataFrame, rules: RuleConfig) -> DataFrame:
     """One record per transaction with its ordered rule hits."""
     return with_hits(scored, rules).select(
         "txn_id", "user_id", "amount", "currency", "card_country", "ip_country",
-        iso_format("timestamp").alias("timestamp"),
+        iso_time(scored).alias("timestamp"),
         F.col("total_score").alias("score"), "severity", "status", "rules_triggered")
 
 
@@ -68,7 +68,7 @@ def flat_short(scored: DataFrame, rules: RuleConfig) -> DataFrame:
     """Display-named flat table with short rule text."""
     h = with_hits(scored, rules)
     return h.select(
-        iso_format("timestamp").alias("Timestamp"),
+        iso_time(scored).alias("Timestamp"),
         F.col("txn_id").alias("Txn ID"),
         F.col("user_id").alias("User ID"),
         F.col("amount").alias("Amount"),
@@ -89,7 +89,7 @@ def flat_detailed(scored: DataFrame, rules: RuleConfig, keep_rule_objects: bool
     h = with_hits(scored, rules)
     cols = [
         "txn_id", "user_id", "amount", "currency", "card_country", "ip_country", "merchant_mcc", "device_id",
-        iso_format("timestamp").alias("timestamp"),
+        iso_time(scored).alias("timestamp"),
         F.col("total_score").alias("score"), "severity", "status",
         X.hits_detailed_text(F.col("rules_triggered")).alias("rules_triggered"),
     ]
@@ -125,7 +125,7 @@ def flagged_sample(scored: DataFrame, top_n: int = 10) -> DataFrame:
     """O2: the first ``top_n`` flagged rows in (timestamp, seq) order (not by score)."""
     f = flagged(scored).select(
         "txn_id", "user_id", F.col("total_score").alias("score"), "timestamp", "seq",
-        iso_format("timestamp").alias("ts_text"))
+        iso_time(scored).alias("ts_text"))
     top = f.orderBy(F.col("timestamp").asc_nulls_last(), F.col("seq").asc()).limit(int(top_n))
     return top.select(
         "txn_id", "user_id", "score", F.col("ts_text").alias("timestamp"), "seq",

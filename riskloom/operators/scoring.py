@@ -13,6 +13,7 @@ from .. import config as C
 from ..config import DEFAULT_EXEC, ExecConfig, RuleConfig
 from ..functions import rules as R
 from ..functions import text as X
+from ..functions.timecols import OFFSET, local_time
 from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
 from .context import with_context
 
@@ -41,7 +42,7 @@ def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
         "r_country_mismatch": R.country_mismatch_points(F.col("card_country"), F.col("ip_country"), dialect),
         "r_blacklisted_mcc": R.blacklisted_mcc_points(F.col("merchant_mcc"), rules.blacklisted_mcc),
         "r_high_velocity": R.high_velocity_points(F.col("txn_count_window"), rules.velocity_max_allowed),
-        "r_night_time": R.night_time_points(ts),
+        "r_night_time": R.night_time_points(ts if dialect == C.DIALECT_WINDOW else local_time(df)),
         "r_new_device": new_dev,
     }
     df = df.withColumns(points)
@@ -56,13 +57,14 @@ def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
 def scored_table(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
                  exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
                  rows_upper_bound: int | None = None) -> DataFrame:
-    """The wide result table (20 columns for window, 19 for history)."""
+    """The wide result table (20 columns for window, 19 for history; and ``utc_offset`` if the input has it)."""
     cols = SCORED_WINDOW_COLUMNS if dialect == C.DIALECT_WINDOW else SCORED_HISTORY_COLUMNS
+    cols = [*cols, OFFSET] if OFFSET in tx.columns else cols
     return score(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound).select(*cols)
 
 
-def rule_hits(rules: RuleConfig) -> Column:
-    """Ordered ``array<struct<name, points, details>>`` of the rules that fired."""
+def rule_hits(rules: RuleConfig, clock: Column | None = None) -> Column:
+    """Ordered ``array<struct<name, points, details>>`` of the rules that fired; ``clock`` is the wall-clock time."""
     amount, user = F.col("amount"), F.col("user_id")
     by_rule = {  # rule name -> (points column, detail text)
         C.RULE_HIGH_AMOUNT: ("r_high_amount", X.detail_high_amount(amount, rules.high_amount_threshold)),
@@ -71,7 +73,7 @@ def rule_hits(rules: RuleConfig) -> Column:
         C.RULE_BLACKLISTED_MCC: ("r_blacklisted_mcc", X.detail_blacklisted_mcc(F.col("merchant_mcc"))),
         C.RULE_HIGH_VELOCITY: ("r_high_velocity",
                                X.detail_high_velocity(F.col("txn_count_window"), rules.velocity_window_minutes, user)),
-        C.RULE_NIGHT_TIME: ("r_night_time", X.detail_night_time(F.col("timestamp"))),
+        C.RULE_NIGHT_TIME: ("r_night_time", X.detail_night_time(F.col("timestamp") if clock is None else clock)),
         C.RULE_NEW_DEVICE: ("r_new_device", X.detail_new_device(F.col("device_id"), user)),
     }
     candidates = [
@@ -84,7 +86,7 @@ def rule_hits(rules: RuleConfig) -> Column:
 
 
 def with_hits(scored: DataFrame, rules: RuleConfig) -> DataFrame:
-    return scored.withColumn("rules_triggered", rule_hits(rules))
+    return scored.withColumn("rules_triggered", rule_hits(rules, local_time(scored)))
 
 
 def hits_long(scored: DataFrame, rules: RuleConfig) -> DataFrame:

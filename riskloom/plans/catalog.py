@@ -21,7 +21,7 @@ from ..operators import explain as E
 from ..operators import reports as P
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
-from ..functions.timecols import iso_format
+from ..functions.timecols import iso_format, iso_time, offset_text
 from ..sources.csv import (read_transactions_csv, read_transactions_strict, read_transactions_upload,
                            upload_missing_to_nan)
 from ..sources.sinks import CSV_MICROS_OPTIONS, read_scored_csv, write_scored
@@ -142,6 +142,37 @@ def score_csv_upload(spark, sf_dir):
     return _score_through_csv(spark, sf_dir, read_transactions_upload)
 
 
+def score_csv_offsets(spark, sf_dir):
+    """Times written with offsets from -03:00 to +03:00, read back, scored, and told with their own."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-offsets-{uuid.uuid4().hex}"
+    tx = _tx(spark, sf_dir)
+    offset = ((F.col(SEQ) % 5 - 2) * 5400).cast("int")
+    there = F.timestamp_add("SECOND", offset, F.col("timestamp"))
+    text = F.concat(iso_format(there), F.when(offset == 0, F.lit("Z")).otherwise(offset_text(offset)))
+    write_scored(tx.withColumn("timestamp", text).select(*TRANSACTION_COLUMNS), path)
+    back = read_transactions_strict(spark, path).withColumn(SEQ, F.col("txn_id").cast("long"))
+    scored = score(back, RULES, H)
+    return scored.select("txn_id", iso_time(scored).alias("ts_text"), "txn_count_window", "r_night_time", "r_new_device",
+                         "total_score", "severity", "status")
+
+
+def score_csv_quoted(spark, sf_dir):
+    """S2 with line breaks, quotes and commas inside fields: one file's records are put together from its splits."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-quoted-{uuid.uuid4().hex}"
+    odd = F.concat(F.col("device_id"), F.lit('\n"a, b",\n'), F.col("txn_id"))
+    tx = _tx(spark, sf_dir).withColumn("device_id", F.when(F.col(SEQ) % 3 == 0, odd).otherwise(F.col("device_id")))
+    write_scored(tx.select(*TRANSACTION_COLUMNS), path, options={**CSV_MICROS_OPTIONS, "escape": '"'})
+    back = read_transactions_strict(spark, path).withColumn(SEQ, F.col("txn_id").cast("long"))
+    return score(back, RULES, H).select("txn_id", "user_id", "amount", "device_id", "txn_count_window", "r_new_device",
+                                        "total_score", "status")
+
+
 def score_history_ordered(spark, sf_dir):
     """O1: the history table with each row's place in time order."""
     return P.with_position(_scored(spark, sf_dir, H)).select("position", *SCORED_HISTORY_COLUMNS)
@@ -246,6 +277,8 @@ def registry() -> dict[str, QueryFn]:
         "score_csv_permissive": score_csv_permissive,
         "score_csv_strict": score_csv_strict,
         "score_csv_upload": score_csv_upload,
+        "score_csv_offsets": score_csv_offsets,
+        "score_csv_quoted": score_csv_quoted,
         "score_history_ordered": score_history_ordered,
         "rule_mcc_from_text": rule_mcc_from_text,
         "rule_hits": rule_hits,

@@ -222,6 +222,21 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
                    + f"\nSELECT txn_id, user_id, amount, card_country, ip_country, merchant_mcc, device_id, {ts_iso} AS "
                      "ts_text, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, r_night_time, "
                      "r_new_device, total_score, severity, status FROM final")
+    # times with offsets: order by the instant, hour and text by the time's own wall clock
+    there = 'SELECT *, (seq % 5 - 2) * 5400 AS off, "timestamp" + to_seconds((seq % 5 - 2) * 5400) AS here FROM tx'
+    iso_here = ts_iso.replace('"timestamp"', "here")
+    q["score_csv_offsets"] = (
+        "WITH " + tx_cte() + f",\nread AS ({there})," + context_cte(rules, H, "read") + ","
+        + scored_cte(rules, H).replace('hour("timestamp")', "hour(here)")
+        + f"\nSELECT txn_id, {iso_here} || CASE WHEN off < 0 THEN '-' ELSE '+' END || lpad(CAST(abs(off) // 3600 AS VARCHAR), "
+          "2, '0') || ':' || lpad(CAST(abs(off) % 3600 // 60 AS VARCHAR), 2, '0') AS ts_text, txn_count_window, "
+          "r_night_time, r_new_device, total_score, severity, status FROM final")
+    odd = "device_id || chr(10) || '\"a, b\",' || chr(10) || txn_id"
+    q["score_csv_quoted"] = (
+        "WITH " + tx_cte() + f",\nread AS (SELECT * REPLACE (coalesce(CASE WHEN seq % 3 = 0 THEN {odd} ELSE device_id END, "
+        "'') AS device_id, coalesce(user_id, '') AS user_id, coalesce(card_country, '') AS card_country, "
+        "coalesce(ip_country, '') AS ip_country) FROM tx)," + context_cte(rules, H, "read") + "," + scored_cte(rules, H)
+        + "\nSELECT txn_id, user_id, amount, device_id, txn_count_window, r_new_device, total_score, status FROM final")
     q["score_history_ordered"] = sh + ('\nSELECT ROW_NUMBER() OVER (ORDER BY "timestamp" NULLS LAST, seq) AS position, '
                                        f"{HISTORY_COLS} FROM final")
     q["rule_mcc_from_text"] = "WITH " + tx_cte() + ("\nSELECT txn_id, merchant_mcc, CASE WHEN merchant_mcc IN "

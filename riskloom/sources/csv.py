@@ -9,16 +9,23 @@
   missing-value tokens turn string fields into the text ``'nan'`` and the
   amount into NaN; a missing MCC or time fails.
 
+The strict and the upload reader keep the offset of a time that has one, in seconds, as
+``utc_offset``: such times are ordered by their instant, and their hour is that of their own wall clock.
+Quoted fields may hold line breaks.  A file stays splittable: if every line has an even number of
+quotes, lines are records; else :func:`quoted_records` puts the lines together.
+
 All readers add ``seq``, the arrival order used as the tie-breaker of the
 history dialect (file order within a split, splits in order).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.timecols import OFFSET
 from ..schema import SEQ, STRING_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+from ..session import materialize
 
 # The strings pandas.read_csv reads as missing by default.
 PANDAS_NA_TOKENS = (
@@ -41,6 +48,13 @@ def _time(c: Column) -> Column:
     return F.when(c.rlike(f"^(?:{ISO_TIME})$"), c.try_cast("timestamp"))
 
 
+def _offset(c: Column) -> Column:
+    """Seconds east of UTC written in a time text, NULL without."""
+    text = F.regexp_extract(c, r"[T ].*?([+-]\d{2}:\d{2}|Z)$", 1)
+    size = F.substring(text, 2, 2).try_cast("int") * 3600 + F.substring(text, 5, 2).try_cast("int") * 60
+    return F.when(text == "Z", F.lit(0)).when(text != "", F.when(text.startswith("-"), -size).otherwise(size))
+
+
 def with_arrival_seq(df: DataFrame) -> DataFrame:
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
@@ -53,13 +67,61 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
 def _raw_strings(spark: SparkSession, path: str) -> DataFrame:
     # quoting as in Python's csv module: doubled quotes, line breaks inside quotes
     raw = spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8")
-    raw = raw.option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    raw = raw.option("quote", '"').option("escape", '"')
+    head = raw.option("multiLine", True).csv(path)      # only its header is used
+    lines = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    if lines.agg(F.count_if(quotes % 2 == 1)).first()[0] == 0:
+        raw = raw.option("multiLine", False).csv(path)
+    else:
+        raw = quoted_records(spark, path, head.columns)
     missing = [c for c in TRANSACTION_COLUMNS if c not in raw.columns]
     if missing:
         raise KeyError(f"CSV {path} lacks columns {missing}")
     return raw
 
 
+def quoted_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Records of CSV files whose quoted fields hold line breaks, as text columns and ``seq``.
+
+    A line begins a record where the quotes before it in its file are even in number.  Each split of a
+    file counts its quotes and, for both parities it may begin with, its beginnings; prefix sums over the
+    splits (one row each) give the parity and number each begins with.  So a file is read by as many tasks
+    as it has splits.  ``seq`` numbers the records in the order of file paths, as in one file.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("long")
+    # read once: line numbers must be those of one reading
+    lines = materialize(lines.withColumn("quotes", quotes), "csv-lines")
+    inside = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("before", F.coalesce(F.sum("quotes").over(inside), F.lit(0)) % 2)
+    blocks = lines.groupBy("file", "block").agg(
+        (F.sum("quotes") % 2).alias("parity"), F.count_if(F.col("before") == 0).alias("even"),
+        F.count_if(F.col("before") == 1).alias("odd"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("enters", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("enters") == 0, F.col("even")).otherwise(F.col("odd"))
+    blocks = materialize(blocks.select("file", "block", "enters", begun.alias("begun"), F.coalesce(
+        F.sum(begun).over(earlier), F.lit(0)).alias("records")), "csv-blocks")
+    # one row a file; its first record is the header
+    files = blocks.groupBy("file").agg((F.sum("begun") - 1).alias("n"))
+    files = files.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    upto = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    begins = (F.col("before") + F.col("enters")) % 2 == 0
+    lines = lines.join(blocks.select("file", "block", "enters", "records"), ["file", "block"])
+    lines = lines.withColumn("record", F.col("records") + F.sum(begins.cast("long")).over(upto))
+    records = lines.groupBy("file", "record").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("block", "line", "value"))), lambda v: v["value"]), "\n").alias("text"))
+    text = F.regexp_replace("text", r"\r$", "")
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    parsed = F.from_csv(text, schema, {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true"})
+    return (records.where((F.col("record") > 1) & (text != "")).join(files, "file")
+            .select(parsed.alias("r"), (F.col("offset") + F.col("record") - 2).alias(SEQ)).select("r.*", SEQ))
+
+
 def _must(parsed: Column, raw: Column, what: str) -> Column:
     msg = F.concat(F.lit(f"invalid {what}: "), F.coalesce(raw, F.lit("<missing>")))
     return F.when(parsed.isNull(), F.raise_error(msg)).otherwise(parsed)
@@ -71,10 +133,12 @@ def _typed(raw_df: DataFrame, amount: Column, strings: dict[str, Column]) -> Dat
     cols["amount"] = amount
     cols["merchant_mcc"] = _must(_number(mcc_raw, INTEGER, "int"), mcc_raw, "merchant_mcc")
     cols["timestamp"] = _must(_time(ts_raw), ts_raw, "timestamp")
-    typed = raw_df.select(*[cols[c].alias(c) for c in TRANSACTION_COLUMNS])
+    own = [SEQ] if SEQ in raw_df.columns else []
+    typed = raw_df.select(*[cols[c].alias(c) for c in TRANSACTION_COLUMNS], _offset(ts_raw).alias(OFFSET), *own)
     # a filter on the checked columns: later projections and counts cannot prune the checks
     valid = F.col("amount").isNotNull() & F.col("merchant_mcc").isNotNull() & F.col("timestamp").isNotNull()
-    return with_arrival_seq(typed.where(valid))
+    typed = typed.where(valid)
+    return typed if own else with_arrival_seq(typed)
 
 
 def read_transactions_strict(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..functions.timecols import OFFSET, iso_time
+
 
 # CSV timestamps with full microseconds.  The default CSV sink keeps Spark's
 # default text (milliseconds, e.g. 2025-10-06T00:15:00.000+01:00), like the
@@ -19,6 +21,8 @@ CSV_MICROS_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 def write_scored(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
                  partition_by: list[str] | None = None, options: dict | None = None) -> None:
+    if fmt == "csv" and OFFSET in df.columns:
+        df = df.withColumn("timestamp", iso_time(df)).drop(OFFSET)     # every time with its own offset
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT_EXEC, ExecConfig, RuleConfig
-from ..functions.timecols import LONG_MAX, LONG_MIN, MICROS_PER_SECOND
+from ..functions.timecols import LONG_MAX, LONG_MIN, MICROS_PER_SECOND, OFFSET
 from ..operators.context import with_time_keys
 from ..operators.joins import join_nullsafe
 from ..operators.scoring import score
@@ -86,13 +86,13 @@ class BatchScorer:
             return like.limit(0)
         paths = [self._path("seen", v) for v in versions]
         rows = spark.read.option("basePath", f"{self.base.rstrip('/')}/seen").parquet(*paths).drop("batch")
-        return _first_of_pairs(self._keep(rows)).select(*STATE)
+        return _first_of_pairs(self._keep(rows))
 
     # ---- one version
 
     def step(self, rows: DataFrame, batch_id: int) -> None:
         """Score a micro-batch; for ``writeStream.foreachBatch``."""
-        self._advance(rows.sparkSession, rows.select(*CANONICAL_COLUMNS), 2 * (int(batch_id) + 1), False)
+        self._advance(rows.sparkSession, rows.select(*_own(CANONICAL_COLUMNS, rows)), 2 * (int(batch_id) + 1), False)
 
     def flush(self, spark: SparkSession) -> None:
         """End of input: every pending row is final."""
@@ -117,8 +117,8 @@ class BatchScorer:
             behind = F.coalesce(F.col("_us") <= F.lit(frontier), F.lit(False))
             n_in, n_late, latest = keyed.agg(F.count(F.lit(1)), F.count_if(behind), F.max("_us")).first()
             if n_late:
-                self._write(keyed.where(behind).select(*CANONICAL_COLUMNS), "late", version)
-            on_time = keyed.where(~behind).select(*CANONICAL_COLUMNS)
+                self._write(keyed.where(behind).select(*_own(CANONICAL_COLUMNS, keyed)), "late", version)
+            on_time = keyed.where(~behind).select(*_own(CANONICAL_COLUMNS, keyed))
             pending = on_time if pending is None else pending.unionByName(on_time)
             if latest is not None:
                 frontier = max(frontier, int(latest) - int(self.delay_seconds * MICROS_PER_SECOND))
@@ -128,36 +128,37 @@ class BatchScorer:
             frontier = LONG_MAX
         final = F.lit(True) if last else F.coalesce(F.col("_us") <= F.lit(frontier), F.lit(False))
         pending = self._keep(pending)
-        self._write(pending.where(~final).select(*CANONICAL_COLUMNS), "pending", version)
-        ready = pending.where(final).select(*CANONICAL_COLUMNS)
+        self._write(pending.where(~final).select(*_own(CANONICAL_COLUMNS, pending)), "pending", version)
+        ready = pending.where(final).select(*_own(CANONICAL_COLUMNS, pending))
 
         # what the users of the final rows left before: recent rows, and first sightings older than those
         deltas = [v for v in self._folders(spark, "seen") if v <= (before or 0)]
         whole = [v for v in deltas if v in self._folders(spark, "seen_whole")]
         if whole:
             deltas = [v for v in deltas if v >= whole[-1]]
-        seen = self._seen(spark, deltas, ready.select(*STATE))
-        recent = spark.read.parquet(self._path("recent", before)) if old else ready.select(*STATE).limit(0)
+        seen = self._seen(spark, deltas, ready.select(*_own(STATE, ready)))
+        recent = spark.read.parquet(self._path("recent", before)) if old else ready.select(*_own(STATE, ready)).limit(0)
         reach = old["reach"] if old else None
         older = seen
         if reach is not None:        # sightings that `recent` does not hold
-            older = self._keep(seen).where(F.coalesce(F.col("_us") < F.lit(reach), F.lit(False))).select(*STATE)
+            older = self._keep(seen).where(F.coalesce(F.col("_us") < F.lit(reach), F.lit(False))).select(*_own(STATE, seen))
         users = ready.select("user_id").distinct()
         context = join_nullsafe(recent.unionByName(older), users, ["user_id"], "left_semi")
         work = self._write(ready.withColumn("_final", F.lit(True)).unionByName(
             context.withColumn("_final", F.lit(False)), allowMissingColumns=True), "work", version)
         columns = SCORED_WINDOW_COLUMNS if self.dialect == C.DIALECT_WINDOW else SCORED_HISTORY_COLUMNS
         scored = score(work, self.rules, self.dialect, self.exec_cfg, rows_upper_bound=work.count())
-        n_out = self._write(scored.where("_final").select(*columns), "out", version).count()
+        n_out = self._write(scored.where("_final").select(*_own(columns, work)), "out", version).count()
 
         # a later row's time is above the frontier, so its window reaches back no further than this
         window = (self.rules.window_seconds + 1) * MICROS_PER_SECOND
         reach = frontier - window if frontier > LONG_MIN + window else LONG_MIN
-        held = self._keep(recent.unionByName(work.where("_final").select(*STATE)))
-        self._write(held.where(F.coalesce(F.col("_us") >= F.lit(reach), F.lit(True))).select(*STATE), "recent", version)
-        fresh = _first_of_pairs(self._keep(work.where("_final").select(*STATE))).select(*STATE)
+        final_rows = work.where("_final").select(*_own(STATE, work))
+        held = self._keep(recent.unionByName(final_rows))
+        self._write(held.where(F.coalesce(F.col("_us") >= F.lit(reach), F.lit(True))).select(*_own(STATE, held)), "recent", version)
+        fresh = _first_of_pairs(self._keep(final_rows))
         if len(deltas) >= MERGE_EVERY:
-            merged = _first_of_pairs(self._keep(seen.unionByName(fresh))).select(*STATE)
+            merged = _first_of_pairs(self._keep(seen.unionByName(fresh)))
             self._write(merged, "seen", version)
             self._write(merged.limit(0), "seen_whole", version)      # later versions begin here
         else:
@@ -205,6 +206,12 @@ class BatchScorer:
 
 def _first_of_pairs(keyed: DataFrame) -> DataFrame:
     """The first row of every (user, device) pair by (time, seq), NULL times last."""
-    first = F.min(F.struct("_usnl", "seq", "timestamp")).alias("first")
+    own = _own(["timestamp", "seq"], keyed)
+    first = F.min(F.struct("_usnl", "seq", *[c for c in own if c != "seq"])).alias("first")
     return keyed.groupBy("user_id", "device_id").agg(first).select(
-        "user_id", "device_id", F.col("first.timestamp").alias("timestamp"), F.col("first.seq").alias("seq"))
+        "user_id", "device_id", *[F.col(f"first.{c}").alias(c) for c in own])
+
+
+def _own(columns: list[str], frame: DataFrame) -> list[str]:
+    """``columns``, and the times' offsets where the frame has them."""
+    return [*columns, OFFSET] if OFFSET in frame.columns else list(columns)

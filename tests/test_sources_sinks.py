@@ -183,3 +183,63 @@ def test_numbers_as_python_prints_them(spark):
         assert got[i][0] == json.dumps(v)
         if abs(v) < 1e12 or v != v:
             assert got[i][1] == "${:,.2f}".format(v)
+
+
+def test_times_keep_their_offset(spark, tmpdir_path):
+    """Aware times: ordered by instant, hour and text by their own wall clock, through rules, texts and the CSV sink."""
+    from riskloom.config import RuleConfig
+    from riskloom.operators import reports as P
+    from riskloom.operators.scoring import score, scored_table
+    from riskloom.sources import read_transactions_strict, write_scored
+
+    times = ["2025-01-01T23:30:00+02:00", "2025-01-01T21:31:00Z", "2025-01-02T03:02:00+05:30", "2025-01-01T12:33:00.5-09:00"]
+    path = f"{tmpdir_path}/in.csv"
+    with open(path, "w") as f:
+        f.write("txn_id,user_id,amount,currency,card_country,ip_country,merchant_mcc,device_id,timestamp\n")
+        f.writelines(f"T{k},U,1,GBP,GB,GB,5411,D,{t.replace('.5-', '.500-')}\n" for k, t in enumerate(times))
+    tx = read_transactions_strict(spark, path)
+    cfg = RuleConfig(velocity_window_minutes=5, velocity_max_allowed=3)
+    flat = {r.txn_id: r for r in P.flat_detailed(score(tx, cfg, "history"), cfg).collect()}
+    texts = [flat[f"T{k}"].timestamp for k in range(4)]
+    assert texts == ["2025-01-01T23:30:00+02:00", "2025-01-01T21:31:00+00:00", "2025-01-02T03:02:00+05:30",
+                     "2025-01-01T12:33:00.500000-09:00"]
+    assert [flat[f"T{k}"].rules_triggered for k in range(3)] == ["", "", "NightTime (+10) [Transaction at 03:00]"]
+    assert flat["T3"].score == 30          # the fourth within five minutes, by the instants
+    out = f"{tmpdir_path}/out"
+    write_scored(scored_table(tx, cfg, "history"), out)
+    assert sorted(r.timestamp for r in spark.read.option("header", True).csv(out).collect()) == sorted(texts)
+
+
+def test_quoted_line_breaks_in_many_splits(spark, tmpdir_path):
+    """Small splits, quotes over several lines and splits: the rows of Python's csv module, numbered in path order."""
+    import csv as pycsv
+    import os
+    import random
+
+    from riskloom.schema import TRANSACTION_COLUMNS
+    from riskloom.sources import csv as S
+
+    rnd = random.Random(3)
+    want, src = [], f"{tmpdir_path}/src"
+    os.makedirs(src)
+    for n in (2, 0, 1):
+        with open(f"{src}/part-{n}.csv", "w", newline="") as f:
+            w = pycsv.writer(f, lineterminator="\r\n" if n == 1 else "\n")
+            w.writerow(TRANSACTION_COLUMNS)
+            for k in range(120):
+                device = rnd.choice(["plain", 'say "hi"', "two\nlines", "a,\n\n\"b\"\n" * rnd.randint(1, 9), ""])
+                row = [f"F{n}-{k}", "U", "1.5", "GBP", "GB", "GB", "5411", device, "2025-01-01T10:00:00"]
+                w.writerow(row)
+                want.append((n, k, device))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(src).rdd.getNumPartitions() > 10
+        got = S.read_transactions_strict(spark, src).orderBy("seq").collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    want.sort()
+    assert [(r.txn_id, r.device_id) for r in got] == [(f"F{n}-{k}", d) for n, k, d in want]
+    assert [r.seq for r in got] == list(range(360))
