@@ -46,6 +46,11 @@ def blacklisted_mcc_points(mcc: Column, blacklist: tuple[int, ...]) -> Column:
     return _pts(mcc.isin(list(blacklist)), C.POINTS_BLACKLISTED_MCC)
 
 
+def listed_mcc_points(listed: Column) -> Column:
+    """The same points where a table has told whether the code is listed."""
+    return _pts(listed, C.POINTS_BLACKLISTED_MCC)
+
+
 def high_velocity_points(count: Column, max_allowed: int) -> Column:
     return _pts(count >= F.lit(int(max_allowed)), C.POINTS_HIGH_VELOCITY)
 

@@ -1,8 +1,8 @@
 """Explanation payloads for flagged transactions.
 
 The reference hands each flagged transaction to a hosted language model.  Here
-that boundary is a caller-supplied Python function run with ``mapInPandas``
-over the flagged rows only (Arrow batches, one Python worker per partition);
+that boundary is a caller-supplied Python function, called once a distinct prompt
+of the flagged rows, its replies kept in a durable table (:mod:`.replies`);
 everything it receives — the transaction as indented JSON, the rule bullets,
 score and severity — is built JVM-side.  The default explainer is a
 deterministic template; no network client is included.
@@ -10,23 +10,23 @@ deterministic template; no network client is included.
 * :func:`explain_prompts` — U1(a): the prompt text per flagged row.
 * :func:`explain_with` — U1(b): ``ai_explanation`` per flagged row from a
   pluggable function; a failing call yields the fallback text, the row stays.
-* :func:`summary_prompt` — U2: one row with the prompt over the flagged sample.
+* :func:`summary_prompt`, :func:`summarise` — U2: one row with the prompt over the flagged
+  sample, and the text that a caller's function makes of it.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..config import RuleConfig
 from ..functions import text as X
 from ..functions.timecols import iso_time
 from ..session import materialize
+from .replies import ReplyTable, answer
 from .reports import flagged, flagged_sample, flat_detailed
 from .scoring import with_hits
 
@@ -72,27 +72,6 @@ def template_explainer(row: dict) -> str:
     return f"{row['txn_id']} scored {row['score']} ({row['severity']}): {names}"
 
 
-_EXPLAIN_SCHEMA = T.StructType([
-    T.StructField("txn_id", T.StringType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("ai_explanation", T.StringType()),
-])
-
-
-def _explainer_batches(fn: Callable[[dict], str]):
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                try:
-                    text = fn(rec)
-                    out.append(X.EXPLANATION_FALLBACK if text is None else str(text).strip())
-                except Exception:  # the explainer is an external boundary
-                    out.append(X.EXPLANATION_FALLBACK)
-            yield pd.DataFrame({"txn_id": pdf["txn_id"], "seq": pdf["seq"], "ai_explanation": out})
-    return run
-
-
 def template_text(txn_id, score, severity, rule_names):
     """The default explanation as a column (missing values as ``None``, like :func:`template_explainer`)."""
     names = F.when(rule_names == "", F.lit("no rules triggered")).otherwise(rule_names)
@@ -101,19 +80,26 @@ def template_text(txn_id, score, severity, rule_names):
 
 
 def explain_with(scored: DataFrame, rules: RuleConfig,
-                 explainer: Callable[[dict], str] = template_explainer) -> DataFrame:
+                 explainer: Callable[[dict], str] = template_explainer,
+                 replies: ReplyTable | None = None) -> DataFrame:
     """``txn_id, seq, ai_explanation`` for the flagged rows.
 
-    The default template is one ``concat``; only a caller's function runs in Python.
+    The default template is one ``concat``; only a caller's function runs in Python.  Its replies are
+    kept in ``replies`` (default: a new table in the checkpoint folder), so a prompt is asked once.
     """
     if explainer is template_explainer:
         return explain_inputs(scored, rules).select("txn_id", "seq", template_text(
             F.col("txn_id"), F.col("score"), F.col("severity"), F.col("rule_names")).alias("ai_explanation"))
-    return explain_inputs(scored, rules).mapInPandas(_explainer_batches(explainer), _EXPLAIN_SCHEMA)
+    rows = explain_inputs(scored, rules).withColumn("prompt", F.coalesce(prompt_text(
+        X.py_str(F.col("score")), X.py_str(F.col("severity")), F.col("txn_json"), F.col("rules_text")), F.lit("")))
+    rows = materialize(rows, "to-explain")      # read by the calls and by the join that follows
+    return answer(rows, explainer, X.EXPLANATION_FALLBACK, replies, reply_col="ai_explanation", key_col="seq").select(
+        "txn_id", "seq", "ai_explanation")
 
 
 def explained_table(scored: DataFrame, rules: RuleConfig,
-                    explainer: Callable[[dict], str] = template_explainer) -> DataFrame:
+                    explainer: Callable[[dict], str] = template_explainer,
+                    replies: ReplyTable | None = None) -> DataFrame:
     """The flat detailed table with ``ai_explanation``: the row's own text where it is flagged, else ``''``.
 
     The default template is part of the one projection.  With a caller's function the scored
@@ -127,7 +113,7 @@ def explained_table(scored: DataFrame, rules: RuleConfig,
         return flat_detailed(scored, rules, keep_rule_objects=False, extra={"ai_explanation": text})
     scored = materialize(scored, "scored")
     flat = flat_detailed(scored, rules, keep_rule_objects=False, extra={"__row": F.col("seq")})
-    texts = explain_with(scored, rules, explainer).select(F.col("seq").alias("__row"), "ai_explanation")
+    texts = explain_with(scored, rules, explainer, replies).select(F.col("seq").alias("__row"), "ai_explanation")
     return flat.join(texts, "__row", "left").drop("__row").withColumn(
         "ai_explanation", F.coalesce("ai_explanation", F.lit("")))
 
@@ -145,11 +131,15 @@ def attach_explanations(flat: DataFrame, explanations: DataFrame) -> DataFrame:
         F.col("ai_explanation"), F.lit(""))).otherwise(F.lit("")))
 
 
-def summary_prompt(scored: DataFrame, top_n: int = 10) -> DataFrame:
-    """One row — the fallback text, or a prompt over the first ``top_n`` flagged lines."""
+def summary_prompt(scored: DataFrame, top_n: int = 10, facts: tuple[str, ...] = ()) -> DataFrame:
+    """One row — the fallback text, or a prompt over the first ``top_n`` flagged lines.
+
+    ``facts``: further columns about the sample, of ``n_users``, ``min_score``, ``max_score`` and ``lines``.
+    """
     sample = flagged_sample(scored, top_n)
     agg = sample.agg(
-        F.count(F.lit(1)).alias("n_flagged_sample"),
+        F.count(F.lit(1)).alias("n_flagged_sample"), F.count_distinct("user_id").alias("n_users"),
+        F.min("score").alias("min_score"), F.max("score").alias("max_score"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("timestamp", "seq", "line"))),
                                  lambda s: s["line"]), "\n").alias("lines"),
     )
@@ -158,6 +148,28 @@ def summary_prompt(scored: DataFrame, top_n: int = 10) -> DataFrame:
               "sentences describe the patterns you see (for example cross-border use, large amounts, new devices "
               "or bursts of activity) and propose up to three follow-up checks.\n\n"),
         F.col("lines"))
-    return agg.select("n_flagged_sample",
+    return agg.select("n_flagged_sample", *facts,
                       F.when(F.col("n_flagged_sample") == 0, F.lit(X.NO_FLAGGED_TEXT)).otherwise(prompt)
                       .alias("prompt"))
+
+
+SUMMARY_FACTS = ("n_users", "min_score", "max_score", "lines")
+
+
+def template_summariser(sample: dict) -> str:
+    """Default summary: how many flagged transactions, of how many users, with which scores."""
+    return (f"{sample['n_flagged_sample']} flagged transactions of {sample['n_users']} users, "
+            f"scores {sample['min_score']} to {sample['max_score']}.")
+
+
+def summarise(scored: DataFrame, summariser: Callable[[dict], str] = template_summariser, top_n: int = 10,
+              replies: ReplyTable | None = None) -> DataFrame:
+    """One row ``n_flagged_sample, summary``; the function gets the bounded sample's lines and prompt.
+
+    Without flagged rows it is not called and the summary says so; where it fails, the fallback text stands.
+    """
+    row = materialize(summary_prompt(scored, top_n, SUMMARY_FACTS), "summary-prompt")
+    some = row.where(F.col("n_flagged_sample") > 0)
+    told = answer(some, summariser, X.EXPLANATION_FALLBACK, replies, reply_col="summary")
+    none = row.where(F.col("n_flagged_sample") == 0).withColumn("summary", F.lit(X.NO_FLAGGED_TEXT))
+    return told.unionByName(none).select("n_flagged_sample", "summary")

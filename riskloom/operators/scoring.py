@@ -15,18 +15,22 @@ from ..functions import rules as R
 from ..functions import text as X
 from ..functions.timecols import OFFSET, local_time
 from ..schema import SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS
+from .blacklist import LISTED, with_listed
 from .context import with_context
 
 
 def score(tx: DataFrame, rules: RuleConfig = RuleConfig(), dialect: str = C.DIALECT_WINDOW,
           exec_cfg: ExecConfig = DEFAULT_EXEC, key_counts: DataFrame | None = None,
-          rows_upper_bound: int | None = None, split=None) -> DataFrame:
+          rows_upper_bound: int | None = None, split=None, blacklist: DataFrame | None = None) -> DataFrame:
     """Canonical transactions (+ ``seq``) -> every column needed downstream.
 
     Keeps the canonical columns, ``seq`` and the context columns, adds the six
-    ``r_*`` point columns, ``total_score``, ``severity`` and ``status``.
+    ``r_*`` point columns, ``total_score``, ``severity`` and ``status``.  A ``blacklist`` table
+    (see ``operators.blacklist``) takes the place of the rules' list of codes.
     """
     ctx = with_context(tx, rules, dialect, exec_cfg, key_counts, rows_upper_bound, split)
+    if blacklist is not None:
+        return apply_rules(with_listed(ctx, blacklist, exec_cfg), rules, dialect).drop(LISTED)
     return apply_rules(ctx, rules, dialect)
 
 
@@ -40,7 +44,8 @@ def apply_rules(df: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
     points = {
         "r_high_amount": R.high_amount_points(F.col("amount"), rules.high_amount_threshold, dialect),
         "r_country_mismatch": R.country_mismatch_points(F.col("card_country"), F.col("ip_country"), dialect),
-        "r_blacklisted_mcc": R.blacklisted_mcc_points(F.col("merchant_mcc"), rules.blacklisted_mcc),
+        "r_blacklisted_mcc": (R.listed_mcc_points(F.col(LISTED)) if LISTED in df.columns else
+                              R.blacklisted_mcc_points(F.col("merchant_mcc"), rules.blacklisted_mcc)),
         "r_high_velocity": R.high_velocity_points(F.col("txn_count_window"), rules.velocity_max_allowed),
         "r_night_time": R.night_time_points(ts if dialect == C.DIALECT_WINDOW else local_time(df)),
         "r_new_device": new_dev,

@@ -19,12 +19,13 @@ from ..config import DEFAULT_EXEC, EVENTS_RULES, SKEWPROOF_EXEC, ExecConfig, Rul
 from ..functions import rules as R
 from ..operators import explain as E
 from ..operators import reports as P
+from ..operators.blacklist import LISTED, with_listed
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
 from ..functions.timecols import iso_format, iso_time, offset_text
-from ..sources.csv import (read_transactions_csv, read_transactions_strict, read_transactions_upload,
-                           upload_missing_to_nan)
-from ..sources.sinks import CSV_MICROS_OPTIONS, read_scored_csv, write_scored
+from ..sources.csv import (read_transactions_checked, read_transactions_csv, read_transactions_strict,
+                           read_transactions_upload, upload_missing_to_nan)
+from ..sources.sinks import CSV_MICROS_OPTIONS, publish_scored, read_published, read_scored_csv, write_scored
 from ..schema import RULE_POINT_COLUMNS, SCORED_HISTORY_COLUMNS, SCORED_WINDOW_COLUMNS, SEQ, TRANSACTION_COLUMNS
 from ..sources.tables import employees_from_supplier, events_inputs, payroll_from_lineitem, transactions_from_events
 
@@ -185,6 +186,102 @@ def rule_mcc_from_text(spark, sf_dir):
                                      R.blacklisted_mcc_points(F.col("merchant_mcc"), codes).alias("points"))
 
 
+def mcc_table(spark, sf_dir) -> DataFrame:
+    """A code table with validity times out of the transactions: each rarer code for two stretches of the data's span.
+
+    The second stretch stands in two overlapping rows; a NULL code and an empty interval are in it too.
+    """
+    tx = _tx(spark, sf_dir).where(F.col("merchant_mcc") != 5411)
+    spans = tx.groupBy(F.col("merchant_mcc").alias("mcc")).agg(
+        F.date_trunc("DAY", F.min("timestamp")).cast("timestamp_ntz").alias("t"))
+
+    def day(n):
+        return F.timestamp_add("DAY", F.lit(n), F.col("t"))
+
+    null_time = F.lit(None).cast("timestamp_ntz")
+    rows = F.array(*[F.struct(code.alias("mcc"), a.alias("valid_from"), b.alias("valid_to")) for code, a, b in (
+        (F.col("mcc"), day(1), day(5)), (F.col("mcc"), day(9), day(14)), (F.col("mcc"), day(12), null_time),
+        (F.lit(None).cast("int"), null_time, null_time), (F.lit(5411), day(4), day(2)))])
+    return spans.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def rule_mcc_table(spark, sf_dir):
+    """R3 with the blacklist as a table of codes and validity times."""
+    listed = with_listed(_tx(spark, sf_dir), mcc_table(spark, sf_dir))
+    return listed.select("txn_id", "merchant_mcc", R.listed_mcc_points(F.col(LISTED)).alias("points"))
+
+
+def score_mcc_table(spark, sf_dir):
+    """The history scores with the blacklist as a table."""
+    inp = events_inputs(spark, sf_dir)
+    return score(inp["tx"], RULES, H, DEFAULT_EXEC, inp["key_counts"], inp["rows_upper_bound"], inp["split"],
+                 mcc_table(spark, sf_dir)).select(*SCORED_HISTORY_COLUMNS)
+
+
+def _scratch(spark, label: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-{label}-{uuid.uuid4().hex}"
+
+
+def score_sink_summary(spark, sf_dir):
+    """S4 and A1 in one job: the counts observed on the write, and the rows that the published table holds."""
+    path = _scratch(spark, "published")
+    scored = score_window(spark, sf_dir)
+    counts = publish_scored(scored, path, options=CSV_MICROS_OPTIONS)
+    back = read_published(spark, path, scored.schema, options=CSV_MICROS_OPTIONS)
+    return back.agg(F.count(F.lit(1)).alias("stored")).select(
+        *[F.lit(counts[k]).cast("long").alias(k) for k in ("total", "flagged", "ok")], "stored")
+
+
+def csv_path_order(spark, sf_dir):
+    """The transactions in several CSV files, numbered like the rows of one file."""
+    path = _scratch(spark, "ordered-csv")
+    ordered = _tx(spark, sf_dir).repartitionByRange(10, SEQ).sortWithinPartitions(SEQ)
+    write_scored(ordered.select(*TRANSACTION_COLUMNS), path, options=CSV_MICROS_OPTIONS)
+    return read_transactions_csv(spark, path, in_path_order=True).select("txn_id", SEQ)
+
+
+def _checked(spark, sf_dir):
+    """The checked reader over the transactions with every third row spoilt in one of five ways."""
+    path = _scratch(spark, "checked-csv")
+    tx = _tx(spark, sf_dir)
+    cols = [F.coalesce((iso_format("timestamp") if c == "timestamp" else F.col(c)).cast("string"), F.lit(""))
+            for c in TRANSACTION_COLUMNS]
+    at = {c: i for i, c in enumerate(TRANSACTION_COLUMNS)}
+    way = F.when(F.col(SEQ) % 3 == 0, F.col(SEQ) % 5).otherwise(-1)
+    for name, k, text in (("amount", 0, "twelve"), ("merchant_mcc", 1, "grocer"), ("timestamp", 2, "yesterday")):
+        cols[at[name]] = F.when(way == k, F.lit(text)).otherwise(cols[at[name]])
+    line = F.concat_ws(",", *cols)
+    line = F.when(way == 3, F.concat(line, F.lit(",more"))).when(
+        way == 4, F.concat_ws(",", *cols[:4])).otherwise(line)
+    # every file needs a header line of its own: the text sink has none, the CSV sink would quote the commas
+    parts = tx.select(line.alias("value")).repartition(8).mapInPandas(_with_header(",".join(TRANSACTION_COLUMNS)),
+                                                                      "value string")
+    parts.write.text(path)
+    return read_transactions_checked(spark, path)
+
+
+def _with_header(header: str):
+    def run(batches):
+        import pandas as pd
+
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+    return run
+
+
+def csv_rejects(spark, sf_dir):
+    """The rejected rows (first field of the raw line) and the reasons."""
+    return _checked(spark, sf_dir)[1].select(F.substring_index("raw", ",", 1).alias("txn_id"), "reason")
+
+
+def csv_checked(spark, sf_dir):
+    """The rows that the checked reader keeps."""
+    return _checked(spark, sf_dir)[0].select("txn_id", "user_id", "amount", "merchant_mcc", "device_id")
+
+
 def score_console(spark, sf_dir):
     return P.console_view(_scored(spark, sf_dir, W))
 
@@ -216,6 +313,16 @@ def result_explained(spark, sf_dir):
     return E.explained_table(_scored(spark, sf_dir, H), RULES)
 
 
+def result_explained_calls(spark, sf_dir):
+    """U1(b): the explained table with the texts of a Python function, called once a distinct prompt."""
+    return E.explained_table(_scored(spark, sf_dir, H), RULES, explainer=lambda row: E.template_explainer(row))
+
+
+def summary_text(spark, sf_dir):
+    """The summariser's text over the flagged sample."""
+    return E.summarise(_scored(spark, sf_dir, H), top_n=10)
+
+
 def summary(spark, sf_dir):
     return P.summary(_scored(spark, sf_dir, H))
 
@@ -281,12 +388,20 @@ def registry() -> dict[str, QueryFn]:
         "score_csv_quoted": score_csv_quoted,
         "score_history_ordered": score_history_ordered,
         "rule_mcc_from_text": rule_mcc_from_text,
+        "rule_mcc_table": rule_mcc_table,
+        "score_mcc_table": score_mcc_table,
+        "score_sink_summary": score_sink_summary,
+        "csv_path_order": csv_path_order,
+        "csv_rejects": csv_rejects,
+        "csv_checked": csv_checked,
         "rule_hits": rule_hits,
         "nested_results": nested_results,
         "result_flat_short": result_flat_short,
         "result_flat_detailed": result_flat_detailed,
         "result_display": result_display,
         "result_explained": result_explained,
+        "result_explained_calls": result_explained_calls,
+        "summary_text": summary_text,
         "summary": summary,
         "summary_window": summary_window,
         "flagged_sample": flagged_sample,

@@ -241,6 +241,29 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
                                        f"{HISTORY_COLS} FROM final")
     q["rule_mcc_from_text"] = "WITH " + tx_cte() + ("\nSELECT txn_id, merchant_mcc, CASE WHEN merchant_mcc IN "
                                                     "(5411, 4829) THEN 25 ELSE 0 END AS points FROM tx")
+    # the code table's intervals, overlapping ones merged: days 1 to 4 of a code's own span and from day 9 on
+    listed = """,
+spans AS (
+  SELECT merchant_mcc AS mcc, CAST(date_trunc('day', MIN("timestamp")) AS TIMESTAMP) AS t
+  FROM tx WHERE merchant_mcc <> 5411 GROUP BY merchant_mcc
+),
+read AS (
+  SELECT tx.*, EXISTS (SELECT 1 FROM spans s WHERE s.mcc = tx.merchant_mcc
+    AND ((tx."timestamp" >= s.t + INTERVAL 1 DAY AND tx."timestamp" < s.t + INTERVAL 5 DAY)
+         OR tx."timestamp" >= s.t + INTERVAL 9 DAY)) AS listed
+  FROM tx
+)"""
+    q["rule_mcc_table"] = ("WITH " + tx_cte() + listed
+                           + "\nSELECT txn_id, merchant_mcc, CASE WHEN listed THEN 25 ELSE 0 END AS points FROM read")
+    q["score_mcc_table"] = ("WITH " + tx_cte() + listed + "," + context_cte(rules, H, "read") + ","
+                            + scored_cte(rules, H).replace(ph["r_blacklisted_mcc"], "CASE WHEN listed THEN 25 ELSE 0 END")
+                            + f"\nSELECT {HISTORY_COLS} FROM final")
+    q["csv_path_order"] = ("WITH " + tx_cte() + "\nSELECT txn_id, CAST(ROW_NUMBER() OVER (ORDER BY seq) - 1 AS BIGINT) "
+                           "AS seq FROM tx")
+    spoilt = ("CASE seq % 5 WHEN 0 THEN 'amount' WHEN 1 THEN 'merchant_mcc' WHEN 2 THEN 'timestamp' ELSE 'fields' END")
+    q["csv_rejects"] = "WITH " + tx_cte() + f"\nSELECT txn_id, {spoilt} AS reason FROM tx WHERE seq % 3 = 0"
+    q["csv_checked"] = ("WITH " + tx_cte() + "\nSELECT txn_id, user_id, amount, merchant_mcc, device_id FROM tx "
+                        "WHERE seq % 3 <> 0")
     q["score_console"] = sw + ("\nSELECT txn_id, user_id, amount, currency, \"timestamp\", total_score, severity, "
                                "status, r_high_amount, r_country_mismatch, r_blacklisted_mcc, r_high_velocity, "
                                "r_night_time, r_new_device FROM final")
@@ -279,6 +302,8 @@ SELECT COUNT(*) AS total, CAST(count_if(status = 'FLAG') AS BIGINT) AS flagged,
        COUNT(*) - CAST(count_if(status = 'FLAG') AS BIGINT) AS ok
 FROM final"""
     q["summary_window"] = q["summary"].replace(sh, sw)
+    q["score_sink_summary"] = q["summary_window"].replace("AS ok", "AS ok, COUNT(*) AS stored")
+    q["result_explained_calls"] = q["result_explained"]
     sample = sh + f""",
 sample AS (
   SELECT txn_id, user_id, total_score AS score, {ts_iso} AS ts_text, "timestamp" AS ts_raw, seq
@@ -321,6 +346,12 @@ SELECT COUNT(*) AS n_flagged_sample,
     || 'or bursts of activity) and propose up to three follow-up checks.' || chr(10) || chr(10)
     || string_agg(line, chr(10) ORDER BY ts_text, seq) END AS prompt
 FROM lines"""
+    q["summary_text"] = sample + """
+SELECT COUNT(*) AS n_flagged_sample,
+  CASE WHEN COUNT(*) = 0 THEN 'No flagged transactions to summarize.'
+  ELSE COUNT(*) || ' flagged transactions of ' || COUNT(DISTINCT user_id) || ' users, scores ' || MIN(score)
+    || ' to ' || MAX(score) || '.' END AS summary
+FROM sample"""
     q["overtime_pay"] = """
 SELECT s.s_suppkey AS employee_id, s.s_name AS name,
   CASE WHEN l.l_quantity <= 40 THEN l.l_quantity * l.l_extendedprice

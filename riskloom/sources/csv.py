@@ -15,13 +15,18 @@ Quoted fields may hold line breaks.  A file stays splittable: if every line has
 quotes, lines are records; else :func:`quoted_records` puts the lines together.
 
 All readers add ``seq``, the arrival order used as the tie-breaker of the
-history dialect (file order within a split, splits in order).
+history dialect (file order within a split, splits in order).  ``in_path_order`` numbers the
+rows densely in the order of file paths instead, as if the files were one.
+
+:func:`read_transactions_checked` is the permissive reader with the bad rows apart: a typed table and a
+table of rejects, out of one scan.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timecols import OFFSET
 from ..schema import SEQ, STRING_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
@@ -59,12 +64,66 @@ def with_arrival_seq(df: DataFrame) -> DataFrame:
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
+def with_path_seq(scan: DataFrame) -> DataFrame:
+    """Add ``seq`` from 0 without gaps: by file path, then by the row's place in the file.
+
+    ``scan`` is a file source's frame.  The rows are written once, which pins the numbers against retries.
+    A split's rows have consecutive ids, so a row's number is its place in the split plus the rows
+    of earlier splits: one number a split.
+    """
+    own = scan.columns
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+             F.monotonically_increasing_id().alias("__at")]
+    rows = materialize(scan.select(*own, *place), "csv-rows")
+    splits = rows.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("__file", "__block", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    # joined by split, not broadcast unseen: Spark sees the size of the written rows' few splits
+    return rows.join(splits, ["__file", "__block"]).select(*own, (F.col("__at") + F.col("__shift")).alias(SEQ))
+
+
+def read_transactions_csv(spark: SparkSession, path, in_path_order: bool = False) -> DataFrame:
     df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(TRANSACTION_SCHEMA).csv(path)
-    return with_arrival_seq(df)
+    return with_path_seq(df) if in_path_order else with_arrival_seq(df)
+
 
+# Reasons of a reject, in the order in which they are looked for.
+REJECT_FIELDS, REJECT_AMOUNT, REJECT_MCC, REJECT_TIME = "fields", "amount", "merchant_mcc", "timestamp"
+REJECT_OTHER = "unreadable"
+QUOTED_FIELD = r'"(\\.|[^"\\])*"'
 
-def _raw_strings(spark: SparkSession, path: str) -> DataFrame:
+
+def read_transactions_checked(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """The typed rows (with ``seq``) and the rejects ``raw, file, reason, seq``, which add up to the files' lines.
+
+    A row is rejected if a number or a time does not parse or its number of fields is wrong.  An empty
+    field is a NULL, no error.  Both tables come from one scan, written once; ``reason`` is ``fields`` (too few or
+    too many), ``amount``, ``merchant_mcc``, ``timestamp`` or ``unreadable``.
+    """
+    raw, file = "_raw", "_file"
+    schema = T.StructType([*TRANSACTION_SCHEMA.fields, T.StructField(raw, T.StringType())])
+    scan = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
+            .option("enforceSchema", True).schema(schema).csv(path))
+    rows = materialize(scan.select("*", F.col("_metadata.file_path").alias(file),
+                                   F.monotonically_increasing_id().alias(SEQ)), "csv-checked")
+    typed = rows.where(F.col(raw).isNull()).select(*TRANSACTION_COLUMNS, SEQ)
+    n_fields = F.size(F.split(F.regexp_replace(raw, QUOTED_FIELD, "q"), ",", -1))
+    texts = F.from_csv(F.col(raw), ", ".join(f"`{c}` string" for c in TRANSACTION_COLUMNS), {"mode": "PERMISSIVE"})
+    kinds = {f.name: f.dataType for f in TRANSACTION_SCHEMA.fields}
+
+    def bad(name: str) -> Column:
+        # a text whose typed column came out NULL
+        return F.col("_texts")[name].isNotNull() & F.col(name).isNull()
+
+    reason = F.when(n_fields != len(kinds), F.lit(REJECT_FIELDS))
+    for name in (REJECT_AMOUNT, REJECT_MCC, REJECT_TIME):
+        reason = reason.when(bad(name), F.lit(name))
+    rejects = rows.where(F.col(raw).isNotNull()).withColumn("_texts", texts).select(
+        F.col(raw).alias("raw"), F.col(file).alias("file"), reason.otherwise(F.lit(REJECT_OTHER)).alias("reason"), SEQ)
+    return typed, rejects
+
+
+def _raw_strings(spark: SparkSession, path: str, in_path_order: bool = False) -> DataFrame:
     # quoting as in Python's csv module: doubled quotes, line breaks inside quotes
     raw = spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8")
     raw = raw.option("quote", '"').option("escape", '"')
@@ -73,6 +132,7 @@ def _raw_strings(spark: SparkSession, path: str) -> DataFrame:
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     if lines.agg(F.count_if(quotes % 2 == 1)).first()[0] == 0:
         raw = raw.option("multiLine", False).csv(path)
+        raw = with_path_seq(raw) if in_path_order else raw
     else:
         raw = quoted_records(spark, path, head.columns)
     missing = [c for c in TRANSACTION_COLUMNS if c not in raw.columns]
@@ -141,8 +201,8 @@ def _typed(raw_df: DataFrame, amount: Column, strings: dict[str, Column]) -> Dat
     return typed if own else with_arrival_seq(typed)
 
 
-def read_transactions_strict(spark: SparkSession, path: str) -> DataFrame:
-    raw = _raw_strings(spark, path)
+def read_transactions_strict(spark: SparkSession, path: str, in_path_order: bool = False) -> DataFrame:
+    raw = _raw_strings(spark, path, in_path_order)
     amount = _must(_number(F.col("amount"), FLOAT, "double"), F.col("amount"), "amount")
     # Spark reads an empty CSV field as NULL; Python's csv module reads ''.
     return _typed(raw, amount, {c: F.coalesce(F.col(c), F.lit("")) for c in STRING_COLUMNS})
@@ -163,8 +223,8 @@ def upload_missing_to_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({c: upload_string(F.col(c)) for c in STRING_COLUMNS if c in df.columns})
 
 
-def read_transactions_upload(spark: SparkSession, path: str) -> DataFrame:
-    raw = _raw_strings(spark, path)
+def read_transactions_upload(spark: SparkSession, path: str, in_path_order: bool = False) -> DataFrame:
+    raw = _raw_strings(spark, path, in_path_order)
     strings = {c: upload_string(F.col(c)) for c in STRING_COLUMNS}
     a = F.col("amount")
     amount = F.when(upload_missing(a), F.lit(float("nan"))).otherwise(

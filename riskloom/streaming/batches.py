@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,7 @@ class BatchScorer:
     dialect: str = C.DIALECT_HISTORY
     delay_seconds: float = 0
     exec_cfg: ExecConfig = DEFAULT_EXEC
+    blacklist: Callable[[SparkSession], DataFrame] | None = None    # opened anew for every batch
 
     # ---- versions: batch b writes version 2 (b + 1), a flush the odd one after it
 
@@ -147,7 +149,8 @@ class BatchScorer:
         work = self._write(ready.withColumn("_final", F.lit(True)).unionByName(
             context.withColumn("_final", F.lit(False)), allowMissingColumns=True), "work", version)
         columns = SCORED_WINDOW_COLUMNS if self.dialect == C.DIALECT_WINDOW else SCORED_HISTORY_COLUMNS
-        scored = score(work, self.rules, self.dialect, self.exec_cfg, rows_upper_bound=work.count())
+        scored = score(work, self.rules, self.dialect, self.exec_cfg, rows_upper_bound=work.count(),
+                       blacklist=self.blacklist(spark) if self.blacklist else None)
         n_out = self._write(scored.where("_final").select(*_own(columns, work)), "out", version).count()
 
         # a later row's time is above the frontier, so its window reaches back no further than this
