@@ -14,8 +14,8 @@
    stands still: the targets are then out of reach and the distance is the least
    there is.  Any distance left is told as a warning.
 3. A step needs only the residual, one sum over all documents.  A document's rate is
-   the fold of all steps so far, so the state of the fit is the list of step
-   vectors (iterations x domains), and nothing but those sums reaches the driver.
+   the fold of all steps so far; it is written after every ``FOLDED`` steps, so a pass
+   folds only those since.  Nothing but the sums reaches the driver.
 
 Defined results: null and empty texts have no tokens and keep the rate of their
 posteriors; every domain with a labelled text is learned, however few there are (see
@@ -41,6 +41,7 @@ TARGETS = {"q1t0": 0.93, "q0t0": 0.05, "q1t1": 0.015, "q0t1": 0.005}
 ANCHOR, ANCHOR_SCALE = "q1t0", 1.05   # the mixture holds 1.05 times the anchor domain's tokens
 #: STEPS bounds the sums over all documents of a fit that only creeps closer; the warning tells that too.
 STEPS, TOLERANCE, HALVES = 400, 1e-9, 6
+FOLDED = 16         # accepted steps after which the rates are written, so that a pass folds fewer than these
 STILL = 1e-6        # size of a step, as a part of the targets, that counts as none
 L2 = 1e-3
 #: Prior of the classifier: a domain of n labelled texts has its shape weights held at zero with
@@ -75,6 +76,8 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     got = sample.select("y", "text").mapInArrow(released(run), "y string, x array<float>").toArrow()
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(got.num_rows, model.width)
     y = np.array([classes.index(v) for v in got.column("y").to_pylist()])
+    order = sorted(range(len(y)), key=lambda i: (y[i], x[i].tobytes()))     # not as the rows happened to lie
+    x, y = x[order], y[order]
     prior = np.full((model.width, len(classes)), L2)
     prior[len(model.vocabulary):] *= 1 + SHAPE_PRIOR / np.bincount(y, minlength=len(classes))
     return fit_softmax(model, x, y, l2=prior)
@@ -101,11 +104,11 @@ def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(*keep, text).mapInArrow(released(run), schema)
 
 
-def fold_steps(p, steps):
-    """Rates after the given steps, from 1, one row of posteriors each."""
+def fold_steps(p, steps, rates=None):
+    """Rates after the given steps, from 1 or from ``rates``, one row of posteriors each."""
     import numpy as np
 
-    r = np.ones(len(p))
+    r = np.ones(len(p)) if rates is None else rates
     for g in steps:
         r = np.maximum(0.0, r - p @ g)
     return r
@@ -125,17 +128,34 @@ def _totals(narrow: DataFrame, steps, k: int):
             if batch.num_rows:
                 p = batch.column("posteriors").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
                 n = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-                r = fold_steps(p, steps)
+                r = fold_steps(p, steps, batch.column("rate").to_numpy(zero_copy_only=False))
                 total += (r * n) @ p
                 moments += (p * (n * (r > 0))[:, None]).T @ p
         row = [*total, *moments.ravel()]
         yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in row], names=names)
 
-    sums = narrow.select("n_tokens", "posteriors").mapInArrow(released(run), ", ".join(f"{c} double" for c in names))
+    sums = narrow.select("n_tokens", "posteriors", "rate").mapInArrow(released(run), ", ".join(f"{c} double" for c in names))
     row = np.array([v or 0.0 for v in sums.agg(*[F.sum(c).alias(c) for c in names]).first()])
     return row[:k], row[k:].reshape(k, k)
 
 
+def _folded(narrow: DataFrame, steps) -> DataFrame:
+    """``narrow`` with the rates after further steps."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        k = len(steps[0])
+        for batch in batches:
+            if batch.num_rows:
+                p = batch.column("posteriors").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+                r = fold_steps(p, steps, batch.column("rate").to_numpy(zero_copy_only=False))
+                at = batch.schema.get_field_index("rate")
+                yield batch.set_column(at, "rate", pa.array(np.asarray(r), pa.float64()))
+
+    return narrow.mapInArrow(released(run), narrow.schema)
+
+
 def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float], anchor: str | None = ANCHOR,
               anchor_scale: float = ANCHOR_SCALE, steps: int = STEPS, tolerance: float = TOLERANCE):
     """Step vectors of the projected gradient and the target totals, for a table ``n_tokens, posteriors``.
@@ -147,6 +167,8 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
     import numpy as np
 
     k = len(classes)
+    narrow = narrow.select("n_tokens", "posteriors", F.lit(1.0).alias("rate"))
+    written = 0             # steps that the rates in `narrow` hold
     now, moments = _totals(narrow, [], k)   # all rates are 1: the moments of all documents
     whole = np.linalg.pinv(moments, rcond=1e-12)
     weight = np.array([targets.get(c, 0.0) for c in classes])
@@ -162,7 +184,7 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
         tries += 1
         e, bold = now - goal, halved <= HALVES
         step = (np.linalg.pinv(moments, rcond=1e-12) / 2 ** halved if bold else whole) @ e
-        then, moved = _totals(narrow, [*done, step], k)
+        then, moved = _totals(narrow, [*done[written:], step], k)
         gain = e @ whole @ e - (then - goal) @ whole @ (then - goal)
         if bold and gain < 0.1 / 2 ** halved * (e @ whole @ e):
             halved += 1         # the longer step overshot or hardly moved
@@ -172,6 +194,9 @@ def fit_rates(narrow: DataFrame, classes: list[str], targets: Mapping[str, float
             why = "out of reach"
             break
         done, now, moments, halved = [*done, step], then, moved, max(0, halved - 1) if bold else 0
+        if len(done) - written >= FOLDED:
+            narrow = materialize(_folded(narrow, done[written:]), "mixing-rates")
+            written = len(done)
     left = np.abs(now - goal).sum() / scale
     if left > tolerance:
         warnings.warn(f"mixing: totals are {left:.3g} of their sum from the targets after {tries} tries, {why}",

@@ -15,11 +15,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_count
 from ..session import materialize
 
 PER_CLASS = 3_000
 VOCABULARY = 768
 MIN_DOCS = 4
+BROADCAST_LABELS = 200_000    # labels that are broadcast at most; more of them are joined by a shuffle
 HASH_RANGE = 1 << 30
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -55,18 +57,27 @@ def uniform(col: Column, salt: str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, class_col: str, per_class: int = PER_CLASS) -> DataFrame:
-    """Materialised ``doc_id, text, y``: about ``per_class`` labelled rows of each class, distinct texts."""
+    """Materialised ``doc_id, text, y``: about ``per_class`` labelled rows of each class, distinct texts.
+
+    Of several labels of one doc_id the smallest (as text) counts, so the sample does not depend on how
+    the rows lie; a text that stands under several doc_ids counts once a class.
+    """
     labels = labels.where(F.col("doc_id").isNotNull() & F.col(class_col).isNotNull()).select(
         "doc_id", F.col(class_col).cast("string").alias("y"))
     counts = labels.groupBy("y").count().collect()  # one row a class
     rate = F.lit(0.0)
     for r in counts:
         rate = F.when(F.col("y") == r["y"], F.lit(per_class / r["count"])).otherwise(rate)
-    # bounded: per_class expected rows a class, whatever the table's size
-    chosen = labels.where(uniform(F.col("doc_id"), "sample") < rate).dropDuplicates(["doc_id"])
+    # a doc_id's labels are all within the highest rate's part or all outside it
+    highest = max((per_class / r["count"] for r in counts), default=0.0)
+    at = uniform(F.col("doc_id"), "sample")
+    chosen = materialize(labels.where(at < highest).groupBy("doc_id").agg(F.min("y").alias("y")).where(at < rate),
+                         "chosen-labels")
+    if bounded_count(chosen, BROADCAST_LABELS) <= BROADCAST_LABELS:
+        chosen = F.broadcast(chosen)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sample = materialize(texts.join(F.broadcast(chosen), "doc_id"), "labelled-sample")
-    return sample.dropDuplicates(["text", "y"])
+    sample = materialize(texts.join(chosen, "doc_id"), "labelled-sample")
+    return sample.select("text", "y").distinct()
 
 
 def choose_vocabulary(sample: DataFrame, size: int = VOCABULARY, min_docs: int = MIN_DOCS) -> list[str]:

@@ -83,6 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabula
     # bounded by the sample: about 2 x per_class rows of positions in the vocabulary
     rows = sample.select("y", "text").mapInArrow(
         run, "y int, x array<int>, minus array<array<int>>, plus array<array<int>>").collect()
+    rows.sort()             # the last digits of sums must not depend on where rows lay
     x = np.zeros((len(rows), model.width), dtype=np.float32)
     changes = set()
     for i, r in enumerate(rows):
