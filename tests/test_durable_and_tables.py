@@ -211,3 +211,23 @@ def test_published_sink_counts_on_the_write_and_replaces_in_one_step(spark, tmpd
         "total": 0, "flagged": 0, "ok": 0}
     assert read_published(spark, path, wide(1).schema, options=CSV_MICROS_OPTIONS).count() == 0
     assert [n for n, _ in published_versions(spark, path)] == [2, 3]
+
+
+def test_stream_opens_the_code_table_for_every_batch(spark, tmpdir_path):
+    from riskloom.streaming import BatchScorer
+
+    lists = [[(5411, None, None)], [(4829, None, None)], []]
+    opened = []
+
+    def table(s):
+        opened.append(len(opened))
+        return s.createDataFrame(lists[min(opened[-1], 2)], CODES)
+
+    scorer = BatchScorer(f"{tmpdir_path}/stream", RuleConfig(), blacklist=table)
+    rows = [{"merchant_mcc": m, "timestamp": T0 + timedelta(minutes=k)} for k, m in enumerate((5411, 4829, 5411, 4829))]
+    tx = tx_rows(spark, rows)
+    scorer.step(tx.where("seq < 2"), 0)
+    scorer.step(tx.where("seq >= 2"), 1)
+    scorer.flush(spark)
+    got = {r.txn_id: r.r_blacklisted_mcc for r in scorer.scores(spark).collect()}
+    assert got == {"X0000": 25, "X0001": 0, "X0002": 0, "X0003": 25} and len(opened) == 3
