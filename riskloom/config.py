@@ -138,8 +138,11 @@ class ExecConfig:
     max_broadcast_dim_rows
         Dimension tables (nation, customer, supplier) are broadcast only when
         their row count (read from Parquet footers) is at most this.
+    range_rows
+        Rows that one time range of a hot user should hold.  A range with more than four
+        times as many, its halo counted, is *dense* and is counted by prefix sums.
     sort_rows_per_partition
-        Target rows per range partition in the skew-proof sort.
+        Target rows per range partition in the sort of dense ranges.
     hot_partition_factor
         A user is only a straggler risk relative to the partition size: when
         the input size is known, the hot threshold is raised to
@@ -153,6 +156,7 @@ class ExecConfig:
     hot_key_rows: int = 2_000_000
     max_broadcast_keys: int = 1_000_000
     max_broadcast_dim_rows: int = 2_000_000
+    range_rows: int = 500_000
     sort_rows_per_partition: int = 4_000_000
     hot_partition_factor: float = 4.0
     hot_key_ceiling: int = 8_000_000

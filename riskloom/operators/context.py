@@ -6,12 +6,12 @@ Two physical strategies compute the same values:
   hashpartitioning(user_id)`` feeds every window (the ``(user_id, device_id)``
   windows reuse it), all JVM-side.  A user is one task, so this strategy only
   gets users with at most ``ExecConfig.hot_key_rows`` rows.
-* **skew-proof** (:func:`skewproof_context`): velocity counts as differences of
-  prefix counts over a range-partitioned global sort
-  (:mod:`riskloom.operators.prefix`); device facts as partial aggregates
-  (first sightings flagged back by ``seq``; the window dialect's first-seen
+* **skew-proof** (:func:`skewproof_context`): velocity counts over overlapping time
+  ranges of each user, dense ranges over a range-partitioned global sort
+  (:mod:`riskloom.operators.ranges`); device facts as partial aggregates
+  (first sightings flagged back by row id; the window dialect's first-seen
   time joined back with hot keys broadcast, :func:`attach_group_aggregates`).
-  No task ever holds more than a range partition, however large one user is.
+  No task ever holds more than a range, however large one user is.
 
 :func:`with_context` routes hot users to the second strategy and everybody else
 to the first.
@@ -30,15 +30,15 @@ Dialects (W1-W4 of the design notes):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import ExecConfig, RuleConfig
-from ..functions.timecols import LONG_MAX, LONG_MIN, epoch_micros, floor_seconds, history_micros
+from ..functions.timecols import LONG_MAX, epoch_micros, floor_seconds, history_micros
 from ..session import materialize
 from .joins import attach_group_aggregates, join_nullsafe
-from .prefix import probe_prefix_counts, sorted_partitions_for
+from .ranges import running_count, with_ranged_counts
 
 USER = "user_id"
 DEVICE = "device_id"
@@ -48,11 +48,6 @@ SEQ = "seq"
 ROW = "_rid"  # unique id of a materialized hot row; ``seq`` may repeat or be NULL
 
 
-def _narrow(rows: DataFrame) -> DataFrame:
-    """Context inputs of hot rows: the row id takes the place of ``seq``, which stays as the tie-breaker."""
-    return rows.select(USER, DEVICE, TS, F.col(ROW).alias(SEQ), F.col(SEQ).alias("_tie"), "_us", "_key", "_usnl")
-
-
 def with_time_keys(tx: DataFrame, dialect: str) -> DataFrame:
     """Add ``_us`` (µs), ``_key`` (frame key: seconds or µs) and ``_usnl`` (µs, NULL last).
 
@@ -70,27 +65,14 @@ def with_time_keys(tx: DataFrame, dialect: str) -> DataFrame:
 # strategy 1: per-user windows
 # --------------------------------------------------------------------------
 
-def _running_count(order_col: str, upper: int) -> Column:
-    """Rows of the user with order key <= current + ``upper`` (``upper`` <= 0).
-
-    A frame that starts at UNBOUNDED PRECEDING is evaluated incrementally by
-    Spark (one pass per user).  A bounded ``[x PRECEDING, y PRECEDING]`` frame
-    would be re-aggregated over its whole buffer for every row — quadratic for
-    a dense velocity window — so trailing counts are built as differences of
-    two such running counts.
-    """
-    w = Window.partitionBy(USER).orderBy(order_col).rangeBetween(Window.unboundedPreceding, upper)
-    return F.count(F.lit(1)).over(w)
-
-
 def window_context(tx: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
     if dialect == C.DIALECT_WINDOW:
         dev = Window.partitionBy(USER, DEVICE).orderBy(TS)
         # [sec - W*60, sec] = (keys <= sec) - (keys < sec - W*60).  NULL keys sort
         # first and fall in both running counts of a real key, so they cancel;
         # a NULL-key row counts its NULL peers (the first running count).
-        upto = _running_count("_key", Window.currentRow)
-        before = _running_count("_key", -(rules.window_seconds + 1))
+        upto = running_count([USER], "_key", Window.currentRow)
+        before = running_count([USER], "_key", -(rules.window_seconds + 1))
         count = F.when(F.col("_key").isNull(), upto).otherwise(upto - before)
         return (tx.withColumn("first_seen_device", F.min(TS).over(dev))
                   .withColumn("txn_count_window", count))
@@ -99,7 +81,7 @@ def window_context(tx: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
     if rules.window_micros > 0:
         # [t - W, t) = (keys < t) - (keys < t - W); NULL times (sorted last) count 0.
         count = F.when(F.col("_us").isNull(), F.lit(0).cast("long")).otherwise(
-            _running_count("_usnl", -1) - _running_count("_usnl", -(rules.window_micros + 1)))
+            running_count([USER], "_usnl", -1) - running_count([USER], "_usnl", -(rules.window_micros + 1)))
     else:
         count = F.lit(0).cast("long")
     return (tx.withColumn("_rn_user", F.row_number().over(by_user))
@@ -113,65 +95,37 @@ def window_context(tx: DataFrame, rules: RuleConfig, dialect: str) -> DataFrame:
 # strategy 2: skew-proof
 # --------------------------------------------------------------------------
 
-def _velocity_counts(narrow: DataFrame, rules: RuleConfig, dialect: str, num_partitions: int,
-                     exec_cfg: ExecConfig) -> DataFrame:
-    """``(seq, txn_count_window)`` from prefix counts: ``below(hi) - below(lo)``.
+def _new_device_ids(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
+    """Ids of the rows that show a user's second or later device for the first time (history dialect).
 
-    Window dialect: a NULL time is the key ``LONG_MIN`` with probes
-    ``[LONG_MIN, LONG_MIN + 1)``, which counts exactly the user's NULL rows (they
-    are peers of each other); real keys are far above it.  History dialect:
-    NULL rows take no part (their count is 0).
+    First rows of pairs and of users, in (time, seq) order, are partial aggregates; the ids wanted are the pairs'
+    winners that are not a user's winner.  Written, and broadcast when counted small; else they
+    meet the rows on a unique, evenly spread id, so no group ever meets in one task.
     """
-    key = F.col("_key")
-    if dialect == C.DIALECT_WINDOW:
-        rows = narrow
-        k = F.coalesce(key, F.lit(LONG_MIN))
-        lo = F.when(key.isNull(), F.lit(LONG_MIN)).otherwise(key - F.lit(rules.window_seconds))
-        hi = k + F.lit(1)  # "<= sec" == "< sec + 1"
-    else:
-        rows = narrow.where(key.isNotNull())
-        k = key
-        lo = key - F.lit(rules.window_micros)
-        hi = key
-    g = F.col(USER).alias("g")
-    points = rows.select(g, k.alias("k"), SEQ)
-    probes = rows.select(g, hi.alias("k"), SEQ, F.lit(1).alias("sign")).unionByName(
-        rows.select(g, lo.alias("k"), SEQ, F.lit(-1).alias("sign")))
-    below = probe_prefix_counts(points, probes, num_partitions)
-    return below.groupBy(SEQ).agg(F.sum(F.col("sign") * F.col("below")).cast("long").alias("txn_count_window"))
-
-
-def skewproof_context(narrow: DataFrame, rules: RuleConfig, dialect: str, exec_cfg: ExecConfig,
-                      rows_hint: int | None = None) -> DataFrame:
-    """Context keyed by ``seq``: ``(seq, txn_count_window, first_seen_device | _new_device)``."""
-    spark = narrow.sparkSession
-    n_parts = sorted_partitions_for(spark, None if rows_hint is None else 3 * rows_hint,
-                                    exec_cfg.sort_rows_per_partition)
-    counts = _velocity_counts(narrow, rules, dialect, n_parts, exec_cfg)
+    first = F.min(F.struct(F.col("_usnl"), F.col(SEQ), F.col(ROW))).alias("first")
+    pairs = materialize(rows.groupBy(USER, DEVICE).agg(first).select(USER, "first"), "first-sightings")
+    users = pairs.groupBy(USER).agg(F.min("first").alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    new = materialize(pairs.select(F.col(f"first.{ROW}").alias(ROW)).join(users, ROW, "left_anti")
+                      .withColumn("_new_device", F.lit(True)), "new-devices")
+    return F.broadcast(new) if new.count() <= exec_cfg.max_broadcast_keys else new
+
+
+def skewproof_context(rows: DataFrame, rules: RuleConfig, dialect: str, exec_cfg: ExecConfig) -> DataFrame:
+    """``rows`` (materialized, with the row id ``_rid``) and their context columns; the id is dropped."""
+    out = with_ranged_counts(rows, rules, dialect, exec_cfg, ROW)
     if dialect == C.DIALECT_WINDOW:
-        dev = attach_group_aggregates(narrow, [USER, DEVICE], {"__pair_min": F.min(TS)}, exec_cfg)
-        dev = dev.select(SEQ, F.when(F.col(TS).isNull(), F.lit(None)).otherwise(F.col("__pair_min"))
-                         .alias("first_seen_device"))
+        out = attach_group_aggregates(out, [USER, DEVICE], {"__pair_min": F.min(TS)}, exec_cfg, source=rows)
+        # NULL for a row without a time, as in the windows
+        out = out.withColumn("first_seen_device", F.when(F.col(TS).isNotNull(), F.col("__pair_min"))).drop("__pair_min")
     else:
-        # First row of the user / of the (user, device) pair in (time, seq) order:
-        # partial aggregates, then flag rows by the winning seq — a join on a
-        # unique, uniformly spread key, so no group ever meets in one task.
-        first = F.min(F.struct(F.col("_usnl"), F.col("_tie"), F.col(SEQ)))[SEQ]
-        first_user = narrow.groupBy(USER).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_u"))
-        first_pair = narrow.groupBy(USER, DEVICE).agg(first.alias(SEQ)).select(SEQ, F.lit(True).alias("__first_p"))
-        dev = (narrow.select(SEQ).join(first_pair, SEQ, "left").join(first_user, SEQ, "left")
-               .select(SEQ, (F.col("__first_p").isNotNull() & F.col("__first_u").isNull()).alias("_new_device")))
-    ctx = dev.join(counts, SEQ, "left")
-    return ctx.withColumn("txn_count_window", F.coalesce(F.col("txn_count_window"), F.lit(0).cast("long")))
-
-
-def _materialized(rows: DataFrame, exec_cfg: ExecConfig) -> DataFrame:
-    """Hot rows written once (Parquet in the checkpoint dir): the context and the final join read it."""
-    return materialize(rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
+        out = out.join(_new_device_ids(rows, exec_cfg), ROW, "left").withColumn(
+            "_new_device", F.coalesce(F.col("_new_device"), F.lit(False)))
+    return out.drop(ROW)
 
 
-def _with_row_context(rows: DataFrame, ctx: DataFrame) -> DataFrame:
-    return rows.join(ctx.withColumnRenamed(SEQ, ROW), ROW, "inner").drop(ROW)
+def _materialized(rows: DataFrame) -> DataFrame:
+    """Hot rows written once (Parquet in the checkpoint dir): every aggregate and the windows read it."""
+    return materialize(rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
 
 
 # --------------------------------------------------------------------------
@@ -197,8 +151,7 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     tx = with_time_keys(tx, dialect)
     hot_limit = int(exec_cfg.hot_key_rows)
     if hot_limit <= 0:
-        rows = _materialized(tx, exec_cfg)
-        return _with_row_context(rows, skewproof_context(_narrow(rows), rules, dialect, exec_cfg))
+        return skewproof_context(_materialized(tx), rules, dialect, exec_cfg)
 
     if rows_upper_bound is not None:
         if rows_upper_bound <= hot_limit:
@@ -209,7 +162,7 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
     # Users above the limit: a partial aggregate, at most rows / hot_limit of them.
     stats = key_counts if key_counts is not None else tx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     hot = stats.where(F.col("_n") > F.lit(hot_limit))
-    n_hot, rows_hot = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()  # one small row to the driver
+    n_hot = hot.count()
     if n_hot == 0:
         return window_context(tx, rules, dialect)
     keys = hot.select(USER)
@@ -221,8 +174,5 @@ def with_context(tx: DataFrame, rules: RuleConfig, dialect: str,
         hot_tx, cold_tx = (join_nullsafe(tx, keys, [USER], how) for how in ("left_semi", "left_anti"))
     else:
         hot_tx, cold_tx = (with_time_keys(part, dialect) for part in split(keys, bounded))
-    hot_tx = _materialized(hot_tx, exec_cfg)
-    cold = window_context(cold_tx, rules, dialect)
-    ctx = skewproof_context(_narrow(hot_tx), rules, dialect, exec_cfg, rows_hint=rows_hot)
-    hot_scored = _with_row_context(hot_tx, ctx)
-    return cold.unionByName(hot_scored)
+    hot_scored = skewproof_context(_materialized(hot_tx), rules, dialect, exec_cfg)
+    return window_context(cold_tx, rules, dialect).unionByName(hot_scored)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXEC, ExecConfig
+from ..session import materialize
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -83,11 +84,15 @@ def join_nullsafe(left: DataFrame, right: DataFrame, keys: Iterable[str], how: s
 
 
 def attach_group_aggregates(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-                            exec_cfg: ExecConfig = DEFAULT_EXEC) -> DataFrame:
+                            exec_cfg: ExecConfig = DEFAULT_EXEC, source: DataFrame | None = None) -> DataFrame:
     """Add ``aggs`` computed over each ``keys`` group to every row of the group.
 
-    1. the per-key table has at most ``max_broadcast_keys`` rows (bounded
-       count): broadcast it — one pass, no shuffle of ``df``, no skew;
+    ``source`` may give the same groups from a cheaper frame than ``df``, such as the table it was made of.
+
+    The per-key table is written once: every use of the result reads it, and footers count it.
+
+    1. it has at most ``max_broadcast_keys`` rows: broadcast it — one pass, no
+       shuffle of ``df``, no skew;
     2. otherwise, no key above ``hot_key_rows``: shuffle join, every group is
        bounded;
     3. otherwise, hot keys (at most ``rows / hot_key_rows``) are broadcast and
@@ -96,9 +101,11 @@ def attach_group_aggregates(df: DataFrame, keys: list[str], aggs: dict[str, Colu
        skewed partitions of the (splittable) left side.
     """
     names = list(aggs)
-    stats = df.groupBy(*keys).agg(*[aggs[n].alias(n) for n in names], F.count(F.lit(1)).alias("__grp_n"))
+    rows = df if source is None else source
+    stats = materialize(rows.groupBy(*keys).agg(*[aggs[n].alias(n) for n in names], F.count(F.lit(1)).alias("__grp_n")),
+                        "group-facts")
     bound = int(exec_cfg.max_broadcast_keys)
-    if bounded_count(stats, bound) <= bound:
+    if stats.count() <= bound:
         return join_nullsafe(df, F.broadcast(stats.drop("__grp_n")), keys, "left")
     hot_limit = max(int(exec_cfg.hot_key_rows), 0)
     hot = stats.where(F.col("__grp_n") > F.lit(hot_limit)).drop("__grp_n")

@@ -40,6 +40,9 @@ STRATEGIES = {
     "windows": ExecConfig(),
     "skewproof": ExecConfig(hot_key_rows=0),
     "hybrid": ExecConfig(hot_key_rows=30),        # HOT (and the NULL user?) go skew-proof, others windows
+    "ranges": ExecConfig(hot_key_rows=0, range_rows=12),          # many ranges a user, some of them dense
+    "ranges_dense": ExecConfig(hot_key_rows=0, range_rows=1),     # nearly every range is dense
+    "ranges_shuffled": ExecConfig(hot_key_rows=0, range_rows=5, max_broadcast_keys=0),
     "hybrid_tiny_broadcast": ExecConfig(hot_key_rows=30, max_broadcast_keys=0),  # hot keys via shuffle join
 }
 
@@ -192,3 +195,33 @@ def test_no_local_intermediates_on_a_cluster():
     import pytest
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("dialect", ["window", "history"])
+@pytest.mark.parametrize("window_minutes", [0, 1, 600])
+def test_ranges_with_empty_short_and_whole_windows(spark, dialect, window_minutes):
+    """Windows of nothing, of less than a range and of more than the user's whole span; one time for all of a user."""
+    rows = skewed_rows(11, n=150) + [{"user_id": "ONE", "device_id": "A", "timestamp": T0}] * 40
+    rows += [{"user_id": "NEVER", "device_id": "A", "timestamp": None}] * 5
+    want_of = bruteforce.window_context if dialect == "window" else bruteforce.history_context
+    want = {s: v[0] for s, v in want_of(_with_seq(rows), window_minutes).items()}
+    for size in (4, 1000):
+        out = with_context(tx_rows(spark, rows), RuleConfig(velocity_window_minutes=window_minutes), dialect,
+                           ExecConfig(hot_key_rows=0, range_rows=size))
+        assert {r.seq: r.txn_count_window for r in out.collect()} == want
+
+
+def test_ranges_take_one_exchange_by_user_and_range(spark):
+    """No range is dense: one exchange of the rows, no Python, no join of rows with rows."""
+    rows = skewed_rows(3, n=200)
+    out = with_context(tx_rows(spark, rows), RuleConfig(velocity_window_minutes=1), "history",
+                       ExecConfig(hot_key_rows=0, range_rows=60))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "__range" in plan
+    assert "Python" not in plan and "InArrow" not in plan and "SortMergeJoin" not in plan
+
+
+def test_empty_table_takes_the_ranges(spark):
+    empty = tx_rows(spark, [{}]).limit(0)
+    for dialect in ("window", "history"):
+        assert with_context(empty, RuleConfig(), dialect, ExecConfig(hot_key_rows=0)).count() == 0

@@ -99,7 +99,7 @@ def main(argv=None) -> int:
         spark.sparkContext.setJobGroup(label, label)
         t0 = time.perf_counter()
         inp = events_inputs(spark, out, ex)
-        score(inp["tx"], EVENTS_RULES, args.dialect, ex, inp["key_counts"], inp["rows_upper_bound"]) \
+        score(inp["tx"], EVENTS_RULES, args.dialect, ex, inp["key_counts"], inp["rows_upper_bound"], inp["split"]) \
             .write.format("noop").mode("overwrite").save()
         wall[label] = round(time.perf_counter() - t0, 2)
     spark.stop()
