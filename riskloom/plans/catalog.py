@@ -22,6 +22,7 @@ from ..operators import reports as P
 from ..operators.blacklist import LISTED, with_listed
 from ..operators.payroll import overtime_pay
 from ..operators.scoring import hits_long, score, scored_table
+from ..operators.slices import SliceScorer, write_by_day
 from ..functions.timecols import iso_format, iso_time, offset_text
 from ..sources.csv import (read_transactions_checked, read_transactions_csv, read_transactions_strict,
                            read_transactions_upload, upload_missing_to_nan)
@@ -359,6 +360,27 @@ def stream_score_window(spark, sf_dir):
     return score_events_stream_table(spark, sf_dir, RULES, dialect=W)
 
 
+def _score_slices(spark, sf_dir, dialect, columns, slices: int = 4) -> DataFrame:
+    """The events table partitioned by day and scored in a few slices of days, one after the other."""
+    table = _scratch(spark, "by-day")
+    write_by_day(_tx(spark, sf_dir), table, dialect)
+    scorer = SliceScorer(table, _scratch(spark, "slices"), RULES, dialect)
+    days = scorer.days(spark)
+    step = max(-(-len(days) // slices), 1)
+    for i in range(0, len(days), step):
+        scorer.score_days(spark, days[i], days[min(i + step, len(days)) - 1])
+    scorer.finish(spark)
+    return scorer.scores(spark).select(*columns)
+
+
+def score_history_slices(spark, sf_dir):
+    return _score_slices(spark, sf_dir, H, SCORED_HISTORY_COLUMNS)
+
+
+def score_window_slices(spark, sf_dir):
+    return _score_slices(spark, sf_dir, W, SCORED_WINDOW_COLUMNS)
+
+
 def overtime_pay_query(spark, sf_dir):
     return overtime_pay(employees_from_supplier(spark, sf_dir), payroll_from_lineitem(spark, sf_dir))
 
@@ -411,5 +433,7 @@ def registry() -> dict[str, QueryFn]:
         "overtime_pay": overtime_pay_query,
         "stream_score_history": stream_score_history,
         "stream_score_window": stream_score_window,
+        "score_history_slices": score_history_slices,
+        "score_window_slices": score_window_slices,
     }
     return q

@@ -208,6 +208,8 @@ SELECT txn_id, card_country, ip_country, {ph['r_country_mismatch']} AS points FR
     q["score_history_skewproof"] = q["score_history"]
     q["stream_score_history"] = q["score_history"]
     q["stream_score_window"] = q["score_window"]
+    q["score_history_slices"] = q["score_history"]
+    q["score_window_slices"] = q["score_window"]
     q["score_window_csv_sink"] = q["score_window"]
     text_cols = ("txn_id", "user_id", "currency", "card_country", "ip_country", "device_id")
     ingested = {
