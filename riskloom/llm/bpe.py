@@ -1,7 +1,7 @@
 """Byte-level BPE by corpus-level merge replay.
 
-1. Texts are cut into pieces by the tokenizer's pattern.  The corpus's recurring
-   pieces are counted, partially where they are read (a piece that stands once in its
+1. Texts are cut into pieces by the tokenizer's pattern.  Every worker knows the pieces
+   that are tokens themselves.  The corpus's other recurring pieces are counted, partially where they are read (a piece that stands once in its
    batch of ``COUNTED`` distinct ones does not recur there), and dealt by hash.
 2. Each hash part replays the merges over its share of the ``STORED`` most frequent
    pieces: an inverted index from the
@@ -17,6 +17,10 @@ Two details keep the result equal to encoding each piece on its own: a piece
 that is itself a token is that token, and when a merge creates a pair of lower
 rank in a word, that word's remaining merges of the current rank wait for it.
 
+Texts without characters beyond U+FFFF are cut by Python's ``re``, in half the time, with the
+character classes written out as the regex module has them (see :func:`plain_pattern`); others,
+and patterns that use more, by the regex module.
+
 Long texts are cut into pieces step by step.  A piece beyond ``LONG_PIECE`` bytes is
 encoded in windows: two encodings that meet at a token boundary are one encoding
 when the two tokens there are the encoding of their joint bytes, which is checked for
@@ -30,9 +34,11 @@ result columns replace columns of the same name.
 from __future__ import annotations
 
 import base64
+import functools
+import re
 from array import array
 from heapq import heapify, heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +57,75 @@ LONG_TEXT = 4_000_000       # characters from which a text is cut step by step
 STEP_PIECES = 100_000
 
 
+#: What `plain_pattern` takes: the classes it writes out, and what both modules read alike.
+_PARTS = re.compile(r"(\\p\{[LN]\}|\\[sS])|(\[\^?)|(\])|\\[rnt]|\(\?[:=!]|\(\?<[=!]|\((?!\?)|[)|]|[?*+][+?]?|\{\d+(?:,\d*)?\}|[^\\()\[\]{}?*+^$.&~-]")
+
+
+@functools.cache
+def _ranges(name: str) -> str:
+    """The characters up to U+FFFF of a class of the regex module, as ranges for a set of ``re``."""
+    import regex
+
+    found = sorted(map(ord, regex.findall(name, "".join(map(chr, range(1 << 16))))))
+    out, first = [], None
+    for at, c in enumerate(found):
+        first = c if first is None else first
+        if at + 1 == len(found) or found[at + 1] != c + 1:
+            out.append(f"\\u{first:04x}-\\u{c:04x}")
+            first = None
+    return "".join(out)
+
+
+def plain_pattern(pattern: str) -> str | None:
+    """``pattern`` for ``re``, which cuts texts of characters up to U+FFFF as the regex module does; None if it may not."""
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        part = _PARTS.match(pattern, at)
+        if not part or inside and (part[2] or part[1] == r"\S"):
+            return None
+        if part[2] or part[3]:
+            inside = bool(part[2])
+        if part[1] == r"\S":
+            out.append(f"[^{_ranges(chr(92) + 's')}]")
+        elif part[1]:
+            out.append(_ranges(part[1]) if inside else f"[{_ranges(part[1])}]")
+        else:
+            out.append(part[0])
+        at = part.end()
+    return None if inside else "".join(out)
+
+
+@functools.cache
+def piece_finder(pattern: str):
+    """A function that gives the list of a text's pieces."""
+    import regex
+
+    every, plain = regex.compile(pattern).findall, plain_pattern(pattern)
+    if plain is None:
+        return every
+    quick = re.compile(plain).findall
+
+    def pieces(text: str) -> list[str]:
+        if text.isascii() or len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text):
+            return quick(text)
+        return every(text)
+
+    return pieces
+
+
+def token_pieces(ranks: dict[bytes, int]) -> dict[str, bytes]:
+    """Packed ids of the pieces that are tokens themselves."""
+    out = {}
+    for raw, i in ranks.items():
+        try:
+            piece = raw.decode("utf-8")
+        except UnicodeDecodeError:
+            continue        # a part of a character
+        if len(piece) <= PIECE_CHARS:
+            out[piece] = array("i", (i,)).tobytes()
+    return out
+
+
 class MergeReplay:
     """Encoder of one rank file; ``ranks`` maps token bytes to ids, every single byte among them."""
 
@@ -63,14 +138,19 @@ class MergeReplay:
         for b, i in ranks.items():
             self.token_bytes[i] = b
         self.pattern = regex.compile(pattern)
-        self.pieces = self.pattern.findall
+        self.pieces = piece_finder(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        # rank of the token that two tokens (first << 32 | second) make
-        self.pair_rank = {a << 32 | b: r for t, r in ranks.items() for k in range(1, len(t))
-                          if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None}
-        self.byte_pairs = np.array([[self.pair_rank.get(ranks[bytes([a])] << 32 | ranks[bytes([b])], -1)
+        # rank of the token that a token and its right (left) neighbour make, by the token and the neighbour
+        self.right_rank: dict[int, dict[int, int]] = {}
+        self.left_rank: dict[int, dict[int, int]] = {}
+        for t, r in ranks.items():
+            for k in range(1, len(t)):
+                if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None:
+                    self.right_rank.setdefault(a, {})[b] = r
+                    self.left_rank.setdefault(b, {})[a] = r
+        self.byte_pairs = np.array([[self.right_rank.get(ranks[bytes([a])], {}).get(ranks[bytes([b])], -1)
                                      for b in range(256)] for a in range(256)], dtype=np.int32)
-        self.store = store or {}
+        self.store = token_pieces(ranks) | (store or {})
         self.known = dict(self.store)          # ids as packed 32-bit integers
 
     def replay(self, words: list[bytes]) -> list[bytes]:
@@ -86,42 +166,46 @@ class MergeReplay:
         # the index of the byte pairs: positions in ascending order, by rank
         at = np.flatnonzero(after >= 0).astype(np.int32)
         rank = self.byte_pairs[raw[at], raw[at + 1]]
+        now = np.full(len(raw), -1, dtype=np.int32)
+        now[at] = rank
         at, rank = at[rank >= 0], rank[rank >= 0]
         order = np.argsort(rank, kind="stable")
         at, rank = at[order], rank[order]
         cuts = np.flatnonzero(np.diff(rank, prepend=-1))
-        first = dict(zip(rank[cuts].tolist(), np.split(at, cuts[1:]) if len(cuts) else ()))
+        first = dict(zip(rank[cuts].tolist(), zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)])))
         # Python lists are faster, packed arrays smaller
         kind = (lambda x: x.tolist()) if len(raw) <= REPLAY_BYTES else (lambda x: array("i", x.astype(np.int32).tobytes()))
-        tok, nxt, prv, word = map(kind, (self.byte_ids[raw], after, before, np.repeat(np.arange(len(words)), sizes)))
+        # `pair` is the rank of the pair that begins at a position, -1 if it makes no token or was taken by a merge
+        tok, nxt, prv, pair, at, word = map(kind, (self.byte_ids[raw], after, before, now, at,
+                                                   np.repeat(np.arange(len(words)), sizes)))
         index: dict[int, array] = {}        # positions that came up in the replay
         heap = list(first)
         heapify(heap)
-        known = self.pair_rank.get
+        rights, lefts, no_ranks = self.right_rank, self.left_rank, {}
 
         while heap:
             r = heappop(heap)
+            right, left = rights.get(r, no_ranks).get, lefts.get(r, no_ranks).get
             waiting, wait = -1, array("i")
-            old, new = first.pop(r, None), index.pop(r, ())
-            held = () if old is None else old.tolist()
+            a, b = first.pop(r, (0, 0))
+            held, new = at[a:b], index.pop(r, None)
             for i in sorted([*held, *new]) if new else held:
-                j = nxt[i]
-                if j < 0 or tok[i] < 0:
+                if pair[i] != r:
                     continue  # an earlier merge took one of the two
-                if known(tok[i] << 32 | tok[j], -1) != r:
-                    continue
                 if word[i] == waiting:
                     wait.append(i)
                     continue
-                tok[i], tok[j] = r, -1
-                k, p = nxt[j], prv[i]
+                j, p = nxt[i], prv[i]
+                k = nxt[j]
+                tok[i], tok[j], pair[i], pair[j] = r, -1, -1, -1
                 nxt[i] = k
                 if k >= 0:
                     prv[k] = i
-                    q = known(r << 32 | tok[k], -1)
-                    if q >= 0:
-                        if q in index:
-                            index[q].append(i)
+                    q = right(tok[k])
+                    if q is not None:
+                        pair[i] = q
+                        if (entry := index.get(q)) is not None:
+                            entry.append(i)
                         else:
                             index[q] = array("i", (i,))
                             if q not in first:
@@ -129,16 +213,19 @@ class MergeReplay:
                         if q < r:
                             waiting = word[i]
                 if p >= 0:
-                    q = known(tok[p] << 32 | r, -1)
-                    if q >= 0:
-                        if q in index:
-                            index[q].append(p)
-                        else:
-                            index[q] = array("i", (p,))
-                            if q not in first:
-                                heappush(heap, q)
-                        if q < r:
-                            waiting = word[i]
+                    q = left(tok[p])
+                    if q is None:
+                        pair[p] = -1
+                        continue
+                    pair[p] = q
+                    if (entry := index.get(q)) is not None:
+                        entry.append(p)
+                    else:
+                        index[q] = array("i", (p,))
+                        if q not in first:
+                            heappush(heap, q)
+                    if q < r:
+                        waiting = word[i]
             if wait:
                 if r in index:
                     index[r].extend(wait)
@@ -198,35 +285,39 @@ class MergeReplay:
             run()
         return out
 
-    def _joined(self, cut: list[list[str]]) -> list[bytes]:
-        """Packed ids of lists of pieces."""
-        get = self.known.__getitem__
-        out, late = [], []
-        for k, pieces in enumerate(cut):
-            try:
-                out.append(b"".join(map(get, pieces)))
-            except KeyError:
-                out.append(b"")
-                late.append(k)
+    def _joined(self, cut) -> list[bytes]:
+        """Packed ids of lists of pieces; of those, only one list at a time is held."""
+        out, late, missing = [], [], set()
+        get = self.known.get
+        for pieces in cut:
+            ids = list(map(get, pieces))
+            gaps = [k for k, x in enumerate(ids) if x is None]
+            if not gaps:
+                out.append(b"".join(ids))
+                continue
+            # ids, a missing piece, ids, a missing piece, ..., ids
+            parts, at = [], 0
+            for k in gaps:
+                parts += (b"".join(ids[at:k]), pieces[k])
+                at = k + 1
+            parts.append(b"".join(ids[at:]))
+            missing.update(parts[1::2])
+            late.append((len(out), parts))
+            out.append(b"")
         if late:
-            missing = set(chain.from_iterable(cut[k] for k in late)).difference(self.known)
-            if len(self.known) + len(missing) > len(self.store) + KEPT:
-                self.known = dict(self.store)
-                missing = set(chain.from_iterable(cut[k] for k in late)).difference(self.known)
             found = self.replay_all(list(missing))
-            self.known.update(found)
-            get = self.known.__getitem__
-            for k in late:
-                out[k] = b"".join(map(get, cut[k]))
-            for w in found:
-                if len(w) > PIECE_CHARS:
-                    del self.known[w]
+            if len(self.known) + len(found) > len(self.store) + KEPT:
+                self.known = dict(self.store)
+            self.known.update((w, x) for w, x in found.items() if len(w) <= PIECE_CHARS)
+            for k, parts in late:
+                parts[1::2] = map(found.__getitem__, parts[1::2])
+                out[k] = b"".join(parts)
         return out
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as packed 32-bit integers."""
         if all(len(t) <= LONG_TEXT for t in texts):
-            return self._joined([self.pieces(t) for t in texts])
+            return self._joined(map(self.pieces, texts))
         return [self._joined([self.pieces(t)])[0] if len(t) <= LONG_TEXT else b"".join(
             self._joined([step])[0] for step in self.steps(t)) for t in texts]
 
@@ -256,19 +347,23 @@ def encoder(rank_file: str, pattern: str, held: dict) -> MergeReplay:
     return held["encoder"]
 
 
-def recurring_pieces(texts: DataFrame, pattern: str) -> DataFrame:
-    """``piece, n``: pieces of the column ``text``, up to ``PIECE_CHARS``, that recur; ``n`` counts where they do."""
+def recurring_pieces(texts: DataFrame, pattern: str, rank_file: str | None = None) -> DataFrame:
+    """``piece, n``: pieces of the column ``text``, up to ``PIECE_CHARS``, that recur; ``n`` counts where they do.
+
+    Pieces that are tokens of ``rank_file`` are left out: they need no replay.
+    """
     def count(batches):
         from collections import Counter
 
         import pyarrow as pa
         import regex
 
-        cut = regex.compile(pattern)
+        cut, pieces = regex.compile(pattern), piece_finder(pattern)
+        tokens = token_pieces(read_ranks(rank_file)) if rank_file else {}
         seen: Counter = Counter()
 
         def passed():
-            rows = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= PIECE_CHARS]
+            rows = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= PIECE_CHARS and w not in tokens]
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()),
                                                pa.array([n for _, n in rows], pa.int64())], names=["piece", "n"])
@@ -277,7 +372,7 @@ def recurring_pieces(texts: DataFrame, pattern: str) -> DataFrame:
             for _, block in text_blocks(batch, "text"):
                 for t in block:
                     if len(t) <= LONG_TEXT:
-                        seen.update(cut.findall(t))
+                        seen.update(pieces(t))
                     else:
                         for m in cut.finditer(t):
                             if m.end() - m.start() <= PIECE_CHARS:
@@ -302,9 +397,10 @@ def most_frequent(pieces: DataFrame, bound: int) -> DataFrame:
     return pieces.where(level >= least) if least is not None else pieces.limit(0)
 
 
-def corpus_store(texts: DataFrame, rank_file: str, pattern: str, bound: int) -> dict[str, bytes]:
-    """Packed ids of the corpus's most frequent pieces (column ``text``), replayed where their hash deals them."""
-    pieces = materialize(recurring_pieces(texts, pattern), "pieces")
+def corpus_store(texts: DataFrame, rank_file: str, pattern: str, bound: int, tokens: bool = True) -> dict[str, bytes]:
+    """Packed ids of the corpus's most frequent pieces (column ``text``; without ``tokens``: of those that are
+    no tokens), replayed where their hash deals them."""
+    pieces = materialize(recurring_pieces(texts, pattern, None if tokens else rank_file), "pieces")
     held = texts.sparkSession.sparkContext.broadcast({})
 
     def replay(batches):
@@ -356,7 +452,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: st
     sent = text_col if alone else unused(docs.columns, "__text")
     rows = docs.select(*keep) if alone else docs.select(*keep, F.col(text_col).cast("string").alias(sent))
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast({"store": corpus_store(texts, rank_file, pattern, STORED)})
+    held = docs.sparkSession.sparkContext.broadcast({"store": corpus_store(texts, rank_file, pattern, STORED, tokens=False)})
 
     def run(batches):
         from hashlib import sha256

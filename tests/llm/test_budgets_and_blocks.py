@@ -203,6 +203,37 @@ def test_bpe_store_columns_and_empty_table(spark, monkeypatch):
     assert len(bpe.corpus_store(df.select("text"), path, public_tokenizers.PATTERN, 2)) == 2
 
 
+def test_pieces_are_cut_as_by_the_regex_module():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import regex
+
+    from riskloom.llm import bpe
+
+    pattern, rnd = public_tokenizers.PATTERN, random.Random(4)
+    assert bpe.plain_pattern(pattern) is not None           # so texts without characters beyond U+FFFF take `re`
+    texts = ["".join(chr(c) + " a"[c % 2] for c in range(1 << 16))]
+    texts += ["".join(rnd.choices("aé ß\u017f'stré  \x1c\x1f\x85\u3000\uff11\u2167\u4e2d\n\t .,\ud800" + extra, k=rnd.randint(0, 14)))
+              for _ in range(5_000) for extra in ("", "\U0001d49c\U0001f600")]
+    for p in (pattern, r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"):
+        find, every = bpe.piece_finder(p), regex.compile(p).findall
+        assert all(find(t) == every(t) for t in texts)
+    # what the two modules may read apart is left to the regex module
+    for p in (r"(?i:'s)|\p{L}+", r"\d+", r"\w", r"[\p{L}--a]", r"a{e<=1}", r"(?>a)", r"[[:alpha:]]", r"[^\S]", "a.b", r"\p{Lu}"):
+        assert bpe.plain_pattern(p) is None
+
+
+def test_pieces_that_are_tokens_take_no_room_in_the_store(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from riskloom.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    df = spark.createDataFrame([(" the the zqxjv the zqxjv",)], "text string")
+    assert set(bpe.corpus_store(df, path, public_tokenizers.PATTERN, 10, tokens=False)) == {" zqxjv"}
+    enc = bpe.MergeReplay(bpe.read_ranks(path), public_tokenizers.PATTERN)
+    enc.replay = None           # a token needs no replay
+    assert enc.encode([" the the"]) == [[enc.ranks[b" the"]] * 2]
+
+
 # ---- pipeline
 
 @pytest.fixture(scope="module")
