@@ -215,7 +215,9 @@ def with_rates(rows: DataFrame, steps) -> DataFrame:
         return p.iloc[:0].astype(float) if not len(p) else type(p)(
             fold_steps(np.stack(p.to_numpy()), steps).round(6), index=p.index)
 
-    return rows.drop("rate").withColumn("rate", rate("posteriors"))
+    # not deterministic for the planner, so that a filter on the rate does not compute it a second time,
+    # in a second Python worker of the task
+    return rows.drop("rate").withColumn("rate", rate.asNondeterministic()("posteriors"))
 
 
 def soft_mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS,

@@ -24,8 +24,11 @@ def release() -> None:
     """Return what a Python worker no longer uses to the machine; idle workers keep their memory otherwise."""
     import ctypes
     import gc
+    import sys
 
     gc.collect()
+    if "pyarrow" in sys.modules:
+        sys.modules["pyarrow"].default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)

@@ -234,6 +234,19 @@ def test_pieces_that_are_tokens_take_no_room_in_the_store(spark):
     assert enc.encode([" the the"]) == [[enc.ranks[b" the"]] * 2]
 
 
+def test_mixing_computes_the_rates_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.mixing import with_rates
+
+    spark.createDataFrame([(1, [0.2, 0.8]), (2, [0.9, 0.1])], "doc_id long, posteriors array<double>").write.parquet(f"{tmp_path}/p")
+    out = with_rates(spark.read.parquet(f"{tmp_path}/p"), [np.array([0.1, 0.2])]).withColumn("copies", F.ceil("rate"))
+    kept = out.where("copies > 0").select("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.split("\n") if "ArrowEvalPython" in x and "[" in x]) == 1
+    assert {r.doc_id: r.rate for r in out.collect()} == {1: 0.82, 2: 0.89}
+
+
 # ---- pipeline
 
 @pytest.fixture(scope="module")
